@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules
+from . import quality_rules, secrets
 from .common import read
 
 
@@ -14,7 +14,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"))
 
 
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_secret_scans": op4_secret_scans,
     "op5_quality_rules": op5_quality_rules,
 }
 ORACLES: dict[str, str] = {}
