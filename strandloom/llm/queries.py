@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules, secrets
+from . import quality_rules, secrets, toxicity
 from .common import read
 
 
@@ -18,8 +18,14 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(read(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_scans": op4_secret_scans,
     "op5_quality_rules": op5_quality_rules,
+    "op8_toxicity": op8_toxicity,
 }
 ORACLES: dict[str, str] = {}
