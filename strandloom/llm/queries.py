@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules, secrets, toxicity
+from . import html_text, mixing, quality_rules, secrets, toxicity
 from .common import read
 
 
@@ -27,11 +27,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op4_secret_scans": op4_secret_scans,
     "op5_quality_rules": op5_quality_rules,
     "op8_toxicity": op8_toxicity,
+    "op9_html_extraction": op9_html_extraction,
 }
 ORACLES: dict[str, str] = {
     "op1_mixing": """
