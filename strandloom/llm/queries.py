@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_text, mixing, quality_rules, secrets, toxicity
+from . import html_text, mixing, near_dedup, quality_rules, secrets, toxicity
 from .common import read
 
 
@@ -31,12 +31,17 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"), width=2, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op4_secret_scans": op4_secret_scans,
     "op5_quality_rules": op5_quality_rules,
     "op8_toxicity": op8_toxicity,
     "op9_html_extraction": op9_html_extraction,
+    "op10_near_dedup": op10_near_dedup,
 }
 ORACLES: dict[str, str] = {
     "op1_mixing": """
