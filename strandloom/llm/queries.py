@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_text, mixing, near_dedup, quality_rules, secrets, toxicity
+from . import cotraining, html_text, mixing, near_dedup, quality_rules, secrets, toxicity
 from .common import read
 
 
@@ -22,6 +22,11 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(read(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return cotraining.score(docs, cotraining.fit(docs, read(spark, sf_dir, "labels")), least=0.4)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
@@ -39,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op4_secret_scans": op4_secret_scans,
     "op5_quality_rules": op5_quality_rules,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_toxicity": op8_toxicity,
     "op9_html_extraction": op9_html_extraction,
     "op10_near_dedup": op10_near_dedup,
