@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cotraining, html_text, mixing, near_dedup, quality_rules, secrets, toxicity
+from . import cotraining, decontamination, html_text, mixing, near_dedup, quality_rules, secrets, toxicity
 from .common import read
 
 
@@ -22,6 +22,10 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(read(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return cotraining.score(docs, cotraining.fit(docs, read(spark, sf_dir, "labels")), least=0.4)
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op4_secret_scans": op4_secret_scans,
     "op5_quality_rules": op5_quality_rules,
+    "op6_decontamination": op6_decontamination,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_toxicity": op8_toxicity,
     "op9_html_extraction": op9_html_extraction,
