@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cotraining, decontamination, html_text, mixing, near_dedup, quality_rules, secrets, toxicity
+from . import cotraining, decontamination, html_text, mixing, near_dedup, quality_rules, secrets, substring_dedup, suffix_dedup, toxicity
 from .common import read
 
 
@@ -18,6 +18,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(read(spark, sf_dir, "documents"))
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(read(spark, sf_dir, "documents"))
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(read(spark, sf_dir, "documents"))
 
@@ -46,6 +54,8 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_secret_scans": op4_secret_scans,
     "op5_quality_rules": op5_quality_rules,
     "op6_decontamination": op6_decontamination,
