@@ -2,16 +2,59 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+from strandloom.llm import common, cotraining, decontamination, mixing, near_dedup, secrets
+
+#: Documents whose combined quality score is below this go.
+LEAST_QUALITY = 0.4
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the co-trained classifier rejects."""
+    return cotraining.keep(docs, cotraining.fit(docs, common.read(spark, sf_dir, "labels")), least=LEAST_QUALITY)
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the first document of each group of near duplicates (five-word shingles, similarity 0.8 or more)."""
+    return near_dedup.first_of_group(docs, width=5, percent=80)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark item or a re-parameterised one."""
+    return decontamination.clean(docs, common.read(spark, sf_dir, "benchmark"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces secrets in the texts by placeholders; n_chars follows. No document goes."""
+    return secrets.redacted(docs)
+
+
+def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Adds block, slot and position of the mix; source weights are the square roots of the counts."""
+    return mixing.mix(docs, block=16, period=1000, power=0.5)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", quality_classifier),
+    ("minhash_near_dedup", minhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scans", secret_scans),
+    ("mixing_sources", mixing_sources),
+]
+#: The classifier, sketches and randomness tests have no SQL form; tests/llm holds run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """All stages over documents; each result is written to the shared folder and read again."""
+    docs = common.read(spark, sf_dir, "documents")
+    folder = f"{common.shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES:
+        path = f"{folder}/{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
