@@ -233,3 +233,10 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> Da
     none = held.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("node").alias("component_id"))
     out = rows.unionByName(none)
     return out.select("doc_id", "n_shingles", F.nullif("component_id", F.lit(LAST_ID)).alias("component_id"), (id_key() == F.col("component_id")).alias("kept"))
+
+
+def first_of_group(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs that near_duplicates() keeps, with their own columns. Documents without doc_id stay if nothing with one is linked to them."""
+    gone = near_duplicates(docs, width=width, percent=percent).filter(~F.coalesce("kept", F.col("component_id").isNull())).select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("gone_id")).distinct()
+    rows = docs.withColumn("near_id", id_key())
+    return rows.join(gone, F.col("near_id") == F.col("gone_id"), "left_anti").select(*docs.columns)

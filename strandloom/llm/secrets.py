@@ -17,6 +17,7 @@ import math
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -215,3 +216,31 @@ def redact_text(text: str, spans: list[tuple[str, int, int]]) -> str:
             out += [text[at:a], f"[{kind}]"]
         at = b
     return "".join([*out, text[at:]])
+
+
+def redacted(docs: DataFrame, *, q: float = 0.01, level: float = 0.001) -> DataFrame:
+    """docs with every span of text replaced by its placeholder and n_chars, if there, brought up to date; null texts stay null."""
+    table = limits(stored(scanned(docs, level), "secrets"), q)
+    least = [float("inf")] * (len(STRATA) + 1)
+    for row in table.collect():  # a row a length class
+        least[row.stratum] = row.least
+    names = docs.columns
+
+    def spans(text: str) -> list[tuple[str, int, int]]:
+        raw = text.encode()
+        base = base_spans(text, raw)
+        extra = [("random", a, b) for a, b, e in candidates(text, raw, base, level) if e >= least[sum(b - a >= s for s in STRATA)]]
+        return in_order(base + extra)
+
+    def run(batches):
+        for batch in batches:
+            texts = [redact_text(t, spans(t)) if t else t for t in batch.column(names.index("text")).to_pylist()]
+            columns = list(batch.columns)
+            at = names.index("text")
+            columns[at] = pa.array(texts, columns[at].type)
+            if "n_chars" in names:
+                at = names.index("n_chars")
+                columns[at] = pa.array([n if t is None else len(t) for t, n in zip(texts, columns[at].to_pylist(), strict=True)], columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return docs.mapInArrow(run, docs.schema)
