@@ -1,10 +1,666 @@
-"""Every named query with the SQL that must give the same rows."""
+"""Every named query over the driver tables with the SQL that must give the same rows."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from ..functions import histogram, names
+from ..operators import cluster, codec, compare, contract, eligibility, matrix, registry, views
+from .adapters import view, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+Views = Callable[[str], DataFrame]
+COVERED = "A + T + C + G >= 5"
+MASK = "(CASE WHEN A > 0 THEN 1 ELSE 0 END) + (CASE WHEN T > 0 THEN 2 ELSE 0 END) + (CASE WHEN C > 0 THEN 4 ELSE 0 END) + (CASE WHEN G > 0 THEN 8 ELSE 0 END)"
+ANI = "CAST(share_allele_pos AS DOUBLE) * CAST(100 AS DOUBLE) / CAST(total_positions AS DOUBLE)"
+
+AXIS = """axis AS (
+  SELECT genome, chrom, row_number() OVER (PARTITION BY genome ORDER BY chrom) - 1 AS scaffold_ordinal, lo + 1 AS index_base, lo + 1 AS min_pos, hi AS max_pos, hi - lo AS vector_length,
+         CAST(coalesce(sum(hi - lo + 1) OVER (PARTITION BY genome ORDER BY chrom ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS axis_start
+  FROM (SELECT s.genome, b.chrom, MIN(b.start_pos) AS lo, MAX(b.end_pos) AS hi FROM {bed} b JOIN {stb} s ON s.scaffold = b.chrom GROUP BY s.genome, b.chrom) spans
+)"""
+COVERED_MASKS = f"covered AS (SELECT sample_id, genome, chrom, pos, gene, {MASK} AS mask FROM {{profile_positions}} WHERE {COVERED})"
+PAIRS = f"""{COVERED_MASKS}, pairs0 AS (
+  SELECT a.genome, a.sample_id AS sample_1, b.sample_id AS sample_2, COUNT(*) AS total_positions, CAST(SUM(CASE WHEN (a.mask & b.mask) <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS share_allele_pos
+  FROM covered a JOIN covered b ON a.genome = b.genome AND a.chrom = b.chrom AND a.pos = b.pos AND a.sample_id < b.sample_id GROUP BY 1, 2, 3
+), pairs AS (SELECT *, {ANI} AS genome_ani FROM pairs0)"""
+QUALIFYING = PAIRS + """, qualifying AS (
+  SELECT genome, sample_1, sample_2, CAST(AVG(genome_ani) AS FLOAT) AS ani, MAX(total_positions) AS total_positions FROM pairs WHERE total_positions > 20 GROUP BY 1, 2, 3
+)"""
+DEGREES = QUALIFYING + """, degrees AS (
+  SELECT genome, sample_id, COUNT(*) AS degree FROM (SELECT genome, sample_1 AS sample_id FROM qualifying UNION ALL SELECT genome, sample_2 FROM qualifying) e GROUP BY 1, 2
+)"""
+RETAINED = DEGREES + """, retained AS (
+  SELECT d.genome, d.sample_id, d.degree, c.candidates - 1 - d.degree AS missing, c.candidates
+  FROM degrees d JOIN (SELECT genome, COUNT(*) AS candidates FROM degrees GROUP BY 1) c ON c.genome = d.genome
+  WHERE CAST(c.candidates - 1 - d.degree AS DOUBLE) / CAST(greatest(c.candidates - 1, 1) AS DOUBLE) <= CAST(0.35 AS DOUBLE)
+), among AS (
+  SELECT q.* FROM qualifying q WHERE (genome, sample_1) IN (SELECT (genome, sample_id) FROM retained) AND (genome, sample_2) IN (SELECT (genome, sample_id) FROM retained)
+)"""
+KNN = RETAINED + """, both_ways AS (
+  SELECT genome, sample_1 AS src, sample_2 AS dst, ani FROM among UNION ALL SELECT genome, sample_2, sample_1, ani FROM among
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY genome, src ORDER BY ani DESC, dst) AS r FROM both_ways), edges AS (
+  SELECT genome, least(src, dst) AS sample_1, greatest(src, dst) AS sample_2, MAX(ani) AS ani FROM ranked WHERE r <= 5 GROUP BY 1, 2, 3
+)"""
+
+
+def query(name: str, sql: str | None = None) -> Callable:
+    """Registers fn(v), where v(table) gives a derived or driver table."""
+
+    def register(fn: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
+        QUERIES[name] = lambda spark, sf_dir: fn(lambda table: view(spark, sf_dir, table))
+        if sql is not None:
+            ORACLES[name] = with_views(sql)
+        return fn
+
+    return register
+
+
+# Catalog and point queries ------------------------------------------------------------------------------------------
+
+_POSITIONS = "sample_id, chrom, pos, genome, gene, A, C, G, T"
+
+
+@query("positions_scan", f"SELECT {_POSITIONS} FROM {{profile_positions}}")
+def _(v):
+    return v("profile_positions")
+
+
+@query("positions_by_genome", f"SELECT {_POSITIONS} FROM {{profile_positions}} WHERE genome = 'G1'")
+def _(v):
+    return v("profile_positions").filter(F.col("genome") == "G1")
+
+
+@query("positions_by_sample", f"SELECT {_POSITIONS} FROM {{profile_positions}} WHERE sample_id = 'SRR3'")
+def _(v):
+    return v("profile_positions").filter(F.col("sample_id") == "SRR3")
+
+
+@query("positions_by_gene", f"SELECT {_POSITIONS} FROM {{profile_positions}} WHERE genome = 'G2' AND gene = 'G2_c1_1'")
+def _(v):
+    return v("profile_positions").filter((F.col("genome") == "G2") & (F.col("gene") == "G2_c1_1"))
+
+
+@query("genomes_catalog", "SELECT DISTINCT genome FROM {genome_stats} ORDER BY genome")
+def _(v):
+    return v("genome_stats").select("genome").distinct().orderBy("genome")
+
+
+@query("genomes_regex", "SELECT DISTINCT genome FROM {genome_stats} WHERE regexp_matches(genome, '[13]') ORDER BY genome")
+def _(v):
+    return v("genome_stats").select("genome").filter(F.col("genome").rlike("[13]")).distinct().orderBy("genome")
+
+
+@query("samples_complete", "SELECT sample_id FROM {samples} WHERE status = 'complete' ORDER BY sample_id")
+def _(v):
+    return v("samples").filter(F.col("status") == "complete").select("sample_id").orderBy("sample_id")
+
+
+@query("samples_regex", "SELECT sample_id FROM {samples} WHERE status = 'complete' AND regexp_matches(sample_id, 'R1') ORDER BY sample_id")
+def _(v):
+    return v("samples").filter((F.col("status") == "complete") & F.col("sample_id").rlike("R1")).select("sample_id").orderBy("sample_id")
+
+
+@query("genome_stats_view", "SELECT * FROM {genome_stats} WHERE genome = 'G1'")
+def _(v):
+    return v("genome_stats").filter(F.col("genome") == "G1")
+
+
+@query("gene_stats_view", "SELECT * FROM {gene_stats} WHERE sample_id = 'SRR4' AND genome = 'G3'")
+def _(v):
+    return v("gene_stats").filter((F.col("sample_id") == "SRR4") & (F.col("genome") == "G3"))
+
+
+@query("abundance_lookup_or", "SELECT * FROM {sylph_abundance} WHERE genome = 'G2' OR accession = 'GCF_000003.1'")
+def _(v):
+    return v("sylph_abundance").filter((F.col("genome") == "G2") | (F.col("accession") == "GCF_000003.1"))
+
+
+@query("abundance_normalize_accession", "SELECT sample_id, genome_file, upper(nullif(regexp_extract(genome_file, '(GC[AF]_\\d+(?:\\.\\d+)?)', 1), '')) AS accession, abundance FROM {sylph_raw}")
+def _(v):
+    return v("sylph_raw").select("sample_id", "genome_file", names.accession(F.col("genome_file")).alias("accession"), "abundance")
+
+
+@query("nonzero_accessions", "SELECT DISTINCT upper(nullif(regexp_extract(genome_file, '\\b((?:GC[AF])_\\d+(?:\\.\\d+)?)', 1), '')) AS accession FROM {sylph_raw} WHERE coalesce(abundance, 0) > 0 ORDER BY 1")
+def _(v):
+    from ..sources.ingest import accession_list
+
+    return accession_list(v("sylph_raw").select("genome_file", "abundance")).orderBy("accession")
+
+
+@query("safe_names", "SELECT DISTINCT genome_file, regexp_replace(regexp_replace(genome_file, '[^A-Za-z0-9._-]+', '_', 'g'), '^_+|_+$', '', 'g') AS safe, regexp_replace(genome_file, '[^A-Za-z0-9._-]', '_', 'g') AS per_character FROM {sylph_raw}")
+def _(v):
+    return v("sylph_raw").select("genome_file").distinct().select("genome_file", names.safe_name(F.col("genome_file")).alias("safe"), names.safe_characters(F.col("genome_file")).alias("per_character"))
+
+
+# Registry -----------------------------------------------------------------------------------------------------------
+
+
+@query("runs_active", "SELECT run_id, status FROM {sra_runs} WHERE deleted_at IS NULL ORDER BY run_id")
+def _(v):
+    return registry.active(v("sra_runs")).select("run_id", "status").orderBy("run_id")
+
+
+_REMAINING = "SELECT r.run_id, r.status FROM {sra_runs} r LEFT JOIN (SELECT run_id FROM {samples} WHERE status = 'complete') s ON s.run_id = r.run_id WHERE s.run_id IS NULL AND r.deleted_at IS NULL"
+
+
+@query("remaining_runs", _REMAINING)
+def _(v):
+    return registry.remaining(v("sra_runs"), v("samples")).select("run_id", "status")
+
+
+@query("profiles_by_status", "SELECT status, COUNT(*) AS n FROM {samples} GROUP BY status")
+def _(v):
+    return registry.progress(v("samples"))
+
+
+@query(
+    "registry_status",
+    f"""SELECT (SELECT COUNT(*) FROM {{sra_runs}} WHERE deleted_at IS NULL) AS active_runs, (SELECT COUNT(*) FROM {{sra_runs}} WHERE deleted_at IS NOT NULL) AS deleted_runs,
+    (SELECT COUNT(*) FROM {{samples}} WHERE status = 'complete') AS complete_samples, (SELECT COUNT(*) FROM {{profile_positions}}) AS profile_rows, CAST(0 AS BIGINT) AS allele_mask_blocks,
+    CAST(0 AS BIGINT) AS allele_mask_positions, (SELECT COUNT(*) FROM ({_REMAINING}) x) AS remaining_profiles, (SELECT COUNT(*) FROM {{matrix_store_samples}}) AS matrix_stores, CAST(0 AS BIGINT) AS matrix_compares,
+    'full' AS profile_storage, 'NA' AS profile_min_cov""",
+)
+def _(v):
+    stores = v("matrix_store_samples")
+    return registry.status(v("sra_runs"), v("samples"), v("profile_positions"), None, stores, stores.limit(0))
+
+
+@query(
+    "runs_upsert_reactivate",
+    """WITH asked AS (SELECT 'SRR' || CAST(s_suppkey * 3 AS STRING) AS run_id FROM {supplier})
+    SELECT coalesce(r.run_id, a.run_id) AS run_id, CASE WHEN r.run_id IS NULL OR (a.run_id IS NOT NULL AND r.deleted_at IS NOT NULL) THEN 'added' ELSE r.status END AS status,
+      CASE WHEN a.run_id IS NOT NULL AND r.deleted_at IS NOT NULL THEN NULL ELSE r.deleted_at END AS deleted_at,
+      CASE WHEN r.run_id IS NULL THEN 'added' WHEN a.run_id IS NOT NULL AND r.deleted_at IS NOT NULL THEN 'reactivated' ELSE 'kept' END AS change
+    FROM {sra_runs} r FULL OUTER JOIN asked a ON a.run_id = r.run_id""",
+)
+def _(v):
+    asked = v("supplier").select(F.concat(F.lit("SRR"), (F.col("s_suppkey") * 3).cast("string")).alias("run_id"))
+    return registry.add_runs(v("sra_runs"), asked, 3.0)
+
+
+@query(
+    "runs_soft_delete",
+    """SELECT run_id, CASE WHEN hit THEN 'deleted' ELSE status END AS status, CASE WHEN hit THEN CAST(3 AS DOUBLE) ELSE deleted_at END AS deleted_at, hit AS changed
+    FROM (SELECT *, CAST(SUBSTR(run_id, 4) AS INT) % 4 = 1 AND deleted_at IS NULL AS hit FROM {sra_runs}) x""",
+)
+def _(v):
+    runs = v("sra_runs")
+    return registry.delete_runs(runs, runs.filter(F.expr("cast(substr(run_id, 4) as int) % 4 = 1")), 3.0)
+
+
+@query(
+    "upsert_latest",
+    """WITH new AS (SELECT sample_id, run_id, 'complete' AS status FROM {samples} WHERE status = 'failed' UNION ALL SELECT 'NEW1', 'NEW1', 'complete')
+    SELECT * FROM new UNION ALL SELECT s.sample_id, s.run_id, s.status FROM {samples} s WHERE s.sample_id NOT IN (SELECT sample_id FROM new)""",
+)
+def _(v):
+    old = v("samples").select("sample_id", "run_id", "status")
+    new = old.filter(F.col("status") == "failed").withColumn("status", F.lit("complete")).union(old.sparkSession.createDataFrame([("NEW1", "NEW1", "complete")], old.schema))
+    return registry.upsert(old, new, ["sample_id"], None)
+
+
+@query("insert_ignore", "SELECT DISTINCT g.genome AS matrix_id, g.sample_id FROM {genome_stats} g WHERE (g.genome, g.sample_id) NOT IN (SELECT (matrix_id, sample_id) FROM {matrix_store_samples})")
+def _(v):
+    new = v("genome_stats").select(F.col("genome").alias("matrix_id"), "sample_id")
+    return registry.insert_ignore(v("matrix_store_samples"), new, ["matrix_id", "sample_id"])
+
+
+@query("contract_row", "SELECT 1 AS id, 'allele_mask' AS mode, 5 AS min_cov, 'ATCG' AS allele_bit_order")
+def _(v):
+    return v("region").sparkSession.range(1).select(F.lit(1).alias("id"), F.lit("allele_mask").alias("mode"), F.lit(5).alias("min_cov"), F.lit("ATCG").alias("allele_bit_order"))
+
+
+@query("next_surrogate_keys", "SELECT genome, 7 + row_number() OVER (ORDER BY genome) AS segment_id FROM (SELECT DISTINCT genome FROM {stb}) g")
+def _(v):
+    old = v("region").sparkSession.createDataFrame([(7,)], "segment_id bigint")
+    return registry.next_key(old, "segment_id", v("stb").select("genome").distinct(), "genome").select("genome", F.col("segment_id").cast("bigint").alias("segment_id"))
+
+
+@query("table_signature")
+def _(v):
+    return views.signature(v("genome_stats"), {"min_comp_len": 20})
+
+
+# Eligibility --------------------------------------------------------------------------------------------------------
+
+_ELIGIBLE = "SELECT DISTINCT g.genome, g.sample_id FROM {genome_stats} g JOIN {samples} s ON s.sample_id = g.sample_id AND s.status = 'complete'"
+_STRICT = (
+    _ELIGIBLE
+    + " WHERE coalesce(coverage, 0) >= 7 AND coalesce(breadth, 0) >= 0.25 AND coalesce(ber, 0) >= 0.6 AND EXISTS (SELECT 1 FROM {sylph_abundance} a WHERE a.sample_id = g.sample_id AND (a.genome = g.genome OR a.accession = g.genome) AND coalesce(a.abundance, 0) >= 0.19)"
+)
+
+
+@query("eligible_samples", _ELIGIBLE + " WHERE coalesce(coverage, 0) >= 7")
+def _(v):
+    return eligibility.eligible(v("samples"), v("genome_stats"), min_coverage=7)
+
+
+@query("eligible_strict_all_filters", _STRICT)
+def _(v):
+    return eligibility.eligible(v("samples"), v("genome_stats"), v("sylph_abundance"), min_coverage=7, min_breadth=0.25, min_ber=0.6, min_abundance=0.19)
+
+
+@query("eligible_null_threshold", _ELIGIBLE + " WHERE coalesce(ber, 0) >= 0")
+def _(v):
+    return eligibility.eligible(v("samples"), v("genome_stats"), min_ber=0.0)
+
+
+@query("eligible_unmaterialized", f"SELECT * FROM ({_ELIGIBLE} WHERE coalesce(coverage, 0) >= 7) e WHERE (genome, sample_id) NOT IN (SELECT (matrix_id, sample_id) FROM {{matrix_store_samples}})")
+def _(v):
+    return eligibility.unmaterialized(eligibility.eligible(v("samples"), v("genome_stats"), min_coverage=7), v("matrix_store_samples"))
+
+
+@query("matrix_unmaterialized", "SELECT s.sample_id FROM {samples} s LEFT JOIN {matrix_store_samples} m ON m.sample_id = s.sample_id AND m.matrix_id = 'G0' WHERE s.status = 'complete' AND m.sample_id IS NULL")
+def _(v):
+    held = v("matrix_store_samples").filter(F.col("matrix_id") == "G0").select("sample_id")
+    return v("samples").filter(F.col("status") == "complete").select("sample_id").join(held, "sample_id", "left_anti")
+
+
+@query("genomes_with_complete_samples", "SELECT DISTINCT g.genome FROM {genome_stats} g JOIN {samples} s ON s.sample_id = g.sample_id WHERE s.status = 'complete'")
+def _(v):
+    return eligibility.genomes_with_complete_samples(v("samples"), v("genome_stats"))
+
+
+@query("observed_genomes", "SELECT genome, genome_idx FROM (SELECT genome, row_number() OVER (ORDER BY genome) - 1 AS genome_idx FROM (SELECT DISTINCT genome FROM {stb}) s) c WHERE genome IN (SELECT genome FROM {profile_positions} WHERE sample_id IN ('SRR1', 'SRR2'))")
+def _(v):
+    known = v("stb").select("genome").distinct().withColumn("genome_idx", F.row_number().over(W.orderBy("genome")) - 1)  # a row a genome
+    return known.join(v("profile_positions").filter(F.col("sample_id").isin("SRR1", "SRR2")).select("genome"), "genome", "left_semi").select("genome", F.col("genome_idx").cast("bigint").alias("genome_idx"))
+
+
+@query("unknown_genome_guard", "SELECT DISTINCT genome FROM {profile_positions} EXCEPT SELECT genome FROM {stb} WHERE genome <> 'G4'")
+def _(v):
+    return v("profile_positions").select("genome").distinct().exceptAll(v("stb").filter("genome <> 'G4'").select("genome").distinct())
+
+
+@query("sample_stats_join", "SELECT g.*, a.abundance FROM {genome_stats} g LEFT JOIN (SELECT sample_id, MAX(abundance) AS abundance FROM {sylph_abundance} WHERE genome = 'G1' OR accession = 'G1' GROUP BY 1) a ON a.sample_id = g.sample_id WHERE g.genome = 'G1'")
+def _(v):
+    return views.sample_stats(v("genome_stats"), v("sylph_abundance"), "G1")
+
+
+# Coordinate contract ------------------------------------------------------------------------------------------------
+
+
+@query("bed_spans", "SELECT chrom, MIN(start_pos) AS min_start, MAX(end_pos) AS max_end FROM {bed} GROUP BY chrom")
+def _(v):
+    return contract.spans(v("bed"))
+
+
+@query("bed_tiles", "SELECT scaffold, start_pos, least(start_pos + 150, length) AS end_pos FROM (SELECT scaffold, length, unnest(range(0, length, 150)) AS start_pos FROM (SELECT chrom AS scaffold, MAX(end_pos) AS length FROM {bed} GROUP BY 1) x) y")
+def _(v):
+    return contract.tiles(v("bed").groupBy(F.col("chrom").alias("scaffold")).agg(F.max("end_pos").alias("length")), 150)
+
+
+@query("stb_duplicates", "SELECT scaffold, COUNT(*) AS n FROM (SELECT scaffold FROM {stb} UNION ALL SELECT scaffold FROM {stb} WHERE genome = 'G1') x GROUP BY 1 HAVING COUNT(*) > 1")
+def _(v):
+    stb = v("stb").select("scaffold", "genome")
+    return contract.duplicate_scaffolds(stb.unionByName(stb.filter("genome = 'G1'")))
+
+
+@query("scaffold_axis", f"WITH {AXIS} SELECT * FROM axis")
+def _(v):
+    return contract.axis(v("bed"), v("stb"), check=False).withColumn("scaffold_ordinal", F.col("scaffold_ordinal").cast("bigint"))
+
+
+@query("genome_axis_lengths", f"WITH {AXIS} SELECT row_number() OVER (ORDER BY genome) - 1 AS genome_idx, genome, CAST(SUM(vector_length) AS BIGINT) AS true_length, CAST(SUM(vector_length) + COUNT(*) - 1 AS BIGINT) AS matrix_length FROM axis GROUP BY genome")
+def _(v):
+    return contract.lengths(contract.axis(v("bed"), v("stb"), check=False)).withColumn("genome_idx", F.col("genome_idx").cast("bigint"))
+
+
+_GENE_AXIS = AXIS + """, gene_axis AS (
+  SELECT genome, gene, gene_start, gene_end, row_number() OVER (PARTITION BY genome ORDER BY gene_start, gene_end, gene) - 1 AS gene_idx
+  FROM (SELECT a.genome, g.gene, g.start_pos - a.index_base + a.axis_start AS gene_start, g.end_pos - a.index_base + a.axis_start AS gene_end FROM {gene_ranges} g JOIN axis a ON a.chrom = g.scaffold) x
+)"""
+
+
+@query("gene_axis_ranges", f"WITH {_GENE_AXIS} SELECT * FROM gene_axis")
+def _(v):
+    return contract.gene_axis(v("gene_ranges"), contract.axis(v("bed"), v("stb"), check=False), check=False).withColumn("gene_idx", F.col("gene_idx").cast("bigint"))
+
+
+# Masks and matrices -------------------------------------------------------------------------------------------------
+
+
+@query("covered_masks", f"WITH {COVERED_MASKS} SELECT sample_id, genome, chrom, pos, mask FROM covered")
+def _(v):
+    return matrix.covered(v("profile_positions")).select("sample_id", "genome", "chrom", "pos", "mask")
+
+
+@query("mask_bits_summary", f"WITH {COVERED_MASKS} SELECT genome, mask, CAST(bit_count(mask) AS INT) AS alleles, COUNT(*) AS n FROM covered GROUP BY 1, 2, 3")
+def _(v):
+    return matrix.covered(v("profile_positions")).groupBy("genome", "mask", F.bit_count("mask").cast("int").alias("alleles")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("coverage_breadth", f"WITH {COVERED_MASKS} SELECT c.sample_id, c.genome, COUNT(*) AS covered_positions, CAST(COUNT(*) AS DOUBLE) / CAST(MAX(l.genome_length) AS DOUBLE) AS breadth_5x FROM covered c JOIN {{genome_len}} l ON l.genome = c.genome GROUP BY 1, 2")
+def _(v):
+    rows = matrix.covered(v("profile_positions")).groupBy("sample_id", "genome").agg(F.count(F.lit(1)).alias("covered_positions")).join(v("genome_len"), "genome")
+    return rows.select("sample_id", "genome", "covered_positions", (F.col("covered_positions").cast("double") / F.col("genome_length").cast("double")).alias("breadth_5x"))
+
+
+_COO = f"{AXIS}, {COVERED_MASKS}, coo AS (SELECT c.genome, c.sample_id, c.pos - a.index_base + a.axis_start AS axis_pos, c.mask FROM covered c JOIN axis a ON a.genome = c.genome AND a.chrom = c.chrom)"
+
+
+@query("matrix_bitmask_coo", f"WITH {_COO} SELECT * FROM coo")
+def _(v):
+    return matrix.bitmask(v("profile_positions"), contract.axis(v("bed"), v("stb"), check=False))
+
+
+@query("matrix_counts_coo", f"WITH {AXIS} SELECT p.genome, p.sample_id, p.pos - a.index_base + a.axis_start AS axis_pos, p.A, p.T, p.C, p.G FROM {{profile_positions}} p JOIN axis a ON a.genome = p.genome AND a.chrom = p.chrom WHERE p.A + p.T + p.C + p.G >= 5")
+def _(v):
+    return matrix.counts(v("profile_positions"), contract.axis(v("bed"), v("stb"), check=False))
+
+
+@query("matrix_presence_coo", f"WITH {AXIS} SELECT p.genome, p.sample_id, p.pos - a.index_base + a.axis_start AS axis_pos, CASE WHEN p.A > 0 THEN 1 ELSE 0 END AS A, CASE WHEN p.T > 0 THEN 1 ELSE 0 END AS T, CASE WHEN p.C > 0 THEN 1 ELSE 0 END AS C, CASE WHEN p.G > 0 THEN 1 ELSE 0 END AS G FROM {{profile_positions}} p JOIN axis a ON a.genome = p.genome AND a.chrom = p.chrom WHERE p.A + p.T + p.C + p.G >= 5")
+def _(v):
+    return matrix.presence(v("profile_positions"), contract.axis(v("bed"), v("stb"), check=False))
+
+
+@query("matrix_csr_indptr", f"WITH {_COO}, catalog AS (SELECT genome, sample_id FROM {{genome_stats}}) SELECT c.genome, c.sample_id, row_number() OVER w - 1 AS sample_idx, CAST(SUM(coalesce(n.nnz, 0)) OVER w AS BIGINT) AS row_end FROM catalog c LEFT JOIN (SELECT genome, sample_id, COUNT(*) AS nnz FROM coo GROUP BY 1, 2) n ON n.genome = c.genome AND n.sample_id = c.sample_id WINDOW w AS (PARTITION BY c.genome ORDER BY c.sample_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+def _(v):
+    m = matrix.bitmask(v("profile_positions"), contract.axis(v("bed"), v("stb"), check=False))
+    return matrix.row_pointers(m, v("genome_stats")).withColumn("sample_idx", F.col("sample_idx").cast("bigint"))
+
+
+@query("matrix_zero_rows", "SELECT genome, sample_id FROM {genome_stats} EXCEPT SELECT genome, sample_id FROM {profile_positions} WHERE A + T + C + G >= 40 AND pos <= 20")
+def _(v):
+    m = matrix.covered(v("profile_positions"), 40).filter("pos <= 20")
+    return matrix.zero_rows(m, v("genome_stats"))
+
+
+@query("matrix_max_count", "SELECT greatest(MAX(A), MAX(T), MAX(C), MAX(G)) AS max_count FROM {profile_positions}")
+def _(v):
+    return matrix.largest_count(v("profile_positions"))
+
+
+@query("matrix_append_delta", f"WITH {_COO}, new AS ({_ELIGIBLE} WHERE (g.genome, g.sample_id) NOT IN (SELECT (matrix_id, sample_id) FROM {{matrix_store_samples}})) SELECT c.* FROM coo c JOIN new n ON n.genome = c.genome AND n.sample_id = c.sample_id")
+def _(v):
+    new = eligibility.unmaterialized(eligibility.eligible(v("samples"), v("genome_stats")), v("matrix_store_samples"))
+    m = matrix.bitmask(v("profile_positions"), contract.axis(v("bed"), v("stb"), check=False))
+    return m.join(new, ["genome", "sample_id"], "left_semi")
+
+
+def _segments(v) -> DataFrame:
+    """A reference of repeated bases over each scaffold of the adapter."""
+    fasta = contract.spans(v("bed")).select("chrom", F.expr("substr(repeat('ATCGN', cast(max_end div 5 + 1 as int)), 1, cast(max_end as int))").alias("sequence"))
+    return codec.reference_segments(fasta, v("stb"))
+
+
+@query("mask_roundtrip", f"WITH {COVERED_MASKS} SELECT sample_id, genome, chrom, pos, mask FROM covered")
+def _(v):
+    segments = _segments(v)
+    return codec.decode(codec.encode(v("profile_positions"), segments), segments)
+
+
+@query("reference_segments_hash")
+def _(v):
+    return _segments(v).select("segment_id", "genome", "chrom", "segment_ordinal", "span", "reference_hash")
+
+
+# Comparison ---------------------------------------------------------------------------------------------------------
+
+
+@query("popani_pairs", f"WITH {PAIRS} SELECT * FROM pairs")
+def _(v):
+    return compare.pairs(v("profile_positions"))
+
+
+@query("popani_pairs_packed", f"WITH {PAIRS} SELECT * FROM pairs")
+def _(v):
+    return compare.packed_pairs(matrix.bitmask(v("profile_positions"), contract.axis(v("bed"), v("stb"), check=False)))
+
+
+@query("popani_top_pairs", f"WITH {PAIRS} SELECT genome, sample_1, sample_2, genome_ani FROM (SELECT *, row_number() OVER (PARTITION BY genome ORDER BY genome_ani DESC, sample_1, sample_2) AS r FROM pairs) x WHERE r <= 10")
+def _(v):
+    rank = F.row_number().over(W.partitionBy("genome").orderBy(F.desc("genome_ani"), "sample_1", "sample_2"))
+    return compare.pairs(v("profile_positions")).withColumn("r", rank).filter("r <= 10").select("genome", "sample_1", "sample_2", "genome_ani")
+
+
+@query("popani_min_overlap", f"WITH {PAIRS} SELECT * FROM pairs WHERE total_positions > 30")
+def _(v):
+    return compare.pairs(v("profile_positions")).filter("total_positions > 30")
+
+
+_TOP = "greatest(A, T, C, G)"
+_CONSENSUS = f"CASE WHEN A = {_TOP} THEN 1 WHEN T = {_TOP} THEN 2 WHEN C = {_TOP} THEN 4 ELSE 8 END"
+
+
+@query("conani_pairs", f"WITH c AS (SELECT sample_id, genome, chrom, pos, {_CONSENSUS} AS m FROM {{profile_positions}} WHERE {COVERED}), p AS (SELECT a.genome, a.sample_id AS sample_1, b.sample_id AS sample_2, COUNT(*) AS total_positions, CAST(SUM(CASE WHEN a.m = b.m THEN 1 ELSE 0 END) AS BIGINT) AS share_allele_pos FROM c a JOIN c b ON a.genome = b.genome AND a.chrom = b.chrom AND a.pos = b.pos AND a.sample_id < b.sample_id GROUP BY 1, 2, 3) SELECT *, {ANI} AS genome_ani FROM p")
+def _(v):
+    return compare.pairs(v("profile_positions"), "conani")
+
+
+_DOT = " + ".join(f"CAST(a.{c} * b.{c} AS DOUBLE)" for c in "ATCG")
+_NORM = lambda s: "(" + " + ".join(f"CAST({s}.{c} * {s}.{c} AS DOUBLE)" for c in "ATCG") + ")"
+
+
+@query("cosani_pairs", f"WITH c AS (SELECT * FROM {{profile_positions}} WHERE {COVERED}), p AS (SELECT a.genome, a.sample_id AS sample_1, b.sample_id AS sample_2, COUNT(*) AS total_positions, CAST(SUM(CASE WHEN {_DOT} >= CAST(0.9 AS DOUBLE) * sqrt({_NORM('a')} * {_NORM('b')}) THEN 1 ELSE 0 END) AS BIGINT) AS share_allele_pos FROM c a JOIN c b ON a.genome = b.genome AND a.chrom = b.chrom AND a.pos = b.pos AND a.sample_id < b.sample_id GROUP BY 1, 2, 3) SELECT *, {ANI} AS genome_ani FROM p")
+def _(v):
+    return compare.pairs(v("profile_positions"), "cosani_0.9")
+
+
+_GENES = f"SELECT genome, gene, sample_1, sample_2, total_positions, share_allele_pos, {ANI} AS gene_pop_ani FROM (SELECT a.genome, a.gene, a.sample_id AS sample_1, b.sample_id AS sample_2, COUNT(*) AS total_positions, CAST(SUM(CASE WHEN (a.mask & b.mask) <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS share_allele_pos FROM covered a JOIN covered b ON a.genome = b.genome AND a.chrom = b.chrom AND a.pos = b.pos AND a.sample_id < b.sample_id GROUP BY 1, 2, 3, 4) p"
+
+
+@query("gene_popani_pairs", f"WITH {COVERED_MASKS} {_GENES}")
+def _(v):
+    return compare.gene_pairs(v("profile_positions"))
+
+
+@query("positions_in_genes", f"WITH {_GENE_AXIS}, coo AS (SELECT p.genome, p.sample_id, p.pos - a.index_base + a.axis_start AS axis_pos FROM {{profile_positions}} p JOIN axis a ON a.genome = p.genome AND a.chrom = p.chrom WHERE {COVERED}) SELECT c.genome, g.gene, COUNT(*) AS n, COUNT(DISTINCT c.sample_id) AS samples FROM coo c JOIN gene_axis g ON g.genome = c.genome AND c.axis_pos BETWEEN g.gene_start AND g.gene_end GROUP BY 1, 2")
+def _(v):
+    axis = contract.axis(v("bed"), v("stb"), check=False)
+    rows = compare.in_genes(matrix.bitmask(v("profile_positions"), axis), contract.gene_axis(v("gene_ranges"), axis, check=False))
+    return rows.groupBy("genome", "gene").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("sample_id").alias("samples"))
+
+
+@query(
+    "max_consecutive_run",
+    f"""WITH {COVERED_MASKS}, joint AS (
+      SELECT a.genome, a.sample_id AS sample_1, b.sample_id AS sample_2, a.chrom, a.pos, (a.mask & b.mask) <> 0 AS hit
+      FROM covered a JOIN covered b ON a.genome = b.genome AND a.chrom = b.chrom AND a.pos = b.pos AND a.sample_id < b.sample_id
+    ), runs AS (
+      SELECT genome, sample_1, sample_2, chrom, pos - row_number() OVER (PARTITION BY genome, sample_1, sample_2, chrom ORDER BY pos) AS island FROM joint WHERE hit
+    ), sizes AS (SELECT genome, sample_1, sample_2, COUNT(*) AS n FROM runs GROUP BY genome, sample_1, sample_2, chrom, island)
+    SELECT p.genome, p.sample_1, p.sample_2, coalesce(MAX(s.n), 0) AS max_consecutive_length
+    FROM (SELECT DISTINCT genome, sample_1, sample_2 FROM joint) p LEFT JOIN sizes s ON s.genome = p.genome AND s.sample_1 = p.sample_1 AND s.sample_2 = p.sample_2 GROUP BY 1, 2, 3""",
+)
+def _(v):
+    return compare.longest_runs(v("profile_positions"))
+
+
+_STORED = "SELECT a.matrix_id AS genome, a.sample_id AS sample_1, b.sample_id AS sample_2 FROM {matrix_store_samples} a JOIN {matrix_store_samples} b ON a.matrix_id = b.matrix_id AND a.sample_id < b.sample_id"
+
+
+def _stored_pairs(v) -> DataFrame:
+    m = v("matrix_store_samples").select(F.col("matrix_id").alias("genome"), "sample_id")
+    return m.withColumnRenamed("sample_id", "sample_1").join(m.withColumnRenamed("sample_id", "sample_2"), "genome").filter("sample_1 < sample_2")
+
+
+@query("incremental_pairs", f"WITH {PAIRS} SELECT * FROM pairs WHERE (genome, sample_1, sample_2) NOT IN (SELECT (genome, sample_1, sample_2) FROM ({_STORED}) s)")
+def _(v):
+    return compare.incremental(v("profile_positions"), _stored_pairs(v))
+
+
+@query("compare_progress", f"SELECT c.genome, c.samples, c.samples * (c.samples - 1) // 2 AS expected, coalesce(d.n, 0) AS completed, coalesce(d.n, 0) >= c.samples * (c.samples - 1) // 2 AS complete FROM (SELECT genome, COUNT(DISTINCT sample_id) AS samples FROM {{genome_stats}} GROUP BY 1) c LEFT JOIN (SELECT genome, COUNT(*) AS n FROM ({_STORED}) s GROUP BY 1) d ON d.genome = c.genome")
+def _(v):
+    return views.completeness(v("genome_stats"), _stored_pairs(v))
+
+
+@query("expected_pairs", "SELECT genome, COUNT(DISTINCT sample_id) AS n, COUNT(DISTINCT sample_id) * (COUNT(DISTINCT sample_id) - 1) // 2 AS expected FROM {genome_stats} GROUP BY 1")
+def _(v):
+    return compare.expected_pairs(v("genome_stats"))
+
+
+@query("distinct_pairs_canonical", f"SELECT DISTINCT genome, sample_1, sample_2 FROM ({_STORED}) s")
+def _(v):
+    p = _stored_pairs(v)
+    return views.distinct_pairs(p.unionByName(p.select("genome", F.col("sample_2").alias("sample_1"), F.col("sample_1").alias("sample_2"))))
+
+
+@query("sample_index_legacy", f"SELECT row_number() OVER (ORDER BY sample_name) - 1 AS sample_idx, sample_name FROM (SELECT sample_1 AS sample_name FROM ({_STORED}) a UNION SELECT sample_2 FROM ({_STORED}) b) n")
+def _(v):
+    return views.sample_index(_stored_pairs(v)).withColumn("sample_idx", F.col("sample_idx").cast("bigint"))
+
+
+# Views --------------------------------------------------------------------------------------------------------------
+
+
+def _qualifying(v) -> DataFrame:
+    return views.qualifying(compare.pairs(v("profile_positions")), 20)
+
+
+def _kept(v) -> tuple[DataFrame, DataFrame]:
+    pairs = _qualifying(v)
+    return pairs, views.retained(pairs, max_null_fraction=0.35)
+
+
+@query("qualifying_pairs", f"WITH {QUALIFYING} SELECT * FROM qualifying")
+def _(v):
+    return _qualifying(v)
+
+
+@query("pair_degrees", f"WITH {DEGREES} SELECT * FROM degrees")
+def _(v):
+    return views.degrees(_qualifying(v))
+
+
+@query("degree_summary", f"WITH {DEGREES} SELECT genome, MIN(degree) AS min_degree, quantile_cont(degree, 0.5) AS median_degree, MAX(degree) AS max_degree FROM degrees GROUP BY 1")
+def _(v):
+    return views.degree_summary(views.degrees(_qualifying(v)))
+
+
+@query("connectivity_retained_fraction", f"WITH {RETAINED} SELECT * FROM retained")
+def _(v):
+    return _kept(v)[1]
+
+
+@query("connectivity_retained_absolute", f"WITH {DEGREES} SELECT d.genome, d.sample_id, d.degree, c.candidates - 1 - d.degree AS missing, c.candidates FROM degrees d JOIN (SELECT genome, COUNT(*) AS candidates FROM degrees GROUP BY 1) c ON c.genome = d.genome WHERE c.candidates - 1 - d.degree <= 25")
+def _(v):
+    return views.retained(_qualifying(v), max_null_samples=25)
+
+
+@query("retained_edges", f"WITH {RETAINED} SELECT * FROM among")
+def _(v):
+    return views.among(*_kept(v))
+
+
+@query("null_fraction", f"WITH {RETAINED}, d AS (SELECT genome, sample_id, COUNT(*) AS d FROM (SELECT genome, sample_1 AS sample_id FROM among UNION ALL SELECT genome, sample_2 FROM among) e GROUP BY 1, 2) SELECT r.genome, r.sample_id, CAST(n.n - 1 - coalesce(d.d, 0) AS DOUBLE) / CAST(n.n AS DOUBLE) AS null_fraction FROM retained r JOIN (SELECT genome, COUNT(*) AS n FROM retained GROUP BY 1) n ON n.genome = r.genome LEFT JOIN d ON d.genome = r.genome AND d.sample_id = r.sample_id")
+def _(v):
+    return views.null_fraction(*_kept(v))
+
+
+@query("similarity_condensed", f"WITH {RETAINED}, idx AS (SELECT genome, sample_id, row_number() OVER (PARTITION BY genome ORDER BY sample_id) - 1 AS i, COUNT(*) OVER (PARTITION BY genome) AS n FROM retained) SELECT a.genome, a.n * a.i - a.i * (a.i + 1) // 2 + b.i - a.i - 1 AS k, a.i, b.i AS j, coalesce(q.ani, CAST(97 AS FLOAT)) AS ani, coalesce(q.total_positions, 0) AS total_positions FROM idx a JOIN idx b ON a.genome = b.genome AND a.i < b.i LEFT JOIN qualifying q ON q.genome = a.genome AND q.sample_1 = a.sample_id AND q.sample_2 = b.sample_id")
+def _(v):
+    return views.condensed(*_kept(v), 97.0)
+
+
+@query("knn_edges", f"WITH {KNN} SELECT * FROM edges")
+def _(v):
+    return views.neighbours(views.among(*_kept(v)), 5)
+
+
+@query("knn_network_nodes", f"WITH {KNN}, d AS (SELECT genome, sample_id, COUNT(*) AS n FROM (SELECT genome, sample_1 AS sample_id FROM edges UNION ALL SELECT genome, sample_2 FROM edges) e GROUP BY 1, 2) SELECT r.genome, r.sample_id, g.coverage, g.breadth, g.ber, g.genome_length, coalesce(d.n, 0) AS neighbours FROM retained r LEFT JOIN {{genome_stats}} g ON g.genome = r.genome AND g.sample_id = r.sample_id LEFT JOIN d ON d.genome = r.genome AND d.sample_id = r.sample_id")
+def _(v):
+    pairs, kept = _kept(v)
+    return views.network_nodes(kept, v("genome_stats"), views.neighbours(views.among(pairs, kept), 5))
+
+
+def _fixed(table: str, column: str, lo: int, hi: int, bins: int) -> str:
+    d = lambda x: f"CAST({x} AS DOUBLE)"
+    return f"SELECT CAST(b.bin AS INT) AS bin, coalesce(h.n, 0) AS n FROM (SELECT unnest(range({bins})) AS bin) b LEFT JOIN (SELECT least(CAST(floor(({d(column)} - {d(lo)}) * {d(bins)} / {d(hi - lo)}) AS INT), {bins - 1}) AS bin, COUNT(*) AS n FROM {table} WHERE {d(column)} BETWEEN {lo} AND {hi} GROUP BY 1) h ON h.bin = b.bin"
+
+
+@query("ani_histogram", f"WITH {QUALIFYING} {_fixed('qualifying', 'ani', 50, 100, 250)}")
+def _(v):
+    return histogram.fixed_histogram(_qualifying(v), "ani", 50.0, 100.0, 250)
+
+
+@query("ani_histogram_full", f"WITH {QUALIFYING} {_fixed('qualifying', 'ani', 0, 100, 200)}")
+def _(v):
+    return histogram.fixed_histogram(_qualifying(v), "ani", 0.0, 100.0, 200)
+
+
+def _auto(table: str, column: str, bins: int) -> str:
+    return f"ends AS (SELECT CAST(MIN(x) AS DOUBLE) - p AS lo, CAST(MAX(x) AS DOUBLE) + p AS hi, value_count FROM (SELECT {column} AS x, COUNT({column}) OVER () AS value_count, CASE WHEN MIN({column}) OVER () = MAX({column}) OVER () THEN greatest(abs(MIN({column}) OVER ()) * 0.01, 0.5) ELSE 0 END AS p FROM {table} WHERE {column} IS NOT NULL) t GROUP BY p, value_count) SELECT e.lo, e.hi, e.value_count, least(CAST(floor((CAST({column} AS DOUBLE) - e.lo) * {bins} / (e.hi - e.lo)) AS INT), {bins - 1}) AS bin, COUNT(*) AS n FROM {table}, ends e WHERE {column} IS NOT NULL GROUP BY 1, 2, 3, 4"
+
+
+@query("overlap_histogram", f"WITH {QUALIFYING}, {_auto('qualifying', 'total_positions', 100)}")
+def _(v):
+    return histogram.auto_histogram(_qualifying(v), "total_positions", 100)
+
+
+@query("stat_histograms", f"WITH {_auto('{genome_stats}', 'ber', 100)}")
+def _(v):
+    return histogram.auto_histogram(v("genome_stats"), "ber", 100)
+
+
+# Clustering ---------------------------------------------------------------------------------------------------------
+
+
+def _named(v) -> tuple[DataFrame, DataFrame]:
+    pairs, kept = _kept(v)
+    order = F.row_number().over(W.partitionBy("genome").orderBy("sample_id")) - 1
+    return views.condensed(pairs, kept, 0.0), kept.select("genome", "sample_id", order.cast("bigint").alias("i"))
+
+
+@query("linkage_merges")
+def _(v):
+    return cluster.merge_rows(_named(v)[0], "average")
+
+
+@query("leaf_order")
+def _(v):
+    condensed, catalog = _named(v)
+    return cluster.assignments(condensed, "average", 75.0, 60.0).join(catalog, ["genome", "i"]).select("genome", "sample_id", "leaf_rank")
+
+
+@query("clusters_average")
+def _(v):
+    condensed, catalog = _named(v)
+    return cluster.assignments(condensed, "average", 75.0, 60.0).join(catalog, ["genome", "i"]).select("genome", "sample_id", "strain_cluster", "clonal_cluster")
+
+
+_SINGLE = (
+    "WITH RECURSIVE "
+    + RETAINED
+    + """, links AS (SELECT genome, sample_1 AS a, sample_2 AS b FROM qualifying WHERE ani >= 62 AND (genome, sample_1) IN (SELECT (genome, sample_id) FROM retained) AND (genome, sample_2) IN (SELECT (genome, sample_id) FROM retained)
+  UNION ALL SELECT genome, sample_2, sample_1 FROM qualifying WHERE ani >= 62 AND (genome, sample_1) IN (SELECT (genome, sample_id) FROM retained) AND (genome, sample_2) IN (SELECT (genome, sample_id) FROM retained)
+), reach(genome, sample_id, other) AS (
+  SELECT genome, sample_id, sample_id FROM retained UNION SELECT r.genome, r.sample_id, l.b FROM reach r JOIN links l ON l.genome = r.genome AND l.a = r.other
+)"""
+)
+
+
+def _single(v) -> DataFrame:
+    from ..sources.store import ensure_checkpoint_dir
+
+    pairs, kept = _kept(v)
+    ensure_checkpoint_dir(pairs.sparkSession)
+    return cluster.single_linkage(views.among(pairs, kept), kept, 62.0)
+
+
+@query("clusters_single_linkage", _SINGLE + " SELECT genome, sample_id, MIN(other) AS cluster FROM reach GROUP BY 1, 2")
+def _(v):
+    return _single(v)
+
+
+@query("cluster_sizes", _SINGLE + ", c AS (SELECT genome, sample_id, MIN(other) AS cluster FROM reach GROUP BY 1, 2) SELECT genome, cluster, COUNT(*) AS size FROM c GROUP BY 1, 2")
+def _(v):
+    return cluster.cluster_sizes(_single(v)).drop("members")
+
+
+# Event stream (batch form of the streaming job) ---------------------------------------------------------------------
+
+
+@query("event_windows", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, COUNT(*) AS n, COUNT(DISTINCT user_id) AS users FROM {events} GROUP BY 1, 2")
+def _(v):
+    return v("events").groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users")).select(F.col("w.start").alias("window_start"), "event_type", "n", "users")
+
+
+
