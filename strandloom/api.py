@@ -123,6 +123,6 @@ class SampleView(_View):
 
 def open_database(spark: SparkSession, root: str) -> Database:
     store = Store(spark, root)
-    if not store.files.exists(f"{root.rstrip('/')}/_CURRENT"):
+    if not store.files.exists(f"{root.rstrip('/')}/CURRENT.json"):
         raise FileNotFoundError(f"no project at {root}")
     return Database(store)

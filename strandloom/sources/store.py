@@ -1,7 +1,7 @@
 """A project as Parquet tables with one pointer that commits.
 
 Fact tables are partitioned by the sample they belong to, so an import replaces a sample by overwriting its partitions;
-registry tables are small snapshots. Every change writes its files first and flips `_CURRENT` last: readers follow the
+registry tables are small snapshots. Every change writes its files first and flips `CURRENT.json` last: readers follow the
 pointer, so a change that fails before is never seen. All paths go through Hadoop file systems.
 """
 
@@ -76,11 +76,11 @@ class Store:
         self.spark, self.root, self.files = spark, root.rstrip("/"), Files(spark)
 
     def state(self) -> dict:
-        at = f"{self.root}/_CURRENT"
+        at = f"{self.root}/CURRENT.json"
         return json.loads(self.files.read(at)) if self.files.exists(at) else {"tables": {}, "samples": {}, "contract": {"mode": "full", "min_cov": None}}
 
     def commit(self, state: dict) -> None:
-        self.files.write(f"{self.root}/_CURRENT", json.dumps(state, sort_keys=True))
+        self.files.write(f"{self.root}/CURRENT.json", json.dumps(state, sort_keys=True))
 
     def table(self, name: str) -> DataFrame:
         """The current rows; columns added to the schema later read null."""
