@@ -14,7 +14,7 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Bytes of texts handled in one step; a longer text makes a step of its own.
-STEP = 1 << 20
+STEP = 1 << 18
 _POWERS: dict[str, np.ndarray] = {}
 
 
