@@ -121,7 +121,7 @@ def with_features(docs: DataFrame) -> DataFrame:
 def js_distance(p: str, q: str):
     """Jensen-Shannon distance of two count arrays of one length; null where either is empty or sums to nothing."""
     return F.expr(f"""
-      case when size({p}) = size({q}) and size({p}) > 0 then
+      case when size({p}) = size({q}) and aggregate({p}, 0L, (s, v) -> s + v) > 0 and aggregate({q}, 0L, (s, v) -> s + v) > 0 then
         sqrt(greatest(0D, aggregate(
           zip_with(transform({p}, x -> x / aggregate({p}, 0D, (s, v) -> s + v)),
                    transform({q}, x -> x / aggregate({q}, 0D, (s, v) -> s + v)),
