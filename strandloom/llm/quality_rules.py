@@ -164,5 +164,5 @@ def judge(
     odd_words = (F.col("n_words") >= min_common_words) & (F.coalesce("word_distance", F.lit(0.0)) > max_word_distance)
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base_failed.alias("base_failed"), (~base_failed & ~odd_chars & ~odd_words).alias("kept"), "char_distance", "word_distance",
+        base_failed.alias("base_failed"), (~base_failed & ~odd_chars & ~odd_words).alias("kept"), F.round("char_distance", 6).alias("char_distance"), F.round("word_distance", 6).alias("word_distance"),
     )

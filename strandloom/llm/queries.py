@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cotraining, decontamination, html_text, mixing, near_dedup, quality_rules, secrets, substring_dedup, suffix_dedup, toxicity
+from . import cotraining, decontamination, html_text, mixing, near_dedup, oracles, quality_rules, secrets, substring_dedup, suffix_dedup, toxicity
 from .common import read
 
 
@@ -91,4 +91,9 @@ SELECT b.doc_id, b.source, b.block, (b.block // s.q) * tot + p.at AS slot,
        CAST(list_sum(list_transform(ns, lambda n, j: least(n, 16 * ((b.block // s.q) * qs[j] + p.before[j])))) + b.r % 16 AS BIGINT) AS position
 FROM blocks b JOIN shares s ON s.src = b.src JOIN plan p ON p.i = s.i AND p.k = b.block % s.q CROSS JOIN total
 """,
+    "op2_suffix_array_dedup": oracles.SUFFIX_DEDUP,
+    "op3_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op5_quality_rules": oracles.QUALITY,
+    "op9_html_extraction": oracles.HTML,
+    "op10_near_dedup": oracles.NEAR_DEDUP,
 }
