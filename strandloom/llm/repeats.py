@@ -92,6 +92,16 @@ def _later(doc: np.ndarray, pos: np.ndarray, first: np.ndarray) -> np.ndarray:
     return (doc > doc[first]) | (doc == doc[first]) & (pos > pos[first])
 
 
+def joined(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of contexts of one document, overlapping ones as one; neither ends fall back as starts go on."""
+    order = np.lexsort((hi, lo, doc))
+    doc, lo, hi = doc[order], lo[order], hi[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (lo[1:] > hi[:-1])
+    at = np.flatnonzero(new)
+    return doc[at], lo[at], hi[np.append(at[1:], len(doc)) - 1] if len(doc) else hi
+
+
 def found_anchors(docs: DataFrame, symbols: Callable[[list], Iterator[tuple[int, Symbols]]], k: int, width: int) -> DataFrame:
     """Anchors of all texts; `done` where the batch holds an earlier equal context."""
 
@@ -110,7 +120,11 @@ def found_anchors(docs: DataFrame, symbols: Callable[[list], Iterator[tuple[int,
             head = np.ones(len(h), bool)
             head[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
             first = np.flatnonzero(head)[np.cumsum(head) - 1] if len(h) else order
-            yield _frame(h=h, c=c, doc=doc, pos=pos.astype(np.int32), lo=a.astype(np.int32), hi=b.astype(np.int32), done=_later(doc, pos, first))
+            done = _later(doc, pos, first)
+            yield _frame(h=h[~done], c=c[~done], doc=doc[~done], pos=pos[~done].astype(np.int32), lo=a[~done].astype(np.int32), hi=b[~done].astype(np.int32), done=done[~done])
+            doc, lo, hi = joined(doc[done], a[done], b[done])
+            # settled stretches need no key: they are dealt by document
+            yield _frame(h=textkit.signed(textkit.mixed(doc.view(U))), c=np.zeros(len(doc), np.int64), doc=doc, pos=lo.astype(np.int32), lo=lo.astype(np.int32), hi=hi.astype(np.int32), done=np.ones(len(doc), bool))
 
     return docs.select(id_key().alias("doc"), "text").mapInArrow(run, "h long, c long, doc long, pos int, lo int, hi int, done boolean")
 
