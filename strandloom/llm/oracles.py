@@ -9,8 +9,9 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 SUFFIX_DEDUP = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-starts AS (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS p FROM d),
-ranked AS (SELECT doc_id, p, row_number() OVER (PARTITION BY md5(substr(h, 2 * p + 1, 200)) ORDER BY doc_id, p) AS r FROM starts),
+chunks AS (SELECT doc_id, c, length(h) // 2 AS n, substr(h, 1000 * c + 1, 1198) AS part FROM (SELECT doc_id, h, unnest(range(0, length(h) // 1000 + 1)) AS c FROM d) x),
+starts AS (SELECT doc_id, c, part, unnest(range(0, least(500, n - 99 - 500 * c))) AS j FROM chunks),
+ranked AS (SELECT doc_id, 500 * c + j AS p, row_number() OVER (PARTITION BY md5(substr(part, 2 * j + 1, 200)) ORDER BY doc_id, 500 * c + j) AS r FROM starts),
 dup AS (SELECT doc_id, p, CASE WHEN p - lag(p) OVER w <= 100 THEN 0 ELSE 1 END AS fresh FROM ranked WHERE r > 1 WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
 numbered AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM dup),
 runs AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM numbered GROUP BY doc_id, run),
