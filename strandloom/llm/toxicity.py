@@ -1,8 +1,9 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick over folded text.
 
-Folding lower-cases, maps homoglyphs and digit or sign substitutions to plain letters, drops accents and turns all else
-into single spaces, so that every word begins after a space. Lexicon entries are word beginnings and whole words with
-log-odds weights learned from labelled rows; only the strongest match of a word counts. Exception phrases, a matched
+Folding lower-cases, maps homoglyphs and digit or sign substitutions to plain letters, writes a letter that is repeated
+three times or more once, joins letters that are spelled out, and turns all else into single spaces, so that every word
+begins after a space. Lexicon entries are whole words and word beginnings that go on, with log-odds weights learned from
+labelled rows; as a 1 may stand for i or l, an entry with l also matches with i. Only the strongest match of a word counts. Exception phrases, a matched
 word with the word before or after it, cancel the match. A document's score is a logistic function of its total weight,
 plain and normalised by length.
 
@@ -13,6 +14,7 @@ Repeated documents each get a row; of repeated labels of one document the larges
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections import Counter
 
@@ -28,7 +30,12 @@ HOMOGLYPHS = {
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "к": "k", "м": "m", "т": "t", "в": "b", "н": "h",
     "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ı": "i", "ß": "ss", "æ": "ae", "ø": "o", "œ": "oe",
 }
-SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
+SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b"}
+#: Signs count as letters only before a letter or digit.
+SIGNS = {"@": "a", "$": "s", "!": "i", "|": "i"}
+_SIGN = re.compile(r"[@$!|]+(?=\w)")
+_AGAIN = re.compile(r"([a-z])\1{2,}")
+_SPELLED = re.compile(r"(?<= )(?:[a-z] ){3,}[a-z](?= )")
 
 
 class _Folds(dict):
@@ -42,7 +49,7 @@ class _Folds(dict):
         elif c in SUBSTITUTES:
             out = SUBSTITUTES[c]
         else:
-            kept = "".join(HOMOGLYPHS.get(x, x) for x in unicodedata.normalize("NFKD", low) if not unicodedata.combining(x))
+            kept = "".join(HOMOGLYPHS.get(x, x) for x in unicodedata.normalize("NFKC", low))
             out = "" if unicodedata.category(c) in ("Mn", "Cf") else kept if kept and kept.isalpha() else " "
         self[code] = out
         return out
@@ -53,19 +60,24 @@ _FOLDS = _Folds()
 
 def fold(text: str | None) -> str:
     """Folded words with one space before each and one after the last."""
-    return f" {' '.join((text or '').translate(_FOLDS).split())} "
+    text = text or ""
+    if any(c in text for c in SIGNS):
+        text = _SIGN.sub(lambda m: "".join(SIGNS[c] for c in m[0]), text)
+    folded = _SPELLED.sub(lambda m: m[0].replace(" ", ""), f" {' '.join(text.translate(_FOLDS).split())} ")
+    return _AGAIN.sub(r"\1", folded)
 
 
 def terms_of(word: str) -> list[str]:
-    return [f" {word} ", *[f" {word[:k]}" for k in (4, 5, 6) if len(word) > k]]
+    return [f" {word} ", *[f" {word[:k]}" for k in range(4, 9) if len(word) > k]]
 
 
 class Matcher:
     def __init__(self, lexicon: dict[str, float], exceptions: set[str] = frozenset()):
         self.exceptions = exceptions
         self.automaton = ahocorasick.Automaton() if lexicon else None
-        for term, weight in lexicon.items():
-            self.automaton.add_word(term, (len(term), weight))
+        for term, weight in sorted(lexicon.items(), key=lambda x: x[1]):
+            for form in {term, term.replace("l", "i")}:
+                self.automaton.add_word(form, (len(form), weight, term))
         if lexicon:
             self.automaton.make_automaton()
 
@@ -74,7 +86,9 @@ class Matcher:
         if self.automaton is None:
             return []
         best: dict[int, float] = {}
-        for end, (n, weight) in self.automaton.iter(folded):
+        for end, (n, weight, term) in self.automaton.iter(folded):
+            if term[-1] != " " and folded[end + 1] == " ":
+                continue  # a beginning that does not go on
             start = end - n + 2
             if weight > best.get(start, 0.0):
                 best[start] = weight
@@ -83,6 +97,10 @@ class Matcher:
         return sorted(best.items())
 
 
+    def terms(self, folded: str) -> set[str]:
+        return {t for end, (_, _, t) in self.automaton.iter(folded) if t[-1] == " " or folded[end + 1] != " "} if self.automaton else set()
+
+
 def phrases(folded: str, start: int) -> list[str]:
     """The word at start with the one before and with the one after."""
     end = folded.index(" ", start)
@@ -98,20 +116,20 @@ def measures(folded: str, hits: list[tuple[int, float]]) -> list[float]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_train: int) -> DataFrame:
-    """At most max_train labelled rows (toxic, text), none of them held out, chosen by hash."""
+    """At most max_train labelled rows (toxic, text, fold), none of them held out, chosen by hash."""
     marked = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").alias("toxic"))
     chosen = marked.filter(~held_out(F.col("label_id"))).orderBy(F.md5(F.col("label_id").cast("string")), "label_id").limit(max_train)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))  # max_train rows at most
     long_words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), "[^\\p{L}]+"), lambda w: F.length(w) > 5)
     sketch = F.coalesce(F.array_min(F.transform(long_words, lambda w: F.xxhash64(w))), F.xxhash64("text"))
-    return rows.select("toxic", "text", sketch.alias("sketch")).dropDuplicates(["toxic", "sketch"]).select("toxic", "text")  # copies would lend weight to any word of theirs
+    return rows.select("toxic", "text", sketch.alias("sketch")).dropDuplicates(["toxic", "sketch"]).select("toxic", "text", F.pmod("sketch", F.lit(3)).cast("int").alias("fold"))  # copies would lend weight to any word of theirs
 
 
 def held_out(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, max_train: int = 8000, min_docs: int | None = None, min_weight: float = 3.0, max_terms: int = 4000) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, *, max_train: int = 8000, min_docs: int | None = None, min_weight: float = 3.5, max_terms: int = 4000) -> dict:
     """Lexicon, exception phrases and the three logistic coefficients; all of bounded size."""
     sample = training_rows(docs, labels, max_train).cache()
     try:
@@ -121,6 +139,22 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_train: int = 8000, min_docs:
 
 
 def _fit(sample: DataFrame, min_docs: int | None, min_weight: float, max_terms: int) -> dict:
+    """The lexicon of all folds; the coefficients from measures of each fold under the lexicon of the others."""
+    points = []
+    for fold in range(3):
+        lexicon, exceptions = _lexicon(sample.filter(F.col("fold") != fold), min_docs, min_weight, max_terms)
+        own = sample.filter(F.col("fold") == fold).select("toxic", "text")
+        points += arrow_map_lexicon(own, lexicon, exceptions, measures_of, "y long, a double, b double").collect()  # max_train rows in all
+    y = np.array([p.y for p in points], float)
+    lexicon, exceptions = _lexicon(sample, min_docs, min_weight, max_terms)
+    if not len(y) or y.min() == y.max():
+        return {"lexicon": {}, "exceptions": set(), "coefficients": [30.0 if len(y) and y[0] else -30.0, 0.0, 0.0]}
+    return {"lexicon": lexicon, "exceptions": exceptions, "coefficients": logistic(np.array([[1.0, p.a, p.b] for p in points]), y).tolist()}
+
+
+def _lexicon(sample: DataFrame, min_docs: int | None, min_weight: float, max_terms: int) -> tuple[dict[str, float], set[str]]:
+    sample = sample.select("toxic", "text")
+
     def count_terms(toxic, texts):
         n = [Counter(), Counter()]
         for y, text in zip(toxic, texts, strict=True):
@@ -131,7 +165,7 @@ def _fit(sample: DataFrame, min_docs: int | None, min_weight: float, max_terms:
     sizes = sample.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("toxic") > 0).cast("long")).alias("t")).first()
     n_toxic, n_clean = sizes.t or 0, sizes.n - (sizes.t or 0)
     if not n_toxic or not n_clean:
-        return {"lexicon": {}, "exceptions": set(), "coefficients": [-30.0 if not n_toxic else 30.0, 0.0, 0.0]}
+        return {}, set()
     min_docs = max(3, n_toxic // 100) if min_docs is None else min_docs
     counts = arrow_map(sample, count_terms, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     weight = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
@@ -141,13 +175,16 @@ def _fit(sample: DataFrame, min_docs: int | None, min_weight: float, max_terms:
         if not any(lexicon.get(r.term[:k], -9.0) >= r.weight - 0.7 for k in range(4, len(r.term))):
             lexicon[r.term] = float(r.weight)
 
+    # a beginning gives way to a longer one that is surer and holds nearly all of its toxic documents
+    seen = {r.term: r.toxic for r in rows}
+    lexicon = {t: w for t, w in lexicon.items() if not any(e != t and e.startswith(t) and lexicon[e] > w + 0.7 and seen[e] >= 0.9 * seen[t] for e in lexicon)}
+    # an entry that clean documents hold must be the only sign of some toxic one
+    use = arrow_map_lexicon(sample, lexicon, set(), count_uses_of, "term string, clean long, only long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("only").alias("only"))
+    idle = {r.term for r in use.filter("clean > 0 and only = 0").collect()}  # max_terms rows at most
+    lexicon = {t: w for t, w in lexicon.items() if t not in idle}
     found = arrow_map_lexicon(sample, lexicon, set(), count_phrases_of, "phrase string, clean long, toxic long")
     spared = found.groupBy("phrase").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter("clean >= 3 and toxic = 0").orderBy(F.desc("clean"), "phrase").limit(max_terms)
-    exceptions = {r.phrase for r in spared.collect()}
-
-    points = arrow_map_lexicon(sample, lexicon, exceptions, measures_of, "y long, a double, b double").collect()  # a row for each of max_train rows
-    x = np.array([[1.0, p.a, p.b] for p in points])
-    return {"lexicon": lexicon, "exceptions": exceptions, "coefficients": logistic(x, np.array([p.y for p in points], float)).tolist()}
+    return lexicon, {r.phrase for r in spared.collect()}
 
 
 def arrow_map_lexicon(df: DataFrame, lexicon: dict, exceptions: set, fn, schema: str) -> DataFrame:
@@ -162,6 +199,19 @@ def arrow_map_lexicon(df: DataFrame, lexicon: dict, exceptions: set, fn, schema:
     return arrow_map(df, run, schema)
 
 
+def count_uses_of(matcher: Matcher, toxic: list, texts: list) -> dict:
+    """For each entry, the clean documents that hold it and the toxic ones that hold no other."""
+    clean, only = Counter(), Counter()
+    for y, text in zip(toxic, texts, strict=True):
+        held = matcher.terms(fold(text))
+        if y <= 0:
+            clean.update(held)
+        elif len(held) == 1:
+            only.update(held)
+    both = list(clean.keys() | only.keys())
+    return {"term": both, "clean": [clean[t] for t in both], "only": [only[t] for t in both]}
+
+
 def count_phrases_of(matcher: Matcher, toxic: list, texts: list) -> dict:
     n = [Counter(), Counter()]
     for y, text in zip(toxic, texts, strict=True):

@@ -125,8 +125,9 @@ def test_toxicity_folds_and_holds_out(spark):
 
 
 def test_toxicity_exceptions_and_edges(spark, docs, empty):
-    m = toxicity.Matcher({" vile": 2.0, " vilest ": 3.0}, {"not vile"})
+    m = toxicity.Matcher({" vile ": 2.0, " viles": 3.0}, {"not vile"})
     assert m.hits(toxicity.fold("Vile, VILEST!")) == [(1, 2.0), (6, 3.0)]
+    assert m.hits(toxicity.fold("v!lest$$$ vi1eee v i l e viles")) == [(1, 3.0), (8, 2.0), (13, 2.0)]
     assert m.hits(toxicity.fold("it is not vile")) == []
     none = toxicity.fit(docs, spark.createDataFrame([], "doc_id bigint, toxic int"))
     assert {r.predicted for r in toxicity.score(docs, none).collect()} == {0}
