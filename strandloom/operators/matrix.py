@@ -90,4 +90,10 @@ def dense(matrix: DataFrame, catalog: DataFrame, lengths: DataFrame) -> DataFram
     return rows.select("genome", "sample_id", value.alias("vector"))
 
 
-__all__ = ["BITS", "append_rows", "bitmask", "counts", "covered", "dense", "flat_counts", "largest_count", "on_axis", "presence", "row_pointers", "storage_mode", "zero_rows"]
+def memory_guard(lengths: DataFrame, limit_gb: float, channels: int = 1, bytes_per_cell: int = 1) -> None:
+    """Refuses dense vectors that would not fit in limit_gb."""
+    too_long = lengths.filter(F.col("matrix_length") * channels * bytes_per_cell > F.lit(limit_gb * 2**30))
+    reject(too_long, "vectors beyond the memory limit", "genome")
+
+
+__all__ = ["BITS", "append_rows", "bitmask", "counts", "covered", "dense", "flat_counts", "largest_count", "memory_guard", "on_axis", "presence", "row_pointers", "storage_mode", "zero_rows"]

@@ -85,3 +85,17 @@ def next_key(table: DataFrame, key: str, new: DataFrame, *order: str) -> DataFra
 def checksum(table: DataFrame) -> DataFrame:
     """Row count and an order-free hash that tells nulls apart."""
     return table.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64(F.to_json(F.struct(*table.columns), {"ignoreNullFields": "false"}))).alias("hash"))
+
+
+def store_counts(stores: DataFrame, store_samples: DataFrame) -> DataFrame:
+    """stores with profile_count brought up to the samples they hold."""
+    n = store_samples.groupBy("matrix_id").agg(F.count_distinct("sample_id").alias("held"))
+    return stores.join(n, "matrix_id", "left").withColumn("profile_count", F.coalesce("held", F.lit(0)).cast("bigint")).drop("held")
+
+
+def store_filters(stores: DataFrame, matrix_id: str) -> dict:
+    """The thresholds a matrix was built with; appends use them again."""
+    row = stores.filter(F.col("matrix_id") == matrix_id).first()
+    if row is None:
+        raise ValueError(f"no matrix {matrix_id}")
+    return {k: row[k] for k in ("min_coverage", "min_breadth", "min_ber", "min_sylph_abundance") if row[k] is not None}

@@ -143,3 +143,14 @@ def signature(stats: DataFrame, options: dict) -> DataFrame:
     from .registry import checksum
 
     return checksum(stats).withColumns({k: F.lit(str(v)) for k, v in sorted(options.items())})
+
+
+def search_catalog(genomes: DataFrame, text: str = "", by: str = "samples") -> DataFrame:
+    """Catalog rows (genome, samples) whose name holds the text, the largest first or by name."""
+    rows = genomes.filter(F.contains(F.lower("genome"), F.lit(text.lower())))
+    return rows.orderBy(F.desc("samples"), "genome") if by == "samples" else rows.orderBy("genome")
+
+
+def search_samples(stats: DataFrame, text: str = "", rows: int = 5000) -> DataFrame:
+    """The first rows of the sample table whose name holds the text."""
+    return stats.filter(F.contains(F.lower("sample_id"), F.lit(text.lower()))).orderBy("sample_id", "genome").limit(rows)

@@ -600,6 +600,38 @@ def _(v):
     return histogram.auto_histogram(v("genome_stats"), "ber", 100)
 
 
+@query("catalog_search", "SELECT genome, COUNT(DISTINCT sample_id) AS samples FROM {genome_stats} WHERE contains(lower(genome), 'g') GROUP BY 1 ORDER BY 2 DESC, 1")
+def _(v):
+    return views.search_catalog(v("genome_stats").groupBy("genome").agg(F.count_distinct("sample_id").alias("samples")), "G")
+
+
+@query("samples_search_first_rows", "SELECT * FROM {genome_stats} WHERE contains(lower(sample_id), 'r1') ORDER BY sample_id, genome LIMIT 5000")
+def _(v):
+    return views.search_samples(v("genome_stats"), "R1")
+
+
+@query("store_profile_counts", "SELECT matrix_id, COUNT(DISTINCT sample_id) AS profile_count FROM {matrix_store_samples} GROUP BY 1")
+def _(v):
+    held = v("matrix_store_samples")
+    return registry.store_counts(held.select("matrix_id").distinct(), held)
+
+
+@query("duplicate_pairs_guard", f"SELECT genome, sample_1, sample_2 FROM ({_STORED}) s WHERE (genome, sample_1) IN (SELECT (matrix_id, sample_id) FROM {{matrix_store_samples}} WHERE matrix_id = 'G1')")
+def _(v):
+    own = v("matrix_store_samples").filter("matrix_id = 'G1'").select(F.col("matrix_id").alias("genome"), F.col("sample_id").alias("sample_1"))
+    return _stored_pairs(v).join(own, ["genome", "sample_1"], "left_semi").select("genome", "sample_1", "sample_2")
+
+
+@query("abundance_histogram", f"WITH {_auto('{sylph_abundance}', 'abundance', 100)}")
+def _(v):
+    return histogram.auto_histogram(v("sylph_abundance"), "abundance", 100)
+
+
+@query("coverage_histogram_by_genome", "WITH ends AS (SELECT genome, MIN(coverage) AS lo, MAX(coverage) AS hi, COUNT(coverage) AS value_count FROM {genome_stats} GROUP BY 1) SELECT s.genome, e.lo, e.hi, e.value_count, least(CAST(floor((s.coverage - e.lo) * 20 / (e.hi - e.lo)) AS INT), 19) AS bin, COUNT(*) AS n FROM {genome_stats} s JOIN ends e ON e.genome = s.genome GROUP BY 1, 2, 3, 4, 5")
+def _(v):
+    return histogram.auto_histogram(v("genome_stats"), "coverage", 20, "genome")
+
+
 # Clustering ---------------------------------------------------------------------------------------------------------
 
 

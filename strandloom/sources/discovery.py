@@ -8,13 +8,14 @@ from pyspark.sql import SparkSession
 
 from .store import Files
 
-# File names of a run's bundle in order of preference.
+# File names of a run's bundle and accession list, in order of preference.
 BUNDLE = {
-    "profile": ("{run}.parquet", "{run}.profile.parquet", "{run}/profile.parquet", "{run}/{run}.parquet"),
-    "genome_stats": ("{run}.genome_stats.parquet", "{run}.genome_stats.tsv", "{run}.genome_stats.csv", "{run}/genome_stats.parquet", "{run}/{run}.genome_stats.parquet"),
-    "gene_stats": ("{run}.gene_stats.parquet", "{run}.gene_stats.tsv", "{run}.gene_stats.csv", "{run}/gene_stats.parquet", "{run}/{run}.gene_stats.parquet"),
-    "sylph": ("{run}.sylph.csv", "{run}.sylph.tsv", "{run}.sylph.parquet", "{run}/sylph.csv", "{run}/{run}.sylph.csv"),
+    "profile": ("{run}.profile.parquet", "{run}.parquet"),
+    "genome_stats": ("{run}.genome_stats.parquet", "{run}_genome_stats.parquet"),
+    "sylph": ("{run}.sylph.parquet", "{run}.sylph.csv", "{run}.sylph.tsv", "{run}_sylph.parquet", "{run}_sylph.csv", "{run}_sylph.tsv"),
+    "gene_stats": ("{run}.gene_stats.parquet", "{run}_gene_stats.parquet"),
 }
+ACCESSIONS = ("{run}.accessions.txt", "{run}.accessions.csv", "{run}.txt", "{run}.csv", "{run}/accessions.txt", "{run}/accessions.csv")
 
 
 def bundle(spark: SparkSession, folder: str, run: str) -> dict[str, str | None]:
@@ -35,3 +36,8 @@ def stored_genomes(spark: SparkSession, folder: str, only: Sequence[str] | None
     if missing:
         raise FileNotFoundError(f"no stored genome {', '.join(missing)}")
     return [g for g in held if only is None or g in set(only)]
+
+
+def accession_file(spark: SparkSession, folder: str, run: str) -> str | None:
+    files = Files(spark)
+    return next((p for n in ACCESSIONS if files.exists(p := f"{folder}/{n.format(run=run)}")), None)

@@ -75,6 +75,32 @@ def bundle(spark: SparkSession, path: str, genome: str, parts: dict[str, DataFra
     files.write(f"{path}/manifest.json", json.dumps(plain({"schema_version": SCHEMA_VERSION, "genome": genome, "artifacts": sorted(parts), "created_at": time.time()} | meta), allow_nan=False, sort_keys=True))
 
 
+def view_files(spark: SparkSession, path: str, genome: str) -> list[str]:
+    """The JSON and binary artefacts a static viewer reads, made from one genome's bundle; the list of files comes last.
+
+    Their size is that of the view: samples, and the upper triangle over them, of one genome that clustering let pass.
+    """
+    files = Files(spark)
+    rows = lambda name, *order: [r.asDict() for r in spark.read.parquet(f"{path}/{name}").orderBy(*order).collect()]
+    clusters, nodes = rows("clusters", "leaf_rank"), rows("nodes", "sample_id")
+    merges, cells = rows("merges", "merge_id"), rows("condensed", "k")
+    names = [nodes[c["i"]]["sample_id"] for c in clusters]  # nodes are the kept samples in index order
+    histograms = {n.removeprefix("histogram_"): rows(n, "bin") for n in files.list(path) if n.startswith("histogram_")}
+    made = {
+        "samples.json": {"genome": genome, "samples": names},
+        "sample_stats.json": {"genome": genome, "rows": [nodes[c["i"]] for c in clusters]},
+        "clusters.json": {"genome": genome, "clusters": [{"sample_id": n} | c for n, c in zip(names, clusters, strict=True)]},
+        "dendrogram.json": {"genome": genome, "leaf_order": names, "merges": merges, "root_id": 2 * len(names) - 2},
+        "neighbor_network.json": {"genome": genome, "nodes": nodes, "edges": rows("edges", "sample_1", "sample_2")},
+        "distributions.json": {"genome": genome, "histograms": histograms},
+    }
+    for name, payload in made.items():
+        files.write(f"{path}/{name}", json.dumps(plain(payload), allow_nan=False))
+    for name, column in (("similarity_ani.condensed.f32.gz", "ani"), ("total_positions.condensed.u64.gz", "total_positions")):
+        files.write_bytes(f"{path}/{name}", condensed_bytes(cells, column))
+    return [*made, "similarity_ani.condensed.f32.gz", "total_positions.condensed.u64.gz"]
+
+
 def up_to_date(spark: SparkSession, path: str, signature: dict) -> bool:
     files = Files(spark)
     if not files.exists(f"{path}/manifest.json"):

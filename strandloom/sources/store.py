@@ -50,10 +50,13 @@ class Files:
         return "\n".join(r.value for r in self.spark.read.text(path, wholetext=True).collect())
 
     def write(self, path: str, text: str) -> None:
-        """Written beside and renamed, so that readers see the old text or the new."""
+        self.write_bytes(path, text.encode())
+
+    def write_bytes(self, path: str, raw: bytes) -> None:
+        """Written beside and renamed, so that readers see the old content or the new."""
         staged, fs = self._at(f"{path}.{uuid.uuid4().hex}")
         out = fs.create(staged, True)
-        out.write(bytearray(text.encode()))
+        out.write(bytearray(raw))
         out.close()
         p, _ = self._at(path)
         fs.delete(p, False)

@@ -56,6 +56,7 @@ def genome_views(store: Store, results: DataFrame, catalog: DataFrame, stats: Da
             out.append((row.genome, "up_to_date"))
             continue
         sinks.bundle(spark, path, row.genome, view_parts(own, own_stats, options), {"signature": signature})
+        sinks.view_files(spark, path, row.genome)
         out.append((row.genome, "built"))
     sinks.catalog(spark, root)
     return spark.createDataFrame(out, "genome string, outcome string")

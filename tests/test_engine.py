@@ -256,6 +256,10 @@ def test_project_from_runs_to_views(spark, tmp_path):
     view = lambda: [r.outcome for r in sync.genome_views(store, results, wanted, store.table("genome_stats"), store.table("sylph_abundance"), str(tmp_path / "v"), options).collect()]
     assert view() == ["built"] and view() == ["up_to_date"]
     assert len(json.loads((tmp_path / "v/catalog.json").read_text())["genomes"]) == 1
+    at = tmp_path / "v/genome=genome_a"
+    assert json.loads((at / "samples.json").read_text())["samples"] == ["r1", "r2"]
+    assert json.loads((at / "dendrogram.json").read_text())["root_id"] == 2
+    assert np.frombuffer(gzip.decompress((at / "similarity_ani.condensed.f32.gz").read_bytes()), "<f4").tolist() == [100.0]
     # to masks
     target = Store(spark, str(tmp_path / "masks"))
     segments = codec.reference_segments(spark.createDataFrame([("contigA", "ACGTACGTAC")], "chrom string, sequence string"), spark.createDataFrame([("contigA", "genome_a")], "scaffold string, genome string"))
