@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import masks
 from ..schemas import CHANNELS
-from .matrix import MIN_COV, covered
+from .matrix import MIN_COV
 
 METHODS = ("popani", "conani")
 
@@ -139,4 +139,4 @@ def expected_pairs(catalog: DataFrame) -> DataFrame:
     return n.select("genome", "n", F.expr("n * (n - 1) div 2").alias("expected"))
 
 
-__all__ = ["alleles", "covered", "expected_pairs", "gene_pairs", "in_genes", "incremental", "joint", "longest_runs", "packed_pairs", "pairs"]
+__all__ = ["alleles", "expected_pairs", "gene_pairs", "in_genes", "incremental", "joint", "longest_runs", "packed_pairs", "pairs"]

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import masks
-from ..schemas import BITS, CHANNELS
+from ..schemas import CHANNELS
 from .contract import reject
 
 MIN_COV = 5
@@ -96,4 +96,4 @@ def memory_guard(lengths: DataFrame, limit_gb: float, channels: int = 1, bytes_p
     reject(too_long, "vectors beyond the memory limit", "genome")
 
 
-__all__ = ["BITS", "append_rows", "bitmask", "counts", "covered", "dense", "flat_counts", "largest_count", "memory_guard", "on_axis", "presence", "row_pointers", "storage_mode", "zero_rows"]
+__all__ = ["append_rows", "bitmask", "counts", "covered", "dense", "flat_counts", "largest_count", "memory_guard", "on_axis", "presence", "row_pointers", "storage_mode", "zero_rows"]
