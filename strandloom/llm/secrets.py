@@ -178,14 +178,20 @@ def limits(scan: DataFrame, q: float = 0.01) -> DataFrame:
     return passing.groupBy("stratum").agg((F.min("bin") * BIN).alias("least"))
 
 
+def least_evidence(scan: DataFrame, q: float) -> list[float]:
+    """limits() as a list by length class; infinite where no candidate counts."""
+    least = [float("inf")] * (len(STRATA) + 1)
+    for row in limits(scan, q).collect():  # a row a length class
+        least[row.stratum] = row.least
+    return least
+
+
 def scan(docs: DataFrame, *, q: float = 0.01, level: float = 0.001) -> DataFrame:
     """doc_id, base and random: arrays of spans. Candidates are held once, in the shared folder, for the control over the whole corpus."""
     found = stored(scanned(docs, level), "secrets")
-    table = limits(found, q)  # five rows at most
-    wide = table.agg(F.map_from_entries(F.collect_list(F.struct("stratum", "least"))).alias("limits"))
-    rows = found.crossJoin(F.broadcast(wide))
-    chosen = F.filter("found", lambda c: c["evidence"] >= F.coalesce(F.element_at("limits", _stratum(c["end"] - c["start"])), F.lit(float("inf"))))
-    return rows.select("doc_id", "base", F.transform(chosen, lambda c: F.struct(F.lit("random").alias("kind"), c["start"].alias("start"), c["end"].alias("end"))).alias("random"))
+    least = F.array(*[F.lit(x) for x in least_evidence(found, q)])
+    chosen = F.filter("found", lambda c: c["evidence"] >= F.get(least, _stratum(c["end"] - c["start"])))
+    return found.select("doc_id", "base", F.transform(chosen, lambda c: F.struct(F.lit("random").alias("kind"), c["start"].alias("start"), c["end"].alias("end"))).alias("random"))
 
 
 def digest(base: list, extra: list) -> dict:
@@ -220,10 +226,7 @@ def redact_text(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 def redacted(docs: DataFrame, *, q: float = 0.01, level: float = 0.001) -> DataFrame:
     """docs with every span of text replaced by its placeholder and n_chars, if there, brought up to date; null texts stay null."""
-    table = limits(stored(scanned(docs, level), "secrets"), q)
-    least = [float("inf")] * (len(STRATA) + 1)
-    for row in table.collect():  # a row a length class
-        least[row.stratum] = row.least
+    least = least_evidence(stored(scanned(docs, level), "secrets"), q)
     names = docs.columns
 
     def spans(text: str) -> list[tuple[str, int, int]]:
