@@ -1,13 +1,19 @@
 """MinHash near-duplicate detection with bottom-k sketches from one hash function.
 
 Texts with one lower-cased word sequence form a class, whose smallest doc_id stands for it. Its sketch is the K smallest
-shingle hashes. Documents with similarity 0.8 share at least AGREE of K values but for a chance below 1e-8 (all of a
-small set; then the prefix bound is exact), so of its values each document enters only its K - AGREE + 1 rarest in the
-inverted lists: two linked documents still meet in a list, while shingles common to the corpus head no list. Within a
-list, overlap of sketches estimates similarity from the K smallest values of the union; pairs that come within LOOSE
-grow coarse groups, of which only a spanning forest leaves the task. Exact Jaccard on full sets then confirms links inside
-each coarse group, again as a spanning forest: a pair is only skipped once links already join it, so components are those
-of all links. Lists and groups beyond BLOCK members are dealt as pairs of blocks, each pair to a task of its own.
+shingle hashes. Of two documents with similarity 0.8 the sketches share at least AGREE of K values, but for a chance of
+5e-6 where one set lies within the other and below 1e-8 where the sets are of one size or the similarity is 0.85. So of
+its values each document enters only its K - AGREE + 1 rarest in the inverted lists: two linked documents still meet in
+a list, while shingles common to the corpus head no list. A set of under K shingles is its own sketch and takes the
+exact bound: a fifth of it and one, and as many more as the sketch of a linked larger set may lack. Within a list,
+overlap of sketches (the upper halves of their values) estimates similarity from the K smallest values of the union;
+pairs that come within LOOSE grow coarse groups, of which only a spanning forest leaves the task. Exact Jaccard on full
+sets then confirms links inside each coarse group, again as a spanning forest: a pair is only skipped once links already
+join it, so components are those of all links.
+
+Lists and groups beyond BLOCK members are dealt in blocks, each with the same LEADERS of the group; what links do not
+join to the group's largest part by then is held against every block. A large group of near copies so costs what its
+size is, and only members that belong to no such part cost a pass over the group for each BLOCK of them.
 
 Null or empty texts have no shingles and no links. Rows that share a doc_id are one document, linked by any of its
 texts; rows without doc_id are one document after all others. An empty table gives an empty result.
@@ -27,7 +33,7 @@ from . import textkit
 from .common import LAST_ID, arrow_map, id_key, stored
 from .components import components
 
-K, AGREE, LOOSE, BLOCK = 64, 42, 0.55, 2048
+K, AGREE, LOOSE, BLOCK, LEADERS = 64, 36, 0.45, 4096, 64
 U = np.uint64
 
 
@@ -67,23 +73,14 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
 
 def postings(reps: DataFrame) -> DataFrame:
-    """value, node and sketch: the rarest values of each sketch that some other sketch holds too."""
+    """value and node: the rarest values of each sketch that some other sketch holds too."""
     each = reps.select("node", "n", F.size("sketch").alias("m"), F.explode("sketch").alias("value"))
     common = each.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     shared = each.join(common, "value").groupBy("node").agg(F.max("m").alias("m"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("found"))
     # of the values a document must index, those held by it alone come first and need no list
-    quota = F.expr(f"if(m >= {K}, {K - AGREE + 1}, cast(floor(m * 0.2) as int) + 1) - (m - size(found))")
-    chosen = shared.withColumn("quota", quota).filter("quota > 0").select("node", F.explode(F.slice("found", 1, F.col("quota"))).alias("v")).select("node", F.col("v.value").alias("value"))
-    return chosen
-
-
-def dealt(rows: DataFrame, key: str, *columns: str) -> DataFrame:
-    """Rows of groups of two or more by key; groups beyond BLOCK as pairs of blocks (tile), a row for each pair it is in."""
-    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    out = rows.join(sizes, key).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    tiles = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.least("own", o) * F.col("blocks") + F.greatest("own", o))
-    return out.select(key, *columns, F.explode(tiles).alias("tile")).repartition(key, "tile").sortWithinPartitions(key, "tile", "node")
+    quota = F.expr(f"if(m >= {K}, {K - AGREE + 1}, m div 5 + 1 + greatest(0, m * 5 div 4 - {K})) - (m - size(found))").cast("int")
+    chosen = shared.withColumn("quota", quota).filter("quota > 0").select("node", F.explode(F.slice("found", 1, F.col("quota"))).alias("v"))
+    return chosen.select("node", F.col("v.value").alias("value"))
 
 
 def grouped(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -142,8 +139,8 @@ def forest(nodes: np.ndarray, flat: np.ndarray, offsets: np.ndarray, near: Calla
 def by_sketch(nodes: np.ndarray, flat: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
     """Edges between sketches whose union's K smallest values lie in both for at least LOOSE."""
     size = np.diff(offsets)
-    table = np.full((len(nodes), K), np.iinfo(np.uint64).max, U)
-    table[np.repeat(np.arange(len(nodes)), size), np.arange(len(flat)) - np.repeat(offsets[:-1], size)] = flat.view(U)
+    table = np.full((len(nodes), K), np.iinfo(np.uint32).max, np.uint32)
+    table[np.repeat(np.arange(len(nodes)), size), np.arange(len(flat)) - np.repeat(offsets[:-1], size)] = flat.view(np.uint32)
 
     def near(hub: int, left: np.ndarray) -> np.ndarray:
         own = table[hub, : size[hub]]
@@ -184,9 +181,9 @@ def by_set(percent: int) -> Callable:
     return run
 
 
-def edges_of(rows: DataFrame, key: str, values: str, links: Callable) -> DataFrame:
-    """Distinct edges (a, b) that links() finds within the dealt groups."""
-    given = dealt(rows, key, "node", values).select(key, "tile", "node", values)
+def found_edges(given: DataFrame, key: str, values: str, links: Callable) -> DataFrame:
+    """Distinct edges (a, b) that links() finds among the rows of each (key, tile)."""
+    given = given.select(key, "tile", "node", values).repartition(key, "tile").sortWithinPartitions(key, "tile", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int]] = []
@@ -206,6 +203,32 @@ def edges_of(rows: DataFrame, key: str, values: str, links: Callable) -> DataFra
     return given.mapInArrow(run, "a long, b long").distinct()
 
 
+def edges_of(rows: DataFrame, membership: DataFrame, key: str, values: str, links: Callable) -> DataFrame:
+    """Edges that join what links() joins within the groups by key. rows: key, node, values; membership: the same without values."""
+    sizes = membership.groupBy(key).agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    small = rows.join(sizes.filter(F.col("size") <= BLOCK).select(key), key).withColumn("tile", F.lit(0))
+    first = found_edges(small, key, values, links)
+    big = stored(sizes.filter(F.col("size") > BLOCK).select(key, F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "big")
+    if big.isEmpty():
+        return first
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    members = rows.join(big, key).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    held = membership.join(big, key)
+    chosen = held.groupBy(key, F.pmod(F.xxhash64("node", F.lit(1)), F.lit(LEADERS)).alias("seat")).agg(F.min("node").alias("node"), F.first("blocks").alias("blocks"))
+    leaders = rows.join(chosen.select(key, "node", "blocks"), [key, "node"]).select(key, "node", values, each("blocks").alias("tile"))
+    joined = stored(found_edges(members.select(key, "node", values, F.col("own").alias("tile")).unionByName(leaders), key, values, links), "led")
+    parts = components(joined)
+    named = held.join(parts, "node", "left").select(key, "node", "blocks", F.coalesce("component", "node").alias("part"))
+    largest = named.groupBy(key, "part").agg(F.count(F.lit(1)).alias("n")).groupBy(key).agg(F.max_by("part", F.struct("n", "part")).alias("largest"))
+    rest = stored(named.join(largest, key).filter("part <> largest").select(key, "node", "blocks"), "rest")
+    turns = rest.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("turns"))
+    tile = F.col("turn") * F.col("blocks") + F.col("block")
+    all_rows = members.join(turns, key).select(key, "node", values, "blocks", F.col("own").alias("block"), each("turns").alias("turn"))
+    rest_rows = rows.join(rest, [key, "node"]).join(turns, key).select(key, "node", values, "blocks", F.pmod(F.xxhash64("node", F.lit(2)), F.col("turns")).cast("int").alias("turn"), each("blocks").alias("block"))
+    late = found_edges(all_rows.unionByName(rest_rows).withColumn("tile", tile), key, values, links)
+    return first.unionByName(joined).unionByName(late).distinct()
+
+
 def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each document: components of links of at least `percent` similarity."""
     if percent < 80:
@@ -213,8 +236,9 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> Da
     held = stored(sketches(docs, width), "sketches")
     full = held.filter("n > 0")
     reps = stored(full.groupBy("cls").agg(F.min(F.struct("node", "n", "sketch")).alias("r")).select("cls", "r.*"), "classes")
-    lists = postings(reps).join(reps.select("node", "sketch"), "node")
-    coarse = components(edges_of(lists, "value", "sketch", by_sketch))
+    halves = reps.select("node", F.transform("sketch", lambda v: F.shiftright(v, 32).cast("int")).alias("sketch"))
+    index = stored(postings(reps), "postings")
+    coarse = components(edges_of(index.join(halves, "node"), index, "value", "sketch", by_sketch))
 
     def sets(nodes, groups, texts):
         values = [textkit.signed(v) for _, v in shingle_sets(texts, width)]
@@ -222,7 +246,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> Da
 
     chosen = docs.select(id_key().alias("id"), "text").join(coarse, F.col("id") == F.col("node")).select("node", "component", "text")
     whole = arrow_map(chosen, sets, "node long, component long, values array<long>")
-    links = edges_of(whole.withColumnRenamed("component", "group_id"), "group_id", "values", by_set(percent))
+    links = edges_of(whole.withColumnRenamed("component", "group_id"), coarse.withColumnRenamed("component", "group_id"), "group_id", "values", by_set(percent))
     same = full.join(reps.select("cls", F.col("node").alias("rep")), "cls").select("doc_id", "node", "rep", "n")
     # rows that share an id join their classes as well
     many = full.groupBy("node").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).filter("x <> y").select("node")

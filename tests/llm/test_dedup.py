@@ -152,6 +152,7 @@ def test_near_duplicates_equal_brute_force(docs, corpus, width):
 def test_near_duplicates_in_blocks(docs, monkeypatch):
     want = sorted(map(str, near_dedup.near_duplicates(docs, width=2).collect()))
     monkeypatch.setattr(near_dedup, "BLOCK", 3)
+    monkeypatch.setattr(near_dedup, "LEADERS", 2)
     assert sorted(map(str, near_dedup.near_duplicates(docs, width=2).collect())) == want
 
 
@@ -168,3 +169,17 @@ def test_components_of_paths_stars_and_loops(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert {got[i] for i in range(41)} == {0} and {got[i] for i in range(100, 130)} == {100} and got[201] == 200
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_sets_about_the_size_of_a_sketch_lose_no_link(spark):
+    """Sets within a larger one, around K shingles, where one side is cut to its sketch and the other is not."""
+    rng = random.Random(11)
+    rows, n = [], 0
+    for size in range(52, 84, 3):
+        for _ in range(12):
+            words = [f"w{rng.randrange(10**6)}" for _ in range(size + 1)]
+            short = max(2, -(-8 * size // 10))
+            rows += [(n, " ".join(words)), (n + 1, " ".join(words[: short + 1]))]
+            n += 2
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), width=2).collect()}
+    assert all(got[i] == i - i % 2 for i in got)
