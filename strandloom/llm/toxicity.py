@@ -8,12 +8,15 @@ word with the word before or after it, cancel the match. A document's score is a
 plain and normalised by length.
 
 The fit takes a bounded sample of labelled rows (`max_train`, by hash order; held-out rows never); all documents are
-scored on their whole text. Null or empty text: no match, the score of that. Without labelled rows every score is 0.
+scored on their whole text. Of rows with one label whose whole folded texts are equal, only the one with the smallest
+doc_id, then the smallest text, is fitted on; near copies all stay. Null or empty text: no match, the score of that.
+Without labelled rows every score is 0.
 Repeated documents each get a row; of repeated labels of one document the largest counts.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 from collections import Counter
@@ -120,9 +123,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_train: int) -> DataFra
     marked = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").alias("toxic"))
     chosen = marked.filter(~held_out(F.col("label_id"))).orderBy(F.md5(F.col("label_id").cast("string")), "label_id").limit(max_train)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))  # max_train rows at most
-    long_words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), "[^\\p{L}]+"), lambda w: F.length(w) > 5)
-    sketch = F.coalesce(F.array_min(F.transform(long_words, lambda w: F.xxhash64(w))), F.xxhash64("text"))
-    return rows.select("toxic", "text", sketch.alias("sketch")).dropDuplicates(["toxic", "sketch"]).select("toxic", "text", F.pmod("sketch", F.lit(3)).cast("int").alias("fold"))  # copies would lend weight to any word of theirs
+
+    def keyed(ids, toxic, texts):
+        keys = [hashlib.md5(fold(t).encode()).digest() for t in texts]
+        return {"label_id": ids, "toxic": toxic, "text": texts, "key": keys, "fold": [k[0] % 3 for k in keys]}
+
+    # whole copies would lend weight to any word of theirs; the first id, then the first text stays
+    keys = arrow_map(rows.select("label_id", "toxic", "text"), keyed, "label_id long, toxic int, text string, key binary, fold int")
+    return keys.groupBy("toxic", "key", "fold").agg(F.min(F.struct("label_id", "text")).alias("kept")).select("toxic", "kept.text", "fold")
 
 
 def held_out(doc_id):

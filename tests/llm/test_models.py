@@ -124,6 +124,22 @@ def test_toxicity_folds_and_holds_out(spark):
     assert all(got[i].predicted == y for i, y in labels)
 
 
+def test_toxicity_fits_on_all_but_whole_copies(spark):
+    rng = random.Random(6)
+    vocabulary = [f"{a}{b}word" for a in ("quiet", "loose", "green") for b in ("stone", "river")]
+    texts = [f"{vocabulary[i % 6]} {vocabulary[i // 6 % 6]} {invented(rng, 10)} no {'xyz'[i % 3] * 2} {i}" for i in range(90)]
+    texts = list({toxicity.fold(t): t for t in texts}.values())
+    rows = [(i, t) for i, t in enumerate(texts)] + [(2000 + i, t.upper() + "!") for i, t in enumerate(texts)]
+    rows = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    labels = [(i, i % 2) for i, _ in rows]
+    got = toxicity.training_rows(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int"), 8000).collect()
+    first = {}
+    for i, t in rows:
+        first.setdefault((i % 2, toxicity.fold(t)), t)
+    assert sorted((r.toxic, r.text) for r in got) == sorted((y, t) for (y, _), t in first.items())
+    assert {r.fold for r in got} == {0, 1, 2}
+
+
 def test_toxicity_exceptions_and_edges(spark, docs, empty):
     m = toxicity.Matcher({" vile ": 2.0, " viles": 3.0}, {"not vile"})
     assert m.hits(toxicity.fold("Vile, VILEST!")) == [(1, 2.0), (6, 3.0)]
