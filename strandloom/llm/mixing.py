@@ -1,13 +1,16 @@
 """Mixing sources to target weights by Pfair scheduling, in DataFrame and SQL functions only.
 
-Each source's documents are put in hash order and cut into blocks. With q of every P slots due to a source, its block k
-is released at floor(k P / q) and due at ceil((k + 1) P / q). Every slot goes to the released block with the earliest
+Each source's documents are put in hash order and cut into blocks. Of a source with the share w of all weights, block k
+is released at floor(k / w) and due at ceil((k + 1) / w). Every slot goes to the released block with the earliest
 deadline, ties to the first source by name. On one sequence this meets all deadlines, so after any number of slots each
-source is less than one block from its share. The schedule repeats after P slots, so only one period, whose length is
-a parameter, is ever simulated; the slot and the position of any document follow by arithmetic.
+source is less than one block from its weight's share (but for EPSILON slots, which cover the rounding of fractions).
 
-Shares hold until a source runs out. From then on its slots are skipped, the others keep their proportions to each
-other, and every document is placed once: none is dropped or repeated.
+Shares hold until a source runs out. From the next slot on the others are scheduled anew, with their proportions to each
+other; every document is placed once: none is dropped or repeated.
+
+One task goes through all slots, a slot for each block and a step over the sources for each slot; it keeps one integer a
+slot, and the counts of the sources for each CHUNK slots, from which blocks and positions are worked out in parallel. A
+source without a weight gets the weight of one slot in `period`.
 
 A null source counts as the empty name. Documents with equal ids take hash order, then the order of their texts; equal
 rows are interchangeable. Other columns are passed through, whatever their names, except for those named in ADDED, which
@@ -25,33 +28,52 @@ from pyspark.sql import functions as F
 ADDED = ("block", "slot", "position")
 #: Hash buckets of a source: a source with most of the rows is ranked by as many tasks.
 BUCKET_HEX = 3
+#: Slots whose blocks are worked out together.
+CHUNK = 1000
+EPSILON = 1e-6
 
 
 def shares(docs: DataFrame, weights: Mapping[str, float] | None, period: int, power: float) -> DataFrame:
-    """mix_source, n documents and q slots of a period. Without weights a source's weight is its count to the given power."""
+    """mix_source, n documents and q, its weight. Without weights a source's weight is its count to the given power."""
     counts = docs.groupBy(F.coalesce("source", F.lit("")).alias("mix_source")).agg(F.count(F.lit(1)).alias("n"))
     if weights is None:
-        weighed = counts.withColumn("w", F.pow(F.col("n").cast("double"), F.lit(float(power))))
-    else:
-        table = F.create_map(*[F.lit(x) for k, v in weights.items() for x in (k, float(v))])
-        weighed = counts.withColumn("w", F.coalesce(table[F.col("mix_source")], F.lit(0.0)))
+        return counts.withColumn("q", F.pow(F.col("n").cast("double"), F.lit(float(power))))
+    table = F.create_map(*[F.lit(x) for k, v in weights.items() for x in (k, float(v))]) if weights else F.lit(None).cast("map<string,double>")
+    weighed = counts.withColumn("w", F.greatest(F.coalesce(table[F.col("mix_source")], F.lit(0.0)), F.lit(0.0)))
     total = F.sum("w").over(W.partitionBy(F.lit(0)))  # a row for each source
-    return weighed.select("mix_source", "n", F.greatest(F.lit(1), F.floor(F.col("w") * period / total + 0.5)).cast("long").alias("q"))
+    return weighed.select("mix_source", "n", F.when(F.col("w") > 0, F.col("w")).when(total > 0, total / period).otherwise(1.0).alias("q"))
 
 
-def schedule(shared: DataFrame) -> DataFrame:
-    """One period: mix_source, k (its block within the period), at (slot), and what positions need."""
+def schedule(shared: DataFrame, block: int | None = None) -> DataFrame:
+    """mix_source, k (its block), at (slot) and start (position of the block) of all blocks; without block, one period of sum(q) slots."""
     one = shared.agg(F.sort_array(F.collect_list(F.struct("mix_source", "n", "q"))).alias("s")).filter("size(s) > 0")
-    one = one.selectExpr("s", "transform(s, x -> x.q) as qs", "transform(s, x -> x.n) as ns", "aggregate(s, 0L, (a, x) -> a + x.q) as p")
-    picked = """array_min(filter(transform(qs, (q, i) -> struct(
-                    cast(ceil(cast((st.done[i] + 1) * p as double) / q) as bigint) as due, i as i, (st.done[i] * p) div q as released)),
-                    x -> x.released <= t))"""
-    step = f"""transform(array({picked}), g -> struct(
-                 transform(st.done, (d, j) -> if(j = g.i, d + 1, d)) as done,
-                 concat(st.plan, array(struct(g.i as i, st.done[g.i] as k, st.done as before))) as plan))[0]"""
-    start = "struct(transform(qs, x -> 0L) as done, cast(array() as array<struct<i:int,k:bigint,before:array<bigint>>>) as plan)"
-    ran = one.selectExpr("s", "qs", "ns", "p", f"aggregate(sequence(0L, p - 1), {start}, (st, t) -> {step}).plan as plan")
-    return ran.selectExpr("s", "qs", "ns", "p", "posexplode(plan) as (at, x)").selectExpr("s[x.i].mix_source as mix_source", "s[x.i].q as q", "x.k as k", "cast(at as bigint) as at", "p", "qs", "ns", "x.before as before")
+    size = block or 1
+    blocks = f"(x.n + {size - 1}) div {size}" if block else f"{2**62}L"
+    slots = "aggregate(bs, 0L, (a, b) -> a + b)" if block else "cast(aggregate(ws, 0D, (a, w) -> a + w) as bigint)"
+    one = one.selectExpr("s", "transform(s, x -> x.n) as ns", "transform(s, x -> cast(x.q as double)) as ws", f"transform(s, x -> {blocks}) as bs")
+    one = one.selectExpr("*", f"{slots} as slots", "aggregate(ws, 0D, (a, w) -> a + w) as total")
+    waiting = f"""filter(transform(ws, (w, i) -> struct(
+                    cast(ceil((r.done[i] + 1 - r.base[i]) * r.whole / w - {EPSILON}) as bigint) as due, i as i,
+                    cast(floor((r.done[i] - r.base[i]) * r.whole / w + {EPSILON}) as bigint) as released)), x -> r.done[x.i] < bs[x.i])"""
+    picked = f"transform(array({waiting}), v -> coalesce(array_min(filter(v, x -> x.released <= t - r.since)), array_min(v)))"
+    # when a source runs out, the counts from which the others' blocks are timed begin here
+    step = f"""transform({picked}, g -> transform(array(transform(r.done, (d, j) -> if(j = g.i, d + 1, d))), m ->
+                 if(m[g.i] < bs[g.i], struct(m as done, r.base as base, r.since as since, r.whole as whole, concat(r.picks, array(g.i)) as picks),
+                    struct(m as done, m as base, t + 1 as since, aggregate(sequence(0, size(ws) - 1), 0D, (a, j) -> a + if(m[j] < bs[j], ws[j], 0D)) as whole, concat(r.picks, array(g.i)) as picks)))[0])[0]"""
+    none = "cast(array() as array<int>)"
+    chunk = f"aggregate(sequence(c * {CHUNK}, least((c + 1) * {CHUNK}, slots) - 1), o.now, (r, t) -> {step})"
+    start = f"""struct(struct(transform(ws, w -> 0L) as done, transform(ws, w -> 0L) as base, 0L as since, total as whole, {none} as picks) as now,
+                cast(array() as array<struct<first:bigint,done:array<bigint>,picks:array<int>>>) as chunks)"""
+    outer = f"""aggregate(sequence(0L, (slots - 1) div {CHUNK}), {start}, (o, c) -> transform(array({chunk}), e -> struct(
+                struct(e.done as done, e.base as base, e.since as since, e.whole as whole, {none} as picks) as now,
+                concat(o.chunks, array(struct(c * {CHUNK} as first, o.now.done as done, e.picks as picks))) as chunks))[0]).chunks"""
+    chunks = one.selectExpr("s", "ns", f"explode({outer}) as c").repartition("c.first")
+    placed = f"aggregate(zip_with(c.done, ns, (d, n) -> least(d * {size}, n)), 0L, (a, x) -> a + x)"
+    each = chunks.selectExpr("s", "c.first as first", "c.done as done", f"{placed} as placed", "posexplode(c.picks) as (pos, i)")
+    each = each.selectExpr("first", "placed", "first + pos as at", "i", "s[i].mix_source as mix_source", "s[i].n as n", "done[i] as done")
+    each = each.withColumn("k", F.col("done") + F.row_number().over(W.partitionBy("first", "i").orderBy("at")) - 1)
+    before = F.sum(F.least(F.lit(size), F.col("n") - F.col("k") * size)).over(W.partitionBy("first").orderBy("at").rowsBetween(W.unboundedPreceding, -1))
+    return each.select("mix_source", "k", "at", (F.col("placed") + F.coalesce(before, F.lit(0))).alias("start"))
 
 
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, *, block: int = 16, period: int = 1000, power: float = 0.5, seed: str = "mix") -> DataFrame:
@@ -62,23 +84,21 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, *, block: i
     narrow = docs.select(source.alias("mix_source"), F.substring(h, 1, BUCKET_HEX).alias("mix_bucket"))
     earlier = W.partitionBy("mix_source").orderBy("mix_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = narrow.groupBy("mix_source", "mix_bucket").agg(F.count(F.lit(1)).alias("mix_n")).select(
-        F.col("mix_source").alias("o_source"), F.col("mix_bucket").alias("o_bucket"), F.coalesce(F.sum("mix_n").over(earlier), F.lit(0)).alias("mix_offset")
+        F.col("mix_source").alias("o_source"), F.col("mix_bucket").alias("o_bucket"), "mix_n", F.coalesce(F.sum("mix_n").over(earlier), F.lit(0)).alias("mix_offset")
+    )
+    plan = schedule(shares(docs, weights, period, power), block)
+    # the blocks of a bucket follow each other: the bucket's row holds their slots and starts
+    spans = offsets.withColumn("o_block", F.explode(F.expr(f"sequence(mix_offset div {block}, (mix_offset + mix_n - 1) div {block})")))
+    spots = spans.join(plan, (F.col("o_source") == F.col("mix_source")) & (F.col("o_block") == F.col("k"))).groupBy("o_source", "o_bucket").agg(
+        F.first("mix_offset").alias("mix_offset"), F.sort_array(F.collect_list(F.struct("o_block", "at", "start"))).alias("mix_spots")
     )
-    plan = schedule(shares(docs, weights, period, power)).withColumnsRenamed({c: f"mix_{c}" for c in ("q", "k", "at", "p", "qs", "ns", "before")})
     inside = W.partitionBy("mix_source", "mix_bucket").orderBy("mix_hash", "doc_id", F.col("text") if "text" in docs.columns else F.lit(0))
     rows = docs.withColumns({"mix_source": source, "mix_hash": h}).withColumn("mix_bucket", F.substring("mix_hash", 1, BUCKET_HEX))
     rows = rows.withColumn("mix_rank", F.row_number().over(inside) - 1)
-    rows = rows.join(offsets, (F.col("mix_source") == F.col("o_source")) & (F.col("mix_bucket") == F.col("o_bucket"))).withColumn("mix_rank", F.col("mix_rank") + F.col("mix_offset"))
+    rows = rows.join(spots, (F.col("mix_source") == F.col("o_source")) & (F.col("mix_bucket") == F.col("o_bucket"))).withColumn("mix_rank", F.col("mix_rank") + F.col("mix_offset"))
     rows = rows.withColumn("block", F.floor(F.col("mix_rank") / block).cast("long"))
-    quotas = plan.select(F.col("mix_source").alias("p_source"), F.col("mix_k"), "mix_q", "mix_at", "mix_p", "mix_qs", "mix_ns", "mix_before")
-    # at most period + number of sources rows; a share of one slot at least for each source
-    first = plan.groupBy("mix_source").agg(F.first("mix_q").alias("own_q")).withColumnRenamed("mix_source", "q_source")
-    rows = rows.join(F.broadcast(first), F.col("mix_source") == F.col("q_source"))
-    rows = rows.withColumn("mix_in", F.expr("block % own_q")).withColumn("mix_round", F.expr("block div own_q"))
-    rows = rows.join(F.broadcast(quotas), (F.col("mix_source") == F.col("p_source")) & (F.col("mix_in") == F.col("mix_k")))
-    rows = rows.withColumn("slot", F.expr("mix_round * mix_p + mix_at"))
-    before = F.expr(f"aggregate(zip_with(zip_with(mix_qs, mix_before, (q, b) -> {block}L * (mix_round * q + b)), mix_ns, (x, n) -> least(x, n)), 0L, (a, x) -> a + x)")
-    rows = rows.withColumn("position", before + F.col("mix_rank") % block)
+    rows = rows.withColumn("mix_spot", F.expr("mix_spots[cast(block - mix_spots[0].o_block as int)]"))
+    rows = rows.withColumns({"slot": F.col("mix_spot.at"), "position": F.col("mix_spot.start") + F.col("mix_rank") % block})
     return rows.select(*docs.columns, *ADDED)
 
 

@@ -55,6 +55,19 @@ def test_mix_places_every_row_once_and_within_a_block(spark):
         assert all(abs(seen[s] / 4 - (t + 4) / 4 * weight[s] / whole) < 1 for s in weight)
 
 
+def test_mix_keeps_to_weights_that_no_period_holds(spark):
+    weight = {"a": 10.0, "b": 3.3, "c": 1.7, "d": 0.004}
+    rows = [(i, s) for i, s in enumerate("a" * 1500 + "b" * 600 + "c" * 500 + "d" * 3)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, source string"), weight, block=1, period=24).orderBy("position").collect()
+    assert [r.position for r in got] == [r.slot for r in got] == list(range(len(rows)))
+    end = max(i for i, r in enumerate(got) if r.source == "a")
+    for first, last, names in ((0, end, "abcd"), (end + 1, end + 120, "bcd")):
+        whole, seen = sum(weight[s] for s in names), dict.fromkeys(names, 0)
+        for t in range(first, last + 1):
+            seen[got[t].source] += 1
+            assert all(abs(seen[s] - (t + 1 - first) * weight[s] / whole) < 1 + 1e-5 for s in names)
+
+
 def test_mix_of_nothing_and_of_clashing_columns(spark, empty, extra):
     assert mixing.mix(empty).collect() == []
     got = mixing.mix(extra)
