@@ -53,7 +53,7 @@ def shingle_sets(texts: list[str | None], width: int) -> Iterator[tuple[bytes, n
                 continue
             digest = hashlib.md5(b" ".join(codes[offsets[i] : offsets[i + 1]].tobytes().split())).digest()
             if n < width:
-                yield digest, textkit.mixed(h[a:b].sum(keepdims=True) + U(n))
+                yield digest, textkit.mixed(textkit.shingle_hashes(h[a:b], n) + U(n))
             else:
                 yield digest, np.unique(runs[a : b - width + 1])
 

@@ -164,6 +164,12 @@ def test_near_duplicates_of_nothing_and_of_clashing_columns(docs, empty, extra):
         near_dedup.near_duplicates(docs, percent=50)
 
 
+def test_short_texts_in_another_order_are_no_near_copies(spark):
+    rows = [(1, "a b c"), (2, "c b a"), (3, "A b  c"), (4, "b a"), (5, "a b")]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), width=5).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+
+
 def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (200, 201), (201, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
