@@ -93,13 +93,18 @@ def _later(doc: np.ndarray, pos: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def joined(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Stretches of contexts of one document, overlapping ones as one; neither ends fall back as starts go on."""
+    """Stretches of contexts of one document, overlapping ones as one. Ends may fall back where texts share a doc_id."""
     order = np.lexsort((hi, lo, doc))
-    doc, lo, hi = doc[order], lo[order], hi[order]
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (lo[1:] > hi[:-1])
+    doc, lo, hi = doc[order], lo[order].astype(np.int64), hi[order].astype(np.int64)
+    if not len(doc):
+        return doc, lo, hi
+    other = np.append(True, doc[1:] != doc[:-1])
+    shift = np.cumsum(other) * (hi.max() + 1)
+    reach = np.maximum.accumulate(hi + shift) - shift  # the largest end of the document so far
+    new = other.copy()
+    new[1:] |= lo[1:] > reach[:-1]
     at = np.flatnonzero(new)
-    return doc[at], lo[at], hi[np.append(at[1:], len(doc)) - 1] if len(doc) else hi
+    return doc[at], lo[at], np.maximum.reduceat(hi, at)
 
 
 def found_anchors(docs: DataFrame, symbols: Callable[[list], Iterator[tuple[int, Symbols]]], k: int, width: int) -> DataFrame:

@@ -170,6 +170,12 @@ def test_short_texts_in_another_order_are_no_near_copies(spark):
     assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
 
 
+def test_joined_stretches_of_two_texts_under_one_id():
+    doc, lo, hi = (np.array(x) for x in ([7, 7, 7, 7, 9, 9], [17, 12, 150, 200, 3, 5], [120, 180, 160, 210, 9, 8]))
+    assert [x.tolist() for x in repeats.joined(doc, lo, hi)] == [[7, 7, 9], [12, 200, 3], [180, 210, 9]]
+    assert [x.tolist() for x in repeats.joined(doc[:0], lo[:0], hi[:0])] == [[], [], []]
+
+
 def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (200, 201), (201, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
