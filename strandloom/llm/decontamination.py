@@ -2,7 +2,9 @@
 
 Words are runs of letters or of digits, lower-cased. Numbers, names (capitalised inside a sentence) and units (after a
 number) become typed placeholders, neighbouring ones of a type one placeholder. Windows of WINDOW template words with at
-least LITERALS plain words are hashed; a benchmark item shorter than a window is one window of its own length. A Bloom
+least LITERALS plain words are hashed; a benchmark item shorter than a window is one window of its own length. An item
+without any such window matches as it stands: windows of its words, numbers and names included, have to cover it whole
+in one line, and an item of fewer than LITERALS words has to be all the words of the document. A Bloom
 filter of fixed size over the benchmark's windows keeps other windows of the documents out of the hash join. For each
 document and item, windows are lined up, and a line counts only where its slots are consistent: one value of the item
 always stands for the same value of the document. A document is contaminated if a line covers COVER percent of the
@@ -26,6 +28,8 @@ from .common import arrow_map
 WINDOW, LITERALS, COVER, RUN = 8, 4, 50, 13
 #: The filter has 2 ** BITS bits, whatever the size of the benchmark: 1 MB on every executor.
 BITS = 23
+#: Marks the windows of items that match as they stand; their widths are negative.
+PLAIN = 0x5851F42D4C957F2D
 #: Copies of a document-side window key that go to different tasks.
 SALTS = 16
 #: Units of measure.
@@ -49,8 +53,23 @@ def _unit_hashes() -> np.ndarray:
     return np.unique(textkit.hashes(raw, *textkit.words(raw)))
 
 
-def template(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Template words of some bytes: their hashes (placeholders are 1 to 3), and the byte ranges they stand for."""
+def plain_words(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes and byte ranges of the words as they stand: runs of letters or of digits, lower-cased."""
+    _, low, token, _ = _runs(codes)
+    change = np.flatnonzero(np.diff(np.concatenate([[0], token, [0]])) != 0)
+    starts, ends = change[:-1], change[1:]
+    real = token[starts] > 0 if len(starts) else np.zeros(0, bool)
+    starts, ends = starts[real], ends[real]
+    return textkit.hashes(low, starts, ends), starts, ends
+
+
+def plain_windows(h: np.ndarray, width: int) -> np.ndarray:
+    out = textkit.shingle_hashes(h, width) + U(width) + U(PLAIN)
+    return np.where(out == 0, U(1), out)
+
+
+def _runs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Capitals, lower-cased bytes, letters (1) or digits (2), and kinds."""
     # a capital of Latin-1, Greek or Cyrillic is two bytes; for those of Latin-1 the second is folded as well
     capital = np.zeros(len(codes), bool)
     capital[(codes >= 65) & (codes <= 90)] = True
@@ -59,7 +78,12 @@ def template(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     low = textkit.LOWER[codes]
     low[second] += 32
     kind = _KIND[codes]
-    token = np.where(kind == 3, 0, kind)
+    return capital, low, np.where(kind == 3, 0, kind), kind
+
+
+def template(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Template words of some bytes: their hashes (placeholders are 1 to 3), and the byte ranges they stand for."""
+    capital, low, token, kind = _runs(codes)
     change = np.flatnonzero(np.diff(np.concatenate([[0], token, [0]])) != 0)
     # runs of one kind, letters or digits
     starts = change[:-1]
@@ -115,8 +139,12 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
             h, a, b = template(np.frombuffer(raw, np.uint8))
             width = min(WINDOW, len(h))
             w = windows(h, width) if width >= LITERALS else np.zeros(0, U)
+            if not w.any():
+                h, a, b = plain_words(np.frombuffer(raw, np.uint8))
+                width = -min(WINDOW, len(h))
+                w = plain_windows(h, -width) if len(h) else np.zeros(0, U)
             for at in np.flatnonzero(w).tolist():
-                for k, v in zip(out, (i, len(h), width, at, int(textkit.signed(w[at : at + 1])[0]), slots_of(h, a, b, raw, at, width)), strict=True):
+                for k, v in zip(out, (i, len(h), width, at, int(textkit.signed(w[at : at + 1])[0]), slots_of(h, a, b, raw, at, width) if width > 0 else []), strict=True):
                     out[k].append(v)
         return out
 
@@ -124,7 +152,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 
 
 def bloom(items: DataFrame) -> tuple[np.ndarray, list[int]]:
-    """The filter's bits, and the widths below WINDOW in use (four at most). The driver gets 2 ** BITS bits at most."""
+    """The filter's bits, and the widths below WINDOW in use (twelve at most). The driver gets 2 ** BITS bits at most."""
     bit = F.expr(f"key & {(1 << BITS) - 1}")
     table = items.select("width", (F.shiftright(bit, 6)).alias("word"), F.expr(f"shiftleft(1L, cast((key & {(1 << BITS) - 1}) & 63 as int))").alias("b"))
     rows = table.groupBy("width", "word").agg(F.bit_or("b").alias("b")).collect()
@@ -141,18 +169,24 @@ def document_windows(docs: DataFrame, bits: np.ndarray, short: list[int]) -> Dat
     def run(ids, keys, texts):
         out: dict = {k: [] for k in ("doc_id", "text_key", "at", "key", "slots")}
         for index, codes, offsets in textkit.steps(texts):
-            h, a, b = template(codes)
-            own = np.searchsorted(offsets, a, side="right") - 1
-            for width in (WINDOW, *short):
-                w = windows(h, width)
+            forms = {True: template(codes)}
+            if min(short, default=0) < 0:
+                forms[False] = plain_words(codes)
+            for signed_width in (WINDOW, *short):
+                width = abs(signed_width)
+                h, a, b = forms[signed_width > 0]
+                own = np.searchsorted(offsets, a, side="right") - 1
+                w = windows(h, width) if signed_width > 0 else plain_windows(h, width)
                 if not len(w):
                     continue
                 low = w & mask
                 hit = np.flatnonzero((bits[(low >> U(6)).astype(np.int64)] >> (low & U(63))) & U(1))
                 for at in hit[(w[hit] != 0) & (own[hit] == own[hit + width - 1])].tolist():
                     i = int(own[at])
-                    slots = [codes[a[j] : b[j]].tobytes().decode(errors="replace").lower() for j in range(at, at + width) if h[j] < U(8)]
+                    slots = [codes[a[j] : b[j]].tobytes().decode(errors="replace").lower() for j in range(at, at + width) if h[j] < U(8)] if signed_width > 0 else []
                     base = int(np.searchsorted(own, i))
+                    if -LITERALS < signed_width < 0 and int(np.searchsorted(own, i, side="right")) - base != width:
+                        continue
                     for k, v in zip(out, (ids[index + i], keys[index + i], at - base, int(textkit.signed(w[at : at + 1])[0]), slots), strict=True):
                         out[k].append(v)
         return out
@@ -193,14 +227,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = document_windows(docs, bits, short).distinct().withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(SALTS)).cast("int"))
     salted = items.select("item_id", "length", "width", F.col("at").alias("item_at"), "key", F.col("slots").alias("item_slots"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     pairs = found.join(salted, ["key", "salt"])
-    groups = pairs.groupBy("doc_id", "text_key", "item_id", "length").agg(F.collect_list(F.struct("at", "item_at", "width", "slots", "item_slots")).alias("pairs"))
+    groups = pairs.groupBy("doc_id", "text_key", "item_id", "length", (F.col("width") < 0).alias("plain")).agg(F.collect_list(F.struct("at", "item_at", "width", "slots", "item_slots")).alias("pairs"))
 
-    def run(ids, keys, items, lengths, pairs):
-        best = [lines([(p["at"], p["item_at"], p["width"], p["slots"], p["item_slots"]) for p in g]) for g in pairs]
-        return {"doc_id": ids, "text_key": keys, "item_id": items, "length": lengths, "covered": [x[0] for x in best], "run": [x[1] for x in best], "n_windows": [x[2] for x in best]}
+    def run(ids, keys, items, lengths, plain, pairs):
+        best = [lines([(p["at"], p["item_at"], abs(p["width"]), p["slots"], p["item_slots"]) for p in g]) for g in pairs]
+        return {"doc_id": ids, "text_key": keys, "item_id": items, "length": lengths, "plain": plain, "covered": [x[0] for x in best], "run": [x[1] for x in best], "n_windows": [x[2] for x in best]}
 
-    judged = arrow_map(groups, run, "doc_id long, text_key long, item_id long, length int, covered int, run int, n_windows int")
-    return judged.filter((100 * F.col("covered") >= COVER * F.col("length")) | (F.col("run") >= RUN))
+    judged = arrow_map(groups, run, "doc_id long, text_key long, item_id long, length int, plain boolean, covered int, run int, n_windows int")
+    enough = (100 * F.col("covered") >= COVER * F.col("length")) | (F.col("run") >= RUN)
+    return judged.filter(F.when(F.col("plain"), F.col("covered") == F.col("length")).otherwise(enough)).drop("plain")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -133,6 +133,12 @@ def test_short_items_and_repeats(spark):
     assert found(spark, {}, {5: ITEM}) == set() and found(spark, {1: ITEM}, {}) == set()
 
 
+def test_items_without_a_window_match_as_they_stand(spark):
+    numbers = "Compute 1 + 2, 3 + 4, 5 + 6, 7 + 8 and 9 + 10 now"
+    texts = {1: "So: what is 12 + 45? I know", 2: "what is 12 + 46?", 3: f"x {numbers} y", 4: numbers.replace("10", "11"), 5: "one two", 6: "one two three"}
+    assert found(spark, texts, {20: "What is 12 + 45?", 21: numbers, 22: "One, two!"}) == {(1, 20), (3, 21), (5, 22)}
+
+
 def test_clean_keeps_other_rows_and_columns(spark, extra):
     bench = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
     assert sorted(map(str, decontamination.clean(extra, bench).collect())) == sorted(map(str, extra.collect()))
