@@ -1,12 +1,10 @@
-"""Substring deduplication over words by relative Lempel-Ziv parsing.
-
-A word goes if a window of WIDTH words that covers it also starts earlier in the corpus. The reference is all text that
-stands earlier, cut into blocks that begin at content-chosen phrases of ANCHOR words and indexed by them (repeats.py). A
-document is factored against every indexed block: a block whose whole surroundings occurred before lies inside a factor,
-which runs on through all such blocks. A block whose surroundings differ from those of every earlier block of its
-phrase holds the boundary of a factor. There the factor is grown word by word to both sides against all blocks of the
-phrase, and each window of WIDTH words across the boundary is checked, so factors that are long enough become spans
-and nothing shorter does.
+"""Substring deduplication over words by fixed windows at content-chosen anchors.
+
+A word goes if a window of WIDTH words that covers it also starts earlier in the corpus. Each window holds an anchor, a
+content-chosen phrase of ANCHOR words (repeats.py). An anchor whose whole surroundings occurred before is settled by a hash
+of them. Where they differ from those of every earlier anchor of its phrase, each window of WIDTH words around the
+anchor is compared with those of the phrase's other anchors. This stands in place of a relative Lempel-Ziv parse: no
+factor is grown, as each window is marked by itself.
 
 Null text has no words. Texts under WIDTH words keep all. An empty table gives an empty result.
 """
