@@ -188,6 +188,16 @@ def test_host_array_decides_where_markup_is_silent(spark):
     assert got[50].text.startswith("Welcome to the site") and got[0].from_array
 
 
+def test_short_page_ends_are_matched_as_a_whole(spark):
+    rng = random.Random(9)
+    texts = [invented(rng, 20) for _ in range(3)]
+    rows = [(i, f"http://h.example/{i}", f"<div>{t}</div><div>Contact us</div>") for i, t in enumerate(texts)]
+    rows += [(10, "http://h.example/m", f"<div>Contact us</div><div>{invented(rng, 20)}</div>"), (11, "http://h.example/n", "<div>Contact us</div>")]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert [got[i] for i in range(3)] == texts
+    assert got[10].startswith("Contact us\n") and got[11] == "Contact us"
+
+
 def test_steps_and_hashes_do_not_depend_on_where_texts_stand():
     texts = ["ab cd", None, "", "x" * (STEP + 5), "cd ab\tab"]
     seen: dict = {}
