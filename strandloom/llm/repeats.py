@@ -4,24 +4,29 @@ Every window of W symbols contains an anchor: the position whose K-symbol hash i
 windows choose equal anchors, so a window can only repeat where its anchor's K symbols repeat. All windows around an
 anchor lie in its context, the W - K symbols before it and the W from it on. Then
 
-1. anchors are put together by the hash of their K symbols. A context that occurred before, whole, makes all its windows
-   repeats; within an Arrow batch this is settled before the shuffle, so that a text with very many copies sends one row
-   a batch. Contexts that first occur here, but whose K symbols occur in other contexts too, are left to
-2. a closer look at just these contexts, which an operator supplies (suffix order for bytes, factor boundaries for
-   words). Keys with more than HOT contexts are dealt by the hash of each of their windows instead, which is exact too;
-3. the covered stretches go back to the documents.
-
-"Earlier" is by (doc_id, start). Rows that share a doc_id are one document: stretches found in any of its texts hold
-for each. Rows without doc_id are one document after all others.
+1. anchors are put together by the hash of their K symbols, those of crowded hash buckets by their whole context. One
+   anchor stands for all of an equal context; within an Arrow batch this is done before the shuffle, so that a text with
+   very many copies sends one row a batch;
+2. all distinct contexts of K symbols that have more than one go to a closer look, which an operator supplies (suffix
+   order, or greedy factors). A key with more than LIMIT of them is dealt anew by longer stretches around the anchor:
+   the windows that start in either half of its range share a longer stretch, whose hash is the new key. A range of
+   one window is a group of equal windows, of which only the first (or two texts) counts;
+3. the covered stretches go back to the texts.
+
+Rows are texts: `doc` is the doc_id (null ids after all others) and `sub` a hash of the text, so that rows that share or
+lack an id never share offsets; "earlier" is by (doc, sub, start). Equal rows have one key; applied() keeps one of them as
+the first and takes the others for copies. The rule `elsewhere` marks windows that occur in another text, wherever.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import textkit
@@ -29,7 +34,9 @@ from .common import arrow_map, id_key, stored
 
 U = np.uint64
 TOP = np.iinfo(np.uint64).max
-HOT = 100_000
+LIMIT = 4096
+#: Hash buckets that are counted to find crowded keys; one is crowded beyond CROWDED times the mean, so at most 2 ** BUCKET_BITS / CROWDED are.
+BUCKET_BITS, CROWDED = 16, 8
 
 
 def sliding(a: np.ndarray, width: int, pick: np.ufunc, fill: int) -> np.ndarray:
@@ -84,185 +91,304 @@ class Symbols:
         return own, at - base, a - base, b - base, h[at], context
 
 
+@dataclass(frozen=True)
+class Search:
+    """What repeats: symbols(texts) yields (first text, Symbols); pack() makes bytes of symbols; judge() is the closer look."""
+
+    name: str
+    symbols: Callable[[list], Iterator[tuple[int, Symbols]]]
+    k: int
+    width: int
+    pack: Callable[[np.ndarray], bytes]
+    #: (group, rank, text, least and most starts before the anchor, left, right) to (symbols covered before the anchor, after its start), -1 for none.
+    judge: Callable[..., tuple[np.ndarray, np.ndarray]]
+    elsewhere: bool = False
+
+
 def _frame(**columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v) for v in columns.values()], names=list(columns))
 
 
-def _later(doc: np.ndarray, pos: np.ndarray, first: np.ndarray) -> np.ndarray:
-    return (doc > doc[first]) | (doc == doc[first]) & (pos > pos[first])
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """True where a row of sorted columns differs from the row before."""
+    out = np.ones(len(columns[0]), bool)
+    if len(out):
+        out[1:] = False
+    for c in columns:
+        out[1:] |= c[1:] != c[:-1]
+    return out
+
 
+def _salted(h: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    return np.where(salt == 0, h, textkit.mixed(h + salt.view(U)))
 
-def joined(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Stretches of contexts of one document, overlapping ones as one. Ends may fall back where texts share a doc_id."""
-    order = np.lexsort((hi, lo, doc))
-    doc, lo, hi = doc[order], lo[order].astype(np.int64), hi[order].astype(np.int64)
+
+def joined(doc: np.ndarray, sub: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Stretches of one text, overlapping ones as one."""
+    order = np.lexsort((hi, lo, sub, doc))
+    doc, sub, lo, hi = doc[order], sub[order], lo[order].astype(np.int64), hi[order].astype(np.int64)
     if not len(doc):
-        return doc, lo, hi
-    other = np.append(True, doc[1:] != doc[:-1])
+        return doc, sub, lo, hi
+    other = _changes(doc, sub)
     shift = np.cumsum(other) * (hi.max() + 1)
-    reach = np.maximum.accumulate(hi + shift) - shift  # the largest end of the document so far
+    reach = np.maximum.accumulate(hi + shift) - shift  # the largest end of the text so far
     new = other.copy()
     new[1:] |= lo[1:] > reach[:-1]
     at = np.flatnonzero(new)
-    return doc[at], lo[at], np.maximum.reduceat(hi, at)
+    return doc[at], sub[at], lo[at], np.maximum.reduceat(hi, at)
+
+
+def texts_of(docs: DataFrame) -> DataFrame:
+    """doc, sub, salt and text of each row; the salt is 0, as texts of any two rows are held against each other."""
+    return docs.select(id_key().alias("doc"), F.xxhash64("text").alias("sub"), F.lit(0).cast("long").alias("salt"), "text")
+
 
+def _anchors_of(batch: pa.RecordBatch, s: Search) -> list[np.ndarray] | None:
+    """h, context, doc, sub, position and context range of all anchors; equal rows of a batch are one."""
+    doc, sub, salt = (batch.column(i).to_numpy() for i in range(3))
+    _, rows = np.unique(np.column_stack([doc, sub]), axis=0, return_index=True)
+    rows.sort()
+    doc, sub, salt = doc[rows], sub[rows], salt[rows]
+    parts = []
+    for first, x in s.symbols(batch.column(3).take(pa.array(rows)).to_pylist()):
+        own, pos, a, b, h, c = x.anchors(s.k, s.width)
+        own = own + first
+        parts.append((textkit.signed(_salted(h, salt[own])), textkit.signed(c), doc[own], sub[own], pos, a, b))
+    return [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else None
 
-def found_anchors(docs: DataFrame, symbols: Callable[[list], Iterator[tuple[int, Symbols]]], k: int, width: int) -> DataFrame:
-    """Anchors of all texts; `done` where the batch holds an earlier equal context."""
+
+def crowded_buckets(texts: DataFrame, s: Search) -> list[int]:
+    """Buckets of anchor hashes that hold far more than the mean; at most 2 ** BUCKET_BITS / CROWDED numbers reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            parts = []
-            for first, s in symbols(batch.column(1).to_pylist()):
-                own, pos, a, b, h, c = s.anchors(k, width)
-                parts.append((textkit.signed(h), textkit.signed(c), ids[first + own], pos, a, b))
-            if not parts:
-                continue
-            h, c, doc, pos, a, b = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.lexsort((pos, doc, c, h))
-            h, c, doc, pos, a, b = (x[order] for x in (h, c, doc, pos, a, b))
-            head = np.ones(len(h), bool)
-            head[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
-            first = np.flatnonzero(head)[np.cumsum(head) - 1] if len(h) else order
-            done = _later(doc, pos, first)
-            yield _frame(h=h[~done], c=c[~done], doc=doc[~done], pos=pos[~done].astype(np.int32), lo=a[~done].astype(np.int32), hi=b[~done].astype(np.int32), done=done[~done])
-            doc, lo, hi = joined(doc[done], a[done], b[done])
-            # settled stretches need no key: they are dealt by document
-            yield _frame(h=textkit.signed(textkit.mixed(doc.view(U))), c=np.zeros(len(doc), np.int64), doc=doc, pos=lo.astype(np.int32), lo=lo.astype(np.int32), hi=hi.astype(np.int32), done=np.ones(len(doc), bool))
+            found = _anchors_of(batch, s)
+            if found:
+                counts += np.bincount(found[0] & ((1 << BUCKET_BITS) - 1), minlength=len(counts))
+        at = np.flatnonzero(counts)
+        yield _frame(bucket=at, n=counts[at])
 
-    return docs.select(id_key().alias("doc"), "text").mapInArrow(run, "h long, c long, doc long, pos int, lo int, hi int, done boolean")
+    sums = stored(texts.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")), f"{s.name}-buckets")
+    mean = (sums.agg(F.sum("n")).first()[0] or 0) / (1 << BUCKET_BITS)
+    return [r.bucket for r in sums.filter(F.col("n") > max(64.0, CROWDED * mean)).select("bucket").collect()]
 
 
-def resolved(anchors: DataFrame) -> DataFrame:
-    """Stretches (doc, lo, hi) whose context occurred before; with `need`, anchors (doc, pos, h) for the closer look."""
-    rows = anchors.repartition("h").sortWithinPartitions("h", "c", "doc", "pos")
-
-    def settle(t: pa.Table) -> pa.RecordBatch:
-        h, c, doc, pos, lo, hi, done = (t.column(i).to_numpy() for i in range(7))
-        new_h, new_c = np.ones(len(h), bool), np.ones(len(h), bool)
-        new_h[1:] = h[1:] != h[:-1]
-        new_c[1:] = new_h[1:] | (c[1:] != c[:-1])
-        first = np.flatnonzero(new_c)[np.cumsum(new_c) - 1]
-        dup = done | _later(doc, pos, first)
-        group = np.cumsum(new_h) - 1
-        need = ~dup & (np.bincount(group, weights=new_c)[group] > 1)
-        out = dup | need
-        return _frame(doc=doc[out], lo=lo[out], hi=hi[out], pos=pos[out], h=h[out], need=need[out])
+def found_anchors(texts: DataFrame, s: Search) -> DataFrame:
+    """Anchors (h, context, doc, sub, spot) of all texts. spot packs position, 1 bit for settled, symbols before and after; the last are 0 for a settled stretch (start in spot, end in c)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
         for batch in batches:
-            if not batch.num_rows:
+            found = _anchors_of(batch, s)
+            if not found:
                 continue
-            h = batch.column(0).to_numpy()
-            cut = int(np.searchsorted(h, h[-1]))
-            if held and held[-1].column(0)[-1].as_py() != h[0] or cut:
-                # everything before the last key is complete
-                if cut:
-                    held.append(batch.slice(0, cut))
-                yield settle(pa.Table.from_batches(held))
-                held = []
-            held.append(batch.slice(cut))
-        if held:
+            h, c, doc, sub, pos, a, b = found
+            order = np.lexsort((pos, sub, doc, c, h))
+            h, c, doc, sub, pos, a, b = (x[order] for x in (h, c, doc, sub, pos, a, b))
+            head = _changes(h, c)
+            heads = np.flatnonzero(head)
+            group = np.cumsum(head) - 1
+            if s.elsewhere:
+                last = np.append(heads[1:], len(h)) - 1
+                many = (doc[heads] != doc[last]) | (sub[heads] != sub[last])
+                done = many[group]
+                on = ~done
+                on[heads] = on[last] = True
+            else:
+                first = heads[group]
+                done = (doc != doc[first]) | (sub != sub[first]) | (pos != pos[first])
+                on = ~done
+            spot = (pos << 16) | (done.astype(np.int64) << 15) | ((pos - a) << 8) | (b - pos)
+            yield _frame(h=h[on], c=c[on], doc=doc[on], sub=sub[on], spot=spot[on])
+            doc, sub, lo, hi = joined(doc[done], sub[done], a[done], b[done])
+            # settled stretches need no key: they are dealt by text
+            yield _frame(h=textkit.signed(textkit.mixed(doc.view(U) ^ textkit.mixed(sub.view(U)))), c=hi, doc=doc, sub=sub, spot=lo << 16)
+
+    return texts.mapInArrow(run, "h long, c long, doc long, sub long, spot long")
+
+
+def _by_key(batches: Iterator[pa.RecordBatch], settle: Callable[[pa.Table], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """settle() of tables that hold whole runs of equal first columns."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        h = batch.column(0).to_numpy()
+        cut = int(np.searchsorted(h, h[-1]))
+        if held and held[-1].column(0)[-1].as_py() != h[0] or cut:
+            # everything before the last key is complete
+            if cut:
+                held.append(batch.slice(0, cut))
             yield settle(pa.Table.from_batches(held))
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield settle(pa.Table.from_batches(held))
+
 
-    return rows.mapInArrow(run, "doc long, lo int, hi int, pos int, h long, need boolean")
+def resolved(anchors: DataFrame, crowded: list[int], s: Search) -> DataFrame:
+    """Stretches (doc, sub, lo, hi) of settled contexts; with `need`, anchors (doc, sub, pos, h) for the closer look."""
+    deal = F.when(F.col("h").bitwiseAND((1 << BUCKET_BITS) - 1).isin(crowded), F.xxhash64("h", "c")).otherwise(F.col("h")) if crowded else F.col("h")
+    rows = anchors.repartition(deal).sortWithinPartitions("h", "c", "doc", "sub", "spot")
+    full = np.zeros(1 << BUCKET_BITS, bool)
+    full[crowded] = True
 
+    def settle(t: pa.Table) -> pa.RecordBatch:
+        h, c, doc, sub, spot = (t.column(i).to_numpy() for i in range(5))
+        pos, before, after, done = spot >> 16, (spot >> 8) & 127, spot & 255, (spot >> 15) & 1 == 1
+        plain = after == 0
+        new_h = _changes(h)
+        new_c = _changes(h, c)
+        heads = np.flatnonzero(new_c)
+        of = np.cumsum(new_c) - 1
+        group = np.cumsum(new_h) - 1
+        several = (np.bincount(group, weights=new_c & ~plain)[group] > 1) | full[h & ((1 << BUCKET_BITS) - 1)]
+        first = heads[of]
+        if s.elsewhere:
+            last = np.append(heads[1:], len(h)) - 1
+            dup = ((doc[heads] != doc[last]) | (sub[heads] != sub[last]))[of] & ~plain
+            end = np.zeros(len(h), bool)
+            end[heads] = end[last] = True
+            cover, need = dup & ~done, ~plain & (end | ~dup) & several
+        else:
+            dup = (doc != doc[first]) | (sub != sub[first]) | (pos != pos[first])
+            cover, need = dup & ~plain, ~plain & ~dup & several
+        cover |= plain
+        lo, hi = np.where(plain, pos, pos - before), np.where(plain, c, pos + after)
+        at = np.concatenate([np.flatnonzero(cover), np.flatnonzero(need)])
+        kind = np.arange(len(at)) >= cover.sum()
+        return _frame(doc=doc[at], sub=sub[at], lo=lo[at].astype(np.int32), hi=hi[at].astype(np.int32), pos=pos[at].astype(np.int32), h=h[at], need=kind)
+
+    return rows.mapInArrow(lambda batches: _by_key(batches, settle), "doc long, sub long, lo int, hi int, pos int, h long, need boolean")
 
-def contexts(docs: DataFrame, found: DataFrame, symbols: Callable, width: int, k: int, pack: Callable) -> DataFrame:
-    """h, doc, pos, l, left, right of the anchors for the closer look; of keys beyond HOT, a row for each window with its l."""
-    need = found.filter("need").select("h", "doc", "pos")
-    hot = need.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT).select("h", F.lit(True).alias("hot"))
-    wanted = need.join(hot, "h", "left").groupBy("doc").agg(F.collect_list(F.struct("h", "pos", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("w"))
-    rows = docs.select(id_key().alias("id"), "text").join(wanted, F.col("id") == F.col("doc")).select("doc", "w", "text")
+
+_WANTED = "key long, doc long, sub long, pos int, a int, b int"
+
+
+def _with_texts(need: DataFrame, texts: DataFrame, s: Search, schema: str, make: Callable) -> DataFrame:
+    """make(out, i, symbols, text start, text end, salt, key, pos, a, b) for each wanted anchor, where its text is."""
+    wanted = need.groupBy("doc", "sub").agg(F.collect_set(F.struct("key", "pos", "a", "b")).alias("w"))  # a text's own anchors
+    once = texts.select(F.col("doc").alias("t_doc"), F.col("sub").alias("t_sub"), "salt", "text")
+    rows = once.join(wanted, (F.col("t_doc") == F.col("doc")) & (F.col("t_sub") == F.col("sub"))).select("doc", "sub", "salt", "w", "text")
+    names = [x.split()[0] for x in schema.split(", ")]
+    arrow = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    types = [arrow[x.split()[1]] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            wants = batch.column(1)
+            docs, subs, salts = (batch.column(i).to_pylist() for i in range(3))
+            wants = batch.column(3)
             offsets, inner = wants.offsets.to_numpy(), wants.values
-            keys, places, hots = (inner.field(i).to_numpy(zero_copy_only=False) for i in range(3))
-            out: dict = {n: [] for n in ("h", "doc", "pos", "l", "left", "right")}
-            for first, s in symbols(batch.column(2).to_pylist()):
-                for j in range(len(s.starts)):
+            keys, places, a, b = (inner.field(i).to_numpy() for i in range(4))
+            out: list[list] = [[] for _ in names]
+            for first, x in s.symbols(batch.column(4).to_pylist()):
+                for j in range(len(x.starts)):
                     i = first + j
-                    a, b = int(s.starts[j]), int(s.ends[j])
                     for q in range(int(offsets[i]), int(offsets[i + 1])):
-                        key, pos = int(keys[q]), int(places[q])
-                        at = a + pos
-                        if at + k > b:
-                            continue  # the anchor is one of another text with this id
-                        lo, hi = max(a, at - (width - k)), min(b, at + width)
-                        if hots[q]:
-                            starts = np.arange(lo, hi - width + 1)
-                            for x, l in zip(textkit.signed(s.hash(starts, starts + width, 7)).tolist(), (at - starts).tolist(), strict=True):
-                                _add(out, x ^ key, ids[i], pos, l, b"", b"")
-                        else:
-                            _add(out, key, ids[i], pos, -1, pack(s.values[lo:at][::-1]), pack(s.values[at:hi]))
-            yield pa.RecordBatch.from_arrays([pa.array(out["h"], pa.int64()), pa.array(out["doc"], pa.int64()), pa.array(out["pos"], pa.int32()), pa.array(out["l"], pa.int32()), pa.array(out["left"], pa.binary()), pa.array(out["right"], pa.binary())], names=list(out))
+                        make(out, (docs[i], subs[i]), x, int(x.starts[j]), int(x.ends[j]), salts[i], int(keys[q]), int(places[q]), int(a[q]), int(b[q]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def halves(need: DataFrame, texts: DataFrame, s: Search) -> DataFrame:
+    """The wanted anchors with their range of windows cut in two, either half under the hash of what its windows share."""
+
+    def make(out, text, x, start, end, salt, key, pos, a, b):
+        at, mid = start + pos, (a + b) // 2
+        for lo, hi in ((a, mid), (mid + 1, b)):
+            i, j = at - lo, at + s.width - hi
+            if i >= start and j <= end:  # else no window of this half lies in the text
+                h = x.hash(np.array([i]), np.array([j]), (lo + 1) * 4096 + hi)
+                made = int(textkit.signed(_salted(h, np.array([salt])))[0])
+                for column, v in zip(out, (made, *text, pos, lo, hi), strict=True):
+                    column.append(v)
+
+    return _with_texts(need, texts, s, _WANTED, make)
+
+
+def contexts(need: DataFrame, texts: DataFrame, s: Search) -> DataFrame:
+    """The wanted anchors with the symbols before them, reversed, and from them on."""
+
+    def make(out, text, x, start, end, salt, key, pos, a, b):
+        at = start + pos
+        lo, hi = max(start, at - b), min(end, at + s.width - a)
+        for column, v in zip(out, (key, *text, pos, a, b, s.pack(x.values[lo:at][::-1]), s.pack(x.values[at:hi])), strict=True):
+            column.append(v)
+
+    return _with_texts(need, texts, s, f"{_WANTED}, left binary, right binary", make)
+
+
+def equal_windows(leaves: DataFrame, s: Search) -> DataFrame:
+    """Stretches of keys that stand for one window each: all but the first, or all if two texts hold it."""
+    place = F.struct("doc", "sub", "pos")
+    if s.elsewhere:
+        sums = leaves.groupBy("key").agg(F.min(F.struct("doc", "sub")).alias("x"), F.max(F.struct("doc", "sub")).alias("y")).filter("x <> y").select("key")
+        hit = leaves.join(sums, "key", "left_semi")
+    else:
+        sums = leaves.groupBy("key").agg(F.min(place).alias("x"))
+        hit = leaves.join(sums, "key").filter(place > F.col("x"))
+    return hit.select("doc", "sub", (F.col("pos") - F.col("a")).alias("lo"), (F.col("pos") - F.col("a") + s.width).alias("hi"))
+
+
+def closer(found: DataFrame, texts: DataFrame, s: Search) -> DataFrame:
+    """Stretches (doc, sub, lo, hi) from the anchors whose keys have more than one context."""
+    need = found.filter("need").select(F.col("h").alias("key"), "doc", "sub", "pos", F.lit(0).alias("a"), F.lit(s.width - s.k).alias("b"))
+    ready, leaves = None, None
+    add = lambda x, y: y if x is None else x.unionByName(y)
+    while True:
+        hot = stored(need.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LIMIT).select("key"), f"{s.name}-hot")
+        if hot.isEmpty():
+            ready = add(ready, need)
+            break
+        ready = add(ready, need.join(hot, "key", "left_anti"))
+        # at most seven times: each turn halves the range
+        cut = stored(halves(need.join(hot, "key", "left_semi"), texts, s), f"{s.name}-halves")
+        leaves = add(leaves, cut.filter("a = b"))
+        need = cut.filter("a < b")
+    given = contexts(ready, texts, s).repartition("key").sortWithinPartitions("key", "doc", "sub", "pos")
 
-    return rows.mapInArrow(run, "h long, doc long, pos int, l int, left binary, right binary")
-
-
-def _add(out: dict, *values) -> None:
-    for column, v in zip(out.values(), values, strict=True):
-        column.append(v)
+    def settle(t: pa.Table) -> pa.RecordBatch:
+        key, doc, sub, pos, a, b = (t.column(i).to_numpy() for i in range(6))
+        group = np.cumsum(_changes(key)) - 1
+        rank, text = np.cumsum(_changes(key, doc, sub, pos)), np.cumsum(_changes(key, doc, sub))
+        before, after = s.judge(group, rank, text, a, b, t.column(6).to_pylist(), t.column(7).to_pylist())
+        out = after >= 0
+        return _frame(doc=doc[out], sub=sub[out], lo=(pos[out] - before[out]).astype(np.int32), hi=(pos[out] + after[out]).astype(np.int32))
 
+    out = given.mapInArrow(lambda batches: _by_key(batches, settle), "doc long, sub long, lo int, hi int")
+    return out if leaves is None else out.unionByName(equal_windows(leaves, s))
 
-def closer(rows: DataFrame, width: int, look: Callable) -> DataFrame:
-    """Stretches (doc, lo, hi). look(group, left, right) yields (l, class of the window that starts l before the anchor, or -1)."""
-    given = rows.repartition("h").sortWithinPartitions("h", "l", "doc", "pos")
 
-    def settle(t: pa.Table) -> pa.RecordBatch:
-        h, doc, pos, l = (t.column(i).to_numpy() for i in range(4))
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (l[1:] != l[:-1])
-        lo, hi = np.full(len(h), 1 << 30), np.full(len(h), -1)
-        first = np.flatnonzero(new)[np.cumsum(new) - 1]
-        dealt = (l >= 0) & _later(doc, pos, first)
-        lo[dealt], hi[dealt] = l[dealt], l[dealt]
-        whole = np.flatnonzero(l < 0)
-        if len(whole):
-            group = (np.cumsum(new) - 1)[whole]
-            left, right = t.column(4).take(whole).to_pylist(), t.column(5).take(whole).to_pylist()
-            d, p = doc[whole], pos[whole]
-            least, most = np.full(len(whole), 1 << 30), np.full(len(whole), -1)
-            for depth, cls in look(group, left, right):
-                valid = np.flatnonzero(cls >= 0)
-                _, where, back = np.unique(cls[valid], return_index=True, return_inverse=True)
-                of = valid[where[back]]
-                hit = valid[(d[valid] > d[of]) | (d[valid] == d[of]) & (p[valid] > p[of])]
-                least[hit] = np.minimum(least[hit], depth)
-                most[hit] = np.maximum(most[hit], depth)
-            lo[whole], hi[whole] = least, most
-        out = hi >= 0
-        return _frame(doc=doc[out], lo=(pos[out] - hi[out]).astype(np.int32), hi=(pos[out] - lo[out] + width).astype(np.int32))
+def by_classes(look: Callable, width: int, elsewhere: bool) -> Callable:
+    """A judge from look(group, left, right), which yields (l, class of the window that starts l before the anchor, or -1)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
+    def judge(group, rank, text, a, b, left, right):
+        least, most = np.full(len(group), width + 1), np.full(len(group), -1)
+        for l, cls in look(group, left, right):
+            valid = np.flatnonzero((cls >= 0) & (a <= l) & (l <= b))
+            if not len(valid):
                 continue
-            h = batch.column(0).to_numpy()
-            cut = int(np.searchsorted(h, h[-1]))
-            if held and held[-1].column(0)[-1].as_py() != h[0] or cut:
-                if cut:
-                    held.append(batch.slice(0, cut))
-                yield settle(pa.Table.from_batches(held))
-                held = []
-            held.append(batch.slice(cut))
-        if held:
-            yield settle(pa.Table.from_batches(held))
+            _, where, back = np.unique(cls[valid], return_index=True, return_inverse=True)
+            if elsewhere:
+                lo, hi = np.full(len(where), len(group)), np.full(len(where), -1)
+                np.minimum.at(lo, back, text[valid])
+                np.maximum.at(hi, back, text[valid])
+                hit = valid[(lo < hi)[back]]
+            else:
+                hit = valid[rank[valid] > rank[valid[where[back]]]]
+            least[hit] = np.minimum(least[hit], l)
+            most[hit] = np.maximum(most[hit], l)
+        return most, np.where(most >= 0, width - least, -1)
 
-    return given.mapInArrow(run, "doc long, lo int, hi int")
+    return judge
 
 
-def covered(docs: DataFrame, symbols: Callable, k: int, width: int, pack: Callable, look: Callable, name: str) -> DataFrame:
-    """doc and its covered stretches, an array of (lo, hi) that may overlap."""
-    found = stored(resolved(found_anchors(docs, symbols, k, width)), f"{name}-anchors")
-    near = closer(contexts(docs, found, symbols, width, k, pack), width, look)
-    return found.filter("not need").select("doc", "lo", "hi").unionByName(near).groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("stretches"))
+def covered(texts: DataFrame, s: Search) -> DataFrame:
+    """doc, sub and the covered stretches, an array of (lo, hi) that may overlap, of texts that have any."""
+    found = stored(resolved(found_anchors(texts, s), crowded_buckets(texts, s), s), f"{s.name}-anchors")
+    rows = found.filter("not need").select("doc", "sub", "lo", "hi").unionByName(closer(found, texts, s))
+    return rows.groupBy("doc", "sub").agg(F.collect_set(F.struct("lo", "hi")).alias("stretches"))  # a text's own stretches
 
 
 def merged(stretches: list | None, n: int) -> list[tuple[int, int]]:
@@ -279,13 +405,21 @@ def merged(stretches: list | None, n: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def applied(docs: DataFrame, stretches: DataFrame, fn: Callable[[str | None, list | None], tuple], schema: str) -> DataFrame:
-    """doc_id and what fn makes of each text and its covered stretches."""
-    rows = docs.select("doc_id", id_key().alias("id"), "text").join(stretches, F.col("id") == F.col("doc"), "left").select("doc_id", "text", "stretches")
+def applied(docs: DataFrame, stretches: DataFrame, fn: Callable[[str | None, list | None, bool], tuple], schema: str) -> DataFrame:
+    """doc_id and what fn makes of each text, its covered stretches, and whether an equal row came before."""
+    keyed = docs.select("doc_id", id_key().alias("doc"), F.xxhash64("text").alias("sub"), "text")
+    many = keyed.groupBy("doc", "sub").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc", "sub")
+    marks = stretches.select(F.col("doc").alias("s_doc"), F.col("sub").alias("s_sub"), "stretches")
+    rows = keyed.withColumn("again", F.lit(False))
+    if not many.isEmpty():
+        # only equal rows are numbered; which of them is the first is all one
+        turn = F.row_number().over(W.partitionBy("doc", "sub").orderBy("doc_id")) > 1
+        rows = rows.join(many, ["doc", "sub"], "left_anti").unionByName(keyed.join(many, ["doc", "sub"], "left_semi").withColumn("again", turn))
+    rows = rows.join(marks, (F.col("doc") == F.col("s_doc")) & (F.col("sub") == F.col("s_sub")), "left").select("doc_id", "text", "stretches", "again")
     names = [x.split()[0] for x in schema.split(", ")]
 
-    def run(ids, texts, found):
-        made = [fn(t, f) for t, f in zip(texts, found, strict=True)]
+    def run(ids, texts, found, again):
+        made = [fn(t, f, x) for t, f, x in zip(texts, found, again, strict=True)]
         return {"doc_id": ids} | {n: [m[i] for m in made] for i, n in enumerate(names)}
 
     return arrow_map(rows, run, f"doc_id long, {schema}")

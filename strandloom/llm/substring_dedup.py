@@ -1,12 +1,16 @@
-"""Substring deduplication over words by fixed windows at content-chosen anchors.
-
-A word goes if a window of WIDTH words that covers it also starts earlier in the corpus. Each window holds an anchor, a
-content-chosen phrase of ANCHOR words (repeats.py). An anchor whose whole surroundings occurred before is settled by a hash
-of them. Where they differ from those of every earlier anchor of its phrase, each window of WIDTH words around the
-anchor is compared with those of the phrase's other anchors. This stands in place of a relative Lempel-Ziv parse: no
-factor is grown, as each window is marked by itself.
-
-Null text has no words. Texts under WIDTH words keep all. An empty table gives an empty result.
+"""Substring deduplication over words by relative Lempel-Ziv parsing.
+
+A word goes if a window of WIDTH words that covers it also starts earlier in the corpus. Reference blocks are the
+surroundings of content-chosen phrases of ANCHOR words (repeats.py); every phrase that occurs in more than one of them is
+indexed. Each block is parsed against all earlier blocks of its phrase: the greedy factor from a start is the longest run
+of words that some one of them holds too, and it is grown word by word. The parse begins at the block's left end; at each
+factor boundary it goes on with the next start from which a factor reaches further, so that windows across a boundary
+are checked too. Factors of WIDTH words or more are duplicate spans. A block that occurred before as a whole is one
+factor, known by its fingerprint.
+
+Null text has no words. Texts under WIDTH words keep all. Rows that share or lack a doc_id are texts of their own, in the
+order of their hashes; of equal rows one is the first, the others are its copies. A very long text makes a step of its
+own. Other columns are not looked at. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,35 +39,58 @@ def pack(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).tobytes()
 
 
-def look(group: np.ndarray, left: list[bytes], right: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
-    """For each l, the class of the window that begins l words before the phrase: factors of one class are equal word for word."""
-    n = len(group)
-    before = np.array([len(x) // 8 for x in left])
-    after = np.array([len(x) // 8 for x in right])
+def blocks(left: list[bytes], right: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each block by number, the phrase from column BEFORE on, and how many stand before and from the phrase on."""
+    n = len(left)
+    before, after = np.array([len(x) // 8 for x in left]), np.array([len(x) // 8 for x in right])
     words = np.zeros((n, BEFORE + WIDTH), U)
     for i in range(n):
-        x = np.frombuffer(left[i], U)
-        words[i, BEFORE - len(x) : BEFORE] = x[::-1]
-        y = np.frombuffer(right[i], U)
-        words[i, BEFORE : BEFORE + len(y)] = y
-    _, named = np.unique(words, return_inverse=True)
-    named = named.reshape(words.shape).astype(np.int64)
-    for l in range(BEFORE + 1):
-        fits = np.flatnonzero((before >= l) & (after >= WIDTH - l))
-        cls = np.full(n, -1, np.int64)
-        if len(fits):
-            rows = np.column_stack([group[fits], named[fits, BEFORE - l : BEFORE - l + WIDTH]])
-            cls[fits] = np.unique(np.ascontiguousarray(rows).view(np.dtype((np.void, rows.dtype.itemsize * rows.shape[1]))).ravel(), return_inverse=True)[1]
-        yield l, cls
+        words[i, BEFORE - before[i] : BEFORE] = np.frombuffer(left[i], U)[::-1]
+        words[i, BEFORE : BEFORE + after[i]] = np.frombuffer(right[i], U)
+    return np.unique(words, return_inverse=True)[1].reshape(words.shape).astype(np.int64), before, after
+
+
+def parse(group, rank, text, a, b, left, right) -> tuple[np.ndarray, np.ndarray]:
+    """Words covered by factors of WIDTH words or more, before the phrase and from it on; -1 where there is none."""
+    words, before, after = blocks(left, right)
+    span = int(words.max(initial=0)) + 1
+    start, reach = np.full(len(group), -1), np.full(len(group), -1)
+    for l in range(BEFORE, -1, -1):
+        live = np.flatnonzero((a <= l) & (l <= b) & (before >= l) & (after >= WIDTH - l))
+        cls = group[live].astype(np.int64)
+        for j in range(BEFORE - l, BEFORE + WIDTH):
+            on = after[live] > j - BEFORE
+            live, cls = live[on], cls[on]
+            _, cls, count = np.unique(cls * span + words[live, j], return_inverse=True, return_counts=True)
+            shared = count[cls] > 1  # a block that no other follows so far neither has a factor here nor serves as reference
+            live, cls = live[shared], cls[shared]
+            if not len(live):
+                break
+            if (length := l + j - BEFORE + 1) < WIDTH:
+                continue
+            first = np.full(len(count), np.iinfo(np.int64).max)
+            np.minimum.at(first, cls, rank[live])
+            hit = live[first[cls] < rank[live]]  # the factor is held by an earlier block up to this word
+            if not len(hit):
+                break
+            start[hit] = np.maximum(start[hit], l)
+            reach[hit] = np.maximum(reach[hit], length - l)
+    return start, reach
+
+
+SEARCH = repeats.Search("substring", symbols, ANCHOR, WIDTH, pack, parse)
 
 
 def removed(docs: DataFrame) -> DataFrame:
-    """doc and its removed stretches of words."""
-    return repeats.covered(docs, symbols, ANCHOR, WIDTH, pack, look, "substring")
+    """doc, sub and the removed stretches of words."""
+    return repeats.covered(repeats.texts_of(docs), SEARCH)
 
 
-def cut(text: str | None, stretches: list | None) -> tuple[list[bytes], int]:
+def cut(text: str | None, stretches: list | None, again: bool = False) -> tuple[list[bytes], int]:
+    """The words that stay, and how many there were; of a row seen before all that a window covers goes."""
     words = (text or "").encode().split()
+    if again and len(words) >= WIDTH:
+        return [], len(words)
     kept, at = [], 0
     for a, b in repeats.merged(stretches, len(words)):
         kept += words[at:a]
@@ -71,14 +98,14 @@ def cut(text: str | None, stretches: list | None) -> tuple[list[bytes], int]:
     return kept + words[at:], len(words)
 
 
-def digest(text: str | None, stretches: list | None) -> tuple:
-    kept, n = cut(text, stretches)
+def digest(text: str | None, stretches: list | None, again: bool = False) -> tuple:
+    kept, n = cut(text, stretches, again)
     return n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """doc_id and the words that stay, joined by one space."""
-    return repeats.applied(docs, removed(docs), lambda t, s: (b" ".join(cut(t, s)[0]).decode(),), "text string")
+    return repeats.applied(docs, removed(docs), lambda t, s, again: (b" ".join(cut(t, s, again)[0]).decode(),), "text string")
 
 
 def digests(docs: DataFrame) -> DataFrame:

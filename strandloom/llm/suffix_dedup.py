@@ -1,12 +1,14 @@
 """Suffix-array deduplication of byte strings by deep-shallow sorting.
 
-A byte goes if a WIDTH-byte string that covers it also starts earlier in the corpus. Candidate suffixes come from
-repeats.py: those at content-chosen anchors whose context is not settled by an equal one. In each task they are ordered
-to the right of the anchor and, reversed, to its left: multikey quicksort to a shallow depth, all segments at once on
-eight-byte characters, then blind tries for what is still tied. Neighbouring common-prefix lengths of both orders give,
-for every window around an anchor, its class of equal windows.
-
-Null text counts as empty. Texts under WIDTH bytes keep all. An empty table gives an empty result.
+A byte goes if a WIDTH-byte string that covers it also starts earlier in the corpus. The suffixes that can repeat are
+those at content-chosen anchors (repeats.py); an equal context has one entry, and all distinct contexts of an anchor are
+ordered to the right of the anchor and, reversed, to its left: multikey quicksort to a shallow depth, all segments at
+once on eight-byte characters, then blind tries for what is still tied. Neighbouring common-prefix lengths of both orders
+give, for every window around an anchor, its class of equal windows.
+
+Null text counts as empty. Texts under WIDTH bytes keep all. Rows that share or lack a doc_id are texts of their own, in
+the order of their hashes; of equal rows one is the first, the others are its copies. A very long text makes a step of
+its own. Other columns are not looked at. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -167,15 +169,18 @@ def look(group: np.ndarray, left: list[bytes], right: list[bytes]) -> Iterator[t
         yield before, np.where((lsize >= before) & (rsize >= after), of_left * (n + 1) + of_right, -1)
 
 
+SEARCH = repeats.Search("suffix", symbols, ANCHOR, WIDTH, pack, repeats.by_classes(look, WIDTH, False))
+
+
 def removed(docs: DataFrame) -> DataFrame:
-    """doc and its removed stretches of bytes."""
-    return repeats.covered(docs, symbols, ANCHOR, WIDTH, pack, look, "suffix")
+    """doc, sub and the removed stretches of bytes."""
+    return repeats.covered(repeats.texts_of(docs), SEARCH)
 
 
-def cut(text: str | None, stretches: list | None) -> tuple[bytes, int, list[tuple[int, int]]]:
-    """The bytes that stay, how many there were, and the removed runs."""
+def cut(text: str | None, stretches: list | None, again: bool = False) -> tuple[bytes, int, list[tuple[int, int]]]:
+    """The bytes that stay, how many there were, and the removed runs; of a row seen before all that a window covers goes."""
     raw = (text or "").encode()
-    runs = repeats.merged(stretches, len(raw))
+    runs = [(0, len(raw))] if again and len(raw) >= WIDTH else repeats.merged(stretches, len(raw))
     kept, at = [], 0
     for a, b in runs:
         kept.append(raw[at:a])
@@ -184,14 +189,14 @@ def cut(text: str | None, stretches: list | None) -> tuple[bytes, int, list[tupl
     return b"".join(kept), len(raw), runs
 
 
-def digest(text: str | None, stretches: list | None) -> tuple:
-    kept, n, runs = cut(text, stretches)
+def digest(text: str | None, stretches: list | None, again: bool = False) -> tuple:
+    kept, n, runs = cut(text, stretches, again)
     return n, n - len(kept), len(runs), hashlib.sha256(kept).hexdigest()
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """doc_id and the text that stays; bytes of a character cut in two are dropped with it."""
-    return repeats.applied(docs, removed(docs), lambda t, s: (cut(t, s)[0].decode(errors="ignore"),), "text string")
+    return repeats.applied(docs, removed(docs), lambda t, s, again: (cut(t, s, again)[0].decode(errors="ignore"),), "text string")
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -17,65 +17,113 @@ from strandloom.llm.components import components
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-def covered(texts: dict, width: int) -> dict:
-    """For each id the symbols covered by a window that starts earlier."""
+def covered(rows: list, width: int) -> list[np.ndarray]:
+    """For each row (in the order that counts) the symbols covered by a window that starts earlier."""
     first: dict = {}
-    for i in sorted(texts):
-        for j in range(len(texts[i]) - width + 1):
-            first.setdefault(tuple(texts[i][j : j + width]), (i, j))
-    out = {}
-    for i, s in texts.items():
-        mark = np.zeros(len(s), bool)
-        for j in range(len(s) - width + 1):
-            if first[tuple(s[j : j + width])] < (i, j):
+    out = []
+    for i, symbols in enumerate(rows):
+        mark = np.zeros(len(symbols), bool)
+        for j in range(len(symbols) - width + 1):
+            if first.setdefault(tuple(symbols[j : j + width]), (i, j)) < (i, j):
                 mark[j : j + width] = True
-        out[i] = mark
+        out.append(mark)
     return out
 
 
-def key(row) -> int:
-    return LAST_ID if row[0] is None else row[0]
+def in_order(spark, rows: list[tuple]) -> list[tuple]:
+    """Rows by doc_id (null last) and the hash of the text."""
+    texts = sorted({r[1] for r in rows if r[1] is not None})
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "text string")
+    of = {r.text: r.h for r in df.selectExpr("text", "xxhash64(text) as h").collect()}
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, of[r[1]]))
 
 
 def runs(mark: np.ndarray) -> int:
     return int((np.diff(np.concatenate([[0], mark.astype(int)])) == 1).sum())
 
 
-def test_suffix_dedup_equals_brute_force(docs, corpus):
-    raw = {key(r): (r[1] or "").encode() for r in corpus}
-    marks = covered(raw, 100)
-    got = suffix_dedup.digests(docs).collect()
-    assert len(got) == len(corpus)
-    for r in got:
-        m, b = marks[key(r)], np.frombuffer(raw[key(r)], np.uint8)
-        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(b), int(m.sum()), runs(m), hashlib.sha256(b[~m].tobytes()).hexdigest())
+def some_ids(docs, corpus, spark):
+    """The corpus with rows that share or lack an id: three texts without one, an id with two texts, equal rows."""
+    passage = next(r[1] for r in corpus if r[0] is None)
+    more = [(None, passage + " and more of it"), (None, " ".join(f"only{i}" for i in range(60))), (None, passage), (4, " ".join(f"else{i}" for i in range(60))), (4, passage)]
+    more = [(*r, "en", "s", 1) for r in more]
+    return docs.unionByName(spark.createDataFrame(more, docs.schema)), [*corpus, *more]
 
 
-def test_substring_dedup_equals_brute_force(docs, corpus):
-    words = {key(r): WORD.findall((r[1] or "").encode()) for r in corpus}
-    marks = covered(words, 20)
-    got = substring_dedup.digests(docs).collect()
-    assert len(got) == len(corpus)
-    for r in got:
-        w, m = words[key(r)], marks[key(r)]
+def check_suffix(spark, docs, rows):
+    raw = [(r[1] or "").encode() for r in in_order(spark, rows)]
+    want = []
+    for r, b, m in zip(in_order(spark, rows), raw, covered(raw, 100), strict=True):
+        b = np.frombuffer(b, np.uint8)
+        want.append((r[0], len(b), int(m.sum()), runs(m), hashlib.sha256(b[~m].tobytes()).hexdigest()))
+    got = [tuple(r) for r in suffix_dedup.digests(docs).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def check_substring(spark, docs, rows):
+    ordered = in_order(spark, rows)
+    words = [WORD.findall((r[1] or "").encode()) for r in ordered]
+    want = []
+    for r, w, m in zip(ordered, words, covered(words, 20), strict=True):
         kept = b" ".join(x for x, gone in zip(w, m, strict=True) if not gone)
-        assert (r.n_words, r.n_removed, r.kept_sha256) == (len(w), int(m.sum()), hashlib.sha256(kept).hexdigest())
+        want.append((r[0], len(w), int(m.sum()), hashlib.sha256(kept).hexdigest()))
+    got = [tuple(r) for r in substring_dedup.digests(docs).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+CHECKS = {suffix_dedup: check_suffix, substring_dedup: check_substring}
+
 
+@pytest.mark.parametrize("module", CHECKS)
+def test_dedup_equals_brute_force(spark, docs, corpus, module):
+    CHECKS[module](spark, docs, corpus)
 
-@pytest.mark.parametrize("module", [suffix_dedup, substring_dedup])
-def test_keys_with_very_many_contexts_give_the_same(docs, module, monkeypatch):
-    want = sorted(map(str, module.digests(docs).collect()))
-    monkeypatch.setattr(repeats, "HOT", 1)
-    assert sorted(map(str, module.digests(docs).collect())) == want
 
+@pytest.mark.parametrize("module", CHECKS)
+def test_rows_that_share_or_lack_an_id_are_texts_of_their_own(spark, docs, corpus, module):
+    CHECKS[module](spark, *some_ids(docs, corpus, spark))
 
-@pytest.mark.parametrize("module", [suffix_dedup, substring_dedup])
+
+@pytest.mark.parametrize("limit", [1, 3])
+@pytest.mark.parametrize("module", CHECKS)
+def test_keys_with_many_contexts_are_dealt_anew(spark, docs, corpus, module, limit, monkeypatch):
+    monkeypatch.setattr(repeats, "LIMIT", limit)
+    CHECKS[module](spark, *some_ids(docs, corpus, spark))
+
+
+@pytest.mark.parametrize("module", CHECKS)
+def test_crowded_buckets_are_dealt_by_context(spark, docs, corpus, module, monkeypatch):
+    monkeypatch.setattr(repeats, "crowded_buckets", lambda *_: list(range(0, 1 << 16, 2)))
+    CHECKS[module](spark, *some_ids(docs, corpus, spark))
+
+
+@pytest.mark.parametrize("module", CHECKS)
+def test_dedup_of_very_long_texts(spark, module):
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(5000)}" for _ in range(60_000)]  # some 350 KB: more than one step holds
+    texts = [" ".join(words), " ".join(words[1000:1200]), "x " * 150_000, " ".join(words[59_000:] + words[:300])]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    CHECKS[module](spark, spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"), rows)
+
+
+@pytest.mark.parametrize("module", CHECKS)
 def test_dedup_of_nothing_and_of_clashing_columns(docs, empty, extra, module):
     assert module.digests(empty).collect() == []
     assert sorted(map(str, module.digests(extra).collect())) == sorted(map(str, module.digests(docs).collect()))
     assert module.deduplicated(docs).count() == docs.count()
 
 
+def test_factors_are_the_longest_and_cross_their_boundaries():
+    words = lambda *x: np.array(x, np.uint64).tobytes()
+    phrase = tuple(range(100, 106))
+    # the third block is half of the first and half of the second: a factor to the left, one to the right
+    left = [words(*range(14)), words(*range(20, 34)), words(*range(14))]
+    right = [words(*phrase, *range(200, 214)), words(*phrase, *range(300, 314)), words(*phrase, 200, 201, *range(302, 314))]
+    none = np.zeros(3, int)
+    start, reach = substring_dedup.parse(none, np.arange(3), np.arange(3), none, none + 14, left, right)
+    assert start.tolist() == [-1, -1, 14] and reach.tolist() == [-1, -1, 8]
+
+
 def test_deep_shallow_order_is_the_sorted_order():
     rng = random.Random(1)
     strings = [bytes(rng.choices(b"ab", k=100)) for _ in range(50)] + [b"a" * 100] * 3 + [b"a" * 60 + bytes(rng.choices(b"ab", k=40)) for _ in range(60)]
@@ -171,9 +219,9 @@ def test_short_texts_in_another_order_are_no_near_copies(spark):
 
 
 def test_joined_stretches_of_two_texts_under_one_id():
-    doc, lo, hi = (np.array(x) for x in ([7, 7, 7, 7, 9, 9], [17, 12, 150, 200, 3, 5], [120, 180, 160, 210, 9, 8]))
-    assert [x.tolist() for x in repeats.joined(doc, lo, hi)] == [[7, 7, 9], [12, 200, 3], [180, 210, 9]]
-    assert [x.tolist() for x in repeats.joined(doc[:0], lo[:0], hi[:0])] == [[], [], []]
+    doc, sub, lo, hi = (np.array(x) for x in ([7, 7, 7, 7, 9, 9, 9], [1, 1, 2, 1, 1, 1, 1], [17, 12, 150, 200, 3, 5, 9], [120, 180, 160, 210, 9, 8, 12]))
+    assert [x.tolist() for x in repeats.joined(doc, sub, lo, hi)] == [[7, 7, 7, 9], [1, 1, 2, 1], [12, 200, 150, 3], [180, 210, 160, 12]]
+    assert [x.tolist() for x in repeats.joined(doc[:0], sub[:0], lo[:0], hi[:0])] == [[], [], [], []]
 
 
 def test_components_of_paths_stars_and_loops(spark):
