@@ -6,15 +6,15 @@ deadline, ties to the first source by name. On one sequence this meets all deadl
 source is less than one block from its weight's share (but for EPSILON slots, which cover the rounding of fractions).
 
 Shares hold until a source runs out. From the next slot on the others are scheduled anew, with their proportions to each
-other; every document is placed once: none is dropped or repeated.
+other; every document is placed once: none is dropped or repeated. Sources of weight 0, and those that the weights do not
+name, get no slot before all others have run out; then they share alike.
 
 One task goes through all slots, a slot for each block and a step over the sources for each slot; it keeps one integer a
-slot, and the counts of the sources for each CHUNK slots, from which blocks and positions are worked out in parallel. A
-source without a weight gets the weight of one slot in `period`.
+slot, and the counts of the sources for each CHUNK slots, from which blocks and positions are worked out in parallel.
 
 A null source counts as the empty name. Documents with equal ids take hash order, then the order of their texts; equal
-rows are interchangeable. Other columns are passed through, whatever their names, except for those named in ADDED, which
-are replaced. An empty table gives an empty result.
+rows are interchangeable. Texts are passed through unread. Other columns are passed through, whatever their names, except
+for those named in ADDED, which are replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,15 +33,15 @@ CHUNK = 1000
 EPSILON = 1e-6
 
 
-def shares(docs: DataFrame, weights: Mapping[str, float] | None, period: int, power: float) -> DataFrame:
+def shares(docs: DataFrame, weights: Mapping[str, float] | None, power: float) -> DataFrame:
     """mix_source, n documents and q, its weight. Without weights a source's weight is its count to the given power."""
     counts = docs.groupBy(F.coalesce("source", F.lit("")).alias("mix_source")).agg(F.count(F.lit(1)).alias("n"))
     if weights is None:
         return counts.withColumn("q", F.pow(F.col("n").cast("double"), F.lit(float(power))))
+    if any(not 0 <= float(v) < float("inf") for v in weights.values()):
+        raise ValueError("weights must be finite and not negative")
     table = F.create_map(*[F.lit(x) for k, v in weights.items() for x in (k, float(v))]) if weights else F.lit(None).cast("map<string,double>")
-    weighed = counts.withColumn("w", F.greatest(F.coalesce(table[F.col("mix_source")], F.lit(0.0)), F.lit(0.0)))
-    total = F.sum("w").over(W.partitionBy(F.lit(0)))  # a row for each source
-    return weighed.select("mix_source", "n", F.when(F.col("w") > 0, F.col("w")).when(total > 0, total / period).otherwise(1.0).alias("q"))
+    return counts.withColumn("q", F.coalesce(table[F.col("mix_source")], F.lit(0.0)))
 
 
 def schedule(shared: DataFrame, block: int | None = None) -> DataFrame:
@@ -50,22 +50,25 @@ def schedule(shared: DataFrame, block: int | None = None) -> DataFrame:
     size = block or 1
     blocks = f"(x.n + {size - 1}) div {size}" if block else f"{2**62}L"
     slots = "aggregate(bs, 0L, (a, b) -> a + b)" if block else "cast(aggregate(ws, 0D, (a, w) -> a + w) as bigint)"
-    one = one.selectExpr("s", "transform(s, x -> x.n) as ns", "transform(s, x -> cast(x.q as double)) as ws", f"transform(s, x -> {blocks}) as bs")
-    one = one.selectExpr("*", f"{slots} as slots", "aggregate(ws, 0D, (a, w) -> a + w) as total")
+    one = one.selectExpr("s", "transform(s, x -> x.n) as ns", "transform(s, x -> cast(x.q as double)) as qs", f"transform(s, x -> {blocks}) as bs")
+    # sources without weight are late: they wait for the others, and share alike
+    one = one.selectExpr("*", "transform(qs, q -> if(q > 0, q, 1D)) as ws", "transform(qs, q -> not q > 0) as late")
+    one = one.selectExpr("*", f"{slots} as slots", "exists(late, x -> not x) as weighed", "aggregate(qs, 0D, (a, q) -> a + q) as total")
     waiting = f"""filter(transform(ws, (w, i) -> struct(
                     cast(ceil((r.done[i] + 1 - r.base[i]) * r.whole / w - {EPSILON}) as bigint) as due, i as i,
-                    cast(floor((r.done[i] - r.base[i]) * r.whole / w + {EPSILON}) as bigint) as released)), x -> r.done[x.i] < bs[x.i])"""
+                    cast(floor((r.done[i] - r.base[i]) * r.whole / w + {EPSILON}) as bigint) as released)), x -> r.done[x.i] < bs[x.i] and late[x.i] = r.late)"""
     picked = f"transform(array({waiting}), v -> coalesce(array_min(filter(v, x -> x.released <= t - r.since)), array_min(v)))"
     # when a source runs out, the counts from which the others' blocks are timed begin here
+    rest = "exists(sequence(0, size(ws) - 1), j -> not late[j] and m[j] < bs[j])"
+    anew = f"transform(array(not {rest}), z -> struct(m as done, m as base, t + 1 as since, aggregate(sequence(0, size(ws) - 1), 0D, (a, j) -> a + if(m[j] < bs[j] and late[j] = z, ws[j], 0D)) as whole, z as late, concat(r.picks, array(g.i)) as picks))[0]"
     step = f"""transform({picked}, g -> transform(array(transform(r.done, (d, j) -> if(j = g.i, d + 1, d))), m ->
-                 if(m[g.i] < bs[g.i], struct(m as done, r.base as base, r.since as since, r.whole as whole, concat(r.picks, array(g.i)) as picks),
-                    struct(m as done, m as base, t + 1 as since, aggregate(sequence(0, size(ws) - 1), 0D, (a, j) -> a + if(m[j] < bs[j], ws[j], 0D)) as whole, concat(r.picks, array(g.i)) as picks)))[0])[0]"""
+                 if(m[g.i] < bs[g.i], struct(m as done, r.base as base, r.since as since, r.whole as whole, r.late as late, concat(r.picks, array(g.i)) as picks), {anew}))[0])[0]"""
     none = "cast(array() as array<int>)"
     chunk = f"aggregate(sequence(c * {CHUNK}, least((c + 1) * {CHUNK}, slots) - 1), o.now, (r, t) -> {step})"
-    start = f"""struct(struct(transform(ws, w -> 0L) as done, transform(ws, w -> 0L) as base, 0L as since, total as whole, {none} as picks) as now,
+    start = f"""struct(struct(transform(ws, w -> 0L) as done, transform(ws, w -> 0L) as base, 0L as since, if(weighed, total, cast(size(ws) as double)) as whole, not weighed as late, {none} as picks) as now,
                 cast(array() as array<struct<first:bigint,done:array<bigint>,picks:array<int>>>) as chunks)"""
     outer = f"""aggregate(sequence(0L, (slots - 1) div {CHUNK}), {start}, (o, c) -> transform(array({chunk}), e -> struct(
-                struct(e.done as done, e.base as base, e.since as since, e.whole as whole, {none} as picks) as now,
+                struct(e.done as done, e.base as base, e.since as since, e.whole as whole, e.late as late, {none} as picks) as now,
                 concat(o.chunks, array(struct(c * {CHUNK} as first, o.now.done as done, e.picks as picks))) as chunks))[0]).chunks"""
     chunks = one.selectExpr("s", "ns", f"explode({outer}) as c").repartition("c.first")
     placed = f"aggregate(zip_with(c.done, ns, (d, n) -> least(d * {size}, n)), 0L, (a, x) -> a + x)"
@@ -76,30 +79,31 @@ def schedule(shared: DataFrame, block: int | None = None) -> DataFrame:
     return each.select("mix_source", "k", "at", (F.col("placed") + F.coalesce(before, F.lit(0))).alias("start"))
 
 
-def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, *, block: int = 16, period: int = 1000, power: float = 0.5, seed: str = "mix") -> DataFrame:
+def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, *, block: int = 16, power: float = 0.5, seed: str = "mix") -> DataFrame:
     """docs with block (of its source), slot and position (0-based, in the mixed order)."""
     docs = docs.drop(*ADDED)
-    h = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    source = F.coalesce("source", F.lit(""))
-    narrow = docs.select(source.alias("mix_source"), F.substring(h, 1, BUCKET_HEX).alias("mix_bucket"))
+    # the columns of docs travel in a struct, so that no name of theirs meets one of these
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce("source", F.lit("")).alias("mix_source"),
+        F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("mix_hash"),
+    ).withColumn("mix_bucket", F.substring("mix_hash", 1, BUCKET_HEX))
     earlier = W.partitionBy("mix_source").orderBy("mix_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = narrow.groupBy("mix_source", "mix_bucket").agg(F.count(F.lit(1)).alias("mix_n")).select(
+    offsets = rows.groupBy("mix_source", "mix_bucket").agg(F.count(F.lit(1)).alias("mix_n")).select(
         F.col("mix_source").alias("o_source"), F.col("mix_bucket").alias("o_bucket"), "mix_n", F.coalesce(F.sum("mix_n").over(earlier), F.lit(0)).alias("mix_offset")
     )
-    plan = schedule(shares(docs, weights, period, power), block)
+    plan = schedule(shares(docs, weights, power), block)
     # the blocks of a bucket follow each other: the bucket's row holds their slots and starts
     spans = offsets.withColumn("o_block", F.explode(F.expr(f"sequence(mix_offset div {block}, (mix_offset + mix_n - 1) div {block})")))
     spots = spans.join(plan, (F.col("o_source") == F.col("mix_source")) & (F.col("o_block") == F.col("k"))).groupBy("o_source", "o_bucket").agg(
         F.first("mix_offset").alias("mix_offset"), F.sort_array(F.collect_list(F.struct("o_block", "at", "start"))).alias("mix_spots")
     )
-    inside = W.partitionBy("mix_source", "mix_bucket").orderBy("mix_hash", "doc_id", F.col("text") if "text" in docs.columns else F.lit(0))
-    rows = docs.withColumns({"mix_source": source, "mix_hash": h}).withColumn("mix_bucket", F.substring("mix_hash", 1, BUCKET_HEX))
+    text = F.col("row.text") if "text" in docs.columns else F.lit(0)
+    inside = W.partitionBy("mix_source", "mix_bucket").orderBy("mix_hash", F.col("row.doc_id"), text)
     rows = rows.withColumn("mix_rank", F.row_number().over(inside) - 1)
     rows = rows.join(spots, (F.col("mix_source") == F.col("o_source")) & (F.col("mix_bucket") == F.col("o_bucket"))).withColumn("mix_rank", F.col("mix_rank") + F.col("mix_offset"))
-    rows = rows.withColumn("block", F.floor(F.col("mix_rank") / block).cast("long"))
-    rows = rows.withColumn("mix_spot", F.expr("mix_spots[cast(block - mix_spots[0].o_block as int)]"))
-    rows = rows.withColumns({"slot": F.col("mix_spot.at"), "position": F.col("mix_spot.start") + F.col("mix_rank") % block})
-    return rows.select(*docs.columns, *ADDED)
+    rows = rows.withColumn("mix_block", F.floor(F.col("mix_rank") / block).cast("long"))
+    rows = rows.withColumn("mix_spot", F.expr("mix_spots[cast(mix_block - mix_spots[0].o_block as int)]"))
+    return rows.select("row.*", F.col("mix_block").alias("block"), F.col("mix_spot.at").alias("slot"), (F.col("mix_spot.start") + F.col("mix_rank") % block).alias("position"))
 
 
 def laid_out(mixed: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """MinHash near-duplicate detection with bottom-k sketches from one hash function.
 
-Texts with one lower-cased word sequence form a class, whose smallest doc_id stands for it. Its sketch is the K smallest
-shingle hashes. Of two documents with similarity 0.8 the sketches share at least AGREE of K values, but for a chance of
+Texts with one lower-cased word sequence form a class, a node of its own whatever the ids of its rows. Its sketch is the K
+smallest shingle hashes. Of two documents with similarity 0.8 the sketches share at least AGREE of K values, but for a chance of
 5e-6 where one set lies within the other and below 1e-8 where the sets are of one size or the similarity is 0.85. So of
 its values each document enters only its K - AGREE + 1 rarest in the inverted lists: two linked documents still meet in
 a list, while shingles common to the corpus head no list. A set of under K shingles is its own sketch and takes the
@@ -15,8 +15,9 @@ Lists and groups beyond BLOCK members are dealt in blocks, each with the same LE
 join to the group's largest part by then is held against every block. A large group of near copies so costs what its
 size is, and only members that belong to no such part cost a pass over the group for each BLOCK of them.
 
-Null or empty texts have no shingles and no links. Rows that share a doc_id are one document, linked by any of its
-texts; rows without doc_id are one document after all others. An empty table gives an empty result.
+Null or empty texts have no shingles and no links. Rows that share or lack a doc_id are linked by their own texts only; an
+id never joins two groups. A group's component_id is the smallest id in it, null if no row has one; of such a group the
+rows of the smallest text hash are kept. Other columns are not looked at. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,13 +28,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import textkit
 from .common import LAST_ID, arrow_map, id_key, stored
 from .components import components
 
-K, AGREE, LOOSE, BLOCK, LEADERS = 64, 36, 0.45, 4096, 64
+K, AGREE, LOOSE, BLOCK, LEADERS = 64, 36, 0.52, 4096, 64
 U = np.uint64
 
 
@@ -59,17 +61,17 @@ def shingle_sets(texts: list[str | None], width: int) -> Iterator[tuple[bytes, n
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, node, cls, n (set size) and sketch of each document."""
+    """doc_id, sub (hash of the text), cls, n (set size) and sketch of each row."""
 
-    def run(ids, nodes, texts):
-        out: dict = {"doc_id": ids, "node": nodes, "cls": [], "n": [], "sketch": []}
+    def run(ids, subs, texts):
+        out: dict = {"doc_id": ids, "sub": subs, "cls": [], "n": [], "sketch": []}
         for digest, values in shingle_sets(texts, width):
             out["cls"].append(digest)
             out["n"].append(len(values))
             out["sketch"].append(textkit.signed(values[:K]))
         return out
 
-    return arrow_map(docs.select("doc_id", id_key().alias("node"), "text"), run, "doc_id long, node long, cls binary, n long, sketch array<long>")
+    return arrow_map(docs.select("doc_id", F.xxhash64("text").alias("sub"), "text"), run, "doc_id long, sub long, cls binary, n long, sketch array<long>")
 
 
 def postings(reps: DataFrame) -> DataFrame:
@@ -229,38 +231,52 @@ def edges_of(rows: DataFrame, membership: DataFrame, key: str, values: str, link
     return first.unionByName(joined).unionByName(late).distinct()
 
 
-def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each document: components of links of at least `percent` similarity."""
+def groups(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, sub, n_shingles, component_id and low of each row; low is the hash of the text that stands for the group."""
     if percent < 80:
         raise ValueError("AGREE and LOOSE hold for similarities of 0.8 or more")
     held = stored(sketches(docs, width), "sketches")
     full = held.filter("n > 0")
-    reps = stored(full.groupBy("cls").agg(F.min(F.struct("node", "n", "sketch")).alias("r")).select("cls", "r.*"), "classes")
-    halves = reps.select("node", F.transform("sketch", lambda v: F.shiftright(v, 32).cast("int")).alias("sketch"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sub", "n", "sketch")).alias("r")
+    # numbered once, as it is written
+    reps = stored(full.groupBy("cls").agg(first).select("cls", F.monotonically_increasing_id().alias("node"), "r.*"), "classes")
+    tops = reps.select("node", F.transform("sketch", lambda v: F.shiftright(v, 32).cast("int")).alias("sketch"))
     index = stored(postings(reps), "postings")
-    coarse = components(edges_of(index.join(halves, "node"), index, "value", "sketch", by_sketch))
+    coarse = components(edges_of(index.join(tops, "node"), index, "value", "sketch", by_sketch))
 
     def sets(nodes, groups, texts):
-        values = [textkit.signed(v) for _, v in shingle_sets(texts, width)]
-        return {"node": nodes, "component": groups, "values": values}
-
-    chosen = docs.select(id_key().alias("id"), "text").join(coarse, F.col("id") == F.col("node")).select("node", "component", "text")
-    whole = arrow_map(chosen, sets, "node long, component long, values array<long>")
-    links = edges_of(whole.withColumnRenamed("component", "group_id"), coarse.withColumnRenamed("component", "group_id"), "group_id", "values", by_set(percent))
-    same = full.join(reps.select("cls", F.col("node").alias("rep")), "cls").select("doc_id", "node", "rep", "n")
-    # rows that share an id join their classes as well
-    many = full.groupBy("node").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).filter("x <> y").select("node")
-    shared = same.join(many, "node", "left_semi").select(F.col("node").alias("a"), F.col("rep").alias("b"))
-    found = components(links.unionByName(shared))
-    rows = same.join(found.withColumnRenamed("node", "rep_node"), F.col("rep") == F.col("rep_node"), "left")
-    rows = rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
-    none = held.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("node").alias("component_id"))
-    out = rows.unionByName(none)
-    return out.select("doc_id", "n_shingles", F.nullif("component_id", F.lit(LAST_ID)).alias("component_id"), (id_key() == F.col("component_id")).alias("kept"))
+        own = [i for i, n in enumerate(nodes) if not i or nodes[i - 1] != n]  # equal rows stand next to each other
+        values = [textkit.signed(v) for _, v in shingle_sets([texts[i] for i in own], width)]
+        return {"node": [nodes[i] for i in own], "group_id": [groups[i] for i in own], "values": values}
+
+    coarse = coarse.withColumnRenamed("component", "group_id")
+    wanted = coarse.join(reps.select("node", F.coalesce("doc_id", F.lit(LAST_ID)).alias("w_id"), F.col("sub").alias("w_sub")), "node")
+    chosen = docs.select(id_key().alias("id"), F.xxhash64("text").alias("sub"), "text").join(wanted, (F.col("id") == F.col("w_id")) & (F.col("sub") == F.col("w_sub")))
+    whole = arrow_map(chosen.select("node", "group_id", "text"), sets, "node long, group_id long, values array<long>")
+    found = components(edges_of(whole, coarse, "group_id", "values", by_set(percent)))
+    named = reps.select("cls", F.col("node").alias("n1"), F.struct("no_id", "doc_id", "sub").alias("best")).join(found, F.col("n1") == F.col("node"), "left").select("cls", "best", F.coalesce("component", "n1").alias("component"))
+    best = named.groupBy("component").agg(F.min("best").alias("best"))
+    labels = named.select("cls", "component").join(best, "component").select("cls", F.col("best.doc_id").alias("component_id"), F.col("best.sub").alias("low"))
+    rows = full.select("doc_id", "sub", "cls", F.col("n").alias("n_shingles")).join(labels, "cls").drop("cls")
+    return rows.unionByName(held.filter("n = 0").select("doc_id", "sub", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("sub").alias("low")))
+
+
+def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of each row: components of links of at least `percent` similarity."""
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull() & (F.col("sub") == F.col("low")))
+    return groups(docs, width, percent).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
 def first_of_group(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs that near_duplicates() keeps, with their own columns. Documents without doc_id stay if nothing with one is linked to them."""
-    gone = near_duplicates(docs, width=width, percent=percent).filter(~F.coalesce("kept", F.col("component_id").isNull())).select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("gone_id")).distinct()
-    rows = docs.withColumn("near_id", id_key())
-    return rows.join(gone, F.col("near_id") == F.col("gone_id"), "left_anti").select(*docs.columns)
+    """One row of docs for each group, with its own columns: of the smallest id its smallest text hash, of equal rows any. Rows without words all stay."""
+    rows = stored(groups(docs, width, percent).select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("g_id"), F.col("sub").alias("g_sub"), (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("sub") == F.col("low"))).alias("first"), (F.col("n_shingles") > 0).alias("words")), "grouped")
+    gone = rows.filter("not first").select("g_id", "g_sub").distinct()
+    again = rows.filter("first and words").groupBy("g_id", "g_sub").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("g_id", "g_sub")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), id_key().alias("id"), F.xxhash64("text").alias("sub"))
+    own = (F.col("id") == F.col("g_id")) & (F.col("sub") == F.col("g_sub"))
+    kept = keyed.join(gone, own, "left_anti")
+    if not again.isEmpty():
+        turn = F.row_number().over(W.partitionBy("id", "sub").orderBy(F.to_json("row")))
+        one = kept.join(again, own, "left_semi").withColumn("turn", turn).filter("turn = 1").drop("turn")
+        kept = kept.join(again, own, "left_anti").unionByName(one)
+    return kept.select("row.*")

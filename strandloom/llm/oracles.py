@@ -7,6 +7,35 @@ from .quality_rules import COMMON_WORDS
 _WORD = r"[^\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: Slot by slot; the counts from which the others are timed (base, since, whole) begin anew when a source runs out.
+MIXING = """
+WITH RECURSIVE counts AS (
+  SELECT coalesce(source, '') AS src, count(*) AS n, pow(CAST(count(*) AS DOUBLE), 0.5) AS w FROM documents GROUP BY 1
+), shares AS (SELECT src, n, w, (n + 15) // 16 AS b, row_number() OVER (ORDER BY src) - 1 AS i FROM counts),
+total AS (SELECT CAST(sum(b) AS BIGINT) AS slots, list(n ORDER BY i) AS ns, list(w ORDER BY i) AS ws, list(b ORDER BY i) AS bs FROM shares),
+run(t, done, base, since, whole, pick) AS (
+  SELECT CAST(0 AS BIGINT), list(CAST(0 AS BIGINT) ORDER BY i), list(CAST(0 AS BIGINT) ORDER BY i), CAST(0 AS BIGINT), sum(w), CAST(-1 AS BIGINT) FROM shares
+  UNION ALL
+  SELECT t + 1, made, CASE WHEN made[p + 1] < bs[p + 1] THEN base ELSE made END, CASE WHEN made[p + 1] < bs[p + 1] THEN since ELSE t + 1 END,
+         CASE WHEN made[p + 1] < bs[p + 1] THEN whole ELSE coalesce(list_sum(list_transform(ws, lambda w, j: CASE WHEN made[j] < bs[j] THEN w ELSE 0 END)), 0) END, p
+  FROM (
+    SELECT *, list_transform(done, lambda d, j: CASE WHEN j - 1 = p THEN d + 1 ELSE d END) AS made FROM (
+      SELECT run.t, run.done, run.base, run.since, run.whole, total.ws, total.bs, (
+        SELECT arg_min(s.i, struct_pack(late := floor((run.done[s.i + 1] - run.base[s.i + 1]) * run.whole / s.w + 1e-6) > run.t - run.since,
+                                        due := ceil((run.done[s.i + 1] + 1 - run.base[s.i + 1]) * run.whole / s.w - 1e-6), i := s.i))
+        FROM shares s WHERE run.done[s.i + 1] < s.b) AS p
+      FROM run, total WHERE run.t < total.slots
+    ) x
+  ) y
+), plan AS (
+  SELECT t - 1 AS at, pick AS i, done[pick + 1] - 1 AS k, list_transform(done, lambda d, j: CASE WHEN j - 1 = pick THEN d - 1 ELSE d END) AS before FROM run WHERE pick >= 0
+), ranked AS (
+  SELECT doc_id, source, coalesce(source, '') AS src, row_number() OVER (PARTITION BY coalesce(source, '') ORDER BY md5('mix' || CAST(doc_id AS VARCHAR)), doc_id) - 1 AS r FROM documents
+)
+SELECT r.doc_id, r.source, r.r // 16 AS block, p.at AS slot, CAST(list_sum(list_transform(ns, lambda n, j: least(n, 16 * p.before[j]))) + r.r % 16 AS BIGINT) AS position
+FROM ranked r JOIN shares s ON s.src = r.src JOIN plan p ON p.i = s.i AND p.k = r.r // 16 CROSS JOIN total
+"""
+
 SUFFIX_DEDUP = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 chunks AS (SELECT doc_id, c, length(h) // 2 AS n, substr(h, 1000 * c + 1, 1198) AS part FROM (SELECT doc_id, h, unnest(range(0, length(h) // 1000 + 1)) AS c FROM d) x),

@@ -11,7 +11,7 @@ from .common import read
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "source"), block=16, period=1000, power=0.5)
+    return mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "source"), block=16, power=0.5)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,32 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_near_dedup": op10_near_dedup,
 }
 ORACLES: dict[str, str] = {
-    "op1_mixing": """
-WITH RECURSIVE counts AS (
-  SELECT coalesce(source, '') AS src, count(*) AS n, pow(CAST(count(*) AS DOUBLE), 0.5) AS w FROM documents GROUP BY 1
-), shares AS (
-  SELECT src, n, greatest(1, CAST(floor(w * 1000 / sum(w) OVER () + 0.5) AS BIGINT)) AS q, row_number() OVER (ORDER BY src) - 1 AS i FROM counts
-), run(t, done, pick) AS (
-  SELECT CAST(0 AS BIGINT), list(CAST(0 AS BIGINT) ORDER BY i), CAST(-1 AS BIGINT) FROM shares
-  UNION ALL
-  SELECT t + 1, list_transform(done, lambda d, j: CASE WHEN j - 1 = p THEN d + 1 ELSE d END), p FROM (
-    SELECT t, done, (SELECT arg_min(s.i, struct_pack(due := ((run.done[s.i + 1] + 1) * tot + s.q - 1) // s.q, i := s.i))
-                     FROM shares s WHERE (run.done[s.i + 1] * tot) // s.q <= run.t) AS p
-    FROM run, (SELECT CAST(sum(q) AS BIGINT) AS tot FROM shares) WHERE t < tot)
-), plan AS (
-  SELECT t - 1 AS at, pick AS i, done[pick + 1] - 1 AS k,
-         list_transform(done, lambda d, j: CASE WHEN j - 1 = pick THEN d - 1 ELSE d END) AS before
-  FROM run WHERE pick >= 0
-), ranked AS (
-  SELECT doc_id, source, coalesce(source, '') AS src,
-         row_number() OVER (PARTITION BY coalesce(source, '') ORDER BY md5('mix' || CAST(doc_id AS VARCHAR)), doc_id) - 1 AS r
-  FROM documents
-), blocks AS (SELECT doc_id, source, src, r, r // 16 AS block FROM ranked),
-total AS (SELECT CAST(sum(q) AS BIGINT) AS tot, list(q ORDER BY i) AS qs, list(n ORDER BY i) AS ns FROM shares)
-SELECT b.doc_id, b.source, b.block, (b.block // s.q) * tot + p.at AS slot,
-       CAST(list_sum(list_transform(ns, lambda n, j: least(n, 16 * ((b.block // s.q) * qs[j] + p.before[j])))) + b.r % 16 AS BIGINT) AS position
-FROM blocks b JOIN shares s ON s.src = b.src JOIN plan p ON p.i = s.i AND p.k = b.block % s.q CROSS JOIN total
-""",
+    "op1_mixing": oracles.MIXING,
     "op2_suffix_array_dedup": oracles.SUFFIX_DEDUP,
     "op3_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op5_quality_rules": oracles.QUALITY,

@@ -11,7 +11,6 @@ import numpy as np
 import pytest
 
 from strandloom.llm import near_dedup, repeats, substring_dedup, suffix_dedup
-from strandloom.llm.common import LAST_ID
 from strandloom.llm.components import components
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -165,36 +164,54 @@ def shingles(text: str | None, width: int) -> frozenset:
     return frozenset(tuple(w[i : i + width]) for i in range(len(w) - width + 1)) if len(w) >= width else frozenset([tuple(w)] if w else [])
 
 
-def brute_components(rows: list[tuple], width: int) -> dict[int, int]:
-    sets: dict[int, set] = {}
-    for r in rows:
-        sets.setdefault(key(r), set()).add(shingles(r[1], width))
-    parent = {i: i for i in sets}
+def brute_components(rows: list[tuple], width: int) -> tuple[list[int | None], list[int | None]]:
+    """The smallest id of each row's group, and of each group with words; rows are linked by their texts, whatever their ids."""
+    sets = [shingles(r[1], width) for r in rows]
+    parent = list(range(len(rows)))
 
     def root(i):
         while parent[i] != i:
             i = parent[i]
         return i
 
-    for a, b in itertools.combinations(sorted(sets), 2):
-        if any(x and y and 100 * len(x & y) >= 80 * len(x | y) for x in sets[a] for y in sets[b]):
-            x, y = sorted((root(a), root(b)))
-            parent[y] = x
-    return {i: root(i) for i in sets}
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        x, y = sets[a], sets[b]
+        if x and y and 100 * len(x & y) >= 80 * len(x | y):
+            parent[root(b)] = root(a)
+    least: dict = {}
+    for i, r in enumerate(rows):
+        least.setdefault(root(i), []).append(r[0])
+    smallest = {k: min((x for x in ids if x is not None), default=None) for k, ids in least.items()}
+    return [smallest[root(i)] if sets[i] else r[0] for i, r in enumerate(rows)], [smallest[i] for i in range(len(rows)) if root(i) == i and sets[i]]
 
 
 @pytest.mark.parametrize("width", [2, 5])
-def test_near_duplicates_equal_brute_force(docs, corpus, width):
-    want = brute_components(corpus, width)
+def test_near_duplicates_equal_brute_force(spark, docs, corpus, width):
+    docs, rows = some_ids(docs, corpus, spark)
+    want, groups = brute_components(rows, width)
     got = near_dedup.near_duplicates(docs, width=width).collect()
-    assert len(got) == len(corpus)
-    sizes = {(key(r), len(shingles(r[1], width))) for r in corpus}
-    for r in got:
-        at = None if want[key(r)] == LAST_ID else want[key(r)]
-        assert (r.component_id, (key(r), r.n_shingles) in sizes) == (at, True)
-        assert r.kept == (None if at is None else r.doc_id is not None and at == r.doc_id)
-    kept = {r.doc_id for r in near_dedup.first_of_group(docs, width=width).collect()}
-    assert kept == {None if i == LAST_ID else i for i, c in want.items() if i == c}
+    key = lambda x: (x[0] is None, x[0] or 0, x[1], x[2] is None, x[2] or 0)
+    expected = [(r[0], len(shingles(r[1], width)), c) for r, c in zip(rows, want, strict=True)]
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=key) == sorted(expected, key=key)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got if r.component_id is not None)
+    assert any(r.kept for r in got if r.component_id is None and r.n_shingles)
+    kept = near_dedup.first_of_group(docs, width=width).collect()
+    # one row of each group with words, all without
+    with_words = [r for r in kept if shingles(r.text, width)]
+    assert sorted(r.doc_id for r in with_words if r.doc_id is not None) == sorted(g for g in groups if g is not None)
+    assert len(kept) - len(with_words) == sum(not shingles(r[1], width) for r in rows)
+    assert [r.text.split()[0] for r in with_words if r.doc_id is None] == ["only0"]
+
+
+def test_ids_never_join_groups(spark):
+    rng = random.Random(7)
+    a, b, c = (" ".join(f"{x}{rng.randrange(10**6)}" for _ in range(40)) for x in "abc")
+    rows = [(1, a), (2, b), (None, a), (None, b), (3, a), (3, c), (4, c), (None, "no copy of it is here"), (None, "no copy of it is here")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = near_dedup.near_duplicates(docs, width=2).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in got) == [(0, 0, True), (0, 0, True), (0, 1, False), (0, 2, False), (1, 1, True), (2, 2, True), (3, 1, False), (3, 3, True), (4, 3, False)]
+    kept = near_dedup.first_of_group(docs, width=2).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(1, a), (2, b), (3, c), (0, "no copy of it is here")])
 
 
 def test_near_duplicates_in_blocks(docs, monkeypatch):

@@ -42,23 +42,24 @@ def test_schedule_is_pfair(spark):
 
 def test_mix_places_every_row_once_and_within_a_block(spark):
     rows = [(i, None if i % 50 == 0 else f"s{min(i % 7, 3)}") for i in range(900)] + [(5, "s3"), (5, "s3"), (None, "s1")]
-    got = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, source string"), {"s0": 1, "s1": 2, "s2": 3, "s3": 6}, block=4, period=24).collect()
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, source string"), {"s0": 1, "s1": 2, "s2": 3, "s3": 6}, block=4).collect()
     assert sorted(r.position for r in got) == list(range(len(rows)))
     got.sort(key=lambda r: r.position)
     order = [r.source or "" for r in got]
     assert [r.slot for r in got] == sorted(r.slot for r in got)
-    weight = {"s0": 2, "s1": 4, "s2": 6, "s3": 12, "": 1}
+    weight = {"s0": 2, "s1": 4, "s2": 6, "s3": 12, "": 0}
     whole, seen = sum(weight.values()), dict.fromkeys(weight, 0)
     for t in range(0, 100, 4):
         for s in order[t : t + 4]:
             seen[s] += 1
         assert all(abs(seen[s] / 4 - (t + 4) / 4 * weight[s] / whole) < 1 for s in weight)
+    assert "" not in order[: -order.count("")]  # a source that the weights do not name comes last
 
 
 def test_mix_keeps_to_weights_that_no_period_holds(spark):
     weight = {"a": 10.0, "b": 3.3, "c": 1.7, "d": 0.004}
     rows = [(i, s) for i, s in enumerate("a" * 1500 + "b" * 600 + "c" * 500 + "d" * 3)]
-    got = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, source string"), weight, block=1, period=24).orderBy("position").collect()
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, source string"), weight, block=1).orderBy("position").collect()
     assert [r.position for r in got] == [r.slot for r in got] == list(range(len(rows)))
     end = max(i for i, r in enumerate(got) if r.source == "a")
     for first, last, names in ((0, end, "abcd"), (end + 1, end + 120, "bcd")):
@@ -68,6 +69,23 @@ def test_mix_keeps_to_weights_that_no_period_holds(spark):
             assert all(abs(seen[s] - (t + 1 - first) * weight[s] / whole) < 1 + 1e-5 for s in names)
 
 
+def test_mix_without_positive_weights_shares_alike(spark):
+    rows = [(i, f"s{i % 2}") for i in range(40)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, source string"), {"s0": 0.0}, block=1).orderBy("position").collect()
+    assert [r.source for r in got] == ["s0", "s1"] * 20
+    with pytest.raises(ValueError):
+        mixing.mix(spark.createDataFrame(rows, "doc_id bigint, source string"), {"s0": -1.0})
+
+
+def test_mix_passes_very_long_texts_and_any_column_name(spark):
+    from pyspark.sql import functions as F
+
+    names = ("mix_source", "mix_rank", "o_source", "o_block", "k", "at", "start", "row", "own_q", "q_source", "mix_n", "a.b")
+    docs = spark.createDataFrame([(1, "x" * 400_000, "a"), (2, None, "a"), (2, None, "a"), (None, "", None)], "doc_id bigint, text string, source string").withColumns({n: F.lit(1) for n in names})
+    got = mixing.mix(docs, block=1).collect()
+    assert sorted(r.position for r in got) == [0, 1, 2, 3] and max(len(r.text or "") for r in got) == 400_000 and got[0]["a.b"] == 1
+
+
 def test_mix_of_nothing_and_of_clashing_columns(spark, empty, extra):
     assert mixing.mix(empty).collect() == []
     got = mixing.mix(extra)
