@@ -35,7 +35,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds block, slot and position of the mix; source weights are the square roots of the counts."""
-    return mixing.mix(docs, block=16, period=1000, power=0.5)
+    return mixing.mix(docs, block=16, power=0.5)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
