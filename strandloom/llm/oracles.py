@@ -80,12 +80,23 @@ least_of AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM d JOIN least_of USING (doc_id) LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
+#: Blocks outside the article: the words of a host's pages in six-word runs that occur on two pages cover them or not.
 HTML = r"""
-WITH a AS (SELECT page_id, url, regexp_extract(html, '<article>(.*?)</article>', 1, 's') AS h FROM pages),
+WITH a AS (SELECT page_id, url, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1)) AS host, regexp_extract(html, '<article>(.*?)</article>', 1, 's') AS h,
+  regexp_replace(regexp_replace(html, '<(title|style|script)>.*?</(title|style|script)>|<!--.*?-->|<!DOCTYPE html>', '', 'gs'), '<article>.*?</article>', '<p>', 's') AS o FROM pages),
 b AS (SELECT page_id, url, unnest(string_split_regex(h, '</?(p|h1)>')) AS x, generate_subscripts(string_split_regex(h, '</?(p|h1)>'), 1) AS i FROM a),
-c AS (SELECT page_id, url, i, trim(regexp_replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS x FROM b)
-SELECT page_id, url, coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (WHERE x <> ''), '') AS text, length(coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (WHERE x <> ''), '')) AS n_chars, false AS from_array
-FROM c GROUP BY page_id, url
+c AS (SELECT page_id, url, i, trim(regexp_replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS x FROM b),
+main AS (SELECT page_id, url, coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (WHERE x <> ''), '') AS text FROM c GROUP BY page_id, url),
+ob AS (SELECT page_id, host, unnest(string_split_regex(o, '</?(html|head|body|nav|ul|li|div|p|footer)( [^>]*)?>')) AS x, generate_subscripts(string_split_regex(o, '</?(html|head|body|nav|ul|li|div|p|footer)( [^>]*)?>'), 1) AS i FROM a),
+oc AS (SELECT page_id, host, i, trim(regexp_replace(regexp_replace(x, '<[^>]*>', '', 'g'), '\s+', ' ', 'g')) AS x FROM ob),
+od AS (SELECT page_id, host, i, string_split(x, ' ') AS w FROM oc WHERE x <> ''),
+st AS (SELECT page_id, host, list_concat(flatten(list(w ORDER BY i)), ['$', '$', '$', '$', '$']) AS w FROM od GROUP BY 1, 2 HAVING len(flatten(list(w))) >= 6),
+win AS (SELECT page_id, host, p, array_to_string(w[p:p + 5], ' ') AS x FROM (SELECT page_id, host, w, unnest(range(1, len(w) - 4)) AS p FROM st) s),
+gone AS (SELECT DISTINCT page_id, unnest(range(p, p + 6)) AS p FROM (SELECT *, min(page_id) OVER (PARTITION BY host, x) AS lo, max(page_id) OVER (PARTITION BY host, x) AS hi FROM win) y WHERE lo < hi),
+placed AS (SELECT page_id, i, len(w) AS n, sum(len(w)) OVER (PARTITION BY page_id ORDER BY i) - len(w) AS at FROM od),
+held AS (SELECT b.page_id, b.i, b.n, count(g.p) AS k FROM placed b LEFT JOIN gone g ON g.page_id = b.page_id AND g.p > b.at AND g.p <= b.at + b.n GROUP BY 1, 2, 3),
+boiler AS (SELECT page_id, count(*) AS n FROM held WHERE 100 * k >= 80 * n GROUP BY 1)
+SELECT m.page_id, m.url, text, length(text) AS n_chars, coalesce(b.n, 0) AS n_boilerplate FROM main m LEFT JOIN boiler b ON b.page_id = m.page_id
 """
 
 

@@ -3,11 +3,13 @@
 Rules find assignments, access keys and long hex strings. Every other run of 20 or more token characters that holds a
 letter and a digit is a candidate: its encoding is inferred (hex, base32, base36, base62, base64), and against a
 uniform draw from that alphabet it takes a chi-squared test of uniformity, a runs test (letters against digits) and a
-serial-correlation test. A candidate that passes the battery gets a p-value under the hypothesis of written text: the
-likelihood ratio of text to uniform alphabet, a valid p-value by Markov's inequality that falls exponentially with
-length. Benjamini-Hochberg over all candidates of a length class in the whole corpus picks those that count.
+serial-correlation test, whose least p-value, times three, is the battery's. A second p-value holds it against written
+text: the likelihood ratio of text to uniform alphabet, valid by Markov's inequality, falls exponentially with length.
+Benjamini-Hochberg runs over both p-values of all candidates of a length class in the whole corpus: a candidate counts if
+it is among those that are not written text (level q) and not among those that are no uniform draw (`level`).
 
-Null and empty texts hold no secret. Repeated rows each get their own result; an empty table gives an empty result.
+Null and empty texts hold no secret; whole texts are searched, however long. Repeated rows each get their own result and
+count as often in the control. Other columns are not looked at. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -127,8 +129,8 @@ def text_evidence(token: str, size: int) -> float:
     return max(0.0, -len(token) * math.log(size) - total)
 
 
-def candidates(text: str, raw: bytes, base: list[tuple[str, int, int]], least: float) -> list[tuple[int, int, float]]:
-    """(start, end, -ln p) of the tokens outside base spans that pass the battery at level `least`."""
+def candidates(text: str, raw: bytes, base: list[tuple[str, int, int]]) -> list[tuple[int, int, float, float]]:
+    """(start, end, -ln p against written text, -ln p of the battery) of the tokens outside base spans."""
     if b"x" * MIN_TOKEN not in raw.translate(_IS_TOKEN):
         return []
     found = []
@@ -137,14 +139,11 @@ def candidates(text: str, raw: bytes, base: list[tuple[str, int, int]], least: f
         if not (any(c.isdigit() for c in token) and any(c.isalpha() for c in token)) or any(a < m.end() and m.start() < b for _, a, b in base):
             continue
         name, p = battery(token)
-        if p >= least:
-            found.append((m.start(), m.end(), text_evidence(token, next(s for k, _, s in ENCODINGS if k == name))))
-        else:
-            found.append((m.start(), m.end(), 0.0))
+        found.append((m.start(), m.end(), text_evidence(token, next(s for k, _, s in ENCODINGS if k == name)), -math.log(max(p, 1e-300))))
     return found
 
 
-def scanned(docs: DataFrame, level: float = 0.001) -> DataFrame:
+def scanned(docs: DataFrame) -> DataFrame:
     """doc_id, base spans and candidates of each whole text."""
 
     def run(ids, texts):
@@ -153,10 +152,10 @@ def scanned(docs: DataFrame, level: float = 0.001) -> DataFrame:
             raw = (text or "").encode()
             base = base_spans(text or "", raw)
             out["base"].append([{"kind": k, "start": a, "end": b} for k, a, b in base])
-            out["found"].append([{"start": a, "end": b, "evidence": e} for a, b, e in candidates(text or "", raw, base, level)])
+            out["found"].append([{"start": a, "end": b, "evidence": e, "against": x} for a, b, e, x in candidates(text or "", raw, base)])
         return out
 
-    return arrow_map(docs.select("doc_id", "text"), run, "doc_id long, base array<struct<kind:string,start:int,end:int>>, found array<struct<start:int,end:int,evidence:double>>")
+    return arrow_map(docs.select("doc_id", "text"), run, "doc_id long, base array<struct<kind:string,start:int,end:int>>, found array<struct<start:int,end:int,evidence:double,against:double>>")
 
 
 def _stratum(length):
@@ -166,31 +165,31 @@ def _stratum(length):
     return out
 
 
-def limits(scan: DataFrame, q: float = 0.01) -> DataFrame:
-    """Benjamini-Hochberg over all candidates, for each length class: the least -ln p that counts. At most a row a class."""
-    each = scan.select(F.explode("found").alias("c")).select(
-        _stratum(F.col("c.end") - F.col("c.start")).alias("stratum"), F.least(F.floor(F.col("c.evidence") / BIN), F.lit(BINS)).cast("int").alias("bin")
-    )
-    binned = each.groupBy("stratum", "bin").agg(F.count(F.lit(1)).alias("n"))
-    down = W.partitionBy("stratum").orderBy(F.desc("bin")).rowsBetween(W.unboundedPreceding, 0)
-    ranked = binned.select("stratum", "bin", F.sum("n").over(down).alias("k"), F.sum("n").over(W.partitionBy("stratum")).alias("m"))
-    passing = ranked.filter(F.exp(-F.col("bin") * BIN) <= q * F.col("k") / F.col("m"))
-    return passing.groupBy("stratum").agg((F.min("bin") * BIN).alias("least"))
+def limits(scan: DataFrame, q: float = 0.01, level: float = 0.001) -> DataFrame:
+    """Benjamini-Hochberg over all candidates, for each length class and p-value (column): the least -ln p that is rejected. At most two rows a class."""
+    each = scan.select(F.explode("found").alias("c")).select(_stratum(F.col("c.end") - F.col("c.start")).alias("stratum"), F.explode(F.create_map(F.lit("evidence"), F.col("c.evidence"), F.lit("against"), F.col("c.against"))).alias("column", "x"))
+    binned = each.groupBy("stratum", "column", F.least(F.floor(F.col("x") / BIN), F.lit(BINS)).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    key = W.partitionBy("stratum", "column")
+    ranked = binned.select("stratum", "column", "bin", F.sum("n").over(key.orderBy(F.desc("bin")).rowsBetween(W.unboundedPreceding, 0)).alias("k"), F.sum("n").over(key).alias("m"))
+    alpha = F.when(F.col("column") == "evidence", F.lit(q)).otherwise(F.lit(level))
+    passing = ranked.filter(F.exp(-F.col("bin") * BIN) <= alpha * F.col("k") / F.col("m"))
+    return passing.groupBy("stratum", "column").agg((F.min("bin") * BIN).alias("least"))
 
 
-def least_evidence(scan: DataFrame, q: float) -> list[float]:
-    """limits() as a list by length class; infinite where no candidate counts."""
-    least = [float("inf")] * (len(STRATA) + 1)
-    for row in limits(scan, q).collect():  # a row a length class
-        least[row.stratum] = row.least
+def least_evidence(scan: DataFrame, q: float, level: float) -> dict[str, list[float]]:
+    """limits() as lists by length class; infinite where nothing is rejected."""
+    least = {c: [float("inf")] * (len(STRATA) + 1) for c in ("evidence", "against")}
+    for row in limits(scan, q, level).collect():  # two rows a length class
+        least[row.column][row.stratum] = row.least
     return least
 
 
 def scan(docs: DataFrame, *, q: float = 0.01, level: float = 0.001) -> DataFrame:
     """doc_id, base and random: arrays of spans. Candidates are held once, in the shared folder, for the control over the whole corpus."""
-    found = stored(scanned(docs, level), "secrets")
-    least = F.array(*[F.lit(x) for x in least_evidence(found, q)])
-    chosen = F.filter("found", lambda c: c["evidence"] >= F.get(least, _stratum(c["end"] - c["start"])))
+    found = stored(scanned(docs), "secrets")
+    least = {c: F.array(*[F.lit(x) for x in v]) for c, v in least_evidence(found, q, level).items()}
+    limit = lambda c, name: F.get(least[name], _stratum(c["end"] - c["start"]))
+    chosen = F.filter("found", lambda c: (c["evidence"] >= limit(c, "evidence")) & (c["against"] < limit(c, "against")))
     return found.select("doc_id", "base", F.transform(chosen, lambda c: F.struct(F.lit("random").alias("kind"), c["start"].alias("start"), c["end"].alias("end"))).alias("random"))
 
 
@@ -226,13 +225,17 @@ def redact_text(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 def redacted(docs: DataFrame, *, q: float = 0.01, level: float = 0.001) -> DataFrame:
     """docs with every span of text replaced by its placeholder and n_chars, if there, brought up to date; null texts stay null."""
-    least = least_evidence(stored(scanned(docs, level), "secrets"), q)
+    least = least_evidence(stored(scanned(docs), "secrets"), q, level)
     names = docs.columns
 
     def spans(text: str) -> list[tuple[str, int, int]]:
         raw = text.encode()
         base = base_spans(text, raw)
-        extra = [("random", a, b) for a, b, e in candidates(text, raw, base, level) if e >= least[sum(b - a >= s for s in STRATA)]]
+        extra = []
+        for a, b, e, x in candidates(text, raw, base):
+            i = sum(b - a >= s for s in STRATA)
+            if e >= least["evidence"][i] and x < least["against"][i]:
+                extra.append(("random", a, b))
         return in_order(base + extra)
 
     def run(batches):

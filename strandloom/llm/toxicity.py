@@ -10,8 +10,9 @@ plain and normalised by length.
 The fit takes a bounded sample of labelled rows (`max_train`, by hash order; held-out rows never); all documents are
 scored on their whole text. Of rows with one label whose whole folded texts are equal, only the one with the smallest
 doc_id, then the smallest text, is fitted on; near copies all stay. Null or empty text: no match, the score of that.
-Without labelled rows every score is 0.
-Repeated documents each get a row; of repeated labels of one document the largest counts.
+Without labelled rows every score is 0. Repeated documents each get a row, as do rows that share or lack a doc_id; of
+repeated labels of one document the largest counts. Whole texts are matched, however long. Other columns are not looked
+at. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -137,30 +138,30 @@ def held_out(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, max_train: int = 8000, min_docs: int | None = None, min_weight: float = 3.5, max_terms: int = 4000) -> dict:
-    """Lexicon, exception phrases and the three logistic coefficients; all of bounded size."""
+def fit(docs: DataFrame, labels: DataFrame, *, max_train: int = 8000, min_docs: int | None = None, min_weight: float = 3.5) -> dict:
+    """Lexicon, exception phrases and the three logistic coefficients; all come from at most max_train texts, which bounds them."""
     sample = training_rows(docs, labels, max_train).cache()
     try:
-        return _fit(sample, min_docs, min_weight, max_terms)
+        return _fit(sample, min_docs, min_weight)
     finally:
         sample.unpersist()
 
 
-def _fit(sample: DataFrame, min_docs: int | None, min_weight: float, max_terms: int) -> dict:
+def _fit(sample: DataFrame, min_docs: int | None, min_weight: float) -> dict:
     """The lexicon of all folds; the coefficients from measures of each fold under the lexicon of the others."""
     points = []
     for fold in range(3):
-        lexicon, exceptions = _lexicon(sample.filter(F.col("fold") != fold), min_docs, min_weight, max_terms)
+        lexicon, exceptions = _lexicon(sample.filter(F.col("fold") != fold), min_docs, min_weight)
         own = sample.filter(F.col("fold") == fold).select("toxic", "text")
         points += arrow_map_lexicon(own, lexicon, exceptions, measures_of, "y long, a double, b double").collect()  # max_train rows in all
     y = np.array([p.y for p in points], float)
-    lexicon, exceptions = _lexicon(sample, min_docs, min_weight, max_terms)
+    lexicon, exceptions = _lexicon(sample, min_docs, min_weight)
     if not len(y) or y.min() == y.max():
         return {"lexicon": {}, "exceptions": set(), "coefficients": [30.0 if len(y) and y[0] else -30.0, 0.0, 0.0]}
     return {"lexicon": lexicon, "exceptions": exceptions, "coefficients": logistic(np.array([[1.0, p.a, p.b] for p in points]), y).tolist()}
 
 
-def _lexicon(sample: DataFrame, min_docs: int | None, min_weight: float, max_terms: int) -> tuple[dict[str, float], set[str]]:
+def _lexicon(sample: DataFrame, min_docs: int | None, min_weight: float) -> tuple[dict[str, float], set[str]]:
     sample = sample.select("toxic", "text")
 
     def count_terms(toxic, texts):
@@ -177,7 +178,7 @@ def _lexicon(sample: DataFrame, min_docs: int | None, min_weight: float, max_ter
     min_docs = max(3, n_toxic // 100) if min_docs is None else min_docs
     counts = arrow_map(sample, count_terms, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     weight = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
-    rows = counts.filter(F.col("toxic") >= min_docs).withColumn("weight", weight).filter(F.col("weight") >= min_weight).orderBy(F.desc("toxic"), F.length("term"), "term").limit(max_terms).collect()
+    rows = counts.filter(F.col("toxic") >= min_docs).withColumn("weight", weight).filter(F.col("weight") >= min_weight).collect()  # words of max_train texts
     lexicon: dict[str, float] = {}
     for r in sorted(rows, key=lambda r: (len(r.term), r.term)):  # an entry must add to the shorter beginnings it contains
         if not any(lexicon.get(r.term[:k], -9.0) >= r.weight - 0.7 for k in range(4, len(r.term))):
@@ -188,10 +189,10 @@ def _lexicon(sample: DataFrame, min_docs: int | None, min_weight: float, max_ter
     lexicon = {t: w for t, w in lexicon.items() if not any(e != t and e.startswith(t) and lexicon[e] > w + 0.7 and seen[e] >= 0.9 * seen[t] for e in lexicon)}
     # an entry that clean documents hold must be the only sign of some toxic one
     use = arrow_map_lexicon(sample, lexicon, set(), count_uses_of, "term string, clean long, only long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("only").alias("only"))
-    idle = {r.term for r in use.filter("clean > 0 and only = 0").collect()}  # max_terms rows at most
+    idle = {r.term for r in use.filter("clean > 0 and only = 0").collect()}
     lexicon = {t: w for t, w in lexicon.items() if t not in idle}
     found = arrow_map_lexicon(sample, lexicon, set(), count_phrases_of, "phrase string, clean long, toxic long")
-    spared = found.groupBy("phrase").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter("clean >= 3 and toxic = 0").orderBy(F.desc("clean"), "phrase").limit(max_terms)
+    spared = found.groupBy("phrase").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter("clean >= 3 and toxic = 0")
     return lexicon, {r.phrase for r in spared.collect()}
 
 
