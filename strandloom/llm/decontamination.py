@@ -5,13 +5,15 @@ number) become typed placeholders, neighbouring ones of a type one placeholder.
 least LITERALS plain words are hashed; a benchmark item shorter than a window is one window of its own length. An item
 without any such window matches as it stands: windows of its words, numbers and names included, have to cover it whole
 in one line, and an item of fewer than LITERALS words has to be all the words of the document. A Bloom
-filter of fixed size over the benchmark's windows keeps other windows of the documents out of the hash join. For each
+filter over the benchmark's windows, sized by their number, keeps other windows of the documents out of the hash join;
+adaptive execution splits templates that very many documents share. For each
 document and item, windows are lined up, and a line counts only where its slots are consistent: one value of the item
 always stands for the same value of the document. A document is contaminated if a line covers COVER percent of the
 item's template or RUN template words on end: copies and re-parameterised questions alike.
 
-Null and empty texts match nothing. Rows that share a doc_id are told apart by text_key, a hash of the text; equal rows
-are one. Equal benchmark rows are one item; an empty table on either side gives an empty result.
+Null and empty texts match nothing; whole texts are searched, however long. Rows that share or lack a doc_id are told apart
+by text_key, a hash of the text; equal rows are one. Equal benchmark rows are one item. Other columns are not looked at.
+An empty table on either side gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,15 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit
-from .common import arrow_map
+from .common import arrow_map, stored
 
 WINDOW, LITERALS, COVER, RUN = 8, 4, 50, 13
-#: The filter has 2 ** BITS bits, whatever the size of the benchmark: 1 MB on every executor.
-BITS = 23
+#: The filter has BITS_EACH bits a window, two of them set, within these powers of two: at most 128 MB on an executor.
+BITS_EACH, LEAST_BITS, MOST_BITS = 64, 20, 30
 #: Marks the windows of items that match as they stand; their widths are negative.
 PLAIN = 0x5851F42D4C957F2D
-#: Copies of a document-side window key that go to different tasks.
-SALTS = 16
 #: Units of measure.
 UNITS = (
     "mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g kg lb lbs oz ounce ounces pound pounds ton tons tonne tonnes ml cl l liter liters litre litres gallon gallons cup cups "
@@ -152,19 +152,29 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 
 
 def bloom(items: DataFrame) -> tuple[np.ndarray, list[int]]:
-    """The filter's bits, and the widths below WINDOW in use (twelve at most). The driver gets 2 ** BITS bits at most."""
-    bit = F.expr(f"key & {(1 << BITS) - 1}")
-    table = items.select("width", (F.shiftright(bit, 6)).alias("word"), F.expr(f"shiftleft(1L, cast((key & {(1 << BITS) - 1}) & 63 as int))").alias("b"))
-    rows = table.groupBy("width", "word").agg(F.bit_or("b").alias("b")).collect()
-    bits = np.zeros(1 << (BITS - 6), np.int64)
+    """The filter's bits, and the widths other than WINDOW in use (twelve at most). The driver gets 2 ** MOST_BITS bits at most."""
+    n = items.select("key").distinct().count()
+    size = 1 << min(MOST_BITS, max(LEAST_BITS, (BITS_EACH * n).bit_length()))
+    probes = F.explode(F.array(F.col("key"), F.shiftrightunsigned("key", 32))).alias("x")
+    bit = F.expr(f"x & {size - 1}")
+    rows = items.select(probes).select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast((x & {size - 1}) & 63 as int))").alias("b")).groupBy("word").agg(F.bit_or("b").alias("b")).collect()
+    bits = np.zeros(size >> 6, np.int64)
     for r in rows:
         bits[r.word] |= r.b
-    return bits.view(U), sorted({r.width for r in rows if r.width < WINDOW})
+    return bits.view(U), sorted(r.width for r in items.select("width").filter(F.col("width") != WINDOW).distinct().collect())
+
+
+def let_through(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Positions of the keys that the filter may hold."""
+    mask = U(len(bits) * 64 - 1)
+    held = np.ones(len(keys), bool)
+    for probe in (keys & mask, (keys >> U(32)) & mask):
+        held &= (bits[(probe >> U(6)).astype(np.int64)] >> (probe & U(63))) & U(1) > 0
+    return np.flatnonzero(held)
 
 
 def document_windows(docs: DataFrame, bits: np.ndarray, short: list[int]) -> DataFrame:
     """doc_id, text_key and those windows of each whole text that the filter lets through."""
-    mask = U((1 << BITS) - 1)
 
     def run(ids, keys, texts):
         out: dict = {k: [] for k in ("doc_id", "text_key", "at", "key", "slots")}
@@ -179,8 +189,7 @@ def document_windows(docs: DataFrame, bits: np.ndarray, short: list[int]) -> Dat
                 w = windows(h, width) if signed_width > 0 else plain_windows(h, width)
                 if not len(w):
                     continue
-                low = w & mask
-                hit = np.flatnonzero((bits[(low >> U(6)).astype(np.int64)] >> (low & U(63))) & U(1))
+                hit = let_through(bits, w)
                 for at in hit[(w[hit] != 0) & (own[hit] == own[hit + width - 1])].tolist():
                     i = int(own[at])
                     slots = [codes[a[j] : b[j]].tobytes().decode(errors="replace").lower() for j in range(at, at + width) if h[j] < U(8)] if signed_width > 0 else []
@@ -222,11 +231,9 @@ def lines(pairs: list[tuple[int, int, int, list[str], list[str]]]) -> tuple[int,
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, text_key, item_id, covered (template words of the item), length, run and n_windows of each contaminated pair."""
-    items = item_windows(benchmark)
+    items = stored(item_windows(benchmark), "items")
     bits, short = bloom(items)
-    found = document_windows(docs, bits, short).distinct().withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(SALTS)).cast("int"))
-    salted = items.select("item_id", "length", "width", F.col("at").alias("item_at"), "key", F.col("slots").alias("item_slots"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    pairs = found.join(salted, ["key", "salt"])
+    pairs = document_windows(docs, bits, short).distinct().join(items.select("item_id", "length", "width", F.col("at").alias("item_at"), "key", F.col("slots").alias("item_slots")), "key")
     groups = pairs.groupBy("doc_id", "text_key", "item_id", "length", (F.col("width") < 0).alias("plain")).agg(F.collect_list(F.struct("at", "item_at", "width", "slots", "item_slots")).alias("pairs"))
 
     def run(ids, keys, items, lengths, plain, pairs):

@@ -35,8 +35,8 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    return cotraining.score(docs, cotraining.fit(docs, read(spark, sf_dir, "labels")), least=0.4)
+    feats = cotraining.features(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return cotraining.scored(feats, cotraining.co_train(feats), least=0.4)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
