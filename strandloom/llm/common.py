@@ -41,13 +41,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stored() -> None:
-    """Deletes what stored() has written in this process."""
-    while _WRITTEN:
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def kept_until_exit(spark: SparkSession, path: str) -> None:
+    _WRITTEN.append((spark, path))
+
+
+def stored_so_far() -> int:
+    """A mark for drop_stored()."""
+    return len(_WRITTEN)
+
+
+def drop_stored(mark: int = 0) -> None:
+    """Deletes what stored() has written in this process since the mark."""
+    while len(_WRITTEN) > mark:
         spark, path = _WRITTEN.pop()
         try:
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            delete(spark, path)
         except Exception:  # the session has ended: nothing can be reached any more
             continue
 

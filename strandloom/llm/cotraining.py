@@ -201,12 +201,12 @@ def co_train(feats: DataFrame, *, rounds: int = 4, confident: float = 0.9, steps
 
 
 def predict(model: dict | None, content: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Probabilities of the content view, the metadata view and both."""
+    """Probabilities of the content view, the metadata view and both, rounded so that they do not depend on the batch."""
     if model is None:
         half = np.full(len(content), 0.5)
         return half, half, half
     each = [logits(logits(v, w)[:, None], s) for v, w, s in zip((content, meta), model["fits"], model["scales"], strict=True)]
-    return tuple(sigmoid(z) for z in (*each, logits(np.column_stack(each), model["top"])))
+    return tuple(np.round(sigmoid(z), 9) for z in (*each, logits(np.column_stack(each), model["top"])))
 
 
 def fit(docs: DataFrame, labels: DataFrame, **options) -> dict | None:

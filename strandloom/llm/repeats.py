@@ -180,7 +180,7 @@ def found_anchors(texts: DataFrame, s: Search) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = _anchors_of(batch, s)
-            if not found:
+            if not found or not len(found[0]):
                 continue
             h, c, doc, sub, pos, a, b = found
             order = np.lexsort((pos, sub, doc, c, h))

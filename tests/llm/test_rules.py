@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -76,6 +77,49 @@ def test_base_secrets_equal_brute_force(spark):
         assert set(want) <= set(got[i].spans.split(",")) or not want
 
 
+def brute_spans(texts: list) -> list[list]:
+    """All spans of each text: the rules, and the candidates that a plain step-up over both p-values of the corpus leaves."""
+    base = [secrets.base_spans(t or "") for t in texts]
+    found = []
+    for i, text in enumerate(texts):
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text or ""):
+            t = m[0]
+            if re.search("[0-9]", t) and re.search("[A-Za-z]", t) and not any(a < m.end() and m.start() < b for _, a, b in base[i]):
+                name, p = secrets.battery(t)
+                size = {"hex": 16, "base32": 32, "base36": 36, "base62": 62, "base64": 64}[name]
+                logs = (secrets.text_evidence(t, size), -math.log(max(p, 1e-300)))
+                # p-values are rounded up to bins of 0.25 in their logarithm
+                found.append((i, m.start(), m.end(), sum(len(t) >= x for x in (24, 32, 48, 72)), *[math.exp(-0.25 * min(1600, math.floor(x / 0.25))) for x in logs]))
+    out = [list(x) for x in base]
+    for stratum in range(5):
+        own = [x for x in found if x[3] == stratum]
+
+        def rejected(column: int, level: float) -> float:
+            ps = sorted(x[column] for x in own)  # noqa: B023
+            return max((p for k, p in enumerate(ps, 1) if p <= level * sum(x <= p for x in ps) / len(ps)), default=-1.0)
+
+        text, uniform = rejected(4, 0.01), rejected(5, 0.001)
+        for i, a, b, _, p, q in own:
+            if p <= text and q > uniform:
+                out[i].append(("random", a, b))
+    return [sorted(x, key=lambda y: (y[1], ("assign", "access", "hex", "random").index(y[0]))) for x in out]
+
+
+def test_all_spans_equal_brute_force(spark):
+    rng = random.Random(13)
+    alphabets = ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
+    texts = [*TEXTS, "x" * 300_000 + " " + "".join(rng.choices(alphabets[3], k=64))]
+    for i in range(150):
+        token = "".join(rng.choices(alphabets[i % 5], k=rng.randint(20, 90)))
+        written = "-".join(invented(rng, 6).split()) + str(i)
+        texts.append(f"see {token if i % 3 else written} and {written} there" + (" " + "ab1" * 12 if i % 10 == 0 else ""))
+    texts += texts[30:40]
+    got = secrets.digests(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(7)).collect()
+    want = brute_spans(texts)
+    assert {r.doc_id: r.spans for r in got} == {i: ",".join(f"{k}:{a}:{b}" for k, a, b in x) for i, x in enumerate(want)}
+    assert sum(r.n_random for r in got) > 60
+
+
 def test_random_tokens_are_found_and_written_ones_not(spark):
     rng = random.Random(3)
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
@@ -121,6 +165,112 @@ def test_copies_and_reparameterised_questions_are_caught(spark):
     assert {d for d, _ in got} <= {1, 2, 3, 8}
 
 
+def brute_template(text: str) -> list[tuple]:
+    """(kind or word, value) by plain regular expressions."""
+    raw = (text or "").encode()
+    out: list[tuple] = []
+    new = True
+    for m in re.finditer(rb"[A-Za-z\x80-\xff]+|[0-9]+|[\n!.:;?]", raw):
+        w = m[0]
+        if re.fullmatch(rb"[\n!.:;?]", w):
+            new = True
+            continue
+        low = re.sub(rb"\xc3[\x80-\x9e]", lambda x: bytes([0xC3, x[0][1] + 32]), re.sub(rb"[A-Z]", lambda x: x[0].lower(), w))
+        capitals = len(re.findall(rb"[A-Z]|\xc3[\x80-\x9e]", w))
+        if w[:1].isdigit():
+            kind = "num"
+        elif out and out[-1][2] and low.decode(errors="replace") in decontamination.UNITS:
+            kind = "unit"
+        elif not new and capitals == 1 and re.match(rb"[A-Z]|\xc3[\x80-\x9e]", w) and len(w) > 1:
+            kind = "name"
+        else:
+            kind = None
+        if kind and not new and out and out[-1][0] == (kind,):
+            out[-1] = ((kind,), out[-1][1] + raw[out[-1][3] : m.end()], kind == "num", m.end())
+        else:
+            out.append(((kind,) if kind else low, w, kind == "num", m.end()))
+        new = False
+    return [(k, v.decode(errors="replace").lower()) for k, v, _, _ in out]
+
+
+def brute_contaminated(text: str, item: str) -> bool:
+    """Whether a text holds an item: all windows against all windows."""
+    plain = lambda t: [(re.sub(rb"\xc3[\x80-\x9e]", lambda x: bytes([0xC3, x[0][1] + 32]), re.sub(rb"[A-Z]", lambda x: x[0].lower(), m[0])), "") for m in re.finditer(rb"[A-Za-z\x80-\xff]+|[0-9]+", (t or "").encode())]
+    own, theirs = brute_template(text), brute_template(item)
+    width = min(8, len(theirs))
+    usable = [i for i in range(len(theirs) - width + 1) if width >= 4 and sum(isinstance(k, bytes) for k, _ in theirs[i : i + width]) >= min(4, width)]
+    stands = not usable
+    if stands:
+        own, theirs = plain(text), plain(item)
+        width = min(8, len(theirs))
+        usable = range(len(theirs) - width + 1) if theirs else []
+        if len(theirs) < 4 and len(own) != len(theirs):
+            return False
+    shifts: dict = {}
+    for i in usable:
+        for j in range(len(own) - width + 1):
+            if all(a[0] == b[0] for a, b in zip(theirs[i : i + width], own[j : j + width], strict=True)):
+                shifts.setdefault(j - i, []).append(i)
+    for shift, starts in shifts.items():
+        stand: dict = {}
+        covered: set = set()
+        for i in sorted(starts):
+            both = {(theirs[k][1], own[k + shift][1]) for k in range(i, i + width) if not isinstance(theirs[k][0], bytes)}
+            if any(stand.get(x, y) != y for x, y in both) or len(dict(both)) != len(both):
+                continue
+            stand.update(both)
+            covered.update(range(i, i + width))
+        run = longest = 0
+        for k in range(len(theirs)):
+            run = run + 1 if k in covered else 0
+            longest = max(longest, run)
+        if (len(covered) == len(theirs)) if stands else (100 * len(covered) >= 50 * len(theirs) or longest >= 13):
+            return True
+    return False
+
+
+def test_contaminated_pairs_equal_brute_force(spark):
+    rng = random.Random(21)
+    names, units = ["Anna", "Bob", "Émile", "Carol Jones"], ["km", "dollars", "hours"]
+
+    def question(kind: int) -> str:
+        n = lambda: str(rng.randrange(500))
+        return (
+            f"How many {rng.choice(units)} does {rng.choice(names)} need if a trip of {n()} {rng.choice(units)} takes {n()} hours and {rng.choice(names)} starts {n()} km later than planned?",
+            f"What is {n()} + {n()} * {n()} - {n()}?", f"Solve {n()}x + {n()} = {n()} now", f"Compute {n()}.", " ".join(invented(rng, 6).split()), f"{invented(rng, 30)}",
+        )[kind]
+
+    items = [question(i % 6) for i in range(24)] + ["", None]
+    items += items[:3]
+    texts: list = [None, "", " ", "7", *items[:12]]
+    for i in range(70):
+        held = items[i % 24]
+        if i % 4 == 1:
+            held = re.sub("[0-9]+", lambda _: str(rng.randrange(900)), held)
+        elif i % 4 == 2:
+            held = held[: len(held) * 2 // 3]
+        texts.append(f"{invented(rng, rng.randint(0, 40))} {held}{rng.choice(['. ', ' ', chr(10)])}{invented(rng, rng.randint(0, 30))}")
+    texts += ["filler words " * 30_000 + items[0], texts[20], texts[20]]
+    got = found(spark, dict(enumerate(texts)), dict(enumerate(items)))
+    want = {(i, j) for i, t in enumerate(texts) for j, x in enumerate(items) if x and brute_contaminated(t, x)}
+    assert got == want and len(want) > 60
+
+
+def test_decontamination_tells_rows_of_one_id_apart(spark, extra):
+    docs = spark.createDataFrame([(1, ITEM), (1, "clean text"), (None, ITEM), (None, "other clean text"), (None, ITEM)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, ITEM), (1, ITEM)], "item_id bigint, text string")
+    assert sorted(r.text for r in decontamination.clean(docs, bench).collect()) == ["clean text", "other clean text"]
+    assert decontamination.contaminated(docs, bench).count() == 2 and decontamination.contaminated(extra, bench).count() == 0
+
+
+def test_rules_take_long_texts_and_clashing_columns(spark, docs, extra):
+    assert sorted(map(str, quality_rules.judge(extra).collect())) == sorted(map(str, quality_rules.judge(docs).collect()))
+    assert sorted(map(str, secrets.digests(extra).collect())) == sorted(map(str, secrets.digests(docs).collect()))
+    long = " ".join(f"w{i % 7001}" for i in range(80_000)) + "\n%\n%"
+    row = quality_rules.judge(spark.createDataFrame([(1, long, "en", "s", 1)], SCHEMA)).first()
+    assert (row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words, row.base_failed) == brute_quality(long)
+
+
 def test_template_types():
     text = b"Then Alice Smith ran 12 km. The end, \xc3\x89mile won 3 times."
     h, a, b = decontamination.template(np.frombuffer(text, np.uint8))
