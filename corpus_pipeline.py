@@ -1,4 +1,9 @@
-"""The training-corpus pipeline: five stages, each written as Parquet and read again by the next."""
+"""The training-corpus pipeline: five stages, each written as Parquet and read again by the next.
+
+Null and empty texts are judged like others: the classifier scores them, no stage links or matches them, and they are mixed
+where they pass. Of equal rows with words one stays, as of any near duplicates; rows that share or lack a doc_id are
+documents of their own. Extra columns of documents come through. An empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
@@ -50,11 +55,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is written to the shared folder and read again."""
-    docs = common.read(spark, sf_dir, "documents")
-    folder = f"{common.shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages over documents; each result is written to the shared folder and read again. Only the last is left there."""
+    return applied(spark, common.read(spark, sf_dir, "documents"), sf_dir)
+
+
+def applied(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    folder, before = f"{common.shared_dir(spark)}/pipeline-{uuid.uuid4().hex}", None
     for name, stage in STAGES:
-        path = f"{folder}/{name}"
+        path, mark = f"{folder}/{name}", common.stored_so_far()
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        common.drop_stored(mark)  # what the stage held on its way
+        if before:
+            common.delete(spark, before)
+        before = path
+    common.kept_until_exit(spark, path)
     return docs
