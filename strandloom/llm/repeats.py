@@ -9,8 +9,8 @@ anchor lie in its context, the W - K symbols before it and the W from it on. The
    very many copies sends one row a batch;
 2. all distinct contexts of K symbols that have more than one go to a closer look, which an operator supplies (suffix
    order, or greedy factors). A key with more than LIMIT of them is dealt anew by longer stretches around the anchor:
-   the windows that start in either half of its range share a longer stretch, whose hash is the new key. A range of
-   one window is a group of equal windows, of which only the first (or two texts) counts;
+   the windows that start in one of FAN parts of its range share a longer stretch, whose hash is the new key. A range
+   of one window is a group of equal windows, of which only the first (or two texts) counts;
 3. the covered stretches go back to the texts.
 
 Rows are texts: `doc` is the doc_id (null ids after all others) and `sub` a hash of the text, so that rows that share or
@@ -34,7 +34,8 @@ from .common import arrow_map, id_key, stored
 
 U = np.uint64
 TOP = np.iinfo(np.uint64).max
-LIMIT = 4096
+#: Contexts of a key that one task holds (some 20 MB), and the parts a crowded key is cut into.
+LIMIT, FAN = 100_000, 9
 #: Hash buckets that are counted to find crowded keys; one is crowded beyond CROWDED times the mean, so at most 2 ** BUCKET_BITS / CROWDED are.
 BUCKET_BITS, CROWDED = 16, 8
 
@@ -291,14 +292,15 @@ def _with_texts(need: DataFrame, texts: DataFrame, s: Search, schema: str, make:
     return rows.mapInArrow(run, schema)
 
 
-def halves(need: DataFrame, texts: DataFrame, s: Search) -> DataFrame:
-    """The wanted anchors with their range of windows cut in two, either half under the hash of what its windows share."""
+def pieces(need: DataFrame, texts: DataFrame, s: Search) -> DataFrame:
+    """The wanted anchors with their range of windows cut in parts, each under the hash of what its windows share."""
 
     def make(out, text, x, start, end, salt, key, pos, a, b):
-        at, mid = start + pos, (a + b) // 2
-        for lo, hi in ((a, mid), (mid + 1, b)):
+        at, size = start + pos, -(-(b - a + 1) // FAN)
+        for lo in range(a, b + 1, size):
+            hi = min(b, lo + size - 1)
             i, j = at - lo, at + s.width - hi
-            if i >= start and j <= end:  # else no window of this half lies in the text
+            if i >= start and j <= end:  # else no window of this part lies in the text
                 h = x.hash(np.array([i]), np.array([j]), (lo + 1) * 4096 + hi)
                 made = int(textkit.signed(_salted(h, np.array([salt])))[0])
                 for column, v in zip(out, (made, *text, pos, lo, hi), strict=True):
@@ -342,8 +344,10 @@ def closer(found: DataFrame, texts: DataFrame, s: Search) -> DataFrame:
             ready = add(ready, need)
             break
         ready = add(ready, need.join(hot, "key", "left_anti"))
-        # at most seven times: each turn halves the range
-        cut = stored(halves(need.join(hot, "key", "left_semi"), texts, s), f"{s.name}-halves")
+        # at most twice: the range of a key is under FAN * FAN windows
+        cut = stored(pieces(need.join(hot, "key", "left_semi"), texts, s), f"{s.name}-pieces")
+        again = cut.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+        cut = stored(cut.join(again, "key", "left_semi"), f"{s.name}-shared")
         leaves = add(leaves, cut.filter("a = b"))
         need = cut.filter("a < b")
     given = contexts(ready, texts, s).repartition("key").sortWithinPartitions("key", "doc", "sub", "pos")
