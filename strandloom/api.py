@@ -47,8 +47,8 @@ class Database:
         return SampleView(self, required(sample_id, "sample"))
 
     def genomes(self, pattern: str | None = None) -> Query:
-        """Genomes of the statistics table (not of the positions); a pattern may match anywhere."""
-        df = self.store.table("genome_stats").select("genome").distinct()
+        """Names of all genomes that any sample has statistics of, in order; with a pattern, those it is found in."""
+        df = self.store.table("genome_stats").select("genome").filter("genome is not null").distinct()
         if pattern is not None:
             df = df.filter(F.col("genome").rlike(required(pattern, "pattern")))
         return _ordered(df, "genome")
@@ -59,10 +59,10 @@ class Database:
             df = df.filter(F.col("status") == "complete")
         if pattern is not None:
             df = df.filter(F.col("sample_id").rlike(required(pattern, "pattern")))
-        return _ordered(df.select("sample_id"), "sample_id")
+        return _ordered(df, "sample_id")
 
     def _positions(self) -> DataFrame:
-        if self.store.state()["contract"]["mode"] != "full":
+        if self.store.contract()["mode"] != "full":
             raise ModeError("this project stores allele masks; counts are not available")
         return self.store.table("profile_positions")
 
@@ -74,7 +74,8 @@ class _View:
         self.database, self.value = database, value
 
     def _own(self, table: str, **equal: str | None) -> DataFrame:
-        df = self.database.store.table(table).filter(F.col(self.key) == self.value)
+        store = self.database.store
+        df = (store.of_sample(table, self.value) if self.key == "sample_id" else store.table(table)).filter(F.col(self.key) == self.value)
         for column, v in equal.items():
             if v is not None:
                 df = df.filter(F.col(column) == required(v, column))
@@ -123,6 +124,6 @@ class SampleView(_View):
 
 def open_database(spark: SparkSession, root: str) -> Database:
     store = Store(spark, root)
-    if not store.files.exists(f"{root.rstrip('/')}/CURRENT.json"):
+    if not store.exists():
         raise FileNotFoundError(f"no project at {root}")
     return Database(store)

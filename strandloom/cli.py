@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import argparse
 import json
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import compare, contract, eligibility, matrix, registry
+from .operators import compare, contract, matrix, registry
 from .sources import config, ingest, reference, sinks
 from .sources.store import Store
 from .streaming import sync
@@ -24,22 +25,35 @@ def _axis(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return contract.axis(ingest.bed(spark, a.bed), ingest.stb(spark, a.stb))
 
 
-def _wanted(store: Store, a: argparse.Namespace) -> DataFrame:
-    return eligibility.eligible(store.table("samples"), store.table("genome_stats"), store.table("sylph_abundance"), min_coverage=a.min_coverage, min_breadth=a.min_breadth, min_ber=a.min_ber, min_abundance=a.min_sylph_abundance, genome=a.genome)
-
-
 def _sync_build(store: Store, a: argparse.Namespace) -> None:
-    wanted, held = _wanted(store, a), store.table("matrix_store_samples")
-    outcome = sync.matrices(store.table("profile_positions"), _axis(store.spark, a), wanted, held, a.matrices, a.min_cov).cache()
-    _show(outcome)
-    new = eligibility.unmaterialized(wanted, held).select(F.col("genome").alias("matrix_id"), "sample_id", F.unix_timestamp().cast("double").alias("added_at"))
-    store.replace({"matrix_store_samples": held.unionByName(new)})
+    min_cov = a.min_cov if a.min_cov is not None else store.state()["contract"]["min_cov"] or matrix.MIN_COV
+    _show(sync.build(store, _axis(store.spark, a), a.matrices, min_cov=min_cov, genome=a.genome, min_coverage=a.min_coverage, min_breadth=a.min_breadth, min_ber=a.min_ber, min_abundance=a.min_sylph_abundance))
 
 
 def _compare(store: Store, a: argparse.Namespace) -> None:
-    rows = store.spark.read.parquet(a.matrices)
+    rows = store.matrix_cells(a.matrices)
     rows = rows if a.genome is None else rows.filter(F.col("genome") == a.genome)
     sinks.to_parquet(compare.packed_pairs(rows), a.out, overwrite=a.overwrite)
+    now = time.time()
+    made = rows.select("genome").distinct().select(F.concat_ws("@", "genome", F.lit(a.out)).alias("compare_id"), F.col("genome").alias("matrix_id"), F.lit(a.out).alias("compare_db_file"), F.lit("ani").alias("calculate"), F.lit(now).alias("created_at"), F.lit(now).alias("updated_at"))
+    store.replace({"matrix_compares": registry.upsert(store.table("matrix_compares"), made, ["compare_id"])})
+
+
+def _sync_compare(store: Store, a: argparse.Namespace) -> None:
+    if store.contract()["mode"] == "allele_mask":
+        if a.method != "popani":
+            raise ValueError("masks hold no counts: only popani can be compared")
+        rows = store.masks().withColumnRenamed("mask", "allele")
+    else:
+        rows = compare.alleles(store.table("profile_positions"), a.method)
+    sync.comparisons(rows, a.completed, a.method)
+
+
+def _references(store: Store, a: argparse.Namespace) -> None:
+    from .operators import codec
+
+    made = reference.derive(store.spark, dict(x.split("=", 1) for x in a.genome_fasta))
+    store.set_references(codec.reference_segments(made["fasta"].drop("genome"), made["stb"]))
 
 
 def _views(store: Store, a: argparse.Namespace) -> None:
@@ -101,9 +115,10 @@ def parser() -> argparse.ArgumentParser:
     add("profiles-export", lambda s, a: sinks.per_sample(s.table("profile_positions"), a.out), ("out", {}))
     add("compact-database", _migrate, ("target", {}), ("--genome-fasta", {"nargs": "+", "required": True}), ("--min-cov", {"type": int, "default": 5}))
     add("cache-build-matrix-files", _derive, ("out", {}), ("--genome-fasta", {"nargs": "+", "required": True}), ("--gene-fasta", {"nargs": "*", "default": []}))
-    add("matrix-sync-build", _sync_build, ("matrices", {}), *axis, ("--min-cov", {"type": int, "default": matrix.MIN_COV}), thresholds=True)
+    add("matrix-sync-build", _sync_build, ("matrices", {}), *axis, ("--min-cov", {"type": int}), thresholds=True)
     add("matrix-compare", _compare, ("matrices", {}), ("out", {}), ("--genome", {}), ("--overwrite", {"action": "store_true"}))
-    add("matrix-sync-compare", lambda s, a: sync.comparisons(s.table("profile_positions"), s.spark.read.parquet(a.completed), a.completed, a.method), ("completed", {}), ("--method", {"default": "popani"}))
+    add("matrix-sync-compare", _sync_compare, ("completed", {}), ("--method", {"default": "popani"}))
+    add("references-set", _references, ("--genome-fasta", {"nargs": "+", "required": True}))
     numbers = [(f"--{n}", {"type": t}) for n, t in (("min-comp-len", int), ("impute-ani", float), ("max-null-fraction", float), ("max-null-samples", int), ("linkage-method", str), ("neighbor-k", int))]
     add("sync-genome-views", _views, ("results", {}), ("out", {}), ("--config", {}), *numbers)
     add("status", _status)

@@ -33,4 +33,4 @@ def normalized(ids: Iterable[str]) -> list[str]:
 def required(value: str, what: str) -> str:
     if not value or not value.strip():
         raise ValueError(f"{what} must not be blank")
-    return value
+    return value.strip()

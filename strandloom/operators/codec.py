@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions import masks
 from ..schemas import BITS, SKIPPED_GENOMES
-from .contract import reject
 
 LEVEL = 6
 
@@ -75,55 +74,66 @@ def reference_segments(fasta: DataFrame, stb: DataFrame, bed_spans: DataFrame |
 
 
 def encode(positions: DataFrame, segments: DataFrame, min_cov: int = 5) -> DataFrame:
-    """sample_id, segment_id, presence, deviation, covered_positions, payload_hash; blocks without a covered position are left out."""
-    rows = positions.filter(~F.col("genome").isin(*SKIPPED_GENOMES))
-    reject(rows.filter((F.col("A") < 0) | (F.col("C") < 0) | (F.col("G") < 0) | (F.col("T") < 0) | F.col("pos").isNull() | (F.col("pos") < 1)), "negative counts or positions", "sample_id", "chrom")
-    rows = rows.filter(masks.coverage() >= min_cov).select("sample_id", "genome", "chrom", "pos", masks.mask().alias("mask"))
-    joined = rows.join(segments.select("segment_id", "genome", "chrom", "start_pos", "span"), ["genome", "chrom"])
-    reject(joined.filter((F.col("pos") < F.col("start_pos")) | (F.col("pos") >= F.col("start_pos") + F.col("span"))), "positions outside their segment", "sample_id", "chrom")
-    blocks = joined.groupBy("sample_id", "segment_id").agg(F.collect_list(F.struct((F.col("pos") - F.col("start_pos")).alias("at"), "mask")).alias("cells"))
+    """sample_id, segment_id, presence, deviation, covered_positions, payload_hash; blocks without a covered position are left out.
+
+    The plan itself raises on negative counts, positions without a segment or outside of it, and positions given twice.
+    """
+    rows = positions.filter(~F.coalesce("genome", F.lit("")).isin(*SKIPPED_GENOMES))
+    bad = (F.least("A", "C", "G", "T") < 0) | F.col("pos").isNull() | (F.col("pos") < 1)
+    say = lambda text, *c: F.raise_error(F.concat(F.lit(text), F.concat_ws(" ", *[F.col(x).cast("string") for x in c])))
+    pos = F.when(bad, say("negative counts or positions: ", "sample_id", "chrom", "pos").cast("bigint")).otherwise(F.col("pos"))
+    rows = rows.select("sample_id", "genome", "chrom", pos.alias("pos"), *[c for c in ("A", "T", "C", "G")]).filter(masks.coverage() >= min_cov)
+    joined = rows.select("sample_id", "genome", "chrom", "pos", masks.mask().alias("mask")).join(segments.select("segment_id", "genome", "chrom", "start_pos", "span"), ["genome", "chrom"], "left")
+    at = F.col("pos") - F.col("start_pos")
+    # in the key itself: a check in another column would be dropped with the rows that the join below cannot use
+    segment = F.coalesce("segment_id", say("positions on scaffolds without a reference: ", "genome", "chrom").cast("bigint"))
+    at = F.when((at < 0) | (at >= F.col("span")), say("positions outside their segment: ", "sample_id", "chrom", "pos").cast("bigint")).otherwise(at)
+    # one sample's cells of one scaffold are one block: the unit that is stored
+    blocks = joined.select("sample_id", segment.alias("segment_id"), at.alias("at"), "mask").groupBy("sample_id", "segment_id").agg(F.collect_list("at").alias("at"), F.collect_list("mask").alias("mask"))
     refs = segments.select("segment_id", "span", "reference_mask")
 
     @F.pandas_udf("struct<presence:binary,deviation:binary,covered_positions:bigint,payload_hash:string>")
-    def pack(cells: pd.Series, spans: pd.Series, references: pd.Series) -> pd.DataFrame:
+    def pack(places: pd.Series, values: pd.Series, spans: pd.Series, references: pd.Series) -> pd.DataFrame:
         out = []
-        for c, span, ref in zip(cells, spans, references, strict=True):
+        for at, v, span, ref in zip(places, values, spans, references, strict=True):
             n = int(span)
             mask = np.zeros(n, np.uint8)
-            at = np.array([x["at"] for x in c])
-            if len(np.unique(at)) != len(at):
-                raise ValueError("a position occurs twice in one sample and scaffold")
-            mask[at] = [x["mask"] for x in c]
+            mask[at] = v
             present = mask > 0
+            if int(present.sum()) != len(at):
+                raise ValueError("a position occurs twice in one sample and scaffold")
             base = unpack_nibbles(expand(ref, (n + 1) // 2), n)
             p, d = pack_bits(present), pack_nibbles(np.where(present, mask ^ base, 0))
-            out.append((compress(p), compress(d), int(present.sum()), hashlib.sha256(p + d).hexdigest()))
+            out.append((compress(p), compress(d), len(at), hashlib.sha256(p + d).hexdigest()))
         return pd.DataFrame(out, columns=["presence", "deviation", "covered_positions", "payload_hash"])
 
-    return blocks.join(refs, "segment_id").withColumn("b", pack("cells", "span", "reference_mask")).select("sample_id", "segment_id", "b.*")
+    return blocks.join(refs, "segment_id").withColumn("b", pack("at", "mask", "span", "reference_mask")).select("sample_id", "segment_id", "b.*")
 
 
 def decode(blocks: DataFrame, segments: DataFrame) -> DataFrame:
     """sample_id, genome, chrom, pos, mask; checks hash, sizes, the number of positions and that no mask is empty."""
-    rows = blocks.join(segments, "segment_id").select("sample_id", "genome", "chrom", "start_pos", "span", "reference_mask", "presence", "deviation", "covered_positions", "payload_hash")
+    rows = blocks.join(segments, "segment_id", "left").select("sample_id", "segment_id", "genome", "chrom", "start_pos", "span", "reference_mask", "presence", "deviation", "covered_positions", "payload_hash")
 
-    @F.pandas_udf("array<struct<at:bigint,mask:int>>")
-    def unpack(presence: pd.Series, deviation: pd.Series, references: pd.Series, spans: pd.Series, counts: pd.Series, hashes: pd.Series) -> pd.Series:
-        out = []
+    @F.pandas_udf("struct<at:array<bigint>,mask:array<int>>")
+    def unpack(presence: pd.Series, deviation: pd.Series, references: pd.Series, spans: pd.Series, counts: pd.Series, hashes: pd.Series) -> pd.DataFrame:
+        places, values = [], []
         for p, d, ref, span, count, digest in zip(presence, deviation, references, spans, counts, hashes, strict=True):
+            if ref is None:
+                raise ValueError("a block names a segment that is not there")
             n = int(span)
             p, d = expand(p, (n + 7) // 8), expand(d, (n + 1) // 2)
             if hashlib.sha256(p + d).hexdigest() != digest:
                 raise ValueError("a block does not match its hash")
-            present = unpack_bits(p, n)
-            at = np.flatnonzero(present)
+            at = np.flatnonzero(unpack_bits(p, n))
             mask = (unpack_nibbles(expand(ref, (n + 1) // 2), n) ^ unpack_nibbles(d, n))[at]
             if len(at) != count or (mask == 0).any():
                 raise ValueError("a block does not hold what it claims")
-            out.append([{"at": int(a), "mask": int(m)} for a, m in zip(at, mask, strict=True)])
-        return pd.Series(out)
+            places.append(at)
+            values.append(mask.astype(np.int32))
+        return pd.DataFrame({"at": places, "mask": values})
 
-    cells = rows.select("sample_id", "genome", "chrom", "start_pos", F.explode(unpack("presence", "deviation", "reference_mask", "span", "covered_positions", "payload_hash")).alias("c"))
+    made = rows.select("sample_id", "genome", "chrom", "start_pos", unpack("presence", "deviation", "reference_mask", "span", "covered_positions", "payload_hash").alias("c"))
+    cells = made.select("sample_id", "genome", "chrom", "start_pos", F.explode(F.arrays_zip("c.at", "c.mask")).alias("c"))
     return cells.select("sample_id", "genome", "chrom", (F.col("start_pos") + F.col("c.at")).alias("pos"), F.col("c.mask").alias("mask"))
 
 

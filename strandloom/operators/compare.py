@@ -1,8 +1,9 @@
 """All-versus-all comparison of samples.
 
-Two kernels give the same rows. `pairs` joins positions with themselves: right where few samples share a position. The
-packed kernel cuts the axis and the samples into blocks and multiplies indicator matrices: one task holds two blocks of
-samples by one block of the axis, so a position that all samples cover is no hot key, and only partial sums are shuffled.
+The packed kernels cut scaffolds into blocks of cells and samples into blocks, and multiply indicator matrices: one task
+holds two blocks of samples by one block of cells, so a position that all samples cover is no hot key, and only partial sums
+are shuffled. With `open_samples`, only tiles that hold one of them are formed: new samples meet all others, old ones do
+not meet again. `joined_pairs` joins positions with themselves instead; it gives the same rows and stands for tests.
 """
 
 from __future__ import annotations
@@ -49,18 +50,112 @@ def _shared(method: str):
     return F.col("allele1").bitwiseAND(F.col("allele2")) != 0
 
 
-def pairs(positions: DataFrame, method: str = "popani", min_cov: int = MIN_COV) -> DataFrame:
-    """genome, sample_1, sample_2, total_positions, share_allele_pos, genome_ani of pairs that share a covered position."""
+def joined_pairs(positions: DataFrame, method: str = "popani", min_cov: int = MIN_COV) -> DataFrame:
+    """pairs() by a join on positions: n samples at a position make n (n - 1) / 2 rows."""
     both = joint(alleles(positions, method, min_cov))
     out = both.groupBy("genome", "sample_1", "sample_2").agg(F.count(F.lit(1)).alias("total_positions"), F.count_if(_shared(method)).alias("share_allele_pos"))
     return out.withColumn("genome_ani", masks.ani(F.col("share_allele_pos"), F.col("total_positions")))
 
 
+def _subsets() -> tuple[np.ndarray, np.ndarray]:
+    """For each mask, which of the 15 base sets it holds; and the sign of each set in the count of shared positions."""
+    holds = np.array([[(m & s) == s for s in range(1, 16)] for m in range(16)], np.float32)
+    return holds, np.array([1 if bin(s).count("1") % 2 else -1 for s in range(1, 16)], np.float32)
+
+
+def _sharing(method: str):
+    """(first samples by cells, second samples by cells) to the number of cells that each pair shares. Values are masks, or counts in a last axis."""
+    if method.startswith("cosani_"):
+        least = float(method.split("_", 1)[1])
+
+        def share(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            out = np.zeros((len(x), len(y)))
+            step = max(1, 4_000_000 // max(1, len(x) * len(y)))
+            for c in range(0, x.shape[1], step):
+                u, v = x[:, None, c : c + step], y[None, :, c : c + step]
+                dot, size_u, size_v = (sum(p[..., k] * q[..., k] for k in range(4)) for p, q in ((u, v), (u, u), (v, v)))
+                out += ((dot >= least * np.sqrt(size_u * size_v)) & (size_u > 0) & (size_v > 0)).sum(2)
+            return out
+    else:
+        holds, signs = _subsets()
+
+        def share(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            return sum(sign * (holds[x, k] @ holds[y, k].T) for k, sign in enumerate(signs))
+
+    return share
+
+
+def _dealt(rows: DataFrame, unit: str, samples_per_block: int, cells_per_block: int | None, open_samples: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Rows by genome, unit, block of cells and tile (tile_1 <= tile_2) of blocks of samples; and the samples' numbers, open ones first."""
+    catalog = rows.select("genome", "sample_id").distinct()
+    late = F.lit(0)
+    if open_samples is not None:
+        marked = open_samples.select("genome", "sample_id").distinct().withColumn("late", F.lit(0))
+        catalog, late = catalog.join(marked, ["genome", "sample_id"], "left"), F.coalesce("late", F.lit(1))
+    idx = catalog.select("genome", "sample_id", late.alias("late")).withColumn("i", F.row_number().over(W.partitionBy("genome").orderBy("late", "sample_id")) - 1)
+    sizes = idx.groupBy("genome").agg((F.floor(F.max("i") / samples_per_block) + 1).cast("int").alias("blocks"), F.count_if(F.col("late") == 0).alias("n_open"))
+    dealt = rows.join(idx.drop("late"), ["genome", "sample_id"]).join(F.broadcast(sizes), "genome").withColumn("own", F.floor(F.col("i") / samples_per_block).cast("int"))  # a row a genome
+    tile = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("own", o).alias("tile_1"), F.greatest("own", o).alias("tile_2")))).alias("tile")
+    values = [c for c in rows.columns if c not in ("genome", "sample_id", "chrom", "pos", "gene")]
+    block = F.floor(F.col("pos") / cells_per_block) if cells_per_block else F.lit(0).cast("long")
+    dealt = dealt.select("genome", F.col(unit).alias("unit"), block.alias("cell_block"), tile, "n_open", "pos", "i", *values).filter(F.col("tile.tile_1") * samples_per_block < F.col("n_open"))
+    return dealt.select("genome", "unit", "cell_block", "tile.tile_1", "tile.tile_2", "pos", "i", *values), idx.drop("late")
+
+
+def _tables(pdf: pd.DataFrame, key: tuple, samples_per_block: int) -> tuple[np.ndarray, ...]:
+    """Numbers of the samples of both blocks, and their values by cell (0 where not covered)."""
+    cells, at = np.unique(pdf["pos"].to_numpy(), return_inverse=True)
+    i = pdf["i"].to_numpy()
+    values = pdf["allele"].to_numpy(np.int64)[:, None] if "allele" in pdf else pdf[list(CHANNELS)].to_numpy(np.float64)
+    out = []
+    for block in key[3:5]:
+        on = i // samples_per_block == block
+        names, row = np.unique(i[on], return_inverse=True)
+        table = np.zeros((len(names), len(cells), values.shape[1]), values.dtype)
+        table[row, at[on]] = values[on]
+        out += [names, table[..., 0] if "allele" in pdf else table]
+    return (cells, *out)
+
+
+def _named(sums: DataFrame, idx: DataFrame, *columns: str) -> DataFrame:
+    """Sample names for numbers, the smaller name first."""
+    first, second = (idx.select("genome", F.col("i").alias(f"i{k}"), F.col("sample_id").alias(f"s{k}")) for k in (1, 2))
+    out = sums.join(first, ["genome", "i1"]).join(second, ["genome", "i2"])
+    return out.select("genome", F.least("s1", "s2").alias("sample_1"), F.greatest("s1", "s2").alias("sample_2"), *columns)
+
+
+def packed(rows: DataFrame, method: str = "popani", *, unit: str = "chrom", samples_per_block: int = 256, cells_per_block: int | None = 4096, open_samples: DataFrame | None = None) -> DataFrame:
+    """genome, unit, sample_1, sample_2, total_positions, share_allele_pos, summed over each unit, of rows from alleles()."""
+    dealt, idx = _dealt(rows, unit, samples_per_block, cells_per_block, open_samples)
+    share = _sharing(method)
+
+    def multiply(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        _, names_a, x, names_b, y = _tables(pdf, key, samples_per_block)
+        covered = [(t if t.ndim == 2 else t.sum(2)) > 0 for t in (x, y)]
+        total = covered[0].astype(np.float32) @ covered[1].astype(np.float32).T
+        if key[3] == key[4]:
+            total = np.triu(total, 1)
+        i, j = np.nonzero(total > 0)
+        shared = np.rint(share(x, y)).astype(np.int64)
+        return pd.DataFrame({"genome": key[0], "unit": key[1], "i1": names_a[i], "i2": names_b[j], "total": total[i, j].astype(np.int64), "share": shared[i, j]})
+
+    partial = dealt.groupBy("genome", "unit", "cell_block", "tile_1", "tile_2").applyInPandas(multiply, "genome string, unit string, i1 int, i2 int, total bigint, share bigint")
+    keys = ["genome", "i1", "i2"] if unit == "chrom" else ["genome", "unit", "i1", "i2"]
+    sums = partial.groupBy(*keys).agg(F.sum("total").alias("total_positions"), F.sum("share").alias("share_allele_pos"))
+    return _named(sums, idx, *([] if unit == "chrom" else ["unit"]), "total_positions", "share_allele_pos")
+
+
+def pairs(positions: DataFrame, method: str = "popani", min_cov: int = MIN_COV) -> DataFrame:
+    """genome, sample_1, sample_2, total_positions, share_allele_pos, genome_ani of pairs that share a covered position."""
+    out = packed(alleles(positions, method, min_cov), method)
+    return out.withColumn("genome_ani", masks.ani(F.col("share_allele_pos"), F.col("total_positions")))
+
+
 def gene_pairs(positions: DataFrame, min_cov: int = MIN_COV) -> DataFrame:
-    """popANI of each gene; genes without overlap have no row."""
+    """popANI of each gene; genes without overlap have no row. A gene is a block of its own."""
     rows = positions.filter(masks.coverage() >= min_cov).select("sample_id", "genome", "chrom", "pos", "gene", masks.mask().alias("allele"))
-    both = joint(rows, "gene")
-    out = both.groupBy("genome", "gene", "sample_1", "sample_2").agg(F.count(F.lit(1)).alias("total_positions"), F.count_if(_shared("popani")).alias("share_allele_pos"))
+    out = packed(rows.filter("gene is not null"), "popani", unit="gene", cells_per_block=None)
+    out = out.select("genome", F.col("unit").alias("gene"), "sample_1", "sample_2", "total_positions", "share_allele_pos")
     return out.withColumn("gene_pop_ani", masks.ani(F.col("share_allele_pos"), F.col("total_positions")))
 
 
@@ -70,67 +165,68 @@ def in_genes(rows: DataFrame, genes: DataFrame, bin_size: int = 100) -> DataFram
     return rows.withColumn("bin", F.expr(f"axis_pos div {bin_size}")).join(g, ["genome", "bin"]).filter(F.col("axis_pos").between(F.col("gene_start"), F.col("gene_end"))).drop("bin")
 
 
-def longest_runs(positions: DataFrame, min_cov: int = MIN_COV) -> DataFrame:
-    """The longest stretch of neighbouring cells of one scaffold that both samples cover and share; 0 if there is none."""
-    both = joint(alleles(positions, "popani", min_cov)).withColumn("hit", _shared("popani"))
-    order = W.partitionBy("genome", "sample_1", "sample_2", "chrom").orderBy("pos")
-    runs = both.filter("hit").withColumn("island", F.col("pos") - F.row_number().over(order)).groupBy("genome", "sample_1", "sample_2", "chrom", "island").agg(F.count(F.lit(1)).alias("n"))
-    best = runs.groupBy("genome", "sample_1", "sample_2").agg(F.max("n").alias("max_consecutive_length"))
-    all_pairs = both.select("genome", "sample_1", "sample_2").distinct()
-    return all_pairs.join(best, ["genome", "sample_1", "sample_2"], "left").withColumn("max_consecutive_length", F.coalesce("max_consecutive_length", F.lit(0)))
-
-
-def incremental(positions: DataFrame, completed: DataFrame, method: str = "popani", min_cov: int = MIN_COV) -> DataFrame:
-    """Pairs that are not among the completed (genome, sample_1, sample_2).
+def longest_runs(positions: DataFrame, min_cov: int = MIN_COV, *, samples_per_block: int = 256, cells_per_block: int = 4096) -> DataFrame:
+    """The longest stretch of neighbouring cells of one scaffold that both samples cover and share; 0 if there is none.
 
-    Samples whose pairs are all complete leave before the join on positions; what is left of the completed pairs goes after.
+    Each block gives the runs at its start and end and its longest; blocks are then joined in order.
     """
-    rows = alleles(positions, method, min_cov)
-    catalog = rows.select("genome", "sample_id").distinct()
-    sizes = catalog.groupBy("genome").agg(F.count(F.lit(1)).alias("n"))
-    done = completed.select("genome", F.explode(F.array("sample_1", "sample_2")).alias("sample_id")).groupBy("genome", "sample_id").agg(F.count(F.lit(1)).alias("k"))
-    old = catalog.join(sizes, "genome").join(done, ["genome", "sample_id"]).filter("k >= n - 1").select("genome", "sample_id")
-    live = rows.join(old, ["genome", "sample_id"], "left_anti")
-    both = joint(live)
-    out = both.groupBy("genome", "sample_1", "sample_2").agg(F.count(F.lit(1)).alias("total_positions"), F.count_if(_shared(method)).alias("share_allele_pos"))
-    out = out.join(completed.select("genome", "sample_1", "sample_2"), ["genome", "sample_1", "sample_2"], "left_anti")
+    dealt, idx = _dealt(alleles(positions, "popani", min_cov), "chrom", samples_per_block, cells_per_block, None)
+
+    def runs(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        cells, names_a, x, names_b, y = _tables(pdf, key, samples_per_block)
+        first = key[2] * cells_per_block
+        shape = (len(names_a), len(names_b))
+        now, best, head = (np.zeros(shape, np.int64) for _ in range(3))
+        whole, met, before = np.full(shape, True), np.full(shape, False), first - 1
+        for c, cell in enumerate(cells.tolist()):
+            if cell != before + 1:
+                now[:], whole[:] = 0, False
+            hit = (x[:, None, c] & y[None, :, c]) != 0
+            met |= (x[:, None, c] > 0) & (y[None, :, c] > 0)
+            now = (now + 1) * hit
+            whole &= hit
+            head += whole
+            best = np.maximum(best, now)
+            before = cell
+        if before != first + cells_per_block - 1:
+            now[:] = 0
+        i, j = np.nonzero(np.triu(met, 1) if key[3] == key[4] else met)
+        return pd.DataFrame({"genome": key[0], "unit": key[1], "block": key[2], "i1": names_a[i], "i2": names_b[j], "head": head[i, j], "tail": now[i, j], "best": best[i, j]})
+
+    each = dealt.groupBy("genome", "unit", "cell_block", "tile_1", "tile_2").applyInPandas(runs, "genome string, unit string, block bigint, i1 int, i2 int, head bigint, tail bigint, best bigint")
+    parts = each.groupBy("genome", "i1", "i2", "unit").agg(F.sort_array(F.collect_list(F.struct("block", "head", "tail", "best"))).alias("p"))  # a scaffold's blocks
+    joined = f"""aggregate(p, struct(-2L as block, 0L as run, 0L as best), (s, x) -> struct(x.block as block,
+        if(x.head = {cells_per_block}, if(x.block = s.block + 1, s.run, 0L) + x.head, x.tail) as run,
+        greatest(s.best, x.best, if(x.block = s.block + 1, s.run, 0L) + x.head) as best)).best"""
+    sums = parts.withColumn("n", F.expr(joined)).groupBy("genome", "i1", "i2").agg(F.max("n").alias("max_consecutive_length"))
+    return _named(sums, idx, "max_consecutive_length")
+
+
+def open_samples(catalog: DataFrame, completed: DataFrame) -> DataFrame:
+    """Samples (genome, sample_id) with a pair to come: those in no completed pair, and those that lack one among the others."""
+    ends = completed.select("genome", F.explode(F.array("sample_1", "sample_2")).alias("sample_id")).groupBy("genome", "sample_id").agg(F.count(F.lit(1)).alias("k"))
+    known = catalog.select("genome", "sample_id").distinct().join(ends, ["genome", "sample_id"], "left")
+    old = known.filter("k is not null").groupBy("genome").agg(F.count(F.lit(1)).alias("n"))
+    return known.join(old, "genome", "left").filter("k is null or k < n - 1").select("genome", "sample_id")
+
+
+def missing_pairs(rows: DataFrame, completed: DataFrame, method: str = "popani", **options) -> DataFrame:
+    """Pairs of rows from alleles() that are not among the completed (genome, sample_1, sample_2): open samples by all samples."""
+    done = completed.select("genome", F.least("sample_1", "sample_2").alias("sample_1"), F.greatest("sample_1", "sample_2").alias("sample_2")).distinct()
+    todo = open_samples(rows.select("genome", "sample_id"), done)
+    out = packed(rows, method, open_samples=todo, **options).join(done, ["genome", "sample_1", "sample_2"], "left_anti")
     return out.withColumn("genome_ani", masks.ani(F.col("share_allele_pos"), F.col("total_positions")))
 
 
-def _subsets() -> tuple[np.ndarray, np.ndarray]:
-    """For each mask, which of the 15 base sets it holds; and the sign of each set in the count of shared positions."""
-    holds = np.array([[(m & s) == s for s in range(1, 16)] for m in range(16)], np.float32)
-    return holds, np.array([1 if bin(s).count("1") % 2 else -1 for s in range(1, 16)], np.float32)
+def incremental(positions: DataFrame, completed: DataFrame, method: str = "popani", min_cov: int = MIN_COV) -> DataFrame:
+    """missing_pairs() of positions."""
+    return missing_pairs(alleles(positions, method, min_cov), completed, method)
 
 
 def packed_pairs(matrix: DataFrame, samples_per_block: int = 256, cells_per_block: int = 4096) -> DataFrame:
     """The rows of pairs(method='popani') from a bitmask matrix (genome, sample_id, axis_pos, mask)."""
-    catalog = matrix.select("genome", "sample_id").distinct()
-    idx = catalog.withColumn("i", F.row_number().over(W.partitionBy("genome").orderBy("sample_id")) - 1)
-    blocks = idx.groupBy("genome").agg((F.floor(F.max("i") / samples_per_block) + 1).cast("int").alias("blocks"))
-    rows = matrix.join(idx, ["genome", "sample_id"]).join(F.broadcast(blocks), "genome").withColumn("own", F.floor(F.col("i") / samples_per_block).cast("int"))  # a row a genome
-    tile = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("own", o).alias("a"), F.greatest("own", o).alias("b")))).alias("t")
-    rows = rows.select("genome", F.floor(F.col("axis_pos") / cells_per_block).alias("cell_block"), "axis_pos", "i", "mask", tile).select("genome", "cell_block", "t.a", "t.b", "axis_pos", "i", "mask")
-    holds, signs = _subsets()
-
-    def multiply(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        names, at = np.unique(pdf["i"].to_numpy(), return_inverse=True)
-        cells, pos = np.unique(pdf["axis_pos"].to_numpy(), return_inverse=True)
-        table = np.zeros((len(names), len(cells)), np.int64)
-        table[at, pos] = pdf["mask"].to_numpy()
-        present = (table > 0).astype(np.float32)
-        total = present @ present.T
-        share = sum(sign * (h @ h.T) for sign, h in ((signs[k], holds[table, k]) for k in range(15)))
-        x, y = np.nonzero(np.triu(total, 1) > 0)
-        if key[2] != key[3]:  # pairs inside one block belong to that block's own tile
-            cross = names[x] // samples_per_block != names[y] // samples_per_block
-            x, y = x[cross], y[cross]
-        return pd.DataFrame({"genome": key[0], "i1": names[x], "i2": names[y], "total": total[x, y].astype(np.int64), "share": np.rint(share[x, y]).astype(np.int64)})
-
-    partial = rows.groupBy("genome", "cell_block", "a", "b").applyInPandas(multiply, "genome string, i1 int, i2 int, total bigint, share bigint")
-    sums = partial.groupBy("genome", "i1", "i2").agg(F.sum("total").alias("total_positions"), F.sum("share").alias("share_allele_pos"))
-    first, second = (idx.select("genome", F.col("i").alias(f"i{k}"), F.col("sample_id").alias(f"sample_{k}")) for k in (1, 2))
-    out = sums.join(first, ["genome", "i1"]).join(second, ["genome", "i2"]).select("genome", "sample_1", "sample_2", "total_positions", "share_allele_pos")
+    rows = matrix.select("genome", "sample_id", F.lit("").alias("chrom"), F.col("axis_pos").alias("pos"), F.col("mask").alias("allele"))
+    out = packed(rows, samples_per_block=samples_per_block, cells_per_block=cells_per_block)
     return out.withColumn("genome_ani", masks.ani(F.col("share_allele_pos"), F.col("total_positions")))
 
 
@@ -139,4 +235,4 @@ def expected_pairs(catalog: DataFrame) -> DataFrame:
     return n.select("genome", "n", F.expr("n * (n - 1) div 2").alias("expected"))
 
 
-__all__ = ["alleles", "expected_pairs", "gene_pairs", "in_genes", "incremental", "joint", "longest_runs", "packed_pairs", "pairs"]
+__all__ = ["alleles", "expected_pairs", "gene_pairs", "in_genes", "incremental", "joined_pairs", "joint", "longest_runs", "missing_pairs", "open_samples", "packed", "packed_pairs", "pairs"]

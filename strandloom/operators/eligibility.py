@@ -30,6 +30,18 @@ def eligible(samples: DataFrame, stats: DataFrame, abundance: DataFrame | None =
     return rows.select("genome", "sample_id").distinct()
 
 
+def by_stores(samples: DataFrame, stats: DataFrame, abundance: DataFrame, stores: DataFrame) -> DataFrame:
+    """genome and sample_id that meet the thresholds each stored matrix (matrix_id is its genome) was built with."""
+    limits = stores.select(F.col("matrix_id").alias("genome"), "min_coverage", "min_breadth", "min_ber", "min_sylph_abundance")
+    rows = stats.join(limits, "genome").join(samples.filter(F.col("status") == "complete").select("sample_id"), "sample_id", "left_semi")
+    for c in THRESHOLDS:
+        rows = rows.filter(F.col(f"min_{c}").isNull() | (F.coalesce(F.col(c), F.lit(0.0)) >= F.col(f"min_{c}")))
+    named = abundance.select("sample_id", F.explode(F.array_distinct(F.array("genome", "accession"))).alias("genome"), "abundance").filter("genome is not null")
+    top = named.groupBy("sample_id", "genome").agg(F.max(F.coalesce("abundance", F.lit(0.0))).alias("top"))
+    rows = rows.join(top, ["sample_id", "genome"], "left").filter("min_sylph_abundance is null or top >= min_sylph_abundance")
+    return rows.select("genome", "sample_id").distinct()
+
+
 def unmaterialized(eligible_rows: DataFrame, stored: DataFrame) -> DataFrame:
     """Eligible samples that the genome's matrix does not hold."""
     return eligible_rows.join(stored.select(F.col("matrix_id").alias("genome"), "sample_id"), ["genome", "sample_id"], "left_anti")

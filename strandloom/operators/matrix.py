@@ -33,6 +33,15 @@ def bitmask(positions: DataFrame, axis: DataFrame, min_cov: int = MIN_COV) -> Da
     return on_axis(covered(positions, min_cov), axis).select("genome", "sample_id", "axis_pos", "mask")
 
 
+def from_masks(masks_of: DataFrame, axis: DataFrame) -> DataFrame:
+    """The bitmask matrix from decoded masks (sample_id, genome, chrom, pos, mask). A mask beyond its scaffold's range on the axis is an error, not cut off."""
+    a = axis.select("genome", "chrom", "index_base", "max_pos", "axis_start")
+    at = F.col("pos") - F.col("index_base") + F.col("axis_start")
+    say = F.raise_error(F.concat(F.lit("masks outside the axis: "), F.concat_ws(" ", "sample_id", "genome", "chrom", F.col("pos").cast("string")))).cast("bigint")
+    rows = masks_of.join(a, ["genome", "chrom"], "left")
+    return rows.select("genome", "sample_id", F.when(F.col("pos").between(F.col("index_base"), F.col("max_pos")), at).otherwise(say).alias("axis_pos"), "mask")
+
+
 def counts(positions: DataFrame, axis: DataFrame, min_cov: int = MIN_COV) -> DataFrame:
     return on_axis(covered(positions, min_cov), axis).select("genome", "sample_id", "axis_pos", *CHANNELS)
 
@@ -90,10 +99,17 @@ def dense(matrix: DataFrame, catalog: DataFrame, lengths: DataFrame) -> DataFram
     return rows.select("genome", "sample_id", value.alias("vector"))
 
 
+def appended_pointers(old: DataFrame, added: DataFrame) -> DataFrame:
+    """The compressed rows (genome, sample_id, sample_idx, row_end) of a matrix after those of other samples; old rows keep their places and ends."""
+    last = old.groupBy("genome").agg((F.max("sample_idx") + 1).alias("rows"), F.max("row_end").alias("cells"))
+    moved = added.join(last, "genome", "left").select("genome", "sample_id", (F.col("sample_idx") + F.coalesce("rows", F.lit(0))).alias("sample_idx"), (F.col("row_end") + F.coalesce("cells", F.lit(0))).alias("row_end"))
+    return old.select("genome", "sample_id", "sample_idx", "row_end").unionByName(moved)
+
+
 def memory_guard(lengths: DataFrame, limit_gb: float, channels: int = 1, bytes_per_cell: int = 1) -> None:
     """Refuses dense vectors that would not fit in limit_gb."""
     too_long = lengths.filter(F.col("matrix_length") * channels * bytes_per_cell > F.lit(limit_gb * 2**30))
     reject(too_long, "vectors beyond the memory limit", "genome")
 
 
-__all__ = ["append_rows", "bitmask", "counts", "covered", "dense", "flat_counts", "largest_count", "memory_guard", "on_axis", "presence", "row_pointers", "storage_mode", "zero_rows"]
+__all__ = ["append_rows", "appended_pointers", "bitmask", "from_masks", "counts", "covered", "dense", "flat_counts", "largest_count", "memory_guard", "on_axis", "presence", "row_pointers", "storage_mode", "zero_rows"]

@@ -5,10 +5,14 @@ A name in braces stands for another view or a driver table.
 
 from __future__ import annotations
 
+import atexit
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.store import Files, shared_dir
+
 VIEWS: dict[str, str] = {
     "profile_positions": """
 SELECT 'SRR' || CAST(l_suppkey AS STRING) AS sample_id,
@@ -72,10 +76,33 @@ def _needs(sql: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", sql)))
 
 
+#: The derived positions are written once a session and folder: every other view is made from them.
+_MADE: dict[tuple[str, str], str] = {}
+
+
+def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MADE:
+        path = f"{shared_dir(spark)}/strandloom/positions-{uuid.uuid4().hex}"
+        spark.sql(VIEWS["profile_positions"], lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet")).write.parquet(path)
+        _MADE[key] = path
+        atexit.register(_dropped, spark, path)
+    return spark.read.parquet(_MADE[key])
+
+
+def _dropped(spark: SparkSession, path: str) -> None:
+    try:
+        Files(spark).delete(path)
+    except Exception:  # the session has ended: nothing can be reached any more
+        return
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived table, or the driver's table of that name."""
     if name not in VIEWS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name == "profile_positions":
+        return _positions(spark, sf_dir)
     return spark.sql(VIEWS[name], **{n: view(spark, sf_dir, n) for n in _needs(VIEWS[name])})
 
 

@@ -45,6 +45,7 @@ ABUNDANCE_SOURCES = ("accession", "genome", "genome_name", "reference", "Genome_
 ABUNDANCE_ALIASES = ("abundance", "relative_abundance", "Taxonomic_abundance", "ANI")
 LIST_GENOME_ALIASES = ("Genome_file", "genome_file", "genome", "Genome", "Reference", "reference", "target")
 LIST_ABUNDANCE_ALIASES = ("eff_cov", "genome_cov", "abundance", "relative_abundance", "rel_abundance", "Taxonomic_abundance")
+# Defaults of a view.
 VIEW_DEFAULTS = {
     "min_comp_len": 10_000, "impute_ani": 97.0, "max_null_fraction": 0.20, "max_null_samples": None,
     "linkage_method": "average", "neighbor_k": 20, "clonal_cluster_threshold": 99.93, "strain_cluster_threshold": 99.8,
@@ -60,6 +61,9 @@ def _schema(text: str) -> T.StructType:
     return T.StructType([T.StructField(name.strip("`"), _TYPES[kind]) for name, kind in parts])
 
 
+# Tables and columns of a project. Three names are shorter than usual, as folders carry them: mask_blocks,
+# reference_segments and migration_state stand for allele_mask_profiles, allele_mask_reference_segments and
+# allele_mask_migration_state.
 TABLES: dict[str, T.StructType] = {
     "sra_runs": _schema("run_id string, status string, added_at double, updated_at double, deleted_at double, last_error string"),
     "samples": _schema("sample_id string, run_id string, status string, created_at double, updated_at double"),

@@ -51,13 +51,15 @@ def resolved(df: DataFrame, aliases: dict[str, tuple[tuple[str, ...], str]]) ->
     return out
 
 
-def profile(df: DataFrame, sample_id: str) -> DataFrame:
-    """Positions of one sample. A missing gene column reads 'NA'; nulls in it stay. Counts must fit 16 bits without sign."""
+def profile(df: DataFrame, sample_id: str, *, whole: bool = False) -> DataFrame:
+    """Positions of one sample. A missing gene column reads 'NA'; nulls in it stay. Counts must fit 16 bits without sign; `whole` refuses fractions, which are rounded otherwise."""
     require(df, ["chrom", "pos", "genome", "A", "C", "G", "T"], "the profile")
     counts = []
     for c in ("A", "C", "G", "T"):
-        whole = F.bround(F.col(c).cast("double")).cast("int")
-        counts.append(F.when(whole.between(0, S.MAX_COUNT), whole).otherwise(F.raise_error(F.concat(F.lit(f"count {c} out of range: "), whole.cast("string")))).alias(c))
+        number = F.col(c).cast("double")
+        rounded = F.bround(number).cast("int")
+        fits = rounded.between(0, S.MAX_COUNT) & ((rounded == number) if whole else F.lit(True))
+        counts.append(F.when(fits, rounded).otherwise(F.raise_error(F.concat(F.lit(f"count {c} out of range: "), number.cast("string")))).alias(c))
     gene = F.col("gene").cast("string") if "gene" in df.columns else F.lit("NA")
     ref = F.col("ref_base_bitmask").cast("int") if "ref_base_bitmask" in df.columns else F.lit(None).cast("int")
     return df.select(F.lit(sample_id).alias("sample_id"), F.col("chrom").cast("string").alias("chrom"), F.col("pos").cast("bigint").alias("pos"), F.col("genome").cast("string").alias("genome"), gene.alias("gene"), *counts, ref.alias("ref_base_bitmask"))

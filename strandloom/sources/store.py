@@ -1,13 +1,15 @@
 """A project as Parquet tables with one pointer that commits.
 
 Fact tables are partitioned by the sample they belong to, so an import replaces a sample by overwriting its partitions;
-registry tables are small snapshots. Every change writes its files first and flips `CURRENT.json` last: readers follow the
-pointer, so a change that fails before is never seen. All paths go through Hadoop file systems.
+registry tables are small snapshots. Every change writes its files first and its state last, under the next number of
+`state/`: readers follow the highest number, so a change that fails before is never seen, and of two writers that start
+from one state the second fails. All paths go through Hadoop file systems.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import time
 import uuid
@@ -20,6 +22,12 @@ from ..operators import registry
 from ..schemas import TABLES
 from . import ingest
 
+KEPT = 5
+#: How profiles are stored in either mode.
+FORMAT = {
+    "full": {"format_version": 1, "codec": None, "allele_bit_order": None},
+    "allele_mask": {"format_version": 1, "codec": "zstd", "allele_bit_order": "ATCG"},
+}
 FACTS = ("profile_positions", "mask_blocks", "genome_stats", "gene_stats", "sylph_abundance")
 
 
@@ -28,8 +36,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
-    named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="strandloom-"))
+    sc.setCheckpointDir(shared_dir(spark))
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share; a temporary one only on a local master."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    made = f"file://{tempfile.mkdtemp(prefix='strandloom-')}"
+    spark.conf.set("spark.checkpoint.dir", made)
+    return made
 
 
 class Files:
@@ -52,16 +71,24 @@ class Files:
     def write(self, path: str, text: str) -> None:
         self.write_bytes(path, text.encode())
 
-    def write_bytes(self, path: str, raw: bytes) -> None:
-        """Written beside and renamed, so that readers see the old content or the new."""
-        staged, fs = self._at(f"{path}.{uuid.uuid4().hex}")
+    def write_bytes(self, path: str, raw: bytes, *, new: bool = False) -> None:
+        """Written beside and renamed in one step, so that readers see the old content or the new; `new` refuses to replace."""
+        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
+        staged, fs = self._at(f"{path}.{uuid.uuid4().hex}.tmp")
         out = fs.create(staged, True)
         out.write(bytearray(raw))
         out.close()
         p, _ = self._at(path)
-        fs.delete(p, False)
-        if not fs.rename(staged, p):
-            raise OSError(f"cannot publish {path}")
+        kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        options = gateway.new_array(kind, 0 if new else 1)
+        if not new:
+            options[0] = kind.OVERWRITE
+        staged, p = fs.makeQualified(staged), fs.makeQualified(p)
+        try:
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), self.spark._jsc.hadoopConfiguration()).rename(staged, p, options)
+        except Exception as e:
+            fs.delete(staged, False)
+            raise OSError(f"cannot publish {path}: another writer was faster" if new else f"cannot publish {path}") from e
 
     def delete(self, path: str) -> None:
         p, fs = self._at(path)
@@ -78,12 +105,42 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root, self.files = spark, root.rstrip("/"), Files(spark)
 
+    def _numbers(self) -> list[int]:
+        return sorted(int(n.removesuffix(".json")) for n in self.files.list(f"{self.root}/state") if re.fullmatch(r"\d+\.json", n))
+
+    def exists(self) -> bool:
+        return bool(self._numbers())
+
     def state(self) -> dict:
-        at = f"{self.root}/CURRENT.json"
-        return json.loads(self.files.read(at)) if self.files.exists(at) else {"tables": {}, "samples": {}, "contract": {"mode": "full", "min_cov": None}}
+        held = self._numbers()
+        if held:
+            return json.loads(self.files.read(f"{self.root}/state/{held[-1]}.json"))
+        if self.files.list(f"{self.root}/data"):
+            raise OSError(f"{self.root} holds data but no state")
+        return {"version": 0, "tables": {}, "samples": {}, "matrices": {}, "contract": {"mode": "full", "min_cov": None}}
 
     def commit(self, state: dict) -> None:
-        self.files.write(f"{self.root}/CURRENT.json", json.dumps(state, sort_keys=True))
+        """The state as the version after the one it was read from; older versions but KEPT are deleted."""
+        version = state["version"] + 1
+        self.files.write_bytes(f"{self.root}/state/{version}.json", json.dumps(state | {"version": version}, sort_keys=True).encode(), new=True)
+        for n in self._numbers():
+            if n <= version - KEPT:
+                self.files.delete(f"{self.root}/state/{n}.json")
+
+    def contract(self) -> dict:
+        """Storage mode and threshold, held against the recorded format: a project written another way is not read."""
+        contract = self.state()["contract"]
+        rows = self.table("profile_storage").collect()  # one row
+        if contract["mode"] == "allele_mask" or rows:
+            wanted = {"id": 1, **contract, **FORMAT[contract["mode"]]}
+            if [r.asDict() for r in rows] != [wanted]:
+                raise ValueError(f"the profile storage is not {wanted}")
+        return contract
+
+    def of_sample(self, name: str, sample: str) -> DataFrame:
+        """The rows of one sample of a fact table, from its own folder."""
+        path = self.state()["samples"].get(sample, {}).get(name)
+        return self.spark.read.schema(TABLES[name]).parquet(path) if path else self.spark.createDataFrame([], TABLES[name])
 
     def table(self, name: str) -> DataFrame:
         """The current rows; columns added to the schema later read null."""
@@ -99,9 +156,9 @@ class Store:
         df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]).write.option("compression", "zstd").parquet(path)
         return path
 
-    def replace(self, changes: dict[str, DataFrame], edit: Callable[[dict], None] | None = None) -> None:
-        """New snapshots of registry tables, committed together."""
-        state = self.state()
+    def replace(self, changes: dict[str, DataFrame], edit: Callable[[dict], None] | None = None, *, state: dict | None = None) -> None:
+        """New snapshots of registry tables, committed together on top of the state they were made from."""
+        state = state or self.state()
         for name, df in changes.items():
             state["tables"][name] = self._write(df, name)
         if edit:
@@ -117,7 +174,14 @@ class Store:
         if state["contract"] != wanted and state["samples"]:
             raise ValueError("the storage contract cannot change after an import")
         state["contract"] = wanted
-        self.commit(state)
+        row = self.spark.createDataFrame([tuple({"id": 1, **wanted, **FORMAT[mode]}[f.name] for f in TABLES["profile_storage"].fields)], TABLES["profile_storage"])
+        self.replace({"profile_storage": row}, state=state)
+
+    def set_references(self, segments: DataFrame) -> None:
+        """The reference segments that masks are stored against; fixed from the first import on."""
+        if self.state()["samples"] and "reference_segments" in self.state()["tables"]:
+            raise ValueError("the reference segments cannot change after an import")
+        self.replace({"reference_segments": segments})
 
     def add_runs(self, ids: Sequence[str]) -> dict[str, int]:
         from ..functions.names import normalized
@@ -154,8 +218,8 @@ class Store:
         if self.table("sra_runs").filter((F.col("run_id") == run_id) & F.col("deleted_at").isNull()).isEmpty():
             raise ValueError(f"run {run_id} is not registered")
         state = self.state()
-        contract = state["contract"]
-        rows = ingest.profile(ingest.table(self.spark, profile), run_id)
+        contract = self.contract()
+        rows = ingest.profile(ingest.table(self.spark, profile), run_id, whole=contract["mode"] == "allele_mask")
         parts = {"genome_stats": ingest.genome_stats(ingest.table(self.spark, genome_stats), run_id), "sylph_abundance": ingest.abundance(ingest.table(self.spark, sylph), run_id)}
         twice = parts["genome_stats"].groupBy("genome").count().filter("count > 1")
         ingest.reject(twice, "genomes with more than one row of statistics", "genome")
@@ -164,7 +228,12 @@ class Store:
         if contract["mode"] == "allele_mask":
             from ..operators import codec
 
-            known = segments if segments is not None else self.table("reference_segments")
+            if segments is not None and "reference_segments" not in state["tables"]:
+                self.set_references(segments)
+                state = self.state()
+            if "reference_segments" not in state["tables"]:
+                raise ValueError("a project of allele masks needs its reference segments before the first import")
+            known = self.table("reference_segments")
             parts["mask_blocks"] = codec.encode(rows, known, contract["min_cov"])
         else:
             parts["profile_positions"] = rows.repartition("genome").sortWithinPartitions("genome", "chrom", "pos")
@@ -179,7 +248,34 @@ class Store:
         def edit(state: dict) -> None:
             state["samples"][run_id] = made
 
-        self.replace({"samples": samples, "profiles": profiles, "sra_runs": runs}, edit)
+        self.replace({"samples": samples, "profiles": profiles, "sra_runs": runs}, edit, state=state)
+
+    def masks(self) -> DataFrame:
+        """sample_id, genome, chrom, pos, mask of a project of allele masks."""
+        from ..operators import codec
+
+        self.contract()
+        return codec.decode(self.table("mask_blocks"), self.table("reference_segments"))
+
+    def matrix_cells(self, root: str) -> DataFrame:
+        """The committed cells of the matrices below root; folders of a build that failed are not among them."""
+        folders = self.state().get("matrices", {}).get(root)
+        if not folders:
+            raise FileNotFoundError(f"no matrix at {root}")
+        return self.spark.read.option("basePath", root).parquet(*folders)
+
+    def copy_rows(self, source: Store, names: Sequence[str]) -> dict[str, int]:
+        """Registry tables of another project, by the columns that both have; rows already there stay as they are."""
+        changes, counts = {}, {}
+        for name in names:
+            old, new = self.table(name), source.table(name)
+            common = [c for c in old.columns if c in new.columns]
+            key = common[:2] if name == "matrix_store_samples" else common[:1]
+            fresh = registry.insert_ignore(old, new.select(*common), key)
+            counts[name] = fresh.count()
+            changes[name] = old.unionByName(fresh, allowMissingColumns=True)
+        self.replace(changes)
+        return counts
 
     def migrate(self, target: Store, segments: DataFrame, min_cov: int = 5) -> dict[str, int]:
         """Full profiles to masks in another project, sample by sample; what is done stays done, the source is untouched."""

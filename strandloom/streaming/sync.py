@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import compare, eligibility, matrix, views
+from ..operators import compare, eligibility, matrix, registry, views
 from ..sources import discovery, sinks
 from ..sources.config import ViewOptions
-from ..sources.store import Store
+from ..sources.store import Files, Store
 
 
 def profiles(store: Store, folder: str) -> DataFrame:
@@ -25,20 +28,69 @@ def profiles(store: Store, folder: str) -> DataFrame:
     return store.spark.createDataFrame(out, "run_id string, outcome string, error string")
 
 
-def matrices(positions: DataFrame, axis: DataFrame, wanted: DataFrame, stored: DataFrame, path: str, min_cov: int = matrix.MIN_COV) -> DataFrame:
-    """Appends the missing samples of all genomes to path (partitioned by genome) and tells the outcome of each genome."""
+def matrices(cells: DataFrame, wanted: DataFrame, stored: DataFrame, root: str) -> tuple[DataFrame, str]:
+    """Writes the cells (genome, sample_id, axis_pos, mask) of missing samples of all genomes to a new folder below root.
+
+    Returns the outcome of each genome and the folder, which counts once the caller commits it: a build that fails before
+    leaves a folder that nobody reads.
+    """
     new = eligibility.unmaterialized(wanted, stored)
-    rows = matrix.bitmask(positions.join(new, ["genome", "sample_id"], "left_semi"), axis, min_cov)
-    rows.repartition("genome", F.expr("axis_pos div 65536")).sortWithinPartitions("genome", "axis_pos", "sample_id").write.mode("append").partitionBy("genome").parquet(path)
+    folder = f"{root}/build={uuid.uuid4().hex}"
+    rows = cells.join(new, ["genome", "sample_id"], "left_semi")
+    rows.repartition("genome", F.expr("axis_pos div 65536")).sortWithinPartitions("genome", "axis_pos", "sample_id").write.partitionBy("genome").parquet(folder)
     n = lambda df, key, name: df.groupBy(F.col(key).alias("genome")).agg(F.count(F.lit(1)).alias(name))
     table = n(wanted, "genome", "eligible").join(n(new, "genome", "added"), "genome", "full_outer").join(n(stored, "matrix_id", "before"), "genome", "full_outer").fillna(0)
     outcome = F.when(F.col("eligible") == 0, "skipped").when(F.col("added") == 0, "up_to_date").when(F.col("before") == 0, "built").otherwise("appended")
-    return table.withColumn("outcome", outcome)
-
-
-def comparisons(positions: DataFrame, completed: DataFrame, path: str, method: str = "popani") -> None:
-    """Appends the pairs that are not there yet."""
-    compare.incremental(positions, completed, method).repartition("genome").write.mode("append").partitionBy("genome").parquet(path)
+    return table.withColumn("outcome", outcome), folder
+
+
+def build(store: Store, axis: DataFrame, root: str, *, min_cov: int = matrix.MIN_COV, genome: str | None = None, **least: float | None) -> DataFrame:
+    """Brings the matrices below root up to the samples that qualify, and commits cells, samples and stores in one step.
+
+    A genome that has a matrix keeps the thresholds it was built with; `least` (min_coverage, min_breadth, min_ber,
+    min_abundance) holds for new ones. Projects of masks are decoded, under the threshold they were stored with.
+    """
+    state, contract = store.state(), store.contract()
+    t = store.table
+    stores, held = t("matrix_stores"), t("matrix_store_samples")
+    rows = eligibility.eligible(t("samples"), t("genome_stats"), t("sylph_abundance"), genome=genome, **least)
+    again = eligibility.by_stores(t("samples"), t("genome_stats"), t("sylph_abundance"), stores)
+    if genome is not None:
+        again = again.filter(F.col("genome") == genome)
+    wanted = rows.join(stores.select(F.col("matrix_id").alias("genome")), "genome", "left_anti").unionByName(again)
+    if contract["mode"] == "allele_mask":
+        if min_cov != contract["min_cov"]:
+            raise ValueError(f"masks were stored at a coverage of {contract['min_cov']}, not {min_cov}")
+        cells = matrix.from_masks(store.masks(), axis)
+    else:
+        cells = matrix.bitmask(t("profile_positions"), axis, min_cov)
+    outcome, folder = matrices(cells, wanted, held, root)
+    now = time.time()
+    added = eligibility.unmaterialized(wanted, held).select(F.col("genome").alias("matrix_id"), "sample_id", F.lit(now).alias("added_at"))
+    members = held.unionByName(added)
+    made = members.select("matrix_id").distinct().join(stores.select("matrix_id"), "matrix_id", "left_anti")
+    values = {"genome": F.col("matrix_id"), "matrix_file": F.lit(root), "profile_count": F.lit(0).cast("bigint"), "storage_layout": F.lit("bitmask"), "created_at": F.lit(now)}
+    values |= {c: F.lit(least.get(o)).cast("double") for c, o in (("min_coverage", "min_coverage"), ("min_breadth", "min_breadth"), ("min_ber", "min_ber"), ("min_sylph_abundance", "min_abundance"))}
+    fresh = made.withColumns(values | {"updated_at": F.lit(now)}).select(*stores.columns)
+    rows = outcome.collect()  # a row a genome
+
+    def edit(state: dict) -> None:
+        state.setdefault("matrices", {}).setdefault(root, []).append(folder)
+
+    if any(r.added for r in rows):
+        store.replace({"matrix_store_samples": members, "matrix_stores": registry.store_counts(stores.unionByName(fresh), members)}, edit, state=state)
+    else:
+        store.files.delete(folder)
+    return store.spark.createDataFrame(rows, outcome.schema)
+
+
+def comparisons(rows: DataFrame, path: str, method: str = "popani") -> None:
+    """Appends the pairs of rows from compare.alleles() that are not there yet; the first time, all."""
+    spark, keys = rows.sparkSession, "genome string, sample_1 string, sample_2 string"
+    # a first run may have found no pair and left an empty folder
+    completed = spark.read.schema(keys).parquet(path) if Files(spark).exists(path) else spark.createDataFrame([], keys)
+    out = compare.missing_pairs(rows, completed, method)
+    out.repartition("genome", F.pmod(F.xxhash64("sample_1", "sample_2"), F.lit(64))).write.mode("append").partitionBy("genome").parquet(path)
 
 
 def genome_views(store: Store, results: DataFrame, catalog: DataFrame, stats: DataFrame, abundance: DataFrame, root: str, options: ViewOptions) -> DataFrame:
@@ -101,4 +153,4 @@ def event_counts(stream: DataFrame, window: str = "1 hour", late: str = "10 minu
     return stream.withWatermark("ts", late).groupBy(F.window("ts", window).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("window_start"), "event_type", "n")
 
 
-__all__ = ["comparisons", "event_counts", "genome_views", "matrices", "positions_stream", "profiles", "read_profile_stream", "view_parts"]
+__all__ = ["build", "comparisons", "event_counts", "genome_views", "matrices", "positions_stream", "profiles", "read_profile_stream", "view_parts"]

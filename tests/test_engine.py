@@ -70,10 +70,108 @@ def test_popani_of_both_kernels(spark, mask_fixture):
     got = compare.pairs(rows).collect()
     assert [(r.sample_1, r.sample_2, r.total_positions, r.share_allele_pos) for r in got] == [("S1", "S2", 7, 4)]
     assert got[0].genome_ani == pytest.approx(400 / 7)
+    assert [tuple(r) for r in compare.joined_pairs(rows).collect()] == [tuple(r) for r in got]
     packed = compare.packed_pairs(matrix.bitmask(rows, contract.axis(bed, stb)), samples_per_block=1, cells_per_block=4).collect()
     assert [tuple(r) for r in packed] == [tuple(r) for r in got]
 
 
+@pytest.mark.parametrize("method", ["popani", "conani", "cosani_0.9"])
+def test_packed_kernels_equal_the_join(spark, method):
+    rng = np.random.default_rng(5)
+    rows = [(f"s{i}", f"c{p % 2}", int(p), G, f"g{p // 7}", *map(int, rng.integers(0, 6, 4))) for i in range(9) for p in range(40) if rng.random() < 0.7]
+    df = spark.createDataFrame(rows, POSITION)
+    plain = sorted(map(tuple, compare.joined_pairs(df, method).collect()))
+    key = ["genome", "sample_1", "sample_2"]
+    got = compare.packed(compare.alleles(df, method), method, samples_per_block=4, cells_per_block=8)
+    assert sorted(tuple(r) for r in got.collect()) == [r[:5] for r in plain]
+    # some pairs are there already: the others come, and two old samples do not meet again
+    old = compare.joined_pairs(df.filter("sample_id < 's6'"), method).select(*key)
+    done = old.filter("sample_1 <> 's1' or sample_2 <> 's3'")
+    assert sorted(r.sample_id for r in compare.open_samples(df, old).collect()) == ["s6", "s7", "s8"]
+    want = [r for r in plain if r[2] > "s5" or r[1:3] == ("s1", "s3")]
+    assert sorted(map(tuple, compare.missing_pairs(compare.alleles(df, method), done, method, samples_per_block=2).collect())) == want
+    if method == "popani":
+        plain_runs = {}
+        for a, b in itertools.combinations(sorted({r[0] for r in rows}), 2):
+            own = {s: {(r[1], r[2]): sum(x for x, c in ((1, r[5]), (2, r[8]), (4, r[6]), (8, r[7])) if c) for r in rows if r[0] == s and sum(r[5:9]) >= 5} for s in (a, b)}
+            best = run = 0
+            for c in ("c0", "c1"):
+                run = 0
+                for p in range(41):
+                    run = run + 1 if own[a].get((c, p), 0) & own[b].get((c, p), 0) else 0
+                    best = max(best, run)
+            plain_runs[a, b] = best
+        for size in (3, 4096):
+            assert {(r.sample_1, r.sample_2): r.max_consecutive_length for r in compare.longest_runs(df, samples_per_block=4, cells_per_block=size).collect()} == plain_runs
+
+
+def test_mask_projects_need_references_and_whole_counts(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "p"))
+    store.set_contract("allele_mask", 3)
+    store.add_runs(["r1", "r2"])
+    write_bundle(tmp_path, "r1")
+    files = [str(tmp_path / f"r1.{x}") for x in ("parquet", "genome_stats.parquet", "sylph.csv")]
+    with pytest.raises(ValueError, match="reference segments"):
+        store.import_bundle("r1", *files)
+    fasta = lambda chrom: spark.createDataFrame([(chrom, "ACGTACGTAC")], "chrom string, sequence string")
+    stb = lambda chrom: spark.createDataFrame([(chrom, "genome_a")], "scaffold string, genome string")
+    other = Store(spark, str(tmp_path / "q"))
+    other.set_contract("allele_mask", 3)
+    other.add_runs(["r1"])
+    with pytest.raises(Exception, match="without a reference"):
+        other.import_bundle("r1", *files, segments=codec.reference_segments(fasta("elsewhere"), stb("elsewhere")))
+    assert other.table("samples").count() == 0
+    (tmp_path / "g.fna").write_text(">contigA\nACGTACGTAC\n")
+    cli.main([str(tmp_path / "p"), "references-set", "--genome-fasta", f"genome_a={tmp_path / 'g.fna'}"], spark)
+    store.import_bundle("r1", *files)
+    assert sorted((r.pos, r.mask) for r in store.masks().collect()) == [(1, 1), (2, 4)]
+    part = pd.read_parquet(tmp_path / "r1.parquet")
+    part.assign(A=[4.5, 0]).to_parquet(tmp_path / "r2.parquet")
+    with pytest.raises(Exception, match="out of range"):
+        store.import_bundle("r2", str(tmp_path / "r2.parquet"), *files[1:])
+    (tmp_path / "x.bed").write_text("contigA\t0\t10\n")
+    (tmp_path / "x.stb").write_text("contigA\tgenome_a\n")
+    build = [str(tmp_path / "p"), "matrix-sync-build", str(tmp_path / "m"), "--bed", str(tmp_path / "x.bed"), "--stb", str(tmp_path / "x.stb")]
+    cli.main(build, spark)
+    cli.main(build, spark)
+    assert sorted((r.axis_pos, r["mask"]) for r in store.matrix_cells(str(tmp_path / "m")).collect()) == [(0, 1), (1, 4)]
+    for _ in range(2):  # the first time there is nothing to read
+        cli.main([str(tmp_path / "p"), "matrix-sync-compare", str(tmp_path / "c")], spark)
+    cli.main([str(tmp_path / "p"), "matrix-compare", str(tmp_path / "m"), str(tmp_path / "o")], spark)
+    assert store.table("matrix_compares").count() == 1
+    bad = spark.createDataFrame([(1, "allele_mask", 1, 3, "lz4", "ATCG")], "id int, mode string, format_version int, min_cov int, codec string, allele_bit_order string")
+    store.replace({"profile_storage": bad})
+    with pytest.raises(ValueError, match="profile storage"):
+        store.masks()
+
+
+def test_of_two_writers_the_second_fails_and_readers_see_the_first(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "p"))
+    store.set_contract("full")
+    first, second = store.state(), store.state()
+    store.commit(first | {"samples": {"a": {}}})
+    with pytest.raises(OSError, match="another writer"):
+        store.commit(second | {"samples": {"b": {}}})
+    assert store.state()["samples"] == {"a": {}}
+    for _ in range(7):
+        store.commit(store.state())
+    assert len(store._numbers()) == 5 and store.state()["samples"] == {"a": {}}
+    for n in store._numbers():
+        store.files.delete(f"{store.root}/state/{n}.json")
+    with pytest.raises(OSError, match="no state"):
+        store.state()
+
+
+def test_rows_of_another_project_and_appended_pointers(spark, tmp_path):
+    a, b = Store(spark, str(tmp_path / "a")), Store(spark, str(tmp_path / "b"))
+    a.add_runs(["x", "y"])
+    b.add_runs(["y", "z"])
+    assert a.copy_rows(b, ["sra_runs"]) == {"sra_runs": 1} and a.table("sra_runs").count() == 3
+    ends = "genome string, sample_id string, sample_idx bigint, row_end bigint"
+    old, new = spark.createDataFrame([("g", "a", 0, 3), ("g", "b", 1, 5)], ends), spark.createDataFrame([("g", "c", 0, 2), ("h", "c", 0, 4)], ends)
+    assert sorted(map(tuple, matrix.appended_pointers(old, new).collect())) == [("g", "a", 0, 3), ("g", "b", 1, 5), ("g", "c", 2, 7), ("h", "c", 0, 4)]
+
+
 def test_longest_run_stops_at_scaffolds_and_gaps(spark, mask_fixture):
     assert [r.max_consecutive_length for r in compare.longest_runs(mask_fixture[0]).collect()] == [3]
 
@@ -246,10 +344,16 @@ def test_project_from_runs_to_views(spark, tmp_path):
     axis = contract.axis(spark.createDataFrame([("contigA", 0, 10)], "chrom string, start_pos bigint, end_pos bigint"), spark.createDataFrame([("contigA", "genome_a")], "scaffold string, genome string"))
     wanted = store.table("genome_stats").select("genome", "sample_id").distinct()
     held = store.table("matrix_store_samples")
-    assert sync.matrices(store.table("profile_positions"), axis, wanted, held, str(tmp_path / "m")).first().outcome == "built"
-    store.replace({"matrix_store_samples": wanted.select(F.col("genome").alias("matrix_id"), "sample_id")})
-    assert sync.matrices(store.table("profile_positions"), axis, wanted, store.table("matrix_store_samples"), str(tmp_path / "m")).first().outcome == "up_to_date"
-    results = compare.packed_pairs(spark.read.parquet(str(tmp_path / "m")))
+    m = str(tmp_path / "m")
+    # a build that dies before its commit leaves nothing that is read
+    sync.matrices(matrix.bitmask(store.table("profile_positions"), axis), wanted, held, m)
+    with pytest.raises(FileNotFoundError):
+        store.matrix_cells(m)
+    assert sync.build(store, axis, m, min_coverage=1.0).first().outcome == "built"
+    assert sync.build(store, axis, m).first().outcome == "up_to_date"
+    row = store.table("matrix_stores").first()
+    assert (row.matrix_id, row.profile_count, row.min_coverage) == ("genome_a", 2, 1.0) and store.matrix_cells(m).count() == 2
+    results = compare.packed_pairs(store.matrix_cells(m))
     assert [(r.total_positions, r.share_allele_pos, r.genome_ani) for r in results.collect()] == [(1, 1, 100.0)]
     assert [(r.total_positions, r.share_allele_pos, r.genome_ani) for r in compare.pairs(store.table("profile_positions"), "conani").collect()] == [(1, 1, 100.0)]
     options = config.ViewOptions(min_comp_len=0)
@@ -265,7 +369,12 @@ def test_project_from_runs_to_views(spark, tmp_path):
     segments = codec.reference_segments(spark.createDataFrame([("contigA", "ACGTACGTAC")], "chrom string, sequence string"), spark.createDataFrame([("contigA", "genome_a")], "scaffold string, genome string"))
     assert store.migrate(target, segments) == {"done": 2, "failed": 0}
     assert store.migrate(target, segments) == {"done": 0, "failed": 0}
-    assert codec.decode(target.table("mask_blocks"), target.table("reference_segments")).count() == 2
+    assert target.masks().count() == 2
+    assert sync.build(target, axis, str(tmp_path / "mm")).first().outcome == "built"
+    cells = lambda s, at: sorted(map(tuple, s.matrix_cells(str(tmp_path / at)).select("genome", "sample_id", "axis_pos", "mask").collect()))
+    assert cells(target, "mm") == cells(store, "m")
+    with pytest.raises(ValueError, match="coverage of 5"):
+        sync.build(target, axis, str(tmp_path / "mm"), min_cov=3)
     with pytest.raises(ModeError):
         open_database(spark, str(tmp_path / "masks")).sample("r1").profile()
 
