@@ -82,8 +82,13 @@ def _status(store: Store, _: argparse.Namespace) -> None:
 
 
 def _manifest(store: Store, a: argparse.Namespace) -> None:
+    used: dict[str, None] = {}
     for r in ingest.manifest(store.spark, a.manifest).collect():
         store.import_bundle(r.run_id, r.profile_file, r.genome_stats_file, r.sylph_abundance_file, r.gene_stats_file)
+        used |= dict.fromkeys(p for p in (r.profile_file, r.genome_stats_file, r.sylph_abundance_file, r.gene_stats_file) if p)
+    if a.delete_files:  # bundles may share files: only once all are in, each once
+        for path in used:
+            store.files.delete(path)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -108,7 +113,7 @@ def parser() -> argparse.ArgumentParser:
     add("runs-delete", lambda s, a: print(s.delete_runs(a.run_ids)), ids)
     add("runs-list", lambda s, a: _show(registry.active(s.table("sra_runs")).orderBy("run_id")))
     add("profiles-remaining", lambda s, a: sinks.run_list(s.remaining(), a.out) if a.out else _show(s.remaining().select("run_id").orderBy("run_id")), ("--out", {}))
-    add("profiles-import", _manifest, ("manifest", {}))
+    add("profiles-import", _manifest, ("manifest", {}), ("--delete-files", {"action": "store_true"}))
     add("profiles-add", lambda s, a: s.import_bundle(a.run_id, a.profile, a.genome_stats, a.sylph, a.gene_stats), ("run_id", {}), ("--profile", {"required": True}), ("--genome-stats", {"required": True}), ("--sylph", {"required": True}), ("--gene-stats", {}))
     add("profiles-list", lambda s, a: _show(s.table("profiles").orderBy("run_id")))
     add("profiles-sync", lambda s, a: _show(sync.profiles(s, a.folder)), ("folder", {}))

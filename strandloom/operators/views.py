@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.histogram import auto_histogram, fixed_histogram
+from .contract import reject
 
 ANI_COLUMNS = ("genome_ani", "genome_pop_ani")
 
@@ -28,6 +29,23 @@ def sample_index(results: DataFrame) -> DataFrame:
     return names.select((F.row_number().over(W.orderBy("sample_name")) - 1).alias("sample_idx"), "sample_name")  # a row a sample
 
 
+def sample_catalog(results: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
+    """sample_idx and sample_name of one genome's results: from its catalog, else from the indices in the rows (the first name
+    of each), else by name."""
+    if catalog is not None:
+        return catalog.select(F.col("sample_idx").cast("int").alias("sample_idx"), F.col("sample_name").cast("string").alias("sample_name"))
+    if {"sample_idx_1", "sample_idx_2"} <= set(results.columns):
+        ends = F.explode(F.array(*[F.struct(F.col(f"sample_idx_{k}").cast("int").alias("sample_idx"), F.col(f"sample_{k}").alias("sample_name")) for k in (1, 2)])).alias("e")
+        return results.select(ends).groupBy(F.col("e.sample_idx").alias("sample_idx")).agg(F.min("e.sample_name").alias("sample_name"))
+    return sample_index(results).withColumn("sample_idx", F.col("sample_idx").cast("int"))
+
+
+def indexed(kept: DataFrame) -> DataFrame:
+    """genome, sample_id and i, the place of each kept sample in its genome's matrix."""
+    order = W.partitionBy("genome").orderBy("sample_id")
+    return kept.select("genome", "sample_id", (F.row_number().over(order) - 1).cast("bigint").alias("i"))
+
+
 def distinct_pairs(results: DataFrame) -> DataFrame:
     """Unordered pairs, once each."""
     return results.select("genome", F.least("sample_1", "sample_2").alias("sample_1"), F.greatest("sample_1", "sample_2").alias("sample_2")).distinct()
@@ -139,6 +157,14 @@ def network_nodes(kept: DataFrame, stats: DataFrame, edges: DataFrame, clusters:
     return rows if clusters is None else rows.join(clusters, ["genome", "sample_id"], "left")
 
 
+def in_leaf_order(clusters: DataFrame, stats: DataFrame) -> DataFrame:
+    """leaf_rank and the statistics of each clustered sample (genome, sample_id, leaf_rank); one row a sample, or an error."""
+    ranks = clusters.select("genome", "sample_id", "leaf_rank")
+    own = stats.join(ranks.select("genome", "sample_id"), ["genome", "sample_id"], "left_semi")
+    reject(own.groupBy("genome", "sample_id").count().filter("count > 1"), "samples with more than one row of statistics", "genome", "sample_id")
+    return ranks.join(own, ["genome", "sample_id"], "left")
+
+
 def signature(stats: DataFrame, options: dict) -> DataFrame:
     from .registry import checksum
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions import histogram, names
 from ..operators import cluster, codec, compare, contract, eligibility, matrix, registry, views
+from ..sources.store import storage_row
+from ..streaming import sync
 from .adapters import view, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,12 +166,12 @@ def _(v):
     "registry_status",
     f"""SELECT (SELECT COUNT(*) FROM {{sra_runs}} WHERE deleted_at IS NULL) AS active_runs, (SELECT COUNT(*) FROM {{sra_runs}} WHERE deleted_at IS NOT NULL) AS deleted_runs,
     (SELECT COUNT(*) FROM {{samples}} WHERE status = 'complete') AS complete_samples, (SELECT COUNT(*) FROM {{profile_positions}}) AS profile_rows, CAST(0 AS BIGINT) AS allele_mask_blocks,
-    CAST(0 AS BIGINT) AS allele_mask_positions, (SELECT COUNT(*) FROM ({_REMAINING}) x) AS remaining_profiles, (SELECT COUNT(*) FROM {{matrix_store_samples}}) AS matrix_stores, CAST(0 AS BIGINT) AS matrix_compares,
+    CAST(0 AS BIGINT) AS allele_mask_positions, (SELECT COUNT(*) FROM ({_REMAINING}) x) AS remaining_profiles, (SELECT COUNT(DISTINCT matrix_id) FROM {{matrix_store_samples}}) AS matrix_stores, (SELECT COUNT(DISTINCT matrix_id) FROM {{matrix_store_samples}} WHERE matrix_id <> 'G4') AS matrix_compares,
     'full' AS profile_storage, 'NA' AS profile_min_cov""",
 )
 def _(v):
-    stores = v("matrix_store_samples")
-    return registry.status(v("sra_runs"), v("samples"), v("profile_positions"), None, stores, stores.limit(0))
+    stores = v("matrix_store_samples").select("matrix_id").distinct()
+    return registry.status(v("sra_runs"), v("samples"), v("profile_positions"), None, stores, stores.filter("matrix_id <> 'G4'"))
 
 
 @query(
@@ -212,9 +214,9 @@ def _(v):
     return registry.insert_ignore(v("matrix_store_samples"), new, ["matrix_id", "sample_id"])
 
 
-@query("contract_row", "SELECT 1 AS id, 'allele_mask' AS mode, 5 AS min_cov, 'ATCG' AS allele_bit_order")
+@query("contract_row", "SELECT 1 AS id, 'allele_mask' AS mode, 1 AS format_version, 5 AS min_cov, 'zstd' AS codec, 'ATCG' AS allele_bit_order")
 def _(v):
-    return v("region").sparkSession.range(1).select(F.lit(1).alias("id"), F.lit("allele_mask").alias("mode"), F.lit(5).alias("min_cov"), F.lit("ATCG").alias("allele_bit_order"))
+    return storage_row(v("region").sparkSession, {"mode": "allele_mask", "min_cov": 5})
 
 
 @query("next_surrogate_keys", "SELECT genome, 7 + row_number() OVER (ORDER BY genome) AS segment_id FROM (SELECT DISTINCT genome FROM {stb}) g")
@@ -397,7 +399,40 @@ def _(v):
     return codec.decode(codec.encode(v("profile_positions"), segments), segments)
 
 
-@query("reference_segments_hash")
+@query("matrix_from_masks", f"WITH {_COO} SELECT * FROM coo")
+def _(v):
+    segments = _segments(v)
+    return matrix.from_masks(codec.decode(codec.encode(v("profile_positions"), segments), segments), contract.axis(v("bed"), v("stb"), check=False))
+
+
+_ENDS = "(PARTITION BY genome ORDER BY added, sample_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+
+@query(
+    "matrix_csr_append",
+    f"""WITH {_COO}, n AS (SELECT genome, sample_id, COUNT(*) AS nnz FROM coo GROUP BY 1, 2),
+    catalog AS (SELECT g.genome, g.sample_id, (g.genome, g.sample_id) NOT IN (SELECT (matrix_id, sample_id) FROM {{matrix_store_samples}}) AS added, coalesce(n.nnz, 0) AS nnz
+      FROM {{genome_stats}} g LEFT JOIN n ON n.genome = g.genome AND n.sample_id = g.sample_id)
+    SELECT genome, sample_id, row_number() OVER w - 1 AS sample_idx, CAST(SUM(nnz) OVER w AS BIGINT) AS row_end FROM catalog WINDOW w AS {_ENDS}""",
+)
+def _(v):
+    m = matrix.bitmask(v("profile_positions"), contract.axis(v("bed"), v("stb"), check=False))
+    held = v("matrix_store_samples").select(F.col("matrix_id").alias("genome"), "sample_id")
+    keys = ["genome", "sample_id"]
+    old, new = v("genome_stats").join(held, keys, "left_semi"), v("genome_stats").join(held, keys, "left_anti")
+    out = matrix.appended_pointers(matrix.row_pointers(m.join(held, keys, "left_semi"), old), matrix.row_pointers(m.join(held, keys, "left_anti"), new))
+    return out.withColumn("sample_idx", F.col("sample_idx").cast("bigint"))
+
+
+# the bases ATCGN, repeated, make the nibbles 1 2 4 8 0, of which the first of a byte is the lower one
+_NIBBLES = "substr(repeat('2184104208', CAST(n // 10 + 1 AS INT)), 1, n // 2 * 2) || CASE WHEN n % 2 = 1 THEN '0' || substr('12480', (n - 1) % 5 + 1, 1) ELSE '' END"
+
+
+@query(
+    "reference_segments_hash",
+    f"""SELECT row_number() OVER (ORDER BY genome, chrom) AS segment_id, genome, chrom, CAST(row_number() OVER (PARTITION BY genome ORDER BY chrom) - 1 AS INT) AS segment_ordinal, n AS span, sha256(unhex({_NIBBLES})) AS reference_hash
+    FROM (SELECT s.genome, b.chrom, CAST(MAX(b.end_pos) AS BIGINT) AS n FROM {{bed}} b JOIN {{stb}} s ON s.scaffold = b.chrom GROUP BY 1, 2) x""",
+)
 def _(v):
     return _segments(v).select("segment_id", "genome", "chrom", "segment_ordinal", "span", "reference_hash")
 
@@ -508,6 +543,12 @@ def _(v):
     return views.sample_index(_stored_pairs(v)).withColumn("sample_idx", F.col("sample_idx").cast("bigint"))
 
 
+@query("sample_catalog_indices", f"SELECT CAST(sample_idx AS INT) AS sample_idx, MIN(sample_name) AS sample_name FROM (SELECT CAST(substr(sample_1, 4) AS INT) % 7 AS sample_idx, sample_1 AS sample_name FROM ({_STORED}) a WHERE genome = 'G1' UNION ALL SELECT CAST(substr(sample_2, 4) AS INT) % 7, sample_2 FROM ({_STORED}) b WHERE genome = 'G1') n GROUP BY 1")
+def _(v):
+    place = lambda c: F.expr(f"cast(substr({c}, 4) as int) % 7")
+    return views.sample_catalog(_stored_pairs(v).filter("genome = 'G1'").withColumns({"sample_idx_1": place("sample_1"), "sample_idx_2": place("sample_2")}))
+
+
 # Views --------------------------------------------------------------------------------------------------------------
 
 
@@ -637,8 +678,7 @@ def _(v):
 
 def _named(v) -> tuple[DataFrame, DataFrame]:
     pairs, kept = _kept(v)
-    order = F.row_number().over(W.partitionBy("genome").orderBy("sample_id")) - 1
-    return views.condensed(pairs, kept, 0.0), kept.select("genome", "sample_id", order.cast("bigint").alias("i"))
+    return views.condensed(pairs, kept, 0.0), views.indexed(kept)
 
 
 @query("linkage_merges")
@@ -682,9 +722,9 @@ def _(v):
     return _single(v)
 
 
-@query("cluster_sizes", _SINGLE + ", c AS (SELECT genome, sample_id, MIN(other) AS cluster FROM reach GROUP BY 1, 2) SELECT genome, cluster, COUNT(*) AS size FROM c GROUP BY 1, 2")
+@query("cluster_sizes", _SINGLE + ", c AS (SELECT genome, sample_id, MIN(other) AS cluster FROM reach GROUP BY 1, 2) SELECT genome, cluster, COUNT(*) AS size, string_agg(sample_id, ' ' ORDER BY sample_id) AS members FROM c GROUP BY 1, 2")
 def _(v):
-    return cluster.cluster_sizes(_single(v)).drop("members")
+    return cluster.cluster_sizes(_single(v)).withColumn("members", F.array_join("members", " "))
 
 
 # Event stream (batch form of the streaming job) ---------------------------------------------------------------------
@@ -695,4 +735,6 @@ def _(v):
     return v("events").groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users")).select(F.col("w.start").alias("window_start"), "event_type", "n", "users")
 
 
-
+@query("event_counts", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, COUNT(*) AS n FROM {events} GROUP BY 1, 2")
+def _(v):
+    return sync.event_counts(v("events"))

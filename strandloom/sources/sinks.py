@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-import gzip
 import json
 import math
 import time
+import zlib
+from collections.abc import Iterator
 
-import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .store import Files
 
 SCHEMA_VERSION = 1
+CELLS = 2**20
+BINARIES = {"similarity_ani.condensed.f32.gz": ("ani", "<f4"), "total_positions.condensed.u64.gz": ("total_positions", "<u8")}
+JSONS = ("samples.json", "sample_stats.json", "clusters.json", "dendrogram.json", "neighbor_network.json", "distributions.json")
 
 
 def to_parquet(df: DataFrame, path: str, *, overwrite: bool = False) -> None:
@@ -60,10 +64,20 @@ def json_rows(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*clean), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def condensed_bytes(rows: list, column: str) -> bytes:
-    """Upper triangle in row-major order, little endian, gzip without a time: 4-byte floats or 8-byte counts."""
-    values = np.array([r[column] for r in sorted(rows, key=lambda r: r["k"])])
-    return gzip.compress(values.astype("<f4" if column == "ani" else "<u8").tobytes(), mtime=0)
+def condensed_bytes(cells: DataFrame, column: str, kind: str) -> Iterator[bytes]:
+    """Upper triangle (k, column) in row-major order as one gzip member without a time, little endian.
+
+    Tasks pack runs of CELLS cells; the driver holds one run at a time.
+    """
+
+    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": [key[0]], "raw": [pdf.sort_values("k")[column].to_numpy().astype(kind).tobytes()]})
+
+    parts = cells.select("k", column, F.expr(f"k div {CELLS}").alias("part")).groupBy("part").applyInPandas(pack, "part bigint, raw binary")
+    packer = zlib.compressobj(wbits=31)
+    for row in parts.orderBy("part").toLocalIterator():
+        yield packer.compress(bytes(row.raw))
+    yield packer.flush()
 
 
 def bundle(spark: SparkSession, path: str, genome: str, parts: dict[str, DataFrame], meta: dict) -> None:
@@ -78,27 +92,26 @@ def bundle(spark: SparkSession, path: str, genome: str, parts: dict[str, DataFra
 def view_files(spark: SparkSession, path: str, genome: str) -> list[str]:
     """The JSON and binary artefacts a static viewer reads, made from one genome's bundle; the list of files comes last.
 
-    Their size is that of the view: samples, and the upper triangle over them, of one genome that clustering let pass.
+    Tables of a row a sample, a merge or an edge pass the driver; the triangle passes it in runs.
     """
     files = Files(spark)
     rows = lambda name, *order: [r.asDict() for r in spark.read.parquet(f"{path}/{name}").orderBy(*order).collect()]
-    clusters, nodes = rows("clusters", "leaf_rank"), rows("nodes", "sample_id")
-    merges, cells = rows("merges", "merge_id"), rows("condensed", "k")
-    names = [nodes[c["i"]]["sample_id"] for c in clusters]  # nodes are the kept samples in index order
+    clusters = rows("clusters", "leaf_rank")
+    names = [c["sample_id"] for c in clusters]
     histograms = {n.removeprefix("histogram_"): rows(n, "bin") for n in files.list(path) if n.startswith("histogram_")}
     made = {
         "samples.json": {"genome": genome, "samples": names},
-        "sample_stats.json": {"genome": genome, "rows": [nodes[c["i"]] for c in clusters]},
-        "clusters.json": {"genome": genome, "clusters": [{"sample_id": n} | c for n, c in zip(names, clusters, strict=True)]},
-        "dendrogram.json": {"genome": genome, "leaf_order": names, "merges": merges, "root_id": 2 * len(names) - 2},
-        "neighbor_network.json": {"genome": genome, "nodes": nodes, "edges": rows("edges", "sample_1", "sample_2")},
+        "sample_stats.json": {"genome": genome, "rows": rows("sample_stats", "leaf_rank")},
+        "clusters.json": {"genome": genome, "clusters": clusters},
+        "dendrogram.json": {"genome": genome, "leaf_order": names, "merges": rows("merges", "merge_id"), "root_id": 2 * len(names) - 2},
+        "neighbor_network.json": {"genome": genome, "nodes": rows("nodes", "sample_id"), "edges": rows("edges", F.desc("ani"), "sample_1", "sample_2")},
         "distributions.json": {"genome": genome, "histograms": histograms},
     }
     for name, payload in made.items():
         files.write(f"{path}/{name}", json.dumps(plain(payload), allow_nan=False))
-    for name, column in (("similarity_ani.condensed.f32.gz", "ani"), ("total_positions.condensed.u64.gz", "total_positions")):
-        files.write_bytes(f"{path}/{name}", condensed_bytes(cells, column))
-    return [*made, "similarity_ani.condensed.f32.gz", "total_positions.condensed.u64.gz"]
+    for name, (column, kind) in BINARIES.items():
+        files.write_bytes(f"{path}/{name}", condensed_bytes(spark.read.parquet(f"{path}/condensed"), column, kind))
+    return [*made, *BINARIES]
 
 
 def up_to_date(spark: SparkSession, path: str, signature: dict) -> bool:
@@ -106,7 +119,7 @@ def up_to_date(spark: SparkSession, path: str, signature: dict) -> bool:
     if not files.exists(f"{path}/manifest.json"):
         return False
     held = json.loads(files.read(f"{path}/manifest.json"))
-    return held.get("signature") == plain(signature) and all(files.exists(f"{path}/{a}/_SUCCESS") for a in held["artifacts"])
+    return held.get("signature") == plain(signature) and all(files.exists(f"{path}/{a}") for a in [*[f"{x}/_SUCCESS" for x in held["artifacts"]], *JSONS, *BINARIES])
 
 
 def catalog(spark: SparkSession, root: str) -> list[dict]:

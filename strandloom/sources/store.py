@@ -13,7 +13,7 @@ import re
 import tempfile
 import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +51,12 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def storage_row(spark: SparkSession, contract: dict) -> DataFrame:
+    """The one row that records how a project stores its profiles."""
+    values = {"id": 1, **contract, **FORMAT[contract["mode"]]}
+    return spark.createDataFrame([tuple(values[f.name] for f in TABLES["profile_storage"].fields)], TABLES["profile_storage"])
+
+
 class Files:
     """A few file operations on whatever file system a path names."""
 
@@ -71,12 +77,13 @@ class Files:
     def write(self, path: str, text: str) -> None:
         self.write_bytes(path, text.encode())
 
-    def write_bytes(self, path: str, raw: bytes, *, new: bool = False) -> None:
+    def write_bytes(self, path: str, raw: bytes | Iterable[bytes], *, new: bool = False) -> None:
         """Written beside and renamed in one step, so that readers see the old content or the new; `new` refuses to replace."""
         jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
         staged, fs = self._at(f"{path}.{uuid.uuid4().hex}.tmp")
         out = fs.create(staged, True)
-        out.write(bytearray(raw))
+        for piece in [raw] if isinstance(raw, bytes) else raw:
+            out.write(bytearray(piece))
         out.close()
         p, _ = self._at(path)
         kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
@@ -174,8 +181,7 @@ class Store:
         if state["contract"] != wanted and state["samples"]:
             raise ValueError("the storage contract cannot change after an import")
         state["contract"] = wanted
-        row = self.spark.createDataFrame([tuple({"id": 1, **wanted, **FORMAT[mode]}[f.name] for f in TABLES["profile_storage"].fields)], TABLES["profile_storage"])
-        self.replace({"profile_storage": row}, state=state)
+        self.replace({"profile_storage": storage_row(self.spark, wanted)}, state=state)
 
     def set_references(self, segments: DataFrame) -> None:
         """The reference segments that masks are stored against; fixed from the first import on."""

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,30 +110,49 @@ def genome_views(store: Store, results: DataFrame, catalog: DataFrame, stats: Da
         if sinks.up_to_date(spark, path, signature):
             out.append((row.genome, "up_to_date"))
             continue
-        sinks.bundle(spark, path, row.genome, view_parts(own, own_stats, options), {"signature": signature})
+        with shared(own, options) as (pairs, kept, condensed, clusters):
+            found = clusters.agg(F.count_distinct("strain_cluster").alias("strain_clusters"), F.count_distinct("clonal_cluster").alias("clonal_clusters")).first().asDict()
+            sinks.bundle(spark, path, row.genome, view_parts(pairs, kept, condensed, clusters, own_stats, options), {"signature": signature} | found)
         sinks.view_files(spark, path, row.genome)
         out.append((row.genome, "built"))
     sinks.catalog(spark, root)
     return spark.createDataFrame(out, "genome string, outcome string")
 
 
-def view_parts(results: DataFrame, stats: DataFrame, options: ViewOptions) -> dict[str, DataFrame]:
+@contextmanager
+def shared(results: DataFrame, options: ViewOptions) -> Iterator[tuple[DataFrame, ...]]:
+    """The frames that several tables of a view are made from, held on executor disks while it is written: qualifying pairs,
+    kept samples, the condensed matrix, clusters by sample. A lost executor's part is computed again."""
+    from ..operators import cluster
+
+    pairs = views.qualifying(results, options.min_comp_len).persist(StorageLevel.DISK_ONLY)
+    kept = views.retained(pairs, max_null_fraction=options.max_null_fraction, max_null_samples=options.max_null_samples).persist(StorageLevel.DISK_ONLY)
+    condensed = views.condensed(views.among(pairs, kept), kept, options.impute_ani).persist(StorageLevel.DISK_ONLY)
+    by_place = cluster.assignments(condensed, options.linkage_method, options.clonal_cluster_threshold, options.strain_cluster_threshold)
+    clusters = by_place.join(views.indexed(kept), ["genome", "i"]).persist(StorageLevel.DISK_ONLY)
+    held = (pairs, kept, condensed, clusters)
+    try:
+        yield held
+    finally:
+        for df in held:
+            df.unpersist()
+
+
+def view_parts(pairs: DataFrame, kept: DataFrame, condensed: DataFrame, clusters: DataFrame, stats: DataFrame, options: ViewOptions) -> dict[str, DataFrame]:
     """All tables of one genome's view."""
     from ..operators import cluster
 
-    pairs = views.qualifying(results, options.min_comp_len)
-    kept = views.retained(pairs, max_null_fraction=options.max_null_fraction, max_null_samples=options.max_null_samples)
     inner = views.among(pairs, kept)
-    condensed = views.condensed(inner, kept, options.impute_ani)
     edges = views.neighbours(inner, options.neighbor_k)
     parts = {
         "pairs": inner,
         "condensed": condensed,
         "null_fraction": views.null_fraction(pairs, kept),
         "merges": cluster.merge_rows(condensed, options.linkage_method),
-        "clusters": cluster.assignments(condensed, options.linkage_method, options.clonal_cluster_threshold, options.strain_cluster_threshold),
+        "clusters": clusters,
+        "sample_stats": views.in_leaf_order(clusters, stats),
         "edges": edges,
-        "nodes": views.network_nodes(kept, stats, edges),
+        "nodes": views.network_nodes(kept, stats, edges, clusters.select("genome", "sample_id", "strain_cluster", "clonal_cluster")),
     }
     return parts | {f"histogram_{k}": df for k, df in views.distributions(inner, stats).items()}
 
@@ -153,4 +175,4 @@ def event_counts(stream: DataFrame, window: str = "1 hour", late: str = "10 minu
     return stream.withWatermark("ts", late).groupBy(F.window("ts", window).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("window_start"), "event_type", "n")
 
 
-__all__ = ["build", "comparisons", "event_counts", "genome_views", "matrices", "positions_stream", "profiles", "read_profile_stream", "view_parts"]
+__all__ = ["build", "comparisons", "event_counts", "genome_views", "matrices", "positions_stream", "profiles", "read_profile_stream", "shared", "view_parts"]

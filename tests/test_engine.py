@@ -224,12 +224,14 @@ def test_connectivity_by_fraction_and_by_samples(spark):
     assert keep(max_null_fraction=1.0, max_null_samples=1) == ["a", "b"]
 
 
-def test_condensed_order_and_bytes(spark):
+def test_condensed_order_and_bytes(spark, monkeypatch):
     results = spark.createDataFrame([("g", "a", "b", 120000, 99.95), ("g", "a", "c", 110000, 99.80), ("g", "c", "b", 100000, 99.90)], "genome string, sample_1 string, sample_2 string, total_positions bigint, genome_pop_ani double")
     pairs = views.qualifying(results, 10_000)
-    rows = views.condensed(pairs, views.retained(pairs)).orderBy("k").collect()
-    assert [round(r.ani, 2) for r in rows] == [99.95, 99.8, 99.9]
-    assert np.frombuffer(gzip.decompress(sinks.condensed_bytes(rows, "total_positions")), "<u8").tolist() == [120000, 110000, 100000]
+    cells = views.condensed(pairs, views.retained(pairs))
+    assert [round(r.ani, 2) for r in cells.orderBy("k").collect()] == [99.95, 99.8, 99.9]
+    for size in (1, 2, sinks.CELLS):
+        monkeypatch.setattr(sinks, "CELLS", size)
+        assert np.frombuffer(gzip.decompress(b"".join(sinks.condensed_bytes(cells, "total_positions", "<u8"))), "<u8").tolist() == [120000, 110000, 100000]
     merges = cluster.merge_rows(views.condensed(pairs, views.retained(pairs))).orderBy("merge_id").collect()
     assert [r.merge_id for r in merges] == [3, 4]
 
@@ -362,6 +364,11 @@ def test_project_from_runs_to_views(spark, tmp_path):
     assert len(json.loads((tmp_path / "v/catalog.json").read_text())["genomes"]) == 1
     at = tmp_path / "v/genome=genome_a"
     assert json.loads((at / "samples.json").read_text())["samples"] == ["r1", "r2"]
+    assert json.loads((at / "manifest.json").read_text())["strain_clusters"] == 1
+    assert [(n["strain_cluster"], n["clonal_cluster"]) for n in json.loads((at / "neighbor_network.json").read_text())["nodes"]] == [(1, 1), (1, 1)]
+    assert [(r["leaf_rank"], r["sample_id"], r["ber"]) for r in json.loads((at / "sample_stats.json").read_text())["rows"]] == [(0, "r1", 0.8), (1, "r2", 0.8)]
+    (at / "clusters.json").unlink()  # a view without one of its files is built again
+    assert view() == ["built"]
     assert json.loads((at / "dendrogram.json").read_text())["root_id"] == 2
     assert np.frombuffer(gzip.decompress((at / "similarity_ani.condensed.f32.gz").read_bytes()), "<f4").tolist() == [100.0]
     # to masks
@@ -390,6 +397,35 @@ def test_commands(spark, tmp_path, capsys):
     assert json.loads(capsys.readouterr().out)["remaining_profiles"] == 2
 
 
+def test_sample_catalog_of_three_layouts(spark):
+    rows = spark.createDataFrame([("g", "b", "a", 4, 2), ("g", "c", "a", 9, 2), ("g", "c", "z", 9, 4)], "genome string, sample_1 string, sample_2 string, sample_idx_1 int, sample_idx_2 int")
+    named = lambda *a: sorted(map(tuple, views.sample_catalog(*a).collect()))
+    assert named(rows) == [(2, "a"), (4, "b"), (9, "c")]
+    assert named(rows.drop("sample_idx_1", "sample_idx_2")) == [(0, "a"), (1, "b"), (2, "c"), (3, "z")]
+    assert named(rows, spark.createDataFrame([(7, "q")], "sample_idx bigint, sample_name string")) == [(7, "q")]
+
+
+def test_statistics_in_leaf_order_are_one_row_a_sample(spark):
+    clusters = spark.createDataFrame([("g", "a", 1), ("g", "b", 0)], "genome string, sample_id string, leaf_rank bigint")
+    stats = spark.createDataFrame([("g", "a", 1.0), ("g", "x", 2.0), ("g", "x", 2.0)], "genome string, sample_id string, ber double")
+    assert [(r.sample_id, r.ber) for r in views.in_leaf_order(clusters, stats).orderBy("leaf_rank").collect()] == [("b", None), ("a", 1.0)]
+    with pytest.raises(ValueError, match="more than one row"):
+        views.in_leaf_order(clusters, stats.unionByName(stats))
+
+
+def test_imported_files_are_deleted_once_all_are_in(spark, tmp_path):
+    project = str(tmp_path / "p")
+    cli.main([project, "init"], spark)
+    cli.main([project, "runs-add", "r1", "r2"], spark)
+    for run in ("r1", "r2"):
+        write_bundle(tmp_path, run)
+    shared = tmp_path / "r1.sylph.csv"
+    pd.DataFrame([(run, str(tmp_path / f"{run}.parquet"), str(tmp_path / f"{run}.genome_stats.parquet"), None, str(shared)) for run in ("r1", "r2")], columns=["run_id", "profile_file", "genome_stats_file", "gene_stats_file", "sylph_abundance_file"]).to_csv(tmp_path / "m.csv", index=False)
+    cli.main([project, "profiles-import", str(tmp_path / "m.csv"), "--delete-files"], spark)
+    assert Store(spark, project).table("profile_positions").count() == 4
+    assert not shared.exists() and not (tmp_path / "r2.parquet").exists() and (tmp_path / "r2.sylph.csv").exists()
+
+
 def test_incomplete_comparison_is_skipped(spark):
     catalog = spark.createDataFrame([("g", s) for s in "abc"], "genome string, sample_id string")
     row = views.completeness(catalog, edges(spark, ["ab", "ba", "ac"])).first()

@@ -44,4 +44,4 @@ def test_query_equals_oracle(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES)))
 def test_query_runs(spark, name):
-    assert catalog.QUERIES[name](spark, SF).columns
+    assert catalog.QUERIES[name](spark, SF).count() > 0
