@@ -68,6 +68,13 @@ JOIN (SELECT sample_id, SUM(A + C + G + T) AS q FROM {profile_positions} GROUP B
     "sylph_abundance": """
 SELECT sample_id, 'G' || SUBSTR(genome_file, 17, 1) AS genome, 'GCF_00000' || SUBSTR(genome_file, 17, 1) || '.1' AS accession, abundance
 FROM {sylph_raw}""",
+    # all samples as one: what a run's bundle holds
+    "pooled": """
+SELECT chrom, pos, genome, gene, CAST(SUM(A) AS INT) AS A, CAST(SUM(C) AS INT) AS C, CAST(SUM(G) AS INT) AS G, CAST(SUM(T) AS INT) AS T
+FROM {profile_positions} GROUP BY 1, 2, 3, 4""",
+    "pooled_stats": "SELECT genome, MAX(coverage) AS coverage, MAX(breadth) AS breadth, MAX(ber) AS ber, MAX(genome_length) AS genome_length FROM {genome_stats} GROUP BY 1",
+    "pooled_genes": "SELECT genome, gene, MAX(coverage) AS coverage, MAX(breadth) AS breadth, MAX(length) AS length FROM {gene_stats} GROUP BY 1, 2",
+    "pooled_abundance": "SELECT genome_file, MAX(abundance) AS abundance FROM {sylph_raw} GROUP BY 1",
     "matrix_store_samples": "SELECT DISTINCT genome AS matrix_id, sample_id FROM {genome_stats} WHERE CAST(SUBSTR(sample_id, 4) AS INT) % 3 = 0",
 }
 
@@ -83,13 +90,19 @@ _MADE: dict[tuple[str, str], str] = {}
 def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MADE:
-        path = f"{shared_dir(spark)}/strandloom/positions-{uuid.uuid4().hex}"
+        path = scratch(spark, "positions")
         spark.sql(VIEWS["profile_positions"], lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet")).write.parquet(path)
         _MADE[key] = path
-        atexit.register(_dropped, spark, path)
     return spark.read.parquet(_MADE[key])
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path for a new folder that all executors share; it is deleted when the interpreter ends."""
+    path = f"{shared_dir(spark)}/strandloom/{name}-{uuid.uuid4().hex}"
+    atexit.register(_dropped, spark, path)
+    return path
+
+
 def _dropped(spark: SparkSession, path: str) -> None:
     try:
         Files(spark).delete(path)
