@@ -27,16 +27,20 @@ def _axis(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 def _sync_build(store: Store, a: argparse.Namespace) -> None:
     min_cov = a.min_cov if a.min_cov is not None else store.state()["contract"]["min_cov"] or matrix.MIN_COV
-    _show(sync.build(store, _axis(store.spark, a), a.matrices, min_cov=min_cov, genome=a.genome, min_coverage=a.min_coverage, min_breadth=a.min_breadth, min_ber=a.min_ber, min_abundance=a.min_sylph_abundance))
+    _show(sync.build(store, _axis(store.spark, a), a.matrices, min_cov=min_cov, storage=a.storage_mode, genome=a.genome, min_coverage=a.min_coverage, min_breadth=a.min_breadth, min_ber=a.min_ber, min_abundance=a.min_sylph_abundance))
 
 
 def _compare(store: Store, a: argparse.Namespace) -> None:
+    """Pairs go to the folder given; where more is calculated, each table goes to a folder of its name below it."""
     rows = store.matrix_cells(a.matrices)
     rows = rows if a.genome is None else rows.filter(F.col("genome") == a.genome)
-    sinks.to_parquet(compare.packed_pairs(rows), a.out, overwrite=a.overwrite)
+    genes = contract.gene_axis(ingest.gene_ranges(store.spark, a.gene_ranges), _axis(store.spark, a)) if a.gene_ranges else None
+    made = compare.matrix_results(rows, a.calculate, a.method, genes)
+    for name, df in made.items():
+        sinks.to_parquet(df, a.out if list(made) == ["ani"] else f"{a.out}/{name}", overwrite=a.overwrite)
     now = time.time()
-    made = rows.select("genome").distinct().select(F.concat_ws("@", "genome", F.lit(a.out)).alias("compare_id"), F.col("genome").alias("matrix_id"), F.lit(a.out).alias("compare_db_file"), F.lit("ani").alias("calculate"), F.lit(now).alias("created_at"), F.lit(now).alias("updated_at"))
-    store.replace({"matrix_compares": registry.upsert(store.table("matrix_compares"), made, ["compare_id"])})
+    done = rows.select("genome").distinct().select(F.concat_ws("@", "genome", F.lit(a.out)).alias("compare_id"), F.col("genome").alias("matrix_id"), F.lit(a.out).alias("compare_db_file"), F.lit(a.calculate).alias("calculate"), F.lit(now).alias("created_at"), F.lit(now).alias("updated_at"))
+    store.replace({"matrix_compares": registry.upsert(store.table("matrix_compares"), done, ["compare_id"])})
 
 
 def _sync_compare(store: Store, a: argparse.Namespace) -> None:
@@ -120,8 +124,8 @@ def parser() -> argparse.ArgumentParser:
     add("profiles-export", lambda s, a: sinks.per_sample(s.table("profile_positions"), a.out), ("out", {}))
     add("compact-database", _migrate, ("target", {}), ("--genome-fasta", {"nargs": "+", "required": True}), ("--min-cov", {"type": int, "default": 5}))
     add("cache-build-matrix-files", _derive, ("out", {}), ("--genome-fasta", {"nargs": "+", "required": True}), ("--gene-fasta", {"nargs": "*", "default": []}))
-    add("matrix-sync-build", _sync_build, ("matrices", {}), *axis, ("--min-cov", {"type": int}), thresholds=True)
-    add("matrix-compare", _compare, ("matrices", {}), ("out", {}), ("--genome", {}), ("--overwrite", {"action": "store_true"}))
+    add("matrix-sync-build", _sync_build, ("matrices", {}), *axis, ("--min-cov", {"type": int}), ("--storage-mode", {"default": "bitmask", "choices": ["bitmask", "counts"]}), thresholds=True)
+    add("matrix-compare", _compare, ("matrices", {}), ("out", {}), ("--genome", {}), ("--overwrite", {"action": "store_true"}), ("--calculate", {"default": "ani"}), ("--method", {"default": "popani"}), ("--bed", {}), ("--stb", {}), ("--gene-ranges", {}))
     add("matrix-sync-compare", _sync_compare, ("completed", {}), ("--method", {"default": "popani"}))
     add("references-set", _references, ("--genome-fasta", {"nargs": "+", "required": True}))
     numbers = [(f"--{n}", {"type": t}) for n, t in (("min-comp-len", int), ("impute-ani", float), ("max-null-fraction", float), ("max-null-samples", int), ("linkage-method", str), ("neighbor-k", int))]

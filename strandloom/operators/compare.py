@@ -20,6 +20,7 @@ from ..schemas import CHANNELS
 from .matrix import MIN_COV
 
 METHODS = ("popani", "conani")
+CALCULATIONS = ("ani", "gene", "ibs")
 
 
 def alleles(positions: DataFrame, method: str = "popani", min_cov: int = MIN_COV) -> DataFrame:
@@ -166,11 +167,16 @@ def in_genes(rows: DataFrame, genes: DataFrame, bin_size: int = 100) -> DataFram
 
 
 def longest_runs(positions: DataFrame, min_cov: int = MIN_COV, *, samples_per_block: int = 256, cells_per_block: int = 4096) -> DataFrame:
-    """The longest stretch of neighbouring cells of one scaffold that both samples cover and share; 0 if there is none.
+    """shared_runs() of positions, by popANI."""
+    return shared_runs(alleles(positions, "popani", min_cov), samples_per_block, cells_per_block)
+
+
+def shared_runs(rows: DataFrame, samples_per_block: int = 256, cells_per_block: int = 4096) -> DataFrame:
+    """Of rows from alleles() or matrix_alleles(): the longest stretch of neighbouring cells of one scaffold that both samples cover and share; 0 if there is none.
 
     Each block gives the runs at its start and end and its longest; blocks are then joined in order.
     """
-    dealt, idx = _dealt(alleles(positions, "popani", min_cov), "chrom", samples_per_block, cells_per_block, None)
+    dealt, idx = _dealt(rows, "chrom", samples_per_block, cells_per_block, None)
 
     def runs(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         cells, names_a, x, names_b, y = _tables(pdf, key, samples_per_block)
@@ -224,15 +230,56 @@ def incremental(positions: DataFrame, completed: DataFrame, method: str = "popan
 
 
 def packed_pairs(matrix: DataFrame, samples_per_block: int = 256, cells_per_block: int = 4096) -> DataFrame:
-    """The rows of pairs(method='popani') from a bitmask matrix (genome, sample_id, axis_pos, mask)."""
-    rows = matrix.select("genome", "sample_id", F.lit("").alias("chrom"), F.col("axis_pos").alias("pos"), F.col("mask").alias("allele"))
-    out = packed(rows, samples_per_block=samples_per_block, cells_per_block=cells_per_block)
+    """The rows of pairs(method='popani') from a matrix."""
+    out = packed(matrix_alleles(matrix), samples_per_block=samples_per_block, cells_per_block=cells_per_block)
     return out.withColumn("genome_ani", masks.ani(F.col("share_allele_pos"), F.col("total_positions")))
 
 
+def matrix_alleles(matrix: DataFrame, method: str = "popani") -> DataFrame:
+    """alleles() from the cells of a matrix of masks (genome, sample_id, axis_pos, mask) or of counts (A, T, C, G for the mask).
+
+    The axis leaves a cell free between scaffolds, so no run crosses them. Masks hold no counts: only popANI can be had from them.
+    """
+    place = (F.lit("").alias("chrom"), F.col("axis_pos").alias("pos"))
+    if "mask" in matrix.columns:
+        if method != "popani":
+            raise ValueError(f"a matrix of masks holds no counts for {method}")
+        return matrix.select("genome", "sample_id", *place, F.col("mask").alias("allele"))
+    return alleles(matrix.select("genome", "sample_id", *place, *CHANNELS), method, 0).select("genome", "sample_id", "chrom", "pos", *(CHANNELS if method.startswith("cosani_") else ["allele"]))
+
+
+def calculations(calculate: str) -> tuple[str, ...]:
+    """What a list like `ani+gene` names; `all` is everything."""
+    wanted = CALCULATIONS if calculate == "all" else tuple(x.strip() for x in calculate.split("+"))
+    unknown = sorted(set(wanted) - set(CALCULATIONS))
+    if unknown:
+        raise ValueError(f"unknown calculation {', '.join(unknown)}; there are {', '.join(CALCULATIONS)}")
+    return wanted
+
+
+def matrix_results(matrix: DataFrame, calculate: str = "ani", method: str = "popani", genes: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The tables that `calculate` names, from a stored matrix: pairs, pairs by gene (needs the genes on the axis), longest runs."""
+    wanted, out = calculations(calculate), {}
+    rows = matrix_alleles(matrix, method)
+    share = masks.ani(F.col("share_allele_pos"), F.col("total_positions"))
+    if "ani" in wanted:
+        out["ani"] = packed(rows, method).withColumn("genome_ani", share)
+    if "gene" in wanted:
+        if genes is None:
+            raise ValueError("pairs by gene need the genes' places on the axis")
+        held = in_genes(rows.withColumnRenamed("pos", "axis_pos"), genes.select("genome", "gene", "gene_start", "gene_end")).withColumnRenamed("axis_pos", "pos")
+        sums = packed(held.drop("gene_start", "gene_end"), method, unit="gene", cells_per_block=None)
+        out["gene"] = sums.select("genome", F.col("unit").alias("gene"), "sample_1", "sample_2", "total_positions", "share_allele_pos").withColumn("gene_pop_ani", share)
+    if "ibs" in wanted:
+        if method.startswith("cosani_"):
+            raise ValueError("runs need alleles: popani or conani")
+        out["ibs"] = shared_runs(rows)
+    return out
+
+
 def expected_pairs(catalog: DataFrame) -> DataFrame:
     n = catalog.select("genome", "sample_id").distinct().groupBy("genome").agg(F.count(F.lit(1)).alias("n"))
     return n.select("genome", "n", F.expr("n * (n - 1) div 2").alias("expected"))
 
 
-__all__ = ["alleles", "expected_pairs", "gene_pairs", "in_genes", "incremental", "joined_pairs", "joint", "longest_runs", "missing_pairs", "open_samples", "packed", "packed_pairs", "pairs"]
+__all__ = ["alleles", "expected_pairs", "gene_pairs", "in_genes", "incremental", "joined_pairs", "calculations", "joint", "longest_runs", "matrix_alleles", "matrix_results", "missing_pairs", "open_samples", "packed", "packed_pairs", "pairs", "shared_runs"]

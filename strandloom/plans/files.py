@@ -290,6 +290,37 @@ def _(v):
     return eligibility.by_stores(v("samples"), v("genome_stats"), v("sylph_abundance"), stores)
 
 
+# Comparisons of stored matrices of counts ----------------------------------------------------------------------------
+
+
+def _from_counts(v: Views, calculate: str, method: str = "popani") -> DataFrame:
+    axis = contract.axis(v("bed"), v("stb"))
+    at = scratch(v("region").sparkSession, "counts")
+    matrix.counts(v("profile_positions"), axis).write.partitionBy("genome").parquet(at)
+    genes = contract.gene_axis(v("gene_ranges"), axis)
+    return compare.matrix_results(v("region").sparkSession.read.parquet(at), calculate, method, genes)[calculate]
+
+
+@query("stored_counts_conani", ORACLES["conani_pairs"])
+def _(v):
+    return _from_counts(v, "ani", "conani")
+
+
+@query("stored_counts_cosani", ORACLES["cosani_pairs"])
+def _(v):
+    return _from_counts(v, "ani", "cosani_0.9")
+
+
+@query("stored_counts_gene", ORACLES["gene_popani_pairs"])
+def _(v):
+    return _from_counts(v, "gene")
+
+
+@query("stored_counts_runs", ORACLES["max_consecutive_run"])
+def _(v):
+    return _from_counts(v, "ibs")
+
+
 @query("qualifying_earlier_layout", ORACLES["qualifying_pairs"])
 def _(v):
     return views.qualifying(compare.pairs(v("profile_positions")).withColumnRenamed("genome_ani", "genome_pop_ani"), 20)

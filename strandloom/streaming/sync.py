@@ -47,15 +47,20 @@ def matrices(cells: DataFrame, wanted: DataFrame, stored: DataFrame, root: str)
     return table.withColumn("outcome", outcome), folder
 
 
-def build(store: Store, axis: DataFrame, root: str, *, min_cov: int = matrix.MIN_COV, genome: str | None = None, **least: float | None) -> DataFrame:
+def build(store: Store, axis: DataFrame, root: str, *, min_cov: int = matrix.MIN_COV, storage: str = "bitmask", genome: str | None = None, **least: float | None) -> DataFrame:
     """Brings the matrices below root up to the samples that qualify, and commits cells, samples and stores in one step.
 
     A genome that has a matrix keeps the thresholds it was built with; `least` (min_coverage, min_breadth, min_ber,
-    min_abundance) holds for new ones. Projects of masks are decoded, under the threshold they were stored with.
+    min_abundance) holds for new ones. Projects of masks are decoded, under the threshold they were stored with. All matrices
+    below a root are of one kind: masks, or counts (`storage`), which masks cannot give.
     """
     state, contract = store.state(), store.contract()
     t = store.table
     stores, held = t("matrix_stores"), t("matrix_store_samples")
+    storage = matrix.storage_mode(storage, None)
+    others = stores.filter((F.col("matrix_file") == root) & (F.col("storage_layout") != storage))
+    if not others.isEmpty():
+        raise ValueError(f"the matrices at {root} are not of {storage}")
     rows = eligibility.eligible(t("samples"), t("genome_stats"), t("sylph_abundance"), genome=genome, **least)
     again = eligibility.by_stores(t("samples"), t("genome_stats"), t("sylph_abundance"), stores)
     if genome is not None:
@@ -64,15 +69,17 @@ def build(store: Store, axis: DataFrame, root: str, *, min_cov: int = matrix.MIN
     if contract["mode"] == "allele_mask":
         if min_cov != contract["min_cov"]:
             raise ValueError(f"masks were stored at a coverage of {contract['min_cov']}, not {min_cov}")
+        if storage != "bitmask":
+            raise ValueError("a project of masks has no counts for its matrices")
         cells = matrix.from_masks(store.masks(), axis)
     else:
-        cells = matrix.bitmask(t("profile_positions"), axis, min_cov)
+        cells = (matrix.bitmask if storage == "bitmask" else matrix.counts)(t("profile_positions"), axis, min_cov)
     outcome, folder = matrices(cells, wanted, held, root)
     now = time.time()
     added = eligibility.unmaterialized(wanted, held).select(F.col("genome").alias("matrix_id"), "sample_id", F.lit(now).alias("added_at"))
     members = held.unionByName(added)
     made = members.select("matrix_id").distinct().join(stores.select("matrix_id"), "matrix_id", "left_anti")
-    values = {"genome": F.col("matrix_id"), "matrix_file": F.lit(root), "profile_count": F.lit(0).cast("bigint"), "storage_layout": F.lit("bitmask"), "created_at": F.lit(now)}
+    values = {"genome": F.col("matrix_id"), "matrix_file": F.lit(root), "profile_count": F.lit(0).cast("bigint"), "storage_layout": F.lit(storage), "created_at": F.lit(now)}
     values |= {c: F.lit(least.get(o)).cast("double") for c, o in (("min_coverage", "min_coverage"), ("min_breadth", "min_breadth"), ("min_ber", "min_ber"), ("min_sylph_abundance", "min_abundance"))}
     fresh = made.withColumns(values | {"updated_at": F.lit(now)}).select(*stores.columns)
     rows = outcome.collect()  # a row a genome
