@@ -52,15 +52,14 @@ def build(store: Store, axis: DataFrame, root: str, *, min_cov: int = matrix.MIN
 
     A genome that has a matrix keeps the thresholds it was built with; `least` (min_coverage, min_breadth, min_ber,
     min_abundance) holds for new ones. Projects of masks are decoded, under the threshold they were stored with. All matrices
-    below a root are of one kind: masks, or counts (`storage`), which masks cannot give.
+    of a project are of one kind: masks, or counts (`storage`), which masks cannot give.
     """
     state, contract = store.state(), store.contract()
     t = store.table
     stores, held = t("matrix_stores"), t("matrix_store_samples")
     storage = matrix.storage_mode(storage, None)
-    others = stores.filter((F.col("matrix_file") == root) & (F.col("storage_layout") != storage))
-    if not others.isEmpty():
-        raise ValueError(f"the matrices at {root} are not of {storage}")
+    if not stores.filter(F.col("storage_layout") != storage).isEmpty():
+        raise ValueError(f"the project's matrices are not of kind {storage}")
     rows = eligibility.eligible(t("samples"), t("genome_stats"), t("sylph_abundance"), genome=genome, **least)
     again = eligibility.by_stores(t("samples"), t("genome_stats"), t("sylph_abundance"), stores)
     if genome is not None:

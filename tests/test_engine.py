@@ -139,12 +139,49 @@ def test_mask_projects_need_references_and_whole_counts(spark, tmp_path):
         cli.main([str(tmp_path / "p"), "matrix-sync-compare", str(tmp_path / "c")], spark)
     cli.main([str(tmp_path / "p"), "matrix-compare", str(tmp_path / "m"), str(tmp_path / "o")], spark)
     assert store.table("matrix_compares").count() == 1
+    with pytest.raises(ValueError, match="holds no counts"):
+        cli.main([str(tmp_path / "p"), "matrix-compare", str(tmp_path / "m"), str(tmp_path / "o2"), "--method", "conani"], spark)
+    with pytest.raises(ValueError, match="not of kind counts"):
+        cli.main([*build, "--storage-mode", "counts"], spark)
     bad = spark.createDataFrame([(1, "allele_mask", 1, 3, "lz4", "ATCG")], "id int, mode string, format_version int, min_cov int, codec string, allele_bit_order string")
     store.replace({"profile_storage": bad})
     with pytest.raises(ValueError, match="profile storage"):
         store.masks()
 
 
+def test_matrices_of_counts_are_built_and_compared_by_every_metric(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "p"))
+    store.set_contract("full")
+    store.add_runs(["r1", "r2"])
+    for run in ("r1", "r2"):
+        write_bundle(tmp_path, run)
+    rows = pd.DataFrame({"chrom": ["contigA"] * 3, "pos": [1, 2, 4], "genome": ["genome_a"] * 3, "gene": ["contigA_1"] * 3})
+    rows.assign(A=[9, 0, 0], C=[0, 6, 1], G=[0, 4, 9], T=0).to_parquet(tmp_path / "r1.parquet")
+    rows.assign(A=[9, 0, 0], C=[0, 4, 9], G=[0, 6, 0], T=0).to_parquet(tmp_path / "r2.parquet")
+    for run in ("r1", "r2"):
+        store.import_bundle(run, *[str(tmp_path / f"{run}.{x}") for x in ("parquet", "genome_stats.parquet", "sylph.csv")])
+    (tmp_path / "x.bed").write_text("contigA\t0\t10\n")
+    (tmp_path / "x.stb").write_text("contigA\tgenome_a\n")
+    (tmp_path / "x.genes").write_text("contigA_1\tcontigA\t1\t2\n")
+    axis = ["--bed", str(tmp_path / "x.bed"), "--stb", str(tmp_path / "x.stb")]
+    cli.main([str(tmp_path / "p"), "matrix-sync-build", str(tmp_path / "m"), *axis, "--storage-mode", "counts"], spark)
+    assert store.table("matrix_stores").first().storage_layout == "counts"
+    assert sorted((r.sample_id, r.axis_pos, r.A, r.T, r.C, r.G) for r in store.matrix_cells(str(tmp_path / "m")).collect())[:2] == [("r1", 0, 9, 0, 0, 0), ("r1", 1, 0, 0, 6, 4)]
+    compare_all = [str(tmp_path / "p"), "matrix-compare", str(tmp_path / "m")]
+    cli.main([*compare_all, str(tmp_path / "pop"), "--calculate", "all", "--gene-ranges", str(tmp_path / "x.genes"), *axis], spark)
+    read = lambda path: spark.read.parquet(str(tmp_path / path)).first()
+    assert (read("pop/ani").total_positions, read("pop/ani").share_allele_pos) == (3, 3)
+    assert (read("pop/gene").gene, read("pop/gene").total_positions) == ("contigA_1", 2)
+    assert read("pop/ibs").max_consecutive_length == 2
+    cli.main([*compare_all, str(tmp_path / "con"), "--method", "conani"], spark)
+    assert (read("con").total_positions, read("con").share_allele_pos) == (3, 1)
+    assert {r.calculate for r in store.table("matrix_compares").collect()} == {"all", "ani"}
+    with pytest.raises(ValueError, match="unknown calculation"):
+        cli.main([*compare_all, str(tmp_path / "x"), "--calculate", "ani+other"], spark)
+    with pytest.raises(ValueError, match="places on the axis"):
+        cli.main([*compare_all, str(tmp_path / "x"), "--calculate", "gene"], spark)
+
+
 def test_of_two_writers_the_second_fails_and_readers_see_the_first(spark, tmp_path):
     store = Store(spark, str(tmp_path / "p"))
     store.set_contract("full")
