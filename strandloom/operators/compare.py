@@ -1,9 +1,17 @@
 """All-versus-all comparison of samples.
 
-The packed kernels cut scaffolds into blocks of cells and samples into blocks, and multiply indicator matrices: one task
-holds two blocks of samples by one block of cells, so a position that all samples cover is no hot key, and only partial sums
-are shuffled. With `open_samples`, only tiles that hold one of them are formed: new samples meet all others, old ones do
-not meet again. `joined_pairs` joins positions with themselves instead; it gives the same rows and stands for tests.
+Two kernels give the same rows; each genome goes to the one that moves less (`_plan`).
+
+Tiles cut scaffolds into blocks of cells and samples into blocks, and multiply indicator matrices: one task holds two blocks
+of samples by one block of cells, so a position that all samples cover is no hot key, and only partial sums are shuffled. A
+row is sent to as many tiles as there are blocks of samples.
+
+Strips are for genomes in which a position is covered by few of many samples. The samples of each position are listed in
+order, samples are cut into strips of about equal work, and a strip gets of each list what begins with its own first sample.
+All positions of a pair meet in the strip of its first sample, so sums are whole there and nothing else is shuffled.
+
+With `open_samples`, only tiles and strips that hold one of them are formed: new samples meet all others, old ones do not
+meet again. `joined_pairs` joins positions with themselves instead; it gives the same rows and stands for tests.
 """
 
 from __future__ import annotations
@@ -11,6 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,6 +30,12 @@ from .matrix import MIN_COV
 
 METHODS = ("popani", "conani")
 CALCULATIONS = ("ani", "gene", "ibs")
+#: Joint positions (two samples at one position) that a strip is to hold, and that one step of it forms.
+STRIP, STEP = 2_000_000, 2_000_000
+#: One position in so many is counted to tell which kernel a genome goes to, and into how many strips it is cut.
+COUNTED = 16
+#: A row sent to a tile costs as much as so many joint positions; strips are left to genomes with fewer than CROWD samples at any counted position.
+TILE_COST, CROWD = 8, 100_000
 
 
 def alleles(positions: DataFrame, method: str = "popani", min_cov: int = MIN_COV) -> DataFrame:
@@ -125,8 +140,195 @@ def _named(sums: DataFrame, idx: DataFrame, *columns: str) -> DataFrame:
     return out.select("genome", F.least("s1", "s2").alias("sample_1"), F.greatest("s1", "s2").alias("sample_2"), *columns)
 
 
-def packed(rows: DataFrame, method: str = "popani", *, unit: str = "chrom", samples_per_block: int = 256, cells_per_block: int | None = 4096, open_samples: DataFrame | None = None) -> DataFrame:
-    """genome, unit, sample_1, sample_2, total_positions, share_allele_pos, summed over each unit, of rows from alleles()."""
+def _plan(rows: DataFrame, unit: str, samples_per_block: int, open_samples: DataFrame | None, kernel: str | None) -> tuple[DataFrame, DataFrame]:
+    """Genomes with their kernel and the first sample of each strip, a row a genome; and the rows with `late`, 1 where the sample is not open.
+
+    Only the choice of kernel and the number of strips rest on the counted positions; the work is done on all of them."""
+    late = F.lit(0)
+    if open_samples is not None:
+        marked = open_samples.select("genome", "sample_id").distinct().withColumn("is_open", F.lit(1))
+        rows, late = rows.join(marked, ["genome", "sample_id"], "left").drop("late"), F.when(F.col("is_open").isNull(), 1).otherwise(0)
+    rows = rows.withColumn("late", late).drop("is_open")
+    weights = rows.groupBy("genome", "sample_id", "late").agg(F.count(F.lit(1)).alias("w"))
+    counted = rows.filter(F.pmod(F.xxhash64("genome", "chrom", "pos"), F.lit(COUNTED)) == 0).groupBy("genome", "chrom", "pos", *({unit} - {"chrom"})).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    joint = counted.groupBy("genome").agg((F.sum(F.expr("n * (n - 1) / 2")) * COUNTED).alias("joint"), F.max("n").alias("most"))
+    sizes = weights.groupBy("genome").agg(F.sum("w").alias("all_w"), F.count(F.lit(1)).alias("samples")).join(joint, "genome", "left")
+    dealt = F.col("all_w") * F.ceil(F.col("samples") / samples_per_block)
+    listed = (F.coalesce("most", F.lit(0.0)) < CROWD) & (F.coalesce("joint", F.lit(0.0)) <= TILE_COST * dealt) if kernel is None else F.lit(kernel == "strips")
+    sizes = sizes.select("genome", "all_w", listed.alias("listed"), F.least(F.ceil(F.coalesce("joint", F.lit(0.0)) / STRIP) + 1, F.col("samples")).alias("strips"))
+    order = W.partitionBy("genome").orderBy("late", "sample_id")
+    place = weights.withColumn("before", F.sum("w").over(order) - F.col("w")).join(F.broadcast(sizes), "genome")  # a row a genome
+    place = place.withColumn("strip", F.floor(F.col("before") * F.col("strips") / F.col("all_w")))
+    firsts = place.groupBy("genome", "listed", "strip").agg(F.min(F.struct("late", "sample_id")).alias("first"))
+    return firsts.groupBy("genome", "listed").agg(F.sort_array(F.collect_list("first")).alias("firsts")), rows  # a row a genome
+
+
+def _strips(rows: DataFrame, plan: DataFrame, unit: str) -> DataFrame:
+    """genome, strip, unit, pos, m and the lists of names and values of the samples of a position, from the strip's first on; m of them are its own open ones."""
+    values = [c for c in rows.columns if c not in ("genome", "sample_id", "chrom", "pos", "gene", "late")]
+    at = rows.groupBy("genome", F.col(unit).alias("unit"), "chrom", "pos").agg(F.sort_array(F.collect_list(F.struct("late", "sample_id", *values))).alias("l")).filter("size(l) > 1")
+    at = at.join(F.broadcast(plan), "genome")  # a row a genome
+    at = at.withColumn("of", F.expr("transform(l, x -> size(filter(firsts, f -> f <= struct(x.late as late, x.sample_id as sample_id))))"))
+    at = at.select("genome", "unit", "pos", "l", "of", F.explode(F.array_distinct("of")).alias("strip"))
+    at = at.withColumn("m", F.expr("size(filter(zip_with(of, l, (o, x) -> o = strip and x.late = 0), y -> y))"))
+    at = at.withColumn("l", F.expr("slice(l, cast(array_position(of, strip) as int), size(l))")).filter("m > 0 and size(l) > 1")
+    return at.select("genome", "strip", "unit", "pos", "m", F.col("l.sample_id").alias("names"), *[F.col(f"l.{c}").cast("array<tinyint>" if c == "allele" else "array<double>").alias(c) for c in values])
+
+
+def _flat(table: pa.Table, column: str) -> pa.Array:
+    return table.column(column).combine_chunks().flatten() if table.num_rows else pa.array([])
+
+
+def _joint_rows(table: pa.Table, method: str):
+    """Steps of (first, second, row of the table, whether they share) over the joint positions of a strip; first and second are places in the flat lists."""
+    names = table.column("names").combine_chunks()
+    ends = np.cumsum(names.value_lengths().to_numpy().astype(np.int64))
+    m = table.column("m").to_numpy().astype(np.int64)
+    row = np.repeat(np.arange(len(m)), m)
+    first = np.arange(len(row)) - np.repeat(np.cumsum(m) - m, m) + np.repeat(np.concatenate(([0], ends[:-1])), m)
+    others = ends[row] - first - 1
+    if method.startswith("cosani_"):
+        least = float(method.split("_", 1)[1])
+        x = [_flat(table, c).to_numpy(zero_copy_only=False) for c in CHANNELS]
+        size = sum(c * c for c in x)
+
+        def shares(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+            return (sum(c[u] * c[v] for c in x) >= least * np.sqrt(size[u] * size[v])) & (size[u] > 0) & (size[v] > 0)
+    else:
+        x = _flat(table, "allele").to_numpy(zero_copy_only=False)
+
+        def shares(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+            return (x[u] & x[v]) != 0
+
+    total = np.cumsum(others)
+    lo = 0
+    while lo < len(first):
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + STEP, "right")))
+        n = others[lo:hi]
+        a = np.repeat(first[lo:hi], n)
+        b = np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n) + a + 1
+        yield a, b, np.repeat(row[lo:hi], n), shares(a, b)
+        lo = hi
+
+
+def _coded(column) -> tuple[np.ndarray, pa.Array]:
+    made = (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).dictionary_encode()
+    return made.indices.to_numpy(zero_copy_only=False).astype(np.int64), made.dictionary
+
+
+def _fits(*sizes: int) -> None:
+    product = 1
+    for n in sizes:
+        product *= max(1, n)
+    if product >= 2**62:
+        raise OverflowError("a strip holds more pairs of samples and units than a number can tell apart")
+
+
+def _folded(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Sums (key, total, shared) of parts, once a key."""
+    key, total, share = (np.concatenate(p) for p in zip(*parts, strict=True))
+    order = np.argsort(key, kind="stable")
+    key, total, share = key[order], total[order], share[order]
+    at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    return key[at], np.add.reduceat(total, at), np.add.reduceat(share, at)
+
+
+def _ordered(names: pa.Array, a: np.ndarray, b: np.ndarray) -> dict[str, pa.Array]:
+    """Columns of the samples' names, the smaller name first."""
+    rank = np.empty(len(names), np.int64)
+    rank[np.array(sorted(range(len(names)), key=names.to_pylist().__getitem__), np.int64)] = np.arange(len(names))
+    turned = rank[a] > rank[b]
+    return {"sample_1": names.take(pa.array(np.where(turned, b, a))), "sample_2": names.take(pa.array(np.where(turned, a, b)))}
+
+
+def _summed_strips(rows: DataFrame, plan: DataFrame, method: str, unit: str) -> DataFrame:
+    """The result of packed() by strips."""
+    by_unit = unit != "chrom"
+
+    def multiply(key: tuple, table: pa.Table) -> pa.Table:
+        sample, names = _coded(_flat(table, "names"))
+        units, unit_names = _coded(table.column("unit")) if by_unit else (None, [None])
+        u = len(names)
+        _fits(2, len(unit_names), u, u)
+        parts, held = [], 0
+        for a, b, row, shared in _joint_rows(table, method):
+            k = sample[a] * u + sample[b]
+            if by_unit:
+                k += units[row] * (u * u)
+            k = np.sort(k * 2 + shared)
+            same, odd = k >> 1, k & 1
+            at = np.flatnonzero(np.concatenate(([True], same[1:] != same[:-1])))
+            parts.append((same[at], np.diff(np.append(at, len(k))), np.add.reduceat(odd, at)))
+            held += len(at)
+            if held > 2 * STEP:
+                parts = [_folded(parts)]
+                held = len(parts[0][0])
+        if not parts:
+            return schema.empty_table()
+        k, total, share = _folded(parts) if len(parts) > 1 else parts[0]
+        where, k = np.divmod(k, u * u)
+        out = {"genome": pa.array([key[0].as_py()]).take(pa.array(np.zeros(len(k), np.int64)))} | _ordered(names, *np.divmod(k, u))
+        if by_unit:
+            out["unit"] = unit_names.take(pa.array(where))
+        return pa.table(out | {"total_positions": total, "share_allele_pos": share}).cast(schema)
+
+    extra = [("unit", pa.string())] if by_unit else []
+    schema = pa.schema([("genome", pa.string()), ("sample_1", pa.string()), ("sample_2", pa.string()), *extra, ("total_positions", pa.int64()), ("share_allele_pos", pa.int64())])
+    listed = _strips(rows, plan, unit)
+    return listed.groupBy("genome", "strip").applyInArrow(multiply, f"genome string, sample_1 string, sample_2 string, {'unit string, ' if by_unit else ''}total_positions bigint, share_allele_pos bigint")
+
+
+def _run_strips(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """The result of shared_runs() by strips: all positions of a pair are in one, so its runs are whole."""
+
+    def runs(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by([("unit", "ascending"), ("pos", "ascending")])
+        sample, names = _coded(_flat(table, "names"))
+        unit, _ = _coded(table.column("unit"))
+        pos = table.column("pos").to_numpy().astype(np.int64)
+        # neighbours get numbers that follow each other, and others do not
+        cell = np.cumsum(np.concatenate(([0], np.where((np.diff(unit) == 0) & (np.diff(pos) == 1), 1, 2))))
+        u, cells = len(names), int(cell[-1]) + 2
+        _fits(2, u, u, cells)
+        parts = [((sample[a] * u + sample[b]) * cells + cell[row]) * 2 + hit for a, b, row, hit in _joint_rows(table, "popani")]
+        if not parts:
+            return schema.empty_table()
+        k = np.sort(np.concatenate(parts))
+        met, hit = k >> 1, (k & 1).astype(bool)
+        pair = met // cells
+        at = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
+        # places count up within a run and begin anew after it
+        begins = ~hit | np.concatenate(([True], met[1:] != met[:-1] + 1)) | np.concatenate(([True], ~hit[:-1]))
+        place = np.arange(len(k))
+        length = np.where(hit, place - np.maximum.accumulate(np.where(begins, place, 0)) + 1, 0)
+        out = {"genome": pa.array([key[0].as_py()]).take(pa.array(np.zeros(len(at), np.int64)))} | _ordered(names, *np.divmod(pair[at], u))
+        return pa.table(out | {"max_consecutive_length": np.maximum.reduceat(length, at)}).cast(schema)
+
+    schema = pa.schema([("genome", pa.string()), ("sample_1", pa.string()), ("sample_2", pa.string()), ("max_consecutive_length", pa.int64())])
+    return _strips(rows, plan, "chrom").groupBy("genome", "strip").applyInArrow(runs, "genome string, sample_1 string, sample_2 string, max_consecutive_length bigint")
+
+
+def _by_kernel(rows: DataFrame, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of the genomes that go to tiles, and of those that go to strips."""
+    return tuple(rows.join(F.broadcast(plan.filter(F.col("listed") == listed).select("genome")), "genome", "left_semi") for listed in (False, True))  # a row a genome
+
+
+def packed(rows: DataFrame, method: str = "popani", *, unit: str = "chrom", samples_per_block: int = 256, cells_per_block: int | None = 4096, open_samples: DataFrame | None = None, kernel: str | None = None) -> DataFrame:
+    """genome, unit, sample_1, sample_2, total_positions, share_allele_pos, summed over each unit, of rows from alleles().
+
+    The kernel is chosen by genome if it is not named: `tiles` or `strips`."""
+    if kernel == "tiles":
+        return _tiled(rows, method, unit, samples_per_block, cells_per_block, open_samples)
+    plan, marked = _plan(rows, unit, samples_per_block, open_samples, kernel)
+    crowded, sparse = _by_kernel(marked, plan)
+    strips = _summed_strips(sparse, plan, method, unit)
+    if kernel == "strips":
+        return strips
+    return _tiled(crowded.drop("late"), method, unit, samples_per_block, cells_per_block, open_samples).unionByName(strips)
+
+
+def _tiled(rows: DataFrame, method: str, unit: str, samples_per_block: int, cells_per_block: int | None, open_samples: DataFrame | None) -> DataFrame:
+    """The result of packed() by tiles."""
     dealt, idx = _dealt(rows, unit, samples_per_block, cells_per_block, open_samples)
     share = _sharing(method)
 
@@ -166,13 +368,23 @@ def in_genes(rows: DataFrame, genes: DataFrame, bin_size: int = 100) -> DataFram
     return rows.withColumn("bin", F.expr(f"axis_pos div {bin_size}")).join(g, ["genome", "bin"]).filter(F.col("axis_pos").between(F.col("gene_start"), F.col("gene_end"))).drop("bin")
 
 
-def longest_runs(positions: DataFrame, min_cov: int = MIN_COV, *, samples_per_block: int = 256, cells_per_block: int = 4096) -> DataFrame:
+def longest_runs(positions: DataFrame, min_cov: int = MIN_COV, *, samples_per_block: int = 256, cells_per_block: int = 4096, kernel: str | None = None) -> DataFrame:
     """shared_runs() of positions, by popANI."""
-    return shared_runs(alleles(positions, "popani", min_cov), samples_per_block, cells_per_block)
+    return shared_runs(alleles(positions, "popani", min_cov), samples_per_block, cells_per_block, kernel)
+
+
+def shared_runs(rows: DataFrame, samples_per_block: int = 256, cells_per_block: int = 4096, kernel: str | None = None) -> DataFrame:
+    """Of rows from alleles() or matrix_alleles(): the longest stretch of neighbouring cells of one scaffold that both samples cover and share; 0 if there is none."""
+    if kernel == "tiles":
+        return _run_tiles(rows, samples_per_block, cells_per_block)
+    plan, marked = _plan(rows, "chrom", samples_per_block, None, kernel)
+    crowded, sparse = _by_kernel(marked, plan)
+    strips = _run_strips(sparse, plan)
+    return strips if kernel == "strips" else _run_tiles(crowded.drop("late"), samples_per_block, cells_per_block).unionByName(strips)
 
 
-def shared_runs(rows: DataFrame, samples_per_block: int = 256, cells_per_block: int = 4096) -> DataFrame:
-    """Of rows from alleles() or matrix_alleles(): the longest stretch of neighbouring cells of one scaffold that both samples cover and share; 0 if there is none.
+def _run_tiles(rows: DataFrame, samples_per_block: int, cells_per_block: int) -> DataFrame:
+    """The result of shared_runs() by tiles.
 
     Each block gives the runs at its start and end and its longest; blocks are then joined in order.
     """

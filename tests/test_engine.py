@@ -482,3 +482,32 @@ def test_streams(spark, tmp_path):
     q = sync.positions_stream(sync.read_profile_stream(spark, str(source), POSITION), str(tmp_path / "out"), str(tmp_path / "cp"))
     q.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == len(S1)
+
+
+@pytest.mark.parametrize("method", ["popani", "conani", "cosani_0.9"])
+def test_strips_equal_the_join(spark, method, monkeypatch):
+    """Positions covered by few of many samples go to strips, several a genome; a crowded genome beside them goes to tiles."""
+    monkeypatch.setattr(compare, "COUNTED", 1)
+    monkeypatch.setattr(compare, "STRIP", 200)
+    monkeypatch.setattr(compare, "STEP", 50)
+    rng = np.random.default_rng(6)
+    rows = [(f"s{i}", f"c{p % 2}", int(p // 2), g, f"c{p % 2}_g{p // 9}", *map(int, rng.integers(0, 6, 4))) for g, share in (("G", 0.2), ("H", 0.9)) for i in range(24) for p in range(80) if rng.random() < share]
+    rows += [(f"z{i}", "c0", p, "G", "c0_g0", *counts) for i, counts in enumerate(((9, 0, 0, 0), (0, 9, 0, 0))) for p in (0, 1)]
+    df = spark.createDataFrame(rows, POSITION)
+    found = compare.alleles(df, method)
+    monkeypatch.setattr(compare, "TILE_COST", 1)
+    plan = {r.genome: (r.listed, len(r.firsts)) for r in compare._plan(found, "chrom", 8, None, None)[0].collect()}
+    assert plan["G"][0] and plan["G"][1] > 3 and not plan["H"][0]
+    plain = sorted(map(tuple, compare.joined_pairs(df, method).collect()))
+    for kernel in (None, "strips", "tiles"):
+        assert sorted(map(tuple, compare.packed(found, method, samples_per_block=8, kernel=kernel).collect())) == [r[:5] for r in plain]
+    old = compare.joined_pairs(df.filter("sample_id < 's20'"), method).select("genome", "sample_1", "sample_2")
+    want = [r for r in plain if r[2] >= "s20"]
+    for kernel in (None, "strips", "tiles"):
+        assert sorted(map(tuple, compare.missing_pairs(found, old, method, samples_per_block=8, kernel=kernel).collect())) == want
+    if method == "popani":
+        genes = df.filter("A + T + C + G >= 5").select("sample_id", "genome", "chrom", "pos", "gene").join(found, ["sample_id", "genome", "chrom", "pos"])
+        by_gene = [sorted(map(tuple, compare.packed(genes, method, unit="gene", cells_per_block=None, kernel=k).select("genome", "unit", "sample_1", "sample_2", "total_positions", "share_allele_pos").collect())) for k in ("strips", "tiles")]
+        assert by_gene[0] == by_gene[1] and len(by_gene[0]) > len(plain)
+        runs = [sorted(map(tuple, compare.longest_runs(df, samples_per_block=8, cells_per_block=7, kernel=k).collect())) for k in (None, "strips", "tiles")]
+        assert runs[0] == runs[1] == runs[2] and max(r[3] for r in runs[0]) > 3 and min(r[3] for r in runs[0]) == 0
