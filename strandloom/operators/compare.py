@@ -115,7 +115,7 @@ def _dealt(rows: DataFrame, unit: str, samples_per_block: int, cells_per_block:
     values = [c for c in rows.columns if c not in ("genome", "sample_id", "chrom", "pos", "gene")]
     block = F.floor(F.col("pos") / cells_per_block) if cells_per_block else F.lit(0).cast("long")
     dealt = dealt.select("genome", F.col(unit).alias("unit"), block.alias("cell_block"), tile, "n_open", "pos", "i", *values).filter(F.col("tile.tile_1") * samples_per_block < F.col("n_open"))
-    return dealt.select("genome", "unit", "cell_block", "tile.tile_1", "tile.tile_2", "pos", "i", *values), idx.drop("late")
+    return dealt.select("genome", "unit", "cell_block", "tile.tile_1", "tile.tile_2", "pos", "i", *values), idx
 
 
 def _tables(pdf: pd.DataFrame, key: tuple, samples_per_block: int) -> tuple[np.ndarray, ...]:
@@ -134,8 +134,8 @@ def _tables(pdf: pd.DataFrame, key: tuple, samples_per_block: int) -> tuple[np.n
 
 
 def _named(sums: DataFrame, idx: DataFrame, *columns: str) -> DataFrame:
-    """Sample names for numbers, the smaller name first."""
-    first, second = (idx.select("genome", F.col("i").alias(f"i{k}"), F.col("sample_id").alias(f"s{k}")) for k in (1, 2))
+    """Sample names for numbers, the smaller name first; only pairs with an open sample, which is then the first."""
+    first, second = (idx.filter(which).select("genome", F.col("i").alias(f"i{k}"), F.col("sample_id").alias(f"s{k}")) for k, which in ((1, "late = 0"), (2, "true")))
     out = sums.join(first, ["genome", "i1"]).join(second, ["genome", "i2"])
     return out.select("genome", F.least("s1", "s2").alias("sample_1"), F.greatest("s1", "s2").alias("sample_2"), *columns)
 
@@ -436,9 +436,16 @@ def missing_pairs(rows: DataFrame, completed: DataFrame, method: str = "popani",
     return out.withColumn("genome_ani", masks.ani(F.col("share_allele_pos"), F.col("total_positions")))
 
 
+def new_pairs(rows: DataFrame, compared: DataFrame, method: str = "popani", **options) -> DataFrame:
+    """missing_pairs() where the completed pairs are all those among the compared samples (genome, sample_id): a row a sample is read instead of a row a pair."""
+    todo = rows.select("genome", "sample_id").distinct().join(compared, ["genome", "sample_id"], "left_anti")
+    return packed(rows, method, open_samples=todo, **options).withColumn("genome_ani", masks.ani(F.col("share_allele_pos"), F.col("total_positions")))
+
+
 def incremental(positions: DataFrame, completed: DataFrame, method: str = "popani", min_cov: int = MIN_COV) -> DataFrame:
-    """missing_pairs() of positions."""
-    return missing_pairs(alleles(positions, method, min_cov), completed, method)
+    """missing_pairs() of positions; new_pairs() if completed names samples instead of pairs."""
+    missing = new_pairs if "sample_id" in completed.columns else missing_pairs
+    return missing(alleles(positions, method, min_cov), completed, method)
 
 
 def packed_pairs(matrix: DataFrame, samples_per_block: int = 256, cells_per_block: int = 4096) -> DataFrame:
@@ -494,4 +501,4 @@ def expected_pairs(catalog: DataFrame) -> DataFrame:
     return n.select("genome", "n", F.expr("n * (n - 1) div 2").alias("expected"))
 
 
-__all__ = ["alleles", "expected_pairs", "gene_pairs", "in_genes", "incremental", "joined_pairs", "calculations", "joint", "longest_runs", "matrix_alleles", "matrix_results", "missing_pairs", "open_samples", "packed", "packed_pairs", "pairs", "shared_runs"]
+__all__ = ["alleles", "expected_pairs", "gene_pairs", "in_genes", "incremental", "joined_pairs", "calculations", "joint", "longest_runs", "matrix_alleles", "matrix_results", "missing_pairs", "new_pairs", "open_samples", "packed", "packed_pairs", "pairs", "shared_runs"]

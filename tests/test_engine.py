@@ -505,6 +505,7 @@ def test_strips_equal_the_join(spark, method, monkeypatch):
     want = [r for r in plain if r[2] >= "s20"]
     for kernel in (None, "strips", "tiles"):
         assert sorted(map(tuple, compare.missing_pairs(found, old, method, samples_per_block=8, kernel=kernel).collect())) == want
+        assert sorted(map(tuple, compare.new_pairs(found, df.filter("sample_id < 's20'").select("genome", "sample_id"), method, samples_per_block=8, kernel=kernel).collect())) == want
     if method == "popani":
         genes = df.filter("A + T + C + G >= 5").select("sample_id", "genome", "chrom", "pos", "gene").join(found, ["sample_id", "genome", "chrom", "pos"])
         by_gene = [sorted(map(tuple, compare.packed(genes, method, unit="gene", cells_per_block=None, kernel=k).select("genome", "unit", "sample_1", "sample_2", "total_positions", "share_allele_pos").collect())) for k in ("strips", "tiles")]
