@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -68,6 +69,25 @@ def drop_stored(mark: int = 0) -> None:
 atexit.register(drop_stored)
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system: Python workers stay after their tasks, and what they hold counts while later stages run."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        return
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """df.mapInArrow(run, schema); each task gives back its memory when it ends."""
+
+    def ending(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(ending, schema)
+
+
 def arrow_map(df: DataFrame, fn: Callable[..., Iterator[dict] | dict], schema: str) -> DataFrame:
     """fn(*columns as Python lists) returns a dict of column lists for each Arrow batch; no batch becomes a pandas frame."""
     fields = df.sparkSession.createDataFrame([], schema).schema
@@ -80,7 +100,7 @@ def arrow_map(df: DataFrame, fn: Callable[..., Iterator[dict] | dict], schema: s
             out = fn(*[c.to_pylist() for c in batch.columns])
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def id_key(column: str = "doc_id"):

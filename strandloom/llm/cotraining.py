@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import quality_rules
-from .common import arrow_map, stored
+from .common import arrow_map, map_batches, stored
 
 SOURCES = 32
 LANGS = sorted(quality_rules.COMMON_WORDS)
@@ -104,7 +104,7 @@ def added(feats: DataFrame, fn: Callable[[np.ndarray, np.ndarray, list[np.ndarra
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["i", "v"])
 
-    rows = feats.select("doc_id", "y", "aside", "content", "meta").mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+    rows = map_batches(feats.select("doc_id", "y", "aside", "content", "meta"), run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
     return np.array([r.v for r in sorted(rows, key=lambda r: r.i)])
 
 
@@ -224,7 +224,7 @@ def scored(feats: DataFrame, model: dict | None, *, least: float = 0.5) -> DataF
             a, b, c = predict(model, *arrays(batch)[2])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(a), pa.array(b), pa.array(c), pa.array(c >= least)], names=["doc_id", "content_score", "metadata_score", "score", "kept"])
 
-    return feats.select("doc_id", "y", "aside", "content", "meta").mapInArrow(run, _SCORES)
+    return map_batches(feats.select("doc_id", "y", "aside", "content", "meta"), run, _SCORES)
 
 
 def score(docs: DataFrame, model: dict | None, *, least: float = 0.5) -> DataFrame:
@@ -247,4 +247,4 @@ def keep(docs: DataFrame, model: dict | None, *, least: float = 0.5) -> DataFram
             _, _, p = predict(model, content_view(columns[0]), metadata_view(*columns[1:]))
             yield batch.filter(pa.array(p >= least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import textkit
-from .common import LAST_ID, arrow_map, id_key, stored
+from .common import LAST_ID, arrow_map, id_key, map_batches, stored
 from .components import components
 
 K, AGREE, LOOSE, BLOCK, LEADERS = 64, 36, 0.52, 4096, 64
@@ -202,7 +202,7 @@ def found_edges(given: DataFrame, key: str, values: str, links: Callable) -> Dat
                     yield out()
         yield out()
 
-    return given.mapInArrow(run, "a long, b long").distinct()
+    return map_batches(given, run, "a long, b long").distinct()
 
 
 def edges_of(rows: DataFrame, membership: DataFrame, key: str, values: str, links: Callable) -> DataFrame:

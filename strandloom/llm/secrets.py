@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import arrow_map, stored
+from .common import arrow_map, map_batches, stored
 
 #: The rules. A match that is too short is dropped after matching.
 ASSIGN = re.compile(r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII)
@@ -249,4 +249,4 @@ def redacted(docs: DataFrame, *, q: float = 0.01, level: float = 0.001) -> DataF
                 columns[at] = pa.array([n if t is None else len(t) for t, n in zip(texts, columns[at].to_pylist(), strict=True)], columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

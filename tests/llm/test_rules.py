@@ -301,3 +301,25 @@ def test_lines_of_consistent_slots(pairs):
 
 def test_lines_drop_inconsistent_slots():
     assert decontamination.lines([(0, 0, 8, ["7"], ["5"]), (1, 1, 8, ["8"], ["5"])]) == (8, 8, 1)
+
+
+def test_tasks_give_back_their_memory(spark):
+    """A Python worker that has held a large text is as small afterwards as before."""
+    from strandloom.llm import common
+
+    def sized(sizes):
+        import builtins
+
+        import numpy as np
+
+        held = [np.ones(12_000) for _ in range(6_000)]
+        builtins.kept_by_the_test = held[-1]  # the end of the heap stays in use
+        return {"n": sizes}
+
+    def resident(sizes):
+        pages = int(open("/proc/self/statm").read().split()[1])
+        return {"n": [pages * 4096 // 1_000_000] * len(sizes)}
+
+    one = spark.range(1).coalesce(1).selectExpr("id + 1 as n")
+    common.arrow_map(one, sized, "n long").collect()
+    assert common.arrow_map(one, resident, "n long").collect()[0].n < 400
