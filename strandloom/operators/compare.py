@@ -16,6 +16,8 @@ meet again. `joined_pairs` joins positions with themselves instead; it gives the
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,6 +34,8 @@ METHODS = ("popani", "conani")
 CALCULATIONS = ("ani", "gene", "ibs")
 #: Joint positions (two samples at one position) that a strip is to hold, and that one step of it forms.
 STRIP, STEP = 2_000_000, 2_000_000
+#: So many samples of positions are cut into strips at a time.
+LISTED = 500_000
 #: One position in so many is counted to tell which kernel a genome goes to, and into how many strips it is cut.
 COUNTED = 16
 #: A row sent to a tile costs as much as so many joint positions; strips are left to genomes with fewer than CROWD samples at any counted position.
@@ -163,16 +167,48 @@ def _plan(rows: DataFrame, unit: str, samples_per_block: int, open_samples: Data
     return firsts.groupBy("genome", "listed").agg(F.sort_array(F.collect_list("first")).alias("firsts")), rows  # a row a genome
 
 
-def _strips(rows: DataFrame, plan: DataFrame, unit: str) -> DataFrame:
+def _strips(rows: DataFrame, plan: list, unit: str) -> DataFrame:
     """genome, strip, unit, pos, m and the lists of names and values of the samples of a position, from the strip's first on; m of them are its own open ones."""
     values = [c for c in rows.columns if c not in ("genome", "sample_id", "chrom", "pos", "gene", "late")]
-    at = rows.groupBy("genome", F.col(unit).alias("unit"), "chrom", "pos").agg(F.sort_array(F.collect_list(F.struct("late", "sample_id", *values))).alias("l")).filter("size(l) > 1")
-    at = at.join(F.broadcast(plan), "genome")  # a row a genome
-    at = at.withColumn("of", F.expr("transform(l, x -> size(filter(firsts, f -> f <= struct(x.late as late, x.sample_id as sample_id))))"))
-    at = at.select("genome", "unit", "pos", "l", "of", F.explode(F.array_distinct("of")).alias("strip"))
-    at = at.withColumn("m", F.expr("size(filter(zip_with(of, l, (o, x) -> o = strip and x.late = 0), y -> y))"))
-    at = at.withColumn("l", F.expr("slice(l, cast(array_position(of, strip) as int), size(l))")).filter("m > 0 and size(l) > 1")
-    return at.select("genome", "strip", "unit", "pos", "m", F.col("l.sample_id").alias("names"), *[F.col(f"l.{c}").cast("array<tinyint>" if c == "allele" else "array<double>").alias(c) for c in values])
+    kinds = {c: "tinyint" if c == "allele" else "double" for c in values}
+    firsts = {r.genome: [(f.late, f.sample_id) for f in r.firsts] for r in plan}
+    schema = pa.schema([("genome", pa.string()), ("strip", pa.int32()), ("unit", pa.string()), ("pos", pa.int64()), ("m", pa.int32()), ("names", pa.list_(pa.string())), *[(c, pa.list_(pa.int8() if c == "allele" else pa.float64())) for c in values]])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.cumsum(batch.column("l").value_lengths().to_numpy())
+            lo = 0
+            while lo < len(ends):
+                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + LISTED, "right")))
+                yield _cut(batch.slice(lo, hi - lo), firsts, schema)
+                lo = hi
+
+    at = rows.groupBy("genome", F.col(unit).alias("unit"), "chrom", "pos").agg(F.sort_array(F.collect_list(F.struct("late", "sample_id", *[F.col(c).cast(kinds[c]).alias(c) for c in values]))).alias("l")).filter("size(l) > 1")
+    return at.select("genome", "unit", F.col("pos").cast("bigint").alias("pos"), "l").mapInArrow(cut, f"genome string, strip int, unit string, pos bigint, m int, names array<string>, {', '.join(f'{c} array<{kinds[c]}>' for c in values)}")
+
+
+def _cut(batch: pa.RecordBatch, firsts: dict[str, list[tuple]], schema: pa.Schema) -> pa.RecordBatch:
+    """The lists of some positions, once for each strip that one of their samples is in, from the strip's first on."""
+    n = batch.column("l").value_lengths().to_numpy().astype(np.int64)
+    flat, row, end = batch.column("l").flatten(), np.repeat(np.arange(len(n)), n), np.cumsum(n)
+    late, names = flat.field("late").to_numpy(zero_copy_only=False).astype(np.int64), flat.field("sample_id")
+    genome, genomes = _coded(batch.column("genome"))
+    sample, known = _coded(names)
+    # a sample's strip is looked up once
+    keys, back = np.unique((genome[row] * 2 + late) * max(1, len(known)) + sample, return_inverse=True)
+    known, genomes, strip = known.to_pylist(), genomes.to_pylist(), np.empty(len(keys), np.int64)
+    for k, key in enumerate(keys.tolist()):
+        head, name = divmod(key, len(known))
+        strip[k] = bisect_right(firsts[genomes[head // 2]], (head % 2, known[name]))
+    of = strip[back]
+    begins = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (of[1:] != of[:-1])))[: len(of)])
+    held = np.concatenate(([0], np.cumsum(late == 0)))
+    m, size = held[np.append(begins[1:], len(of))] - held[begins], end[row[begins]] - begins
+    begins, m, size = (x[(m > 0) & (size > 1)] for x in (begins, m, size))
+    take = np.arange(size.sum()) + np.repeat(begins - (np.cumsum(size) - size), size)
+    offsets, take, of_row = pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32()), pa.array(take), pa.array(row[begins])
+    lists = [pa.ListArray.from_arrays(offsets, flat.field("sample_id" if f.name == "names" else f.name).take(take).cast(f.type.value_type)) for f in list(schema)[5:]]
+    return pa.RecordBatch.from_arrays([batch.column("genome").take(of_row), pa.array(of[begins], pa.int32()), batch.column("unit").take(of_row), batch.column("pos").take(of_row), pa.array(m, pa.int32()), *lists], schema=schema)
 
 
 def _flat(table: pa.Table, column: str) -> pa.Array:
@@ -241,7 +277,7 @@ def _ordered(names: pa.Array, a: np.ndarray, b: np.ndarray) -> dict[str, pa.Arra
     return {"sample_1": names.take(pa.array(np.where(turned, b, a))), "sample_2": names.take(pa.array(np.where(turned, a, b)))}
 
 
-def _summed_strips(rows: DataFrame, plan: DataFrame, method: str, unit: str) -> DataFrame:
+def _summed_strips(rows: DataFrame, plan: list, method: str, unit: str, above: int) -> DataFrame:
     """The result of packed() by strips."""
     by_unit = unit != "chrom"
 
@@ -266,6 +302,8 @@ def _summed_strips(rows: DataFrame, plan: DataFrame, method: str, unit: str) ->
         if not parts:
             return schema.empty_table()
         k, total, share = _folded(parts) if len(parts) > 1 else parts[0]
+        # a pair is in one strip, so that its sums are whole
+        k, total, share = (x[total > above] for x in (k, total, share))
         where, k = np.divmod(k, u * u)
         out = {"genome": pa.array([key[0].as_py()]).take(pa.array(np.zeros(len(k), np.int64)))} | _ordered(names, *np.divmod(k, u))
         if by_unit:
@@ -278,7 +316,7 @@ def _summed_strips(rows: DataFrame, plan: DataFrame, method: str, unit: str) ->
     return listed.groupBy("genome", "strip").applyInArrow(multiply, f"genome string, sample_1 string, sample_2 string, {'unit string, ' if by_unit else ''}total_positions bigint, share_allele_pos bigint")
 
 
-def _run_strips(rows: DataFrame, plan: DataFrame) -> DataFrame:
+def _run_strips(rows: DataFrame, plan: list) -> DataFrame:
     """The result of shared_runs() by strips: all positions of a pair are in one, so its runs are whole."""
 
     def runs(key: tuple, table: pa.Table) -> pa.Table:
@@ -308,26 +346,32 @@ def _run_strips(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return _strips(rows, plan, "chrom").groupBy("genome", "strip").applyInArrow(runs, "genome string, sample_1 string, sample_2 string, max_consecutive_length bigint")
 
 
-def _by_kernel(rows: DataFrame, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows of the genomes that go to tiles, and of those that go to strips."""
-    return tuple(rows.join(F.broadcast(plan.filter(F.col("listed") == listed).select("genome")), "genome", "left_semi") for listed in (False, True))  # a row a genome
+def _by_kernel(rows: DataFrame, plan: list) -> tuple[DataFrame | None, DataFrame]:
+    """The rows of the genomes that go to tiles, if there are any, and of those that go to strips."""
+    tiled = [r.genome for r in plan if not r.listed]
+    return rows.filter(F.col("genome").isin(tiled)) if tiled else None, rows.filter(~F.col("genome").isin(tiled)) if tiled else rows
 
 
-def packed(rows: DataFrame, method: str = "popani", *, unit: str = "chrom", samples_per_block: int = 256, cells_per_block: int | None = 4096, open_samples: DataFrame | None = None, kernel: str | None = None) -> DataFrame:
+def _placed(rows: DataFrame) -> DataFrame:
+    """Rows that can meet others: those without a sample or a place meet none."""
+    return rows.dropna(subset=["genome", "sample_id", "chrom", "pos"])
+
+
+def packed(rows: DataFrame, method: str = "popani", *, unit: str = "chrom", samples_per_block: int = 256, cells_per_block: int | None = 4096, open_samples: DataFrame | None = None, kernel: str | None = None, above: int = 0) -> DataFrame:
     """genome, unit, sample_1, sample_2, total_positions, share_allele_pos, summed over each unit, of rows from alleles().
 
-    The kernel is chosen by genome if it is not named: `tiles` or `strips`."""
+    Only sums of more than `above` positions are given. The kernel is chosen by genome if it is not named: `tiles` or `strips`."""
+    rows = _placed(rows)
     if kernel == "tiles":
-        return _tiled(rows, method, unit, samples_per_block, cells_per_block, open_samples)
+        return _tiled(rows, method, unit, samples_per_block, cells_per_block, open_samples, above)
     plan, marked = _plan(rows, unit, samples_per_block, open_samples, kernel)
+    plan = plan.collect()  # a row a genome, with a name a strip
     crowded, sparse = _by_kernel(marked, plan)
-    strips = _summed_strips(sparse, plan, method, unit)
-    if kernel == "strips":
-        return strips
-    return _tiled(crowded.drop("late"), method, unit, samples_per_block, cells_per_block, open_samples).unionByName(strips)
+    strips = _summed_strips(sparse, plan, method, unit, above)
+    return strips if crowded is None else _tiled(crowded.drop("late"), method, unit, samples_per_block, cells_per_block, open_samples, above).unionByName(strips)
 
 
-def _tiled(rows: DataFrame, method: str, unit: str, samples_per_block: int, cells_per_block: int | None, open_samples: DataFrame | None) -> DataFrame:
+def _tiled(rows: DataFrame, method: str, unit: str, samples_per_block: int, cells_per_block: int | None, open_samples: DataFrame | None, above: int) -> DataFrame:
     """The result of packed() by tiles."""
     dealt, idx = _dealt(rows, unit, samples_per_block, cells_per_block, open_samples)
     share = _sharing(method)
@@ -345,12 +389,12 @@ def _tiled(rows: DataFrame, method: str, unit: str, samples_per_block: int, cell
     partial = dealt.groupBy("genome", "unit", "cell_block", "tile_1", "tile_2").applyInPandas(multiply, "genome string, unit string, i1 int, i2 int, total bigint, share bigint")
     keys = ["genome", "i1", "i2"] if unit == "chrom" else ["genome", "unit", "i1", "i2"]
     sums = partial.groupBy(*keys).agg(F.sum("total").alias("total_positions"), F.sum("share").alias("share_allele_pos"))
-    return _named(sums, idx, *([] if unit == "chrom" else ["unit"]), "total_positions", "share_allele_pos")
+    return _named(sums.filter(F.col("total_positions") > above), idx, *([] if unit == "chrom" else ["unit"]), "total_positions", "share_allele_pos")
 
 
-def pairs(positions: DataFrame, method: str = "popani", min_cov: int = MIN_COV) -> DataFrame:
-    """genome, sample_1, sample_2, total_positions, share_allele_pos, genome_ani of pairs that share a covered position."""
-    out = packed(alleles(positions, method, min_cov), method)
+def pairs(positions: DataFrame, method: str = "popani", min_cov: int = MIN_COV, above: int = 0) -> DataFrame:
+    """genome, sample_1, sample_2, total_positions, share_allele_pos, genome_ani of pairs that share more than `above` covered positions."""
+    out = packed(alleles(positions, method, min_cov), method, above=above)
     return out.withColumn("genome_ani", masks.ani(F.col("share_allele_pos"), F.col("total_positions")))
 
 
@@ -375,12 +419,14 @@ def longest_runs(positions: DataFrame, min_cov: int = MIN_COV, *, samples_per_bl
 
 def shared_runs(rows: DataFrame, samples_per_block: int = 256, cells_per_block: int = 4096, kernel: str | None = None) -> DataFrame:
     """Of rows from alleles() or matrix_alleles(): the longest stretch of neighbouring cells of one scaffold that both samples cover and share; 0 if there is none."""
+    rows = _placed(rows)
     if kernel == "tiles":
         return _run_tiles(rows, samples_per_block, cells_per_block)
     plan, marked = _plan(rows, "chrom", samples_per_block, None, kernel)
+    plan = plan.collect()  # a row a genome, with a name a strip
     crowded, sparse = _by_kernel(marked, plan)
     strips = _run_strips(sparse, plan)
-    return strips if kernel == "strips" else _run_tiles(crowded.drop("late"), samples_per_block, cells_per_block).unionByName(strips)
+    return strips if crowded is None else _run_tiles(crowded.drop("late"), samples_per_block, cells_per_block).unionByName(strips)
 
 
 def _run_tiles(rows: DataFrame, samples_per_block: int, cells_per_block: int) -> DataFrame:

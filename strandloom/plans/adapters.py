@@ -10,17 +10,22 @@ import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.store import Files, shared_dir
 
+#: What makes the name and place of a position, one column each.
+PLACE = [
+    "'SRR' || CAST(l_suppkey AS STRING) AS sample_id",
+    "'G' || CAST(l_partkey % 5 AS STRING) || '_c' || CAST(CAST(FLOOR(l_partkey / 5) AS BIGINT) % 2 AS STRING) AS chrom",
+    "CAST(FLOOR(l_partkey / 10) AS BIGINT) + 1 AS pos",
+    "'G' || CAST(l_partkey % 5 AS STRING) AS genome",
+    "'G' || CAST(l_partkey % 5 AS STRING) || '_c' || CAST(CAST(FLOOR(l_partkey / 5) AS BIGINT) % 2 AS STRING)\n           || '_' || CAST(CAST(FLOOR(FLOOR(l_partkey / 10) / 20) AS BIGINT) + 1 AS STRING) AS gene",
+]
+
 VIEWS: dict[str, str] = {
     "profile_positions": """
-SELECT 'SRR' || CAST(l_suppkey AS STRING) AS sample_id,
-       'G' || CAST(l_partkey % 5 AS STRING) || '_c' || CAST(CAST(FLOOR(l_partkey / 5) AS BIGINT) % 2 AS STRING) AS chrom,
-       CAST(FLOOR(l_partkey / 10) AS BIGINT) + 1 AS pos,
-       'G' || CAST(l_partkey % 5 AS STRING) AS genome,
-       'G' || CAST(l_partkey % 5 AS STRING) || '_c' || CAST(CAST(FLOOR(l_partkey / 5) AS BIGINT) % 2 AS STRING)
-           || '_' || CAST(CAST(FLOOR(FLOOR(l_partkey / 10) / 20) AS BIGINT) + 1 AS STRING) AS gene,
+SELECT """ + ",\n       ".join(PLACE) + """,
        CAST(SUM(CASE WHEN l_returnflag = 'A' THEN l_quantity ELSE 0 END) AS INT) AS A,
        CAST(SUM(CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN l_quantity ELSE 0 END) AS INT) AS C,
        CAST(SUM(CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN l_quantity ELSE 0 END) AS INT) AS G,
@@ -87,11 +92,19 @@ def _needs(sql: str) -> list[str]:
 _MADE: dict[tuple[str, str], str] = {}
 
 
+def made_positions(lineitem: DataFrame) -> DataFrame:
+    """The rows of profile_positions. A sample is a supplier and a position a part, so the numbers are summed by two keys, and names are made of each sum once."""
+    channel = F.expr("CASE WHEN l_returnflag = 'A' THEN 'A' WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'C' WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 'G' WHEN l_returnflag = 'R' THEN 'T' END")
+    rows = lineitem.select("l_partkey", "l_suppkey", channel.alias("channel"), "l_quantity").repartition("l_partkey", "l_suppkey")
+    sums = rows.groupBy("l_partkey", "l_suppkey").agg(*[F.sum(F.when(F.col("channel") == c, F.col("l_quantity")).otherwise(0)).cast("int").alias(c) for c in "ACGT"])
+    return sums.selectExpr(*PLACE, *"ACGT")
+
+
 def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MADE:
         path = scratch(spark, "positions")
-        spark.sql(VIEWS["profile_positions"], lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet")).write.parquet(path)
+        made_positions(spark.read.parquet(f"{sf_dir}/lineitem.parquet")).write.parquet(path)
         _MADE[key] = path
     return spark.read.parquet(_MADE[key])
 

@@ -323,4 +323,4 @@ def _(v):
 
 @query("qualifying_earlier_layout", ORACLES["qualifying_pairs"])
 def _(v):
-    return views.qualifying(compare.pairs(v("profile_positions")).withColumnRenamed("genome_ani", "genome_pop_ani"), 20)
+    return views.qualifying(compare.pairs(v("profile_positions"), above=20).withColumnRenamed("genome_ani", "genome_pop_ani"), 20)

@@ -15,6 +15,7 @@ from strandloom import cli
 from strandloom.api import ModeError, open_database
 from strandloom.functions import histogram, names
 from strandloom.operators import cluster, codec, compare, contract, matrix, registry, views
+from strandloom.plans import adapters
 from strandloom.sources import config, ingest, reference, sinks
 from strandloom.sources.store import Store
 from strandloom.streaming import sync
@@ -512,3 +513,29 @@ def test_strips_equal_the_join(spark, method, monkeypatch):
         assert by_gene[0] == by_gene[1] and len(by_gene[0]) > len(plain)
         runs = [sorted(map(tuple, compare.longest_runs(df, samples_per_block=8, cells_per_block=7, kernel=k).collect())) for k in (None, "strips", "tiles")]
         assert runs[0] == runs[1] == runs[2] and max(r[3] for r in runs[0]) > 3 and min(r[3] for r in runs[0]) == 0
+
+
+@pytest.mark.parametrize("kernel", [None, "strips", "tiles"])
+def test_pairs_above_a_number_of_positions(spark, kernel, monkeypatch):
+    """Rows without a sample or a place meet none; the least overlap is asked for where sums are whole."""
+    monkeypatch.setattr(compare, "COUNTED", 1)
+    monkeypatch.setattr(compare, "STRIP", 20)
+    rows = [(f"s{i}", "c0", p, "G", "c0_g0", 9, 0, 0, 0) for i in range(12) for p in range(30) if (i * 7 + p * 5) % 3]
+    odd = [(None, "c0", 1, "G", "c0_g0", 9, 0, 0, 0), ("s1", None, 1, "G", None, 9, 0, 0, 0), ("s2", None, 1, "G", None, 9, 0, 0, 0), ("s1", "c0", 1, None, None, 9, 0, 0, 0), ("s2", "c0", 1, None, None, 9, 0, 0, 0)]
+    found = compare.alleles(spark.createDataFrame(rows + odd, POSITION))
+    plain = sorted(map(tuple, compare.joined_pairs(spark.createDataFrame(rows, POSITION)).select("genome", "sample_1", "sample_2", "total_positions", "share_allele_pos").collect()))
+    assert sorted(map(tuple, compare.packed(found, samples_per_block=4, kernel=kernel).collect())) == plain
+    want = [r for r in plain if r[3] > 10]
+    assert 0 < len(want) < len(plain)
+    assert sorted(map(tuple, compare.packed(found, samples_per_block=4, kernel=kernel, above=10).collect())) == want
+    assert compare.packed(found.filter("genome = 'none'"), kernel=kernel).count() == 0
+
+
+def test_positions_by_number_equal_their_sql(spark):
+    """Null, negative and repeated keys, and flags of no channel."""
+    rows = [(p, s, q, f, t) for p, s in ((0, 0), (7, 1), (-13, 2), (-8, 2), (None, 3), (4, None), (7, 1), (12345, 9)) for q, f, t in ((3.0, "A", "F"), (4.0, "N", "O"), (5.0, "N", "F"), (None, "R", "F"), (6.0, None, "O"), (7.0, "N", None))]
+    lines = spark.createDataFrame(rows, "l_partkey bigint, l_suppkey bigint, l_quantity double, l_returnflag string, l_linestatus string")
+    want = spark.sql(adapters.VIEWS["profile_positions"], lineitem=lines)
+    got = adapters.made_positions(lines)
+    assert got.dtypes == want.dtypes
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
