@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ..functions.histogram import auto_histogram, fixed_histogram
 from .contract import reject
 
+#: Members of a block, and pairs that a task is to form.
+BLOCK, FORMED = 512, 4_000_000
 ANI_COLUMNS = ("genome_ani", "genome_pop_ani")
 
 
@@ -51,6 +53,20 @@ def distinct_pairs(results: DataFrame) -> DataFrame:
     return results.select("genome", F.least("sample_1", "sample_2").alias("sample_1"), F.greatest("sample_1", "sample_2").alias("sample_2")).distinct()
 
 
+def pairs_among(members: DataFrame) -> DataFrame:
+    """genome, sample_1 < sample_2 of all pairs among each genome's members (genome, sample_id), once each.
+
+    Members are made distinct before pairs are formed, which are then neither moved nor compared: sorted blocks of members meet."""
+    names = members.select("genome", "sample_id").dropna().distinct()
+    formed = names.groupBy("genome").agg(F.count(F.lit(1)).cast("double").alias("n")).agg(F.sum(F.expr("n * (n - 1) / 2"))).first()[0] or 0
+    place = F.row_number().over(W.partitionBy("genome").orderBy("sample_id")) - 1
+    lists = names.withColumn("block", F.floor(place / BLOCK)).groupBy("genome", "block").agg(F.collect_list("sample_id").alias("l"))
+    side = lambda k: lists.select("genome", F.col("block").alias(f"block_{k}"), F.col("l").alias(f"l_{k}"))
+    met = side(1).join(side(2), "genome").filter("block_1 <= block_2").repartition(int(formed // FORMED) + 1, "genome", "block_1", "block_2")
+    rows = met.select("genome", "block_1", "block_2", "l_2", F.explode("l_1").alias("sample_1")).select("genome", "block_1", "block_2", "sample_1", F.explode("l_2").alias("sample_2"))
+    return rows.filter("block_1 < block_2 or sample_1 < sample_2").select("genome", "sample_1", "sample_2")
+
+
 def completeness(catalog: DataFrame, completed: DataFrame) -> DataFrame:
     """Per genome: samples, expected and completed pairs, and whether all are there."""
     n = catalog.select("genome", "sample_id").distinct().groupBy("genome").agg(F.count(F.lit(1)).alias("samples"))

@@ -539,3 +539,14 @@ def test_positions_by_number_equal_their_sql(spark):
     got = adapters.made_positions(lines)
     assert got.dtypes == want.dtypes
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_pairs_among_members_move_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(views, "BLOCK", 3)
+    monkeypatch.setattr(views, "FORMED", 5)
+    members = [("G", f"s{i}") for i in range(10)] * 2 + [("H", "a"), ("H", "b"), ("I", "z"), (None, "a"), ("H", None)]
+    got = views.pairs_among(spark.createDataFrame(members, "genome string, sample_id string"))
+    assert sorted(map(tuple, got.collect())) == [("G", f"s{i}", f"s{j}") for i in range(10) for j in range(i + 1, 10)] + [("H", "a", "b")]
+    assert got.rdd.getNumPartitions() == 46 // 5 + 1
+    assert views.pairs_among(spark.createDataFrame([], "genome string, sample_id string")).count() == 0
+    assert "sample_1" not in got._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[-1]
