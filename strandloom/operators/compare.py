@@ -29,13 +29,16 @@ from pyspark.sql import functions as F
 from ..functions import masks
 from ..schemas import CHANNELS
 from .matrix import MIN_COV
+from .packing import coded, merged, pack, unpack
 
 METHODS = ("popani", "conani")
 CALCULATIONS = ("ani", "gene", "ibs")
-#: Joint positions (two samples at one position) that a strip is to hold, and that one step of it forms.
-STRIP, STEP = 2_000_000, 2_000_000
-#: So many samples of positions are cut into strips at a time.
-LISTED = 500_000
+#: Joint positions (two samples at one position) that a strip is to hold, that one pass over it is to sum, and that one step of a pass forms.
+STRIP, PASS, STEP = 16_000_000, 2_000_000, 2_000_000
+#: So many rows are packed at a time, meet in a bucket of positions, and are given as results at a time.
+LISTED, BUCKET, GIVEN = 500_000, 200_000, 200_000
+#: Positions that agree but for so many bits go to one bucket.
+NEAR = 6
 #: One position in so many is counted to tell which kernel a genome goes to, and into how many strips it is cut.
 COUNTED = 16
 #: A row sent to a tile costs as much as so many joint positions; strips are left to genomes with fewer than CROWD samples at any counted position.
@@ -147,104 +150,180 @@ def _named(sums: DataFrame, idx: DataFrame, *columns: str) -> DataFrame:
 def _plan(rows: DataFrame, unit: str, samples_per_block: int, open_samples: DataFrame | None, kernel: str | None) -> tuple[DataFrame, DataFrame]:
     """Genomes with their kernel and the first sample of each strip, a row a genome; and the rows with `late`, 1 where the sample is not open.
 
-    Only the choice of kernel and the number of strips rest on the counted positions; the work is done on all of them."""
+    Only the choice of kernel and where strips are cut rest on the counted positions; the work is done on all of them, and samples and genomes
+    that the counted positions lack have their place among the strips by name."""
     late = F.lit(0)
     if open_samples is not None:
         marked = open_samples.select("genome", "sample_id").distinct().withColumn("is_open", F.lit(1))
         rows, late = rows.join(marked, ["genome", "sample_id"], "left").drop("late"), F.when(F.col("is_open").isNull(), 1).otherwise(0)
     rows = rows.withColumn("late", late).drop("is_open")
-    weights = rows.groupBy("genome", "sample_id", "late").agg(F.count(F.lit(1)).alias("w"))
-    counted = rows.filter(F.pmod(F.xxhash64("genome", "chrom", "pos"), F.lit(COUNTED)) == 0).groupBy("genome", "chrom", "pos", *({unit} - {"chrom"})).agg(F.count(F.lit(1)).cast("double").alias("n"))
-    joint = counted.groupBy("genome").agg((F.sum(F.expr("n * (n - 1) / 2")) * COUNTED).alias("joint"), F.max("n").alias("most"))
-    sizes = weights.groupBy("genome").agg(F.sum("w").alias("all_w"), F.count(F.lit(1)).alias("samples")).join(joint, "genome", "left")
+    counted = rows.filter(F.pmod(F.xxhash64("genome", "chrom", "pos"), F.lit(COUNTED)) == 0)
+    lists = counted.groupBy("genome", "chrom", "pos", *({unit} - {"chrom"})).agg(F.collect_list(F.struct("late", "sample_id")).alias("l"))
+    weights = lists.select("genome", F.explode("l").alias("s")).groupBy("genome", "s.sample_id", "s.late").agg((F.count(F.lit(1)) * COUNTED).alias("w"))
+    met = lists.select("genome", F.size("l").cast("double").alias("n")).groupBy("genome").agg((F.sum(F.expr("n * (n - 1) / 2")) * COUNTED).alias("joint"), F.max("n").alias("most"))
+    sizes = weights.groupBy("genome").agg(F.sum("w").alias("all_w"), F.count(F.lit(1)).alias("samples")).join(met, "genome", "left")
     dealt = F.col("all_w") * F.ceil(F.col("samples") / samples_per_block)
     listed = (F.coalesce("most", F.lit(0.0)) < CROWD) & (F.coalesce("joint", F.lit(0.0)) <= TILE_COST * dealt) if kernel is None else F.lit(kernel == "strips")
     sizes = sizes.select("genome", "all_w", listed.alias("listed"), F.least(F.ceil(F.coalesce("joint", F.lit(0.0)) / STRIP) + 1, F.col("samples")).alias("strips"))
     order = W.partitionBy("genome").orderBy("late", "sample_id")
     place = weights.withColumn("before", F.sum("w").over(order) - F.col("w")).join(F.broadcast(sizes), "genome")  # a row a genome
     place = place.withColumn("strip", F.floor(F.col("before") * F.col("strips") / F.col("all_w")))
-    firsts = place.groupBy("genome", "listed", "strip").agg(F.min(F.struct("late", "sample_id")).alias("first"))
-    return firsts.groupBy("genome", "listed").agg(F.sort_array(F.collect_list("first")).alias("firsts")), rows  # a row a genome
+    firsts = place.groupBy("genome", "listed", "all_w", "strip").agg(F.min(F.struct("late", "sample_id")).alias("first"))
+    return firsts.groupBy("genome", "listed", "all_w").agg(F.sort_array(F.collect_list("first")).alias("firsts")), rows  # a row a genome
 
 
-def _strips(rows: DataFrame, plan: list, unit: str) -> DataFrame:
-    """genome, strip, unit, pos, m and the lists of names and values of the samples of a position, from the strip's first on; m of them are its own open ones."""
+def _strips(rows: DataFrame, plan: list, unit: str, placed: bool) -> DataFrame:
+    """genome, strip and packed lists: of some positions, the samples and their values from the strip's first on. `placed` keeps units and places.
+
+    Rows travel packed by blocks of neighbouring positions, lists packed by strip: a few bytes a row."""
     values = [c for c in rows.columns if c not in ("genome", "sample_id", "chrom", "pos", "gene", "late")]
-    kinds = {c: "tinyint" if c == "allele" else "double" for c in values}
+    units = [unit] if unit != "chrom" else []
     firsts = {r.genome: [(f.late, f.sample_id) for f in r.firsts] for r in plan}
-    schema = pa.schema([("genome", pa.string()), ("strip", pa.int32()), ("unit", pa.string()), ("pos", pa.int64()), ("m", pa.int32()), ("names", pa.list_(pa.string())), *[(c, pa.list_(pa.int8() if c == "allele" else pa.float64())) for c in values]])
+    buckets = int(sum(r.all_w for r in plan if r.listed) // BUCKET) + 1
+    strings = ["genome", *units, "chrom", "sample_id"]
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in batches:
-            ends = np.cumsum(batch.column("l").value_lengths().to_numpy())
-            lo = 0
-            while lo < len(ends):
-                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + LISTED, "right")))
-                yield _cut(batch.slice(lo, hi - lo), firsts, schema)
-                lo = hi
-
-    at = rows.groupBy("genome", F.col(unit).alias("unit"), "chrom", "pos").agg(F.sort_array(F.collect_list(F.struct("late", "sample_id", *[F.col(c).cast(kinds[c]).alias(c) for c in values]))).alias("l")).filter("size(l) > 1")
-    return at.select("genome", "unit", F.col("pos").cast("bigint").alias("pos"), "l").mapInArrow(cut, f"genome string, strip int, unit string, pos bigint, m int, names array<string>, {', '.join(f'{c} array<{kinds[c]}>' for c in values)}")
-
-
-def _cut(batch: pa.RecordBatch, firsts: dict[str, list[tuple]], schema: pa.Schema) -> pa.RecordBatch:
-    """The lists of some positions, once for each strip that one of their samples is in, from the strip's first on."""
-    n = batch.column("l").value_lengths().to_numpy().astype(np.int64)
-    flat, row, end = batch.column("l").flatten(), np.repeat(np.arange(len(n)), n), np.cumsum(n)
-    late, names = flat.field("late").to_numpy(zero_copy_only=False).astype(np.int64), flat.field("sample_id")
-    genome, genomes = _coded(batch.column("genome"))
-    sample, known = _coded(names)
+            held.append(batch)
+            n += batch.num_rows
+            if n >= LISTED:
+                yield _packed_rows(pa.Table.from_batches(held), strings, values)
+                held, n = [], 0
+        if n:
+            yield _packed_rows(pa.Table.from_batches(held), strings, values)
+
+    def cut(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [unpack(v) for batch in batches for v in batch.column("packed").to_pylist()]
+        out = _cut(found, firsts, len(values), placed) if found else []
+        yield pa.record_batch([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.int32(), pa.binary()))], ["genome", "strip", "packed"])
+
+    whole, kept = {"tinyint", "smallint", "int", "bigint"}, dict(rows.dtypes)
+    kinds = [F.col(c).cast("tinyint").alias(c) if c == "allele" else F.col(c) if kept[c] in whole else F.col(c).cast("double").alias(c) for c in values]
+    bucket = F.pmod(F.xxhash64("genome", "chrom", F.shiftright(F.col("pos").cast("bigint"), NEAR)), F.lit(buckets)).cast("int").alias("bucket")
+    sent = rows.select(bucket, *strings, F.col("pos").cast("bigint").alias("pos"), F.col("late").cast("tinyint").alias("late"), *kinds).mapInArrow(packed_rows, "bucket int, packed binary")
+    lists = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(cut, "genome string, strip int, packed binary")
+    return lists.repartition(max(1, sum(len(r.firsts) for r in plan if r.listed)), "genome", "strip")
+
+
+def _packed_rows(table: pa.Table, strings: list[str], values: list[str]) -> pa.RecordBatch:
+    """The rows of each bucket in one value."""
+    bucket = table.column("bucket").to_numpy()
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    at = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+    names = [_coded(table.column(c)) for c in strings]
+    codes = [c[order] for c, _ in names]
+    numbers = [table.column(c).to_numpy()[order] for c in ("pos", "late", *values)]
+    out = []
+    for lo, hi in zip(at, np.append(at[1:], len(bucket)), strict=True):
+        columns = [x[lo:hi] for x in numbers]
+        for (_, known), c in zip(names, codes, strict=True):
+            own, back = coded(c[lo:hi])
+            columns += [known.take(pa.array(own)), back]
+        out.append(pack(columns))
+    return pa.record_batch([pa.array(bucket[at], pa.int32()), pa.array(out, pa.binary())], ["bucket", "packed"])
+
+
+def _cut(found: list[list], firsts: dict[str, list[tuple]], n_values: int, placed: bool) -> list[tuple[str, int, bytes]]:
+    """(genome, strip, packed lists): the list of samples of each position, once for each strip that one of its samples is in, from the strip's first on.
+
+    The lists are packed as their sizes, how many samples of each are the strip's own open ones, the samples and their values; with units and positions if they are asked for."""
+    numbers = [np.concatenate(x) for x in zip(*[f[: 2 + n_values] for f in found], strict=True)]
+    pos, late, values = numbers[0], numbers[1], numbers[2:]
+    known, codes = [], []
+    for k in range(2 + n_values, len(found[0]), 2):
+        every, own = merged([f[k] for f in found])
+        known.append(every)
+        codes.append(np.concatenate([at[f[k + 1]] for at, f in zip(own, found, strict=True)]))
+    sample, places = codes[-1], [pos, *codes[-2::-1]]
+    order = np.lexsort((sample, late, *places))
+    sample, late, values, places = sample[order], late[order], [v[order] for v in values], [p[order] for p in places]
+    new = np.concatenate(([True], np.any([p[1:] != p[:-1] for p in places], axis=0)))
+    row = np.cumsum(new) - 1
+    end = np.append(np.flatnonzero(new)[1:], len(row))
+    genome = places[-1]
     # a sample's strip is looked up once
-    keys, back = np.unique((genome[row] * 2 + late) * max(1, len(known)) + sample, return_inverse=True)
-    known, genomes, strip = known.to_pylist(), genomes.to_pylist(), np.empty(len(keys), np.int64)
+    keys, back = np.unique((genome * 2 + late) * len(known[-1]) + sample, return_inverse=True)
+    names, genomes, strip = known[-1].to_pylist(), known[0].to_pylist(), np.empty(len(keys), np.int64)
     for k, key in enumerate(keys.tolist()):
-        head, name = divmod(key, len(known))
-        strip[k] = bisect_right(firsts[genomes[head // 2]], (head % 2, known[name]))
+        head, name = divmod(key, len(names))
+        strip[k] = bisect_right(firsts.get(genomes[head // 2], []), (head % 2, names[name]))
     of = strip[back]
-    begins = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (of[1:] != of[:-1])))[: len(of)])
+    begins = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (of[1:] != of[:-1]))))
     held = np.concatenate(([0], np.cumsum(late == 0)))
     m, size = held[np.append(begins[1:], len(of))] - held[begins], end[row[begins]] - begins
     begins, m, size = (x[(m > 0) & (size > 1)] for x in (begins, m, size))
-    take = np.arange(size.sum()) + np.repeat(begins - (np.cumsum(size) - size), size)
-    offsets, take, of_row = pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32()), pa.array(take), pa.array(row[begins])
-    lists = [pa.ListArray.from_arrays(offsets, flat.field("sample_id" if f.name == "names" else f.name).take(take).cast(f.type.value_type)) for f in list(schema)[5:]]
-    return pa.RecordBatch.from_arrays([batch.column("genome").take(of_row), pa.array(of[begins], pa.int32()), batch.column("unit").take(of_row), batch.column("pos").take(of_row), pa.array(m, pa.int32()), *lists], schema=schema)
-
-
-def _flat(table: pa.Table, column: str) -> pa.Array:
-    return table.column(column).combine_chunks().flatten() if table.num_rows else pa.array([])
-
-
-def _joint_rows(table: pa.Table, method: str):
-    """Steps of (first, second, row of the table, whether they share) over the joint positions of a strip; first and second are places in the flat lists."""
-    names = table.column("names").combine_chunks()
-    ends = np.cumsum(names.value_lengths().to_numpy().astype(np.int64))
-    m = table.column("m").to_numpy().astype(np.int64)
-    row = np.repeat(np.arange(len(m)), m)
-    first = np.arange(len(row)) - np.repeat(np.cumsum(m) - m, m) + np.repeat(np.concatenate(([0], ends[:-1])), m)
-    others = ends[row] - first - 1
-    if method.startswith("cosani_"):
-        least = float(method.split("_", 1)[1])
-        x = [_flat(table, c).to_numpy(zero_copy_only=False) for c in CHANNELS]
-        size = sum(c * c for c in x)
-
-        def shares(u: np.ndarray, v: np.ndarray) -> np.ndarray:
-            return (sum(c[u] * c[v] for c in x) >= least * np.sqrt(size[u] * size[v])) & (size[u] > 0) & (size[v] > 0)
-    else:
-        x = _flat(table, "allele").to_numpy(zero_copy_only=False)
+    order = np.lexsort((begins, of[begins], genome[begins]))
+    begins, m, size = begins[order], m[order], size[order]
+    goes = (genome[begins], of[begins])
+    at = np.flatnonzero(np.concatenate(([True], (goes[0][1:] != goes[0][:-1]) | (goes[1][1:] != goes[1][:-1])))[: len(begins)])
+    out = []
+    for lo, hi in zip(at.tolist(), [*at[1:].tolist(), len(begins)], strict=True):
+        b, n = begins[lo:hi], size[lo:hi]
+        take = np.arange(n.sum()) + np.repeat(b - (np.cumsum(n) - n), n)
+        own, samples = coded(sample[take])
+        columns = [n, m[lo:hi], known[-1].take(pa.array(own)), samples, *[v[take] for v in values]]
+        if placed:
+            unit, units = coded(places[-2][b])
+            columns += [known[1].take(pa.array(unit)), units, places[0][b]]
+        out.append((genomes[goes[0][lo]], int(goes[1][lo]), pack(columns)))
+    return out
 
-        def shares(u: np.ndarray, v: np.ndarray) -> np.ndarray:
-            return (x[u] & x[v]) != 0
 
-    total = np.cumsum(others)
-    lo = 0
-    while lo < len(first):
-        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + STEP, "right")))
-        n = others[lo:hi]
-        a = np.repeat(first[lo:hi], n)
-        b = np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n) + a + 1
-        yield a, b, np.repeat(row[lo:hi], n), shares(a, b)
-        lo = hi
+class _Listed:
+    """The lists of a strip: sizes, own, sample and values by place in the flat lists; names in order; unit, units and pos by list if they were kept."""
+
+    def __init__(self, batches: Iterator[pa.RecordBatch], n_values: int, placed: bool):
+        found = [unpack(v) for batch in batches for v in batch.column("packed").to_pylist()]
+        joined = lambda k: np.concatenate([f[k] for f in found])
+        coded_at = lambda at, k: np.concatenate([a[f[k]] for a, f in zip(at, found, strict=True)])
+        self.sizes, self.own = joined(0), joined(1)
+        self.names, at = merged([f[2] for f in found])
+        self.sample = coded_at(at, 3)
+        self.values = [joined(4 + k) for k in range(n_values)]
+        if placed:
+            self.units, at = merged([f[4 + n_values] for f in found])
+            self.unit, self.pos = coded_at(at, 5 + n_values), joined(6 + n_values)
+
+    def passes(self, method: str) -> Iterator[Iterator[tuple]]:
+        """For some first samples at a time, of which all joint positions are in one pass: steps of (first, second, list, whether they share); first and second are places in the flat lists."""
+        m, ends = self.own, np.cumsum(self.sizes)
+        row = np.repeat(np.arange(len(m)), m)
+        first = np.arange(len(row)) - np.repeat(np.cumsum(m) - m, m) + np.repeat(ends - self.sizes, m)
+        others = ends[row] - first - 1
+        formed = np.cumsum(np.bincount(self.sample[first], others, len(self.names)))
+        turn = np.concatenate(([0], formed[:-1] // PASS)).astype(np.int64)[self.sample[first]]
+        order = np.argsort(turn, kind="stable")
+        turn = turn[order]
+        at = np.flatnonzero(np.concatenate(([True], turn[1:] != turn[:-1])))
+        shares = self._shares(method)
+        for lo, hi in zip(at.tolist(), [*at[1:].tolist(), len(turn)], strict=True):
+            now = order[lo:hi]
+            yield self._steps(first[now], others[now], row[now], shares)
+
+    def _shares(self, method: str):
+        if method.startswith("cosani_"):
+            least = float(method.split("_", 1)[1])
+            x = [c.astype(np.float64) for c in self.values]
+            size = sum(c * c for c in x)
+            return lambda u, v: (sum(c[u] * c[v] for c in x) >= least * np.sqrt(size[u] * size[v])) & (size[u] > 0) & (size[v] > 0)
+        x = self.values[0]
+        if len(x) and 0 <= x.min() and x.max() < 128:
+            x = x.astype(np.int8)
+        return lambda u, v: (x[u] & x[v]) != 0
+
+    @staticmethod
+    def _steps(first: np.ndarray, others: np.ndarray, row: np.ndarray, shares) -> Iterator[tuple]:
+        total = np.cumsum(others)
+        lo = 0
+        while lo < len(first):
+            hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + STEP, "right")))
+            n = others[lo:hi]
+            a = np.repeat(first[lo:hi], n)
+            b = np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n) + a + 1
+            yield a, b, np.repeat(row[lo:hi], n), shares(a, b)
+            lo = hi
 
 
 def _coded(column) -> tuple[np.ndarray, pa.Array]:
@@ -269,81 +348,79 @@ def _folded(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     return key[at], np.add.reduceat(total, at), np.add.reduceat(share, at)
 
 
-def _ordered(names: pa.Array, a: np.ndarray, b: np.ndarray) -> dict[str, pa.Array]:
-    """Columns of the samples' names, the smaller name first."""
-    rank = np.empty(len(names), np.int64)
-    rank[np.array(sorted(range(len(names)), key=names.to_pylist().__getitem__), np.int64)] = np.arange(len(names))
-    turned = rank[a] > rank[b]
-    return {"sample_1": names.take(pa.array(np.where(turned, b, a))), "sample_2": names.take(pa.array(np.where(turned, a, b)))}
+def _batches(schema: pa.Schema, genome: str, names: pa.Array, pairs: np.ndarray, rest: dict) -> Iterator[pa.RecordBatch]:
+    """Rows of pairs (numbers of two of the names, which are in order), some at a time."""
+    a, b = np.divmod(pairs, max(1, len(names)))
+    for lo in range(0, len(pairs), GIVEN):
+        now = slice(lo, lo + GIVEN)
+        columns = {"genome": pa.array([genome]).take(pa.array(np.zeros(len(a[now]), np.int64))), "sample_1": names.take(pa.array(np.minimum(a[now], b[now]))), "sample_2": names.take(pa.array(np.maximum(a[now], b[now])))}
+        yield pa.table(columns | {k: v(now) for k, v in rest.items()}).cast(schema).combine_chunks().to_batches()[0]
 
 
 def _summed_strips(rows: DataFrame, plan: list, method: str, unit: str, above: int) -> DataFrame:
     """The result of packed() by strips."""
     by_unit = unit != "chrom"
-
-    def multiply(key: tuple, table: pa.Table) -> pa.Table:
-        sample, names = _coded(_flat(table, "names"))
-        units, unit_names = _coded(table.column("unit")) if by_unit else (None, [None])
-        u = len(names)
-        _fits(2, len(unit_names), u, u)
-        parts, held = [], 0
-        for a, b, row, shared in _joint_rows(table, method):
-            k = sample[a] * u + sample[b]
-            if by_unit:
-                k += units[row] * (u * u)
-            k = np.sort(k * 2 + shared)
-            same, odd = k >> 1, k & 1
-            at = np.flatnonzero(np.concatenate(([True], same[1:] != same[:-1])))
-            parts.append((same[at], np.diff(np.append(at, len(k))), np.add.reduceat(odd, at)))
-            held += len(at)
-            if held > 2 * STEP:
-                parts = [_folded(parts)]
-                held = len(parts[0][0])
-        if not parts:
-            return schema.empty_table()
-        k, total, share = _folded(parts) if len(parts) > 1 else parts[0]
-        # a pair is in one strip, so that its sums are whole
-        k, total, share = (x[total > above] for x in (k, total, share))
-        where, k = np.divmod(k, u * u)
-        out = {"genome": pa.array([key[0].as_py()]).take(pa.array(np.zeros(len(k), np.int64)))} | _ordered(names, *np.divmod(k, u))
-        if by_unit:
-            out["unit"] = unit_names.take(pa.array(where))
-        return pa.table(out | {"total_positions": total, "share_allele_pos": share}).cast(schema)
+    n_values = 4 if method.startswith("cosani_") else 1
+
+    def multiply(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = _Listed(batches, n_values, by_unit)
+        sample, u = lists.sample, len(lists.names)
+        _fits(2, len(lists.units) if by_unit else 1, u, u)
+        for steps in lists.passes(method):
+            parts, held = [], 0
+            for a, b, row, shared in steps:
+                k = sample[a] * u + sample[b]
+                if by_unit:
+                    k += lists.unit[row] * (u * u)
+                k = np.sort(k * 2 + shared)
+                same, odd = k >> 1, k & 1
+                at = np.flatnonzero(np.concatenate(([True], same[1:] != same[:-1])))
+                parts.append((same[at], np.diff(np.append(at, len(k))), np.add.reduceat(odd, at)))
+                held += len(at)
+                if held > 2 * STEP:
+                    parts = [_folded(parts)]
+                    held = len(parts[0][0])
+            k, total, share = _folded(parts) if len(parts) > 1 else parts[0]
+            # a pair is in one pass, so that its sums are whole
+            k, total, share = (x[total > above] for x in (k, total, share))
+            where, k = np.divmod(k, u * u)
+            rest = {"unit": lambda now, where=where: lists.units.take(pa.array(where[now]))} if by_unit else {}
+            rest |= {"total_positions": lambda now, total=total: total[now], "share_allele_pos": lambda now, share=share: share[now]}
+            yield from _batches(schema, key[0].as_py(), lists.names, k, rest)
 
     extra = [("unit", pa.string())] if by_unit else []
     schema = pa.schema([("genome", pa.string()), ("sample_1", pa.string()), ("sample_2", pa.string()), *extra, ("total_positions", pa.int64()), ("share_allele_pos", pa.int64())])
-    listed = _strips(rows, plan, unit)
+    listed = _strips(rows, plan, unit, by_unit)
     return listed.groupBy("genome", "strip").applyInArrow(multiply, f"genome string, sample_1 string, sample_2 string, {'unit string, ' if by_unit else ''}total_positions bigint, share_allele_pos bigint")
 
 
 def _run_strips(rows: DataFrame, plan: list) -> DataFrame:
     """The result of shared_runs() by strips: all positions of a pair are in one, so its runs are whole."""
 
-    def runs(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by([("unit", "ascending"), ("pos", "ascending")])
-        sample, names = _coded(_flat(table, "names"))
-        unit, _ = _coded(table.column("unit"))
-        pos = table.column("pos").to_numpy().astype(np.int64)
+    def runs(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = _Listed(batches, 1, True)
+        sample, u = lists.sample, len(lists.names)
         # neighbours get numbers that follow each other, and others do not
-        cell = np.cumsum(np.concatenate(([0], np.where((np.diff(unit) == 0) & (np.diff(pos) == 1), 1, 2))))
-        u, cells = len(names), int(cell[-1]) + 2
+        order = np.lexsort((lists.pos, lists.unit))
+        unit, pos = lists.unit[order], lists.pos[order]
+        cell = np.empty(len(order), np.int64)
+        cell[order] = np.cumsum(np.concatenate(([0], np.where((np.diff(unit) == 0) & (np.diff(pos) == 1), 1, 2))))
+        cells = int(cell.max()) + 2
         _fits(2, u, u, cells)
-        parts = [((sample[a] * u + sample[b]) * cells + cell[row]) * 2 + hit for a, b, row, hit in _joint_rows(table, "popani")]
-        if not parts:
-            return schema.empty_table()
-        k = np.sort(np.concatenate(parts))
-        met, hit = k >> 1, (k & 1).astype(bool)
-        pair = met // cells
-        at = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
-        # places count up within a run and begin anew after it
-        begins = ~hit | np.concatenate(([True], met[1:] != met[:-1] + 1)) | np.concatenate(([True], ~hit[:-1]))
-        place = np.arange(len(k))
-        length = np.where(hit, place - np.maximum.accumulate(np.where(begins, place, 0)) + 1, 0)
-        out = {"genome": pa.array([key[0].as_py()]).take(pa.array(np.zeros(len(at), np.int64)))} | _ordered(names, *np.divmod(pair[at], u))
-        return pa.table(out | {"max_consecutive_length": np.maximum.reduceat(length, at)}).cast(schema)
+        for steps in lists.passes("popani"):
+            k = np.sort(np.concatenate([((sample[a] * u + sample[b]) * cells + cell[row]) * 2 + hit for a, b, row, hit in steps]))
+            met, hit = k >> 1, (k & 1).astype(bool)
+            pair = met // cells
+            at = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
+            # places count up within a run and begin anew after it
+            begins = ~hit | np.concatenate(([True], met[1:] != met[:-1] + 1)) | np.concatenate(([True], ~hit[:-1]))
+            place = np.arange(len(k))
+            length = np.where(hit, place - np.maximum.accumulate(np.where(begins, place, 0)) + 1, 0)
+            longest = np.maximum.reduceat(length, at)
+            yield from _batches(schema, key[0].as_py(), lists.names, pair[at], {"max_consecutive_length": lambda now, longest=longest: longest[now]})
 
     schema = pa.schema([("genome", pa.string()), ("sample_1", pa.string()), ("sample_2", pa.string()), ("max_consecutive_length", pa.int64())])
-    return _strips(rows, plan, "chrom").groupBy("genome", "strip").applyInArrow(runs, "genome string, sample_1 string, sample_2 string, max_consecutive_length bigint")
+    return _strips(rows, plan, "chrom", True).groupBy("genome", "strip").applyInArrow(runs, "genome string, sample_1 string, sample_2 string, max_consecutive_length bigint")
 
 
 def _by_kernel(rows: DataFrame, plan: list) -> tuple[DataFrame | None, DataFrame]:

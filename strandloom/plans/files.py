@@ -296,7 +296,7 @@ def _(v):
 def _from_counts(v: Views, calculate: str, method: str = "popani") -> DataFrame:
     axis = contract.axis(v("bed"), v("stb"))
     at = scratch(v("region").sparkSession, "counts")
-    matrix.counts(v("profile_positions"), axis).write.partitionBy("genome").parquet(at)
+    matrix.counts(v("profile_positions"), axis).write.partitionBy("genome").parquet(at, compression="zstd")
     genes = contract.gene_axis(v("gene_ranges"), axis)
     return compare.matrix_results(v("region").sparkSession.read.parquet(at), calculate, method, genes)[calculate]
 

@@ -5,21 +5,25 @@ from __future__ import annotations
 import gzip
 import itertools
 import json
+import os
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from strandloom import cli
 from strandloom.api import ModeError, open_database
 from strandloom.functions import histogram, names
-from strandloom.operators import cluster, codec, compare, contract, matrix, registry, views
+from strandloom.operators import cluster, codec, compare, contract, matrix, packing, registry, views
 from strandloom.plans import adapters
 from strandloom.sources import config, ingest, reference, sinks
 from strandloom.sources.store import Store
 from strandloom.streaming import sync
 
+from .conftest import DATA
+
 POSITION = "sample_id string, chrom string, pos bigint, genome string, gene string, A int, C int, G int, T int"
 G = "GCF_000001.1"
 S1 = [("contigA", 1, 5, 0, 0, 0), ("contigA", 2, 0, 0, 0, 5), ("contigA", 3, 0, 3, 3, 0), ("contigA", 4, 0, 0, 5, 0), ("contigA", 5, 5, 0, 0, 0), ("contigA", 9, 0, 0, 0, 4), ("contigB", 1, 0, 0, 5, 0), ("contigB", 2, 0, 0, 4, 0), ("contigB", 3, 0, 5, 0, 0)]
@@ -550,3 +554,54 @@ def test_pairs_among_members_move_no_pair(spark, monkeypatch):
     assert got.rdd.getNumPartitions() == 46 // 5 + 1
     assert views.pairs_among(spark.createDataFrame([], "genome string, sample_id string")).count() == 0
     assert "sample_1" not in got._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[-1]
+
+
+def test_packed_values_come_back():
+    columns = [np.array([5, -3, 2**40]), np.array([], np.int64), np.array([-(2**63), 2**63 - 1]), np.array([0.5, np.inf]), pa.array(["", "é", "a b"]), pa.array([], pa.string()), np.arange(1000)]
+    for few in (columns[:2], columns):
+        got = packing.unpack(packing.pack(few))
+        assert [x.to_pylist() if isinstance(x, pa.Array) else x.tolist() for x in got] == [x.to_pylist() if isinstance(x, pa.Array) else x.tolist() for x in few]
+    names, at = packing.merged([pa.array(["b", "é"]), pa.array(["a", "b"])])
+    assert names.to_pylist() == ["a", "b", "é"] and [x.tolist() for x in at] == [[1, 2], [0, 1]]
+
+
+@pytest.mark.parametrize("method", ["popani", "cosani_0.9"])
+def test_strips_in_several_passes_and_buckets(spark, method, monkeypatch):
+    """Rows and lists are packed in many values, a strip is summed in several passes, and samples that no counted position holds are compared too."""
+    for name, n in (("STRIP", 4000), ("PASS", 300), ("STEP", 100), ("LISTED", 150), ("BUCKET", 100), ("GIVEN", 40), ("COUNTED", 4), ("NEAR", 2)):
+        monkeypatch.setattr(compare, name, n)
+    rng = np.random.default_rng(8)
+    rows = [(f"s{i}", f"c{p % 3}", int(p // 3), "G", f"g{p // 9}", *map(int, rng.integers(0, 6, 4))) for i in range(30) for p in range(60) if rng.random() < 0.4]
+    rows += [(f"t{i}", "c0", p, g, "g0", 9, 9, 0, 0) for i in range(2) for p, g in ((0, "G"), (900, "G"), (7, "H"))]
+    df = spark.createDataFrame(rows, POSITION)
+    found = compare.alleles(df, method)
+    plain = sorted(map(tuple, compare.joined_pairs(df, method).collect()))
+    assert sorted(map(tuple, compare.packed(found, method, kernel="strips").collect())) == [r[:5] for r in plain]
+    plan, marked = compare._plan(found, "chrom", 256, None, "strips")
+    each = [len(list(compare._Listed(iter([pa.record_batch([pa.array([bytes(r.packed) for r in part], pa.binary())], ["packed"])]), 4 if method != "popani" else 1, False).passes(method))) for part in _by_strip(compare._strips(marked, plan.collect(), "chrom", False))]
+    assert max(each) > 2
+    if method == "popani":
+        assert sorted(map(tuple, compare.longest_runs(df, kernel="strips").collect())) == sorted(map(tuple, compare.longest_runs(df, kernel="tiles").collect()))
+
+
+def _by_strip(lists):
+    rows = sorted(lists.collect(), key=lambda r: (r.genome, r.strip))
+    return [list(part) for _, part in itertools.groupby(rows, key=lambda r: (r.genome, r.strip))]
+
+
+def test_lists_of_strips_take_few_bytes(spark):
+    """A sample of a list took 13 bytes of shuffle at 60 times sf0.1, as rows of names; it takes some 3 packed."""
+    rng = np.random.default_rng(3)
+    rows = [(f"SRR{i}", "c0", p, "G", "g", *map(int, rng.integers(0, 9, 4))) for p in range(800) for i in rng.choice(400, 25, replace=False).tolist()]
+    plan, marked = compare._plan(compare.alleles(spark.createDataFrame(rows, POSITION)), "chrom", 256, None, "strips")
+    lists = compare._strips(marked, plan.collect(), "chrom", False).collect()
+    samples = sum(len(packing.unpack(bytes(r.packed))[3]) for r in lists)
+    assert samples >= 19_000 and sum(len(r.packed) for r in lists) < 5 * samples
+
+
+def test_derived_positions_are_written_in_order(spark, tmp_path):
+    """Names of a place repeat in a file, so that a position takes few bytes; out of order it took 15."""
+    made = adapters._positions(spark, f"{DATA}/sf0.01")
+    held = sum(os.path.getsize(p.removeprefix("file:").replace("///", "/")) for p in made.inputFiles())
+    lines = spark.read.parquet(f"{DATA}/sf0.01/lineitem.parquet").select("l_partkey", "l_suppkey").distinct().count()
+    assert made.count() == lines and held < 6 * lines
