@@ -294,11 +294,14 @@ def _(v):
 
 
 def _from_counts(v: Views, calculate: str, method: str = "popani") -> DataFrame:
-    axis = contract.axis(v("bed"), v("stb"))
-    at = scratch(v("region").sparkSession, "counts")
+    spark = v("region").sparkSession
+    axis_at, at = scratch(spark, "axis"), scratch(spark, "counts")
+    # read back, the axis has a known size: positions are not shuffled to meet it while it is small
+    contract.axis(v("bed"), v("stb")).write.parquet(axis_at)
+    axis = spark.read.parquet(axis_at)
     matrix.counts(v("profile_positions"), axis).write.partitionBy("genome").parquet(at, compression="zstd")
-    genes = contract.gene_axis(v("gene_ranges"), axis)
-    return compare.matrix_results(v("region").sparkSession.read.parquet(at), calculate, method, genes)[calculate]
+    genes = contract.gene_axis(v("gene_ranges"), axis) if "gene" in compare.calculations(calculate) else None
+    return compare.matrix_results(spark.read.parquet(at), calculate, method, genes)[calculate]
 
 
 @query("stored_counts_conani", ORACLES["conani_pairs"])

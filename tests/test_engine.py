@@ -605,3 +605,13 @@ def test_derived_positions_are_written_in_order(spark, tmp_path):
     held = sum(os.path.getsize(p.removeprefix("file:").replace("///", "/")) for p in made.inputFiles())
     lines = spark.read.parquet(f"{DATA}/sf0.01/lineitem.parquet").select("l_partkey", "l_suppkey").distinct().count()
     assert made.count() == lines and held < 6 * lines
+
+
+def test_stored_counts_meet_a_small_axis_without_a_shuffle(spark, monkeypatch):
+    """The axis is read back with a known size; before, all positions were dealt by scaffold to meet it."""
+    from strandloom.plans import files
+
+    met, counts = [], matrix.counts
+    monkeypatch.setattr(matrix, "counts", lambda *a: met.append(counts(*a)) or met[-1])
+    files.QUERIES["stored_counts_conani"](spark, f"{DATA}/sf0.001")
+    assert "BroadcastHashJoin" in (plan := met[0]._jdf.queryExecution().sparkPlan().toString()) and "Window" not in plan
