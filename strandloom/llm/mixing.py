@@ -13,7 +13,7 @@ One task goes through all slots, a slot for each block and a step over the sourc
 slot, and the counts of the sources for each CHUNK slots, from which blocks and positions are worked out in parallel.
 
 A null source counts as the empty name. Documents with equal ids take hash order, then the order of their texts; equal
-rows are interchangeable. Texts are passed through unread. Other columns are passed through, whatever their names, except
+rows are interchangeable. Hashes are ranked without their rows, so that texts are neither sorted nor read but for those of equal ids. Other columns are passed through, whatever their names, except
 for those named in ADDED, which are replaced. An empty table gives an empty result.
 """
 
@@ -97,13 +97,22 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, *, block: i
     spots = spans.join(plan, (F.col("o_source") == F.col("mix_source")) & (F.col("o_block") == F.col("k"))).groupBy("o_source", "o_bucket").agg(
         F.first("mix_offset").alias("mix_offset"), F.sort_array(F.collect_list(F.struct("o_block", "at", "start"))).alias("mix_spots")
     )
+    # hashes are ranked without their rows, and each gets its slots; the rows then pass by unsorted
+    inside = W.partitionBy("mix_source", "mix_bucket").orderBy("mix_hash")
+    hashes = rows.select("mix_source", "mix_bucket", "mix_hash").repartition("mix_source", "mix_bucket").groupBy("mix_source", "mix_bucket", "mix_hash").agg(F.count(F.lit(1)).alias("mix_same"))
+    hashes = hashes.withColumn("mix_rank", F.sum("mix_same").over(inside.rowsBetween(W.unboundedPreceding, 0)) - F.col("mix_same"))
+    hashes = hashes.join(spots, (F.col("mix_source") == F.col("o_source")) & (F.col("mix_bucket") == F.col("o_bucket"))).withColumn("mix_rank", F.col("mix_rank") + F.col("mix_offset"))
+    first, last = f"mix_rank div {block}", f"(mix_rank + mix_same - 1) div {block}"
+    hashes = hashes.selectExpr("mix_source as h_source", "mix_hash as h_hash", "mix_same", "mix_rank", f"slice(mix_spots, cast({first} - mix_spots[0].o_block + 1 as int), cast({last} - {first} + 1 as int)) as mix_spots")
+    meet = lambda kept: rows.join(hashes.filter(kept).hint("shuffle_hash"), (F.col("mix_source") == F.col("h_source")) & (F.col("mix_hash") == F.col("h_hash")))
+    # only rows of one hash are held against each other
     text = F.col("row.text") if "text" in docs.columns else F.lit(0)
-    inside = W.partitionBy("mix_source", "mix_bucket").orderBy("mix_hash", F.col("row.doc_id"), text)
-    rows = rows.withColumn("mix_rank", F.row_number().over(inside) - 1)
-    rows = rows.join(spots, (F.col("mix_source") == F.col("o_source")) & (F.col("mix_bucket") == F.col("o_bucket"))).withColumn("mix_rank", F.col("mix_rank") + F.col("mix_offset"))
-    rows = rows.withColumn("mix_block", F.floor(F.col("mix_rank") / block).cast("long"))
-    rows = rows.withColumn("mix_spot", F.expr("mix_spots[cast(mix_block - mix_spots[0].o_block as int)]"))
-    return rows.select("row.*", F.col("mix_block").alias("block"), F.col("mix_spot.at").alias("slot"), (F.col("mix_spot.start") + F.col("mix_rank") % block).alias("position"))
+    ties = W.partitionBy("mix_source", "mix_hash").orderBy(F.col("row.doc_id"), text)
+    alone = meet("mix_same = 1").select("row", "mix_rank", "mix_spots")
+    tied = meet("mix_same > 1").withColumn("mix_rank", F.col("mix_rank") + F.row_number().over(ties) - 1).select("row", "mix_rank", "mix_spots")
+    placed = alone.unionAll(tied).withColumn("mix_block", F.expr(f"mix_rank div {block}"))
+    placed = placed.withColumn("mix_spot", F.expr("mix_spots[cast(mix_block - mix_spots[0].o_block as int)]"))
+    return placed.select("row.*", F.col("mix_block").alias("block"), F.col("mix_spot.at").alias("slot"), (F.col("mix_spot.start") + F.col("mix_rank") % block).alias("position"))
 
 
 def laid_out(mixed: DataFrame) -> DataFrame:

@@ -98,6 +98,45 @@ def test_mix_of_nothing_and_of_clashing_columns(spark, empty, extra):
     assert mixing.laid_out(mixing.mix(extra)).count() == extra.count()
 
 
+def _nodes(plan):
+    """All nodes of an executed plan."""
+    yield plan
+    name = plan.nodeName()
+    if name.startswith("AdaptiveSparkPlan"):
+        below = [plan.executedPlan()]
+    elif name.endswith("QueryStage"):
+        below = [plan.plan()]
+    else:
+        below = [plan.children().apply(i) for i in range(plan.children().size())]
+    for p in below:
+        yield from _nodes(p)
+
+
+def test_mixing_sorts_no_texts(docs):
+    """Rows of different ids pass by: no sort and no window holds them."""
+    rows = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
+    rows = rows.sparkSession.createDataFrame(rows.collect(), rows.schema)
+    got = mixing.mix(rows)
+    assert sorted(r.position for r in got.collect()) == list(range(rows.count()))
+    held = [n for n in _nodes(got._jdf.queryExecution().executedPlan()) if n.nodeName() in ("Sort", "Window", "SortMergeJoin")]
+    assert held
+    for n in held:
+        out = [n.output().apply(i).name() for i in range(n.output().size())]
+        assert "row" not in out and "text" not in out, (n.nodeName(), out)
+
+
+def test_mixing_of_equal_ids(spark):
+    """Rows of one hash follow each other by id and text, over the ends of blocks too."""
+    rows = [(7, f"t{i:02d}", "a") for i in range(40)] + [(None, f"n{i}", "a") for i in range(5)] + [(i, "x", "a") for i in range(100, 160)] + [(7, "t03", "a")] * 2
+    random.Random(3).shuffle(rows)
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), block=4).orderBy("position").collect()
+    assert [r.position for r in got] == list(range(len(rows))) and [r.block for r in got] == [i // 4 for i in range(len(rows))]
+    for d in (7, None):
+        own = [(r.position, r.text) for r in got if r.doc_id == d]
+        assert [t for _, t in own] == sorted(t for _, t in own) and own[-1][0] - own[0][0] == len(own) - 1
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(((d, t) for d, t, _ in rows), key=str)
+
+
 def views(spark, content, meta, y, aside):
     rows = [(i, int(a), bool(z), c.tolist(), m.tolist()) for i, (a, z, c, m) in enumerate(zip(y, aside, content, meta, strict=True))]
     return spark.createDataFrame(rows, "doc_id bigint, y int, aside boolean, content array<double>, meta array<double>")
