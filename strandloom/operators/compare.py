@@ -43,6 +43,8 @@ NEAR = 6
 COUNTED = 16
 #: A row sent to a tile costs as much as so many joint positions; strips are left to genomes with fewer than CROWD samples at any counted position.
 TILE_COST, CROWD = 8, 100_000
+#: A genome of up to HELD rows, which one task can hold, is cut into no more than COPIES strips: long lists go to all of them, and the passes bound what a strip sums at a time.
+HELD, COPIES = 16_000_000, 16
 
 
 def alleles(positions: DataFrame, method: str = "popani", min_cov: int = MIN_COV) -> DataFrame:
@@ -164,7 +166,7 @@ def _plan(rows: DataFrame, unit: str, samples_per_block: int, open_samples: Data
     sizes = weights.groupBy("genome").agg(F.sum("w").alias("all_w"), F.count(F.lit(1)).alias("samples")).join(met, "genome", "left")
     dealt = F.col("all_w") * F.ceil(F.col("samples") / samples_per_block)
     listed = (F.coalesce("most", F.lit(0.0)) < CROWD) & (F.coalesce("joint", F.lit(0.0)) <= TILE_COST * dealt) if kernel is None else F.lit(kernel == "strips")
-    sizes = sizes.select("genome", "all_w", listed.alias("listed"), F.least(F.ceil(F.coalesce("joint", F.lit(0.0)) / STRIP) + 1, F.col("samples")).alias("strips"))
+    sizes = sizes.select("genome", "all_w", listed.alias("listed"), F.least(F.ceil(F.coalesce("joint", F.lit(0.0)) / STRIP) + 1, F.col("samples"), F.when(F.col("all_w") <= HELD, COPIES)).alias("strips"))
     order = W.partitionBy("genome").orderBy("late", "sample_id")
     place = weights.withColumn("before", F.sum("w").over(order) - F.col("w")).join(F.broadcast(sizes), "genome")  # a row a genome
     place = place.withColumn("strip", F.floor(F.col("before") * F.col("strips") / F.col("all_w")))

@@ -615,3 +615,18 @@ def test_stored_counts_meet_a_small_axis_without_a_shuffle(spark, monkeypatch):
     monkeypatch.setattr(matrix, "counts", lambda *a: met.append(counts(*a)) or met[-1])
     files.QUERIES["stored_counts_conani"](spark, f"{DATA}/sf0.001")
     assert "BroadcastHashJoin" in (plan := met[0]._jdf.queryExecution().sparkPlan().toString()) and "Window" not in plan
+
+
+def test_long_lists_go_to_few_strips(spark, monkeypatch):
+    """A list that all strips need is sent to COPIES of them at most while one task can hold the genome; larger genomes are cut by their joint positions."""
+    monkeypatch.setattr(compare, "STRIP", 200)
+    monkeypatch.setattr(compare, "PASS", 50)
+    monkeypatch.setattr(compare, "COUNTED", 1)
+    rows = spark.createDataFrame([("G", "c", p, f"s{i:02d}", 1 + (p + i) % 3) for p in range(20) for i in range(60) if (p * i) % 7], "genome string, chrom string, pos bigint, sample_id string, allele int")
+    cut = lambda: len(compare._plan(rows, "chrom", 256, None, "strips")[0].collect()[0].firsts)
+    assert cut() == 16
+    got = compare.packed(rows, kernel="strips")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, compare.packed(rows, kernel="tiles").select(got.columns).collect()))
+    assert compare.shared_runs(rows, kernel="strips").exceptAll(compare.shared_runs(rows, kernel="tiles")).count() == 0
+    monkeypatch.setattr(compare, "HELD", 100)
+    assert cut() > 32
